@@ -10,9 +10,6 @@ from pyspark.sql import types as T
 
 from creditloom.config import BANDS, PSI_AMBER, PSI_GREEN
 
-SQL_INF = "CAST('Infinity' AS DOUBLE)"
-
-
 def normalise_missing(df: DataFrame) -> DataFrame:
     """Turn NaN into null once, at load, so that one test finds every missing value."""
     return df.select(
@@ -41,41 +38,38 @@ def clip(x: Column, low: float | None = None, high: float | None = None) -> Colu
     return F.when(x.isNotNull(), bounded)
 
 
-def doubles(values: Sequence[float]) -> Column:
-    """A literal array<double>, sent to the JVM as one expression."""
-    body = ", ".join(f"{float(v)!r}D" for v in values)
-    return F.expr(f"CAST(array({body}) AS array<double>)")
+def sql_number(value: float) -> str:
+    return f"{float(value)!r}D"
 
 
-def digitize_in(x: Column, edges: Column, size: int) -> Column:
-    """Number of sorted ``edges`` strictly below ``x``: the right-closed bin index.
+def digitize_sql(name: str, edges: Sequence[float]) -> str:
+    """SQL text of the right-closed bin index of a column: how many sorted edges lie below it.
 
-    Binary search by halving steps, so hundreds of edges cost a handful of comparisons.
-    Null stays null.
+    A few edges are compared one by one; many are searched by halving steps, so hundreds of
+    edges cost a handful of comparisons. Null stays null. Text keeps building a plan over
+    many features cheap: one call to the JVM instead of one per node.
     """
-    step, steps = 1, []
-    while step <= size:
-        steps.insert(0, step)
-        step *= 2
-    if not steps:
-        return F.when(x.isNotNull(), F.lit(0))
-    found = F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda at, s: F.when(F.get(edges, at + s - 1) < x, at + s).otherwise(at),
-    )
-    return F.when(x.isNotNull(), found)
-
-
-def digitize(x: Column, edges: Sequence[float]) -> Column:
-    """Right-closed bin index against literal edges; null stays null."""
+    x = f"`{name}`"
     if not len(edges):
-        return F.when(x.isNotNull(), F.lit(0))
-    if len(edges) > 12:
-        return digitize_in(x, doubles(edges), len(edges))
-    return sum((F.when(x > F.lit(float(e)), 1).otherwise(0) for e in edges), F.lit(0)) + F.when(
-        x.isNotNull(), 0
-    )
+        found = "0"
+    elif len(edges) <= 12:
+        found = " + ".join(f"CASE WHEN {x} > {sql_number(e)} THEN 1 ELSE 0 END" for e in edges)
+    else:
+        steps, step = [], 1
+        while step <= len(edges):
+            steps.insert(0, str(step))
+            step *= 2
+        cuts = "array(" + ", ".join(sql_number(e) for e in edges) + ")"
+        found = (
+            f"aggregate(array({', '.join(steps)}), 0, (at, s) -> "
+            f"CASE WHEN get({cuts}, at + s - 1) < {x} THEN at + s ELSE at END)"
+        )
+    return f"CASE WHEN {x} IS NOT NULL THEN {found} END"
+
+
+def digitize(name: str, edges: Sequence[float]) -> Column:
+    """Right-closed bin index of a column against literal edges."""
+    return F.expr(digitize_sql(name, edges))
 
 
 def iv_strength(iv: Column) -> Column:

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from creditloom.functions.expr import digitize
+from creditloom.functions.expr import digitize, digitize_sql
 
 SALTS = 256
 ONE_TASK_KEY = "spark.creditloom.oneTaskRows"
@@ -65,15 +65,11 @@ def _long(df: DataFrame, columns: Sequence[str], cuts: dict[str, list[float]]) -
     """(which column, bucket, value) rows; missing values are left out."""
     types = dict(df.dtypes)
     target = "bigint" if all(types[c] in INTEGRAL for c in columns) else "double"
-    cells = [
-        F.struct(
-            F.lit(i).alias("k"),
-            digitize(F.col(c), cuts[c]).alias("b"),
-            F.col(c).cast(target).alias("v"),
-        )
+    cells = ", ".join(
+        f"named_struct('k', {i}, 'b', {digitize_sql(c, cuts[c])}, 'v', CAST(`{c}` AS {target}))"
         for i, c in enumerate(columns)
-    ]
-    return df.select(F.inline(F.array(*cells))).where("v IS NOT NULL")
+    )
+    return df.select(F.expr(f"inline(array({cells}))")).where("v IS NOT NULL")
 
 
 def order_statistics(
@@ -156,7 +152,7 @@ def with_bucket(df: DataFrame, order: str) -> DataFrame:
     if df.count() <= one_task_rows(spark):
         return df.withColumn("_bucket", F.lit(0))
     edges = splitters(df, [order], bucket_count(spark))[order]
-    return df.withColumn("_bucket", digitize(F.col(order), edges))
+    return df.withColumn("_bucket", digitize(order, edges))
 
 
 def running_totals(

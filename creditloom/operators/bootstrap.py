@@ -14,8 +14,6 @@ from creditloom.functions.ordering import bucket_count, splitters
 from creditloom.functions.expr import digitize
 from creditloom.operators.metrics import discrimination
 
-CHUNK = 256
-
 
 def _replicate_sums(
     cells: DataFrame, score: str, replicates: int, model: str
@@ -29,7 +27,7 @@ def _replicate_sums(
     edges = splitters(cells, [score], bucket_count(spark))[score]
     placed = (
         cells.select(
-            digitize(F.col(score), edges).alias("bucket"), F.col(score).alias("s"), "y", "n", "key"
+            digitize(score, edges).alias("bucket"), F.col(score).alias("s"), "y", "n", "key"
         )
         .repartition("bucket")
         .sortWithinPartitions("bucket", "s")

@@ -34,7 +34,7 @@ def _cells(edges: Mapping[str, Sequence[float]], levels: Sequence[str]) -> Colum
         *[
             F.struct(
                 F.lit(c).alias("feature"),
-                digitize(F.col(c), cuts).cast("string").alias("place"),
+                digitize(c, cuts).cast("string").alias("place"),
                 F.lit(True).alias("numeric"),
             )
             for c, cuts in edges.items()

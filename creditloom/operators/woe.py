@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from creditloom.config import MIN_IV
-from creditloom.functions.expr import digitize, doubles, iv_strength
+from creditloom.functions.expr import digitize_sql, iv_strength, sql_number
 from creditloom.functions.ordering import quantiles
 from creditloom.operators.quality import QualityError
 
@@ -86,15 +86,11 @@ def bin_counts(df: DataFrame, y: str, edges: Mapping[str, Sequence[float]]) -> D
     All features in one aggregation. The map side already folds each task's rows into at most
     (features x bins) groups, so the shuffle does not grow with the table.
     """
-    cells = [
-        F.struct(
-            F.lit(f).alias("feature"),
-            F.coalesce(digitize(F.col(f), cuts), F.lit(-1)).alias("bin_index"),
-            F.col(y).alias("_y"),
-        )
+    cells = ", ".join(
+        f"named_struct('feature', '{f}', 'bin_index', coalesce({digitize_sql(f, cuts)}, -1), '_y', `{y}`)"
         for f, cuts in edges.items()
-    ]
-    rows = df.select(F.inline(F.array(*cells)))
+    )
+    rows = df.select(F.expr(f"inline(array({cells}))"))
     return rows.groupBy("feature", "bin_index").agg(
         F.count(F.lit(1)).alias("count"), F.sum("_y").cast("bigint").alias("bads")
     )
@@ -315,11 +311,14 @@ class Binning:
             return chain.otherwise(F.lit(unseen))
         missing = [b for b in rows if b["is_missing"]]
         ranges = [b for b in rows if not b["is_missing"]]
-        x = F.col(feature).cast("double")
-        chain = F.when(F.isnull(x) | F.isnan(x), F.lit((missing or ranges)[0][value]))
+        def literal(v: float | int | str) -> str:
+            return f"'{v}'" if isinstance(v, str) else sql_number(v) if value == "woe" else str(v)
+
+        x = f"CAST(`{feature}` AS DOUBLE)"
+        chain = f"CASE WHEN {x} IS NULL OR isnan({x}) THEN {literal((missing or ranges)[0][value])}"
         for b in ranges[:-1]:
-            chain = chain.when(x <= F.lit(b["upper"]), F.lit(b[value]))
-        return chain.otherwise(F.lit(ranges[-1][value]))
+            chain += f" WHEN {x} <= {sql_number(b['upper'])} THEN {literal(b[value])}"
+        return F.expr(f"{chain} ELSE {literal(ranges[-1][value])} END")
 
     def transform(
         self, df: DataFrame, carry: Sequence[str] = (), features: Sequence[str] | None = None
@@ -478,12 +477,4 @@ def drop_reasons(ivs: DataFrame, min_iv: float = MIN_IV) -> DataFrame:
     return weak.select("feature", F.format_string(f"IV %.4f below {min_iv}", "iv").alias("reason"))
 
 
-def woe_by_edges(value: Column, edges: Column, weights: Column, missing: Column, size: int) -> Column:
-    """Weight of a value against array columns of edges and weights (null branches first)."""
-    from creditloom.functions.expr import digitize_in
-
-    at = F.get(weights, digitize_in(value, edges, size))
-    return F.when(value.isNull(), missing).otherwise(F.coalesce(at, F.lit(0.0)))
-
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("annotations", "doubles")]
+__all__ = [n for n in dir() if not n.startswith("_") and n != "annotations"]

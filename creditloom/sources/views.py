@@ -168,3 +168,66 @@ WITH txn AS (
   FROM events
 )
 """
+
+
+def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every order turned out to be, approved or not: for evaluation only."""
+    returned = (
+        table(spark, sf_dir, "lineitem")
+        .where("l_returnflag = 'R'")
+        .groupBy(F.col("l_orderkey").alias("id"))
+        .agg(F.count(F.lit(1)).alias("_returned"))
+    )
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    bad = (F.coalesce("_returned", F.lit(0)) >= BAD_RETURNS).cast("int")
+    return orders.join(returned, "id", "left").select("id", bad.alias("true_default_flag"))
+
+
+OUTCOMES_SQL = """
+outcomes AS (
+  SELECT o_orderkey AS id,
+         CASE WHEN coalesce(r.returned, 0) >= 3 THEN 1 ELSE 0 END AS true_default_flag
+  FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS returned FROM lineitem
+                         WHERE l_returnflag = 'R' GROUP BY l_orderkey) r ON r.l_orderkey = o_orderkey
+)
+"""
+
+
+def with_split(book: DataFrame, approved_only: bool = True) -> DataFrame:
+    """The time split of the apps view, with a key rule that SQL engines share."""
+    from creditloom.operators.split import time_split
+
+    return time_split(
+        book,
+        oot_start_month=OOT_MONTH,
+        approved_only=approved_only,
+        key="id",
+        valid_when=F.col("id") % 5 == 0,
+    )
+
+
+SPLIT_SQL = f"""CASE WHEN application_month >= {OOT_MONTH} THEN 'oot'
+                     WHEN id % 5 = 0 THEN 'valid' ELSE 'train' END"""
+
+
+def scored(spark: SparkSession, sf_dir: str, approved_only: bool = True) -> DataFrame:
+    """The apps view with a fixed-weight probability, to six places, and its split."""
+    z = (
+        F.lit(-4.0)
+        + 0.55 * F.coalesce("n_lines", F.lit(0))
+        + 6.0 * F.coalesce("mean_discount", F.lit(0.05))
+        - 0.00002 * F.col("acctbal")
+    )
+    book = with_split(apps(spark, sf_dir, gap=False), approved_only)
+    return book.withColumn("p", F.round(1.0 / (1.0 + F.exp(-z)), 6))
+
+
+SCORED_SQL = f"""
+, scored AS (
+  SELECT *, {SPLIT_SQL} AS split,
+         round(1.0::DOUBLE / (1.0::DOUBLE + exp(-(-4.0::DOUBLE + 0.55::DOUBLE * coalesce(n_lines, 0)
+               + 6.0::DOUBLE * coalesce(mean_discount, 0.05::DOUBLE)
+               - 0.00002::DOUBLE * acctbal))), 6) AS p
+  FROM apps
+)
+"""

@@ -29,7 +29,7 @@ def reference_shares(
 
 def _places(df: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
     cells = [
-        F.struct(F.lit(c).alias("feature"), digitize(F.col(c), cuts).cast("string").alias("place"))
+        F.struct(F.lit(c).alias("feature"), digitize(c, cuts).cast("string").alias("place"))
         for c, cuts in edges.items()
     ]
     return df.select(F.inline(F.array(*cells))).where("place IS NOT NULL")
