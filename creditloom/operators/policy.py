@@ -85,10 +85,8 @@ def fuzzy_augment(df: DataFrame, p: str, approved: str, y: str) -> DataFrame:
             F.struct(F.lit(0.0).alias("_y"), (1.0 - bad).alias("_w")),
         )
     )
-    wide = df.drop(y).withColumn("_copies", copies) if y in df.columns else df
-    return wide.select("*", F.inline("_copies")).drop("_copies").withColumnsRenamed(
-        {"_y": y, "_w": "weight"}
-    )
+    wide = df.withColumn("_copies", copies).drop(y)
+    return wide.select("*", F.inline("_copies").alias(y, "weight")).drop("_copies")
 
 
 def reject_inference(
