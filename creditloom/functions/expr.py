@@ -72,6 +72,16 @@ def digitize(name: str, edges: Sequence[float]) -> Column:
     return F.expr(digitize_sql(name, edges))
 
 
+def epoch_micros(name: str) -> Column:
+    """Microseconds of a zone-free timestamp since 1970, independent of the session zone."""
+    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', `{name}`)")
+
+
+def from_epoch_micros(micros: Column) -> Column:
+    """The inverse of :func:`epoch_micros`."""
+    return F.timestamp_add("MICROSECOND", micros, F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"))
+
+
 def iv_strength(iv: Column) -> Column:
     return (
         F.when(iv < 0.02, "unpredictive")

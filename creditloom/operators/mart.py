@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from creditloom.functions.expr import epoch_micros
+
 INFLOW = "signup"
 OUTFLOW = "purchase"
 FAILED = "error"
@@ -45,8 +47,7 @@ def gap_regularity(
     Gaps inside a (user, hour) cell and the gap from one cell to the next are added up
     separately; only cells are ever ordered per user, never the events.
     """
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    at = df.select(user, micros.alias("_t")).groupBy(user, "_t").agg(F.count(F.lit(1)).alias("_n"))
+    at = df.select(user, epoch_micros(ts).alias("_t")).groupBy(user, "_t").agg(F.count(F.lit(1)).alias("_n"))
     hour = F.floor(F.col("_t") / 3_600_000_000)
     at = at.withColumn("_h", hour)
     inside = Window.partitionBy(user, "_h").orderBy("_t")

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from creditloom.functions.expr import epoch_micros, from_epoch_micros
+
 EVENT_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 )
 
 
 def read_events(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
-    """The event log as a stream of transactions; event time must be a zoned timestamp."""
+    """The event log as a stream of transactions.
+
+    Watermarks need an instant, so the zone-free event time is read as UTC whatever the zone of
+    the session; the hour of day is taken from the original.
+    """
     raw = (
         spark.readStream.schema(EVENT_SCHEMA)
         .option("maxFilesPerTrigger", files_per_trigger)
@@ -19,13 +25,18 @@ def read_events(spark: SparkSession, path: str, files_per_trigger: int = 100) ->
     )
     return raw.select(
         "user_id",
-        F.col("ts").cast("timestamp").alias("ts"),
+        F.timestamp_micros(epoch_micros("ts")).alias("ts"),
+        F.hour("ts").alias("hour"),
         F.col("event_type").alias("type"),
         F.col("value").alias("amount"),
         F.get_json_object("props", "$.k").alias("party"),
     )
 
 
+def _bounds() -> list[Column]:
+    return [from_epoch_micros(F.unix_micros(f"w.{side}")).alias(side) for side in ("start", "end")]
+
+
 def windowed_activity(
     events: DataFrame, *, lateness: str = "1 day", size: str = "7 days", slide: str | None = None
 ) -> DataFrame:
@@ -33,7 +44,7 @@ def windowed_activity(
 
     State is one row per user and open window; the watermark closes and evicts windows.
     """
-    night = (F.hour("ts") >= 22) | (F.hour("ts") < 4)
+    night = (F.col("hour") >= 22) | (F.col("hour") < 4)
     span = F.window("ts", size, slide) if slide else F.window("ts", size)
     return (
         events.withWatermark("ts", lateness)
@@ -44,8 +55,7 @@ def windowed_activity(
             F.count_if(F.col("type") == "error").alias("failed"),
             F.avg(night.cast("double")).alias("night_share"),
         )
-        .select("user_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"),
-                "events", "amount", "failed", "night_share")
+        .select("user_id", *_bounds(), "events", "amount", "failed", "night_share")
     )
 
 
@@ -55,6 +65,5 @@ def sessions(events: DataFrame, *, lateness: str = "1 day", gap: str = "12 hours
         events.withWatermark("ts", lateness)
         .groupBy("user_id", F.session_window("ts", gap).alias("w"))
         .agg(F.count(F.lit(1)).alias("events"), F.sum("amount").alias("amount"))
-        .select("user_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"),
-                "events", "amount")
+        .select("user_id", *_bounds(), "events", "amount")
     )
