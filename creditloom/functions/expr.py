@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditloom.config import BANDS, PSI_AMBER, PSI_GREEN
 
+FEW_EDGES = 12
+
 def normalise_missing(df: DataFrame) -> DataFrame:
     """Turn NaN into null once, at load, so that one test finds every missing value."""
     return df.select(
@@ -42,34 +45,35 @@ def sql_number(value: float) -> str:
     return f"{float(value)!r}D"
 
 
-def digitize_sql(name: str, edges: Sequence[float]) -> str:
-    """SQL text of the right-closed bin index of a column: how many sorted edges lie below it.
+def _compared(name: str, edges: Sequence[float]) -> str:
+    steps = " + ".join(f"CASE WHEN `{name}` > {sql_number(e)} THEN 1 ELSE 0 END" for e in edges)
+    return f"CASE WHEN `{name}` IS NOT NULL THEN {steps or '0'} END"
+
+
+def with_bins(df: DataFrame, edges: Mapping[str, Sequence[float]], prefix: str = "_bin_") -> DataFrame:
+    """Add the right-closed bin index of every column: how many sorted edges lie below it.
 
-    A few edges are compared one by one; many are searched by halving steps, so hundreds of
-    edges cost a handful of comparisons. Null stays null. Text keeps building a plan over
-    many features cheap: one call to the JVM instead of one per node.
+    A few edges are compared in generated code. More go to ``Bucketizer``, which searches by
+    halves and whose bins are closed on the left; it therefore gets the mirrored values
+    (``0 - x`` also folds the two zeros into one). Null stays null.
     """
-    x = f"`{name}`"
-    if not len(edges):
-        found = "0"
-    elif len(edges) <= 12:
-        found = " + ".join(f"CASE WHEN {x} > {sql_number(e)} THEN 1 ELSE 0 END" for e in edges)
-    else:
-        steps, step = [], 1
-        while step <= len(edges):
-            steps.insert(0, str(step))
-            step *= 2
-        cuts = "array(" + ", ".join(sql_number(e) for e in edges) + ")"
-        found = (
-            f"aggregate(array({', '.join(steps)}), 0, (at, s) -> "
-            f"CASE WHEN get({cuts}, at + s - 1) < {x} THEN at + s ELSE at END)"
-        )
-    return f"CASE WHEN {x} IS NOT NULL THEN {found} END"
-
-
-def digitize(name: str, edges: Sequence[float]) -> Column:
-    """Right-closed bin index of a column against literal edges."""
-    return F.expr(digitize_sql(name, edges))
+    few = {c: cuts for c, cuts in edges.items() if len(cuts) <= FEW_EDGES}
+    many = {c: cuts for c, cuts in edges.items() if len(cuts) > FEW_EDGES}
+    out = df.select("*", *[F.expr(_compared(c, cuts)).alias(prefix + c) for c, cuts in few.items()])
+    if not many:
+        return out
+    mirrored = out.select("*", *[(0.0 - F.col(c)).alias(f"_neg_{c}") for c in many])
+    inf = float("inf")
+    bucketizer = Bucketizer(
+        inputCols=[f"_neg_{c}" for c in many],
+        outputCols=[f"_pos_{c}" for c in many],
+        splitsArray=[[-inf, *[0.0 - e for e in reversed(cuts)], inf] for cuts in many.values()],
+        handleInvalid="keep",
+    )
+    return bucketizer.transform(mirrored).select(
+        *out.columns,
+        *[(len(cuts) - F.col(f"_pos_{c}")).cast("int").alias(prefix + c) for c, cuts in many.items()],
+    )
 
 
 def epoch_micros(name: str) -> Column:

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from creditloom.functions.expr import digitize, digitize_sql
+from creditloom.functions.expr import with_bins
 
 SALTS = 256
 ONE_TASK_KEY = "spark.creditloom.oneTaskRows"
@@ -27,9 +27,13 @@ def one_task_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(ONE_TASK_KEY, "1000000"))
 
 
-def bucket_count(spark: SparkSession) -> int:
-    """One bucket per shuffle partition, so that one task sorts one bucket."""
-    return min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8), 4096)
+def bucket_count(spark: SparkSession, columns: int = 1) -> int:
+    """One bucket per shuffle partition, so that one task sorts one bucket.
+
+    Many columns at once share a limit on the number of cut points a plan has to carry.
+    """
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
+    return min(wanted, 4096, max(32768 // columns, 64))
 
 
 def splitters(df: DataFrame, columns: Sequence[str], buckets: int) -> dict[str, list[float]]:
@@ -66,10 +70,11 @@ def _long(df: DataFrame, columns: Sequence[str], cuts: dict[str, list[float]]) -
     types = dict(df.dtypes)
     target = "bigint" if all(types[c] in INTEGRAL for c in columns) else "double"
     cells = ", ".join(
-        f"named_struct('k', {i}, 'b', {digitize_sql(c, cuts[c])}, 'v', CAST(`{c}` AS {target}))"
+        f"named_struct('k', {i}, 'b', `_bin_{c}`, 'v', CAST(`{c}` AS {target}))"
         for i, c in enumerate(columns)
     )
-    return df.select(F.expr(f"inline(array({cells}))")).where("v IS NOT NULL")
+    placed = with_bins(df.select(*columns), {c: cuts[c] for c in columns})
+    return placed.select(F.expr(f"inline(array({cells}))")).where("v IS NOT NULL")
 
 
 def order_statistics(
@@ -86,7 +91,7 @@ def order_statistics(
     totals = dict(zip(columns, df.agg(*[F.count(c) for c in columns]).first(), strict=True))
     large = max(totals.values()) > one_task_rows(spark)
     if large:
-        cuts = splitters(df, columns, bucket_count(spark))
+        cuts = splitters(df, columns, bucket_count(spark, len(columns)))
     else:
         cuts = {c: [] for c in columns}
     cells = _long(df, columns, cuts)
@@ -151,8 +156,8 @@ def with_bucket(df: DataFrame, order: str) -> DataFrame:
     spark = df.sparkSession
     if df.count() <= one_task_rows(spark):
         return df.withColumn("_bucket", F.lit(0))
-    edges = splitters(df, [order], bucket_count(spark))[order]
-    return df.withColumn("_bucket", digitize(order, edges))
+    edges = splitters(df, [order], bucket_count(spark))
+    return with_bins(df, edges, "_at_").withColumnRenamed(f"_at_{order}", "_bucket")
 
 
 def running_totals(

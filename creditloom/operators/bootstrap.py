@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.config import SEED
+from creditloom.functions.expr import with_bins
 from creditloom.functions.ordering import bucket_count, splitters
-from creditloom.functions.expr import digitize
 from creditloom.operators.metrics import discrimination
 
 
@@ -24,11 +24,10 @@ def _replicate_sums(
     one running total per replicate; rows are never multiplied by the number of replicates.
     """
     spark = cells.sparkSession
-    edges = splitters(cells, [score], bucket_count(spark))[score]
+    edges = splitters(cells, [score], bucket_count(spark))
     placed = (
-        cells.select(
-            digitize(score, edges).alias("bucket"), F.col(score).alias("s"), "y", "n", "key"
-        )
+        with_bins(cells, edges)
+        .select(F.col(f"_bin_{score}").alias("bucket"), F.col(score).alias("s"), "y", "n", "key")
         .repartition("bucket")
         .sortWithinPartitions("bucket", "s")
     )

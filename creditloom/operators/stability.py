@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditloom.functions.expr import digitize, psi_verdict
+from creditloom.functions.expr import psi_verdict, with_bins
 from creditloom.functions.ordering import quantiles
 
 EPS = 1e-10
@@ -28,16 +28,16 @@ def _term(e: Column, a: Column) -> Column:
     return (a - e) * F.ln(a / e)
 
 
-def _cells(edges: Mapping[str, Sequence[float]], levels: Sequence[str]) -> Column:
+def _cells(numeric: Iterable[str], levels: Sequence[str]) -> Column:
     """(feature, place, numeric) of a row; missing numbers get no place, missing levels one."""
     return F.array(
         *[
             F.struct(
                 F.lit(c).alias("feature"),
-                digitize(c, cuts).cast("string").alias("place"),
+                F.col(f"_bin_{c}").cast("string").alias("place"),
                 F.lit(True).alias("numeric"),
             )
-            for c, cuts in edges.items()
+            for c in numeric
         ],
         *[
             F.struct(
@@ -66,7 +66,8 @@ def stability(
     marked = df.withColumn("_ref", is_reference)
     if edges is None:
         edges = stability_edges(marked.where("_ref"), numeric, n_bins)
-    rows = marked.select("_ref", F.inline(_cells(edges, categorical))).where("place IS NOT NULL")
+    placed = with_bins(marked.select("_ref", *numeric, *categorical), edges)
+    rows = placed.select("_ref", F.inline(_cells(edges, categorical))).where("place IS NOT NULL")
     counts = rows.groupBy("feature", "numeric", "place").agg(
         F.count_if("_ref").alias("e"), F.count_if(~F.col("_ref")).alias("a")
     )
@@ -108,7 +109,8 @@ def drift(
     marked = df.withColumn("_ref", is_reference)
     if edges is None:
         edges = stability_edges(marked.where("_ref"), numeric, n_bins)
-    rows = marked.select("_ref", by, F.inline(_cells(edges, ()))).where("place IS NOT NULL")
+    placed = with_bins(marked.select("_ref", by, *numeric), edges)
+    rows = placed.select("_ref", by, F.inline(_cells(edges, ()))).where("place IS NOT NULL")
     counts = rows.groupBy("feature", "place", "_ref", by).agg(F.count(F.lit(1)).alias("n"))
     expected = (
         counts.where("_ref")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from creditloom.config import MIN_IV
-from creditloom.functions.expr import digitize_sql, iv_strength, sql_number
+from creditloom.functions.expr import iv_strength, sql_number, with_bins
 from creditloom.functions.ordering import quantiles
 from creditloom.operators.quality import QualityError
 
@@ -87,10 +87,10 @@ def bin_counts(df: DataFrame, y: str, edges: Mapping[str, Sequence[float]]) -> D
     (features x bins) groups, so the shuffle does not grow with the table.
     """
     cells = ", ".join(
-        f"named_struct('feature', '{f}', 'bin_index', coalesce({digitize_sql(f, cuts)}, -1), '_y', `{y}`)"
-        for f, cuts in edges.items()
+        f"named_struct('feature', '{f}', 'bin_index', coalesce(`_bin_{f}`, -1), '_y', `{y}`)"
+        for f in edges
     )
-    rows = df.select(F.expr(f"inline(array({cells}))"))
+    rows = with_bins(df.select(y, *edges), edges).select(F.expr(f"inline(array({cells}))"))
     return rows.groupBy("feature", "bin_index").agg(
         F.count(F.lit(1)).alias("count"), F.sum("_y").cast("bigint").alias("bads")
     )

@@ -23,20 +23,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def days_since_previous(
-    df: DataFrame, key: str, when: str, order: str, name: str = "days_since_prev"
+    df: DataFrame,
+    key: str,
+    when: str,
+    order: str,
+    name: str = "days_since_prev",
+    extra: DataFrame | None = None,
 ) -> DataFrame:
     """Days since the same key's previous row in (day, order) sequence; null on the first.
 
     Rows of one key and day collapse before any window, so the window per key sees one row
-    per calendar day however many rows the key has.
+    per calendar day however many rows the key has. ``extra`` holds columns by key; they are
+    joined to the collapsed days, so a hot key is never joined row by row on the key alone.
     """
     day = F.to_date(when)
     days = df.groupBy(key, day.alias("_day")).agg(F.min(order).alias("_first"))
     past = F.lag("_day").over(Window.partitionBy(key).orderBy("_day"))
-    days = days.select(F.col(key).alias("_key"), "_day", "_first", past.alias("_past"))
+    days = days.withColumn("_past", past)
+    more = []
+    if extra is not None:
+        days = days.join(extra, key, "left")
+        more = [c for c in extra.columns if c != key]
+    days = days.withColumnRenamed(key, "_key")
     joined = df.join(days, (F.col(key) == F.col("_key")) & (day == F.col("_day")), "left")
     gap = F.when(F.col(order) > F.col("_first"), 0).otherwise(F.datediff("_day", "_past"))
-    return joined.select(*df.columns, gap.cast("double").alias(name))
+    return joined.select(*df.columns, *more, gap.cast("double").alias(name))
 
 
 def apps(
@@ -52,14 +63,18 @@ def apps(
     Parts a query does not read can be switched off; their joins then do not run.
     """
     orders = table(spark, sf_dir, "orders")
-    if gap:
-        orders = days_since_previous(orders, "o_custkey", "o_orderdate", "o_orderkey")
+    people = None
     if customer:
         people = table(spark, sf_dir, "customer").select(
             F.col("c_custkey").alias("o_custkey"),
             F.col("c_acctbal").alias("acctbal"),
             F.col("c_mktsegment").alias("segment"),
         )
+    if gap:
+        orders = days_since_previous(
+            orders, "o_custkey", "o_orderdate", "o_orderkey", extra=people
+        )
+    elif customer:
         orders = orders.join(people, "o_custkey", "left")
     if lines:
         items = (

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from creditloom.functions.expr import digitize
+from creditloom.functions.expr import with_bins
 from creditloom.operators.stability import EPS, drift_against, stability_edges
 
 
@@ -29,10 +29,10 @@ def reference_shares(
 
 def _places(df: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
     cells = [
-        F.struct(F.lit(c).alias("feature"), digitize(c, cuts).cast("string").alias("place"))
-        for c, cuts in edges.items()
+        F.struct(F.lit(c).alias("feature"), F.col(f"_bin_{c}").cast("string").alias("place"))
+        for c in edges
     ]
-    return df.select(F.inline(F.array(*cells))).where("place IS NOT NULL")
+    return with_bins(df.select(*edges), edges).select(F.inline(F.array(*cells))).where("place IS NOT NULL")
 
 
 def batch_drift(
