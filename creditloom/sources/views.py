@@ -82,8 +82,8 @@ def apps(
             .groupBy(F.col("l_orderkey").alias("o_orderkey"))
             .agg(
                 F.count(F.lit(1)).alias("n_lines"),
-                F.avg("l_discount").alias("mean_discount"),
-                F.avg("l_quantity").alias("mean_quantity"),
+                F.round(F.avg("l_discount"), 6).alias("mean_discount"),
+                F.round(F.avg("l_quantity"), 6).alias("mean_quantity"),
                 F.count_if(F.col("l_returnflag") == "R").alias("_returned"),
             )
         )
@@ -112,8 +112,8 @@ def apps(
 
 APPS_SQL = """
 WITH items AS (
-  SELECT l_orderkey, count(*) AS n_lines, avg(l_discount) AS mean_discount,
-         avg(l_quantity) AS mean_quantity,
+  SELECT l_orderkey, count(*) AS n_lines, round(avg(l_discount), 6) AS mean_discount,
+         round(avg(l_quantity), 6) AS mean_quantity,
          count(*) FILTER (l_returnflag = 'R') AS returned
   FROM lineitem GROUP BY l_orderkey
 ), apps AS (
