@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditloom.config import BANDS, PSI_AMBER, PSI_GREEN
 
 FEW_EDGES = 12
+CHUNK = 8
 
 def normalise_missing(df: DataFrame) -> DataFrame:
     """Turn NaN into null once, at load, so that one test finds every missing value."""
@@ -76,6 +79,32 @@ def with_bins(df: DataFrame, edges: Mapping[str, Sequence[float]], prefix: str =
     )
 
 
+def in_chunks(names: Iterable[str], size: int = CHUNK) -> list[list[str]]:
+    """Column names a few at a time.
+
+    One pass that unfolds dozens of columns compiles to a method too long for the JVM to
+    optimise; a union of passes over a few columns each reads the same bytes several times faster.
+    """
+    names = list(names)
+    return [names[i : i + size] for i in range(0, len(names), size)]
+
+
+def union_all(parts: Iterable[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+@contextmanager
+def short_methods(spark: SparkSession) -> Iterator[None]:
+    """While writing very wide projections: no generated method longer than the JVM compiles."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def epoch_micros(name: str) -> Column:
     """Microseconds of a zone-free timestamp since 1970, independent of the session zone."""
     return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', `{name}`)")

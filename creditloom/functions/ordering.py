@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from creditloom.functions.expr import with_bins
+from creditloom.functions.expr import in_chunks, union_all, with_bins
 
 SALTS = 256
 ONE_TASK_KEY = "spark.creditloom.oneTaskRows"
@@ -69,12 +69,15 @@ def _long(df: DataFrame, columns: Sequence[str], cuts: dict[str, list[float]]) -
     """(which column, bucket, value) rows; missing values are left out."""
     types = dict(df.dtypes)
     target = "bigint" if all(types[c] in INTEGRAL for c in columns) else "double"
-    cells = ", ".join(
-        f"named_struct('k', {i}, 'b', `_bin_{c}`, 'v', CAST(`{c}` AS {target}))"
-        for i, c in enumerate(columns)
-    )
-    placed = with_bins(df.select(*columns), {c: cuts[c] for c in columns})
-    return placed.select(F.expr(f"inline(array({cells}))")).where("v IS NOT NULL")
+    parts = []
+    for chunk in in_chunks(columns):
+        cells = ", ".join(
+            f"named_struct('k', {columns.index(c)}, 'b', `_bin_{c}`, 'v', CAST(`{c}` AS {target}))"
+            for c in chunk
+        )
+        placed = with_bins(df.select(*chunk), {c: cuts[c] for c in chunk})
+        parts.append(placed.select(F.expr(f"inline(array({cells}))")).where("v IS NOT NULL"))
+    return union_all(parts)
 
 
 def order_statistics(

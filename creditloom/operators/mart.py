@@ -2,7 +2,7 @@
 
 Users differ in size without limit, so nothing here sorts or collects a user's rows in one
 task. Counts, sums and distinct pairs fold on the map side; whatever needs an order works on
-(user, hour) or (user, day) cells, whose number per user is bounded by the calendar.
+(user, minute) or (user, day) cells, whose number per user is bounded by the calendar.
 """
 
 from __future__ import annotations
@@ -44,17 +44,16 @@ def gap_regularity(
 ) -> DataFrame:
     """1 minus the coefficient of variation of the gaps between a user's events.
 
-    Gaps inside a (user, hour) cell and the gap from one cell to the next are added up
+    Gaps inside a (user, minute) cell and the gap from one cell to the next are added up
     separately; only cells are ever ordered per user, never the events.
     """
     at = df.select(user, epoch_micros(ts).alias("_t")).groupBy(user, "_t").agg(F.count(F.lit(1)).alias("_n"))
-    hour = F.floor(F.col("_t") / 3_600_000_000)
-    at = at.withColumn("_h", hour)
-    inside = Window.partitionBy(user, "_h").orderBy("_t")
+    at = at.withColumn("_m", F.floor(F.col("_t") / 60_000_000))
+    inside = Window.partitionBy(user, "_m").orderBy("_t")
     step = (F.col("_t") - F.lag("_t").over(inside)) / 1e6
     cells = (
         at.withColumn("_g", step)
-        .groupBy(user, "_h")
+        .groupBy(user, "_m")
         .agg(
             F.min("_t").alias("first"),
             F.max("_t").alias("last"),
@@ -62,7 +61,7 @@ def gap_regularity(
             F.coalesce(F.sum(F.col("_g") * F.col("_g")), F.lit(0.0)).alias("sq"),
         )
     )
-    across = Window.partitionBy(user).orderBy("_h")
+    across = Window.partitionBy(user).orderBy("_m")
     jump = (F.col("first") - F.lag("last").over(across)) / 1e6
     totals = (
         cells.withColumn("_j", F.coalesce(jump, F.lit(0.0)))

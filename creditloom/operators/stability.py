@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditloom.functions.expr import psi_verdict, with_bins
+from creditloom.functions.expr import in_chunks, psi_verdict, union_all, with_bins
 from creditloom.functions.ordering import quantiles
 
 EPS = 1e-10
@@ -28,26 +28,25 @@ def _term(e: Column, a: Column) -> Column:
     return (a - e) * F.ln(a / e)
 
 
-def _cells(numeric: Iterable[str], levels: Sequence[str]) -> Column:
-    """(feature, place, numeric) of a row; missing numbers get no place, missing levels one."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("feature"),
-                F.col(f"_bin_{c}").cast("string").alias("place"),
-                F.lit(True).alias("numeric"),
-            )
-            for c in numeric
-        ],
-        *[
-            F.struct(
-                F.lit(c).alias("feature"),
-                F.coalesce(F.col(c).cast("string"), F.lit("None")).alias("place"),
-                F.lit(False).alias("numeric"),
-            )
-            for c in levels
-        ],
-    )
+def _cells(
+    df: DataFrame, keep: Sequence[str], edges: Mapping[str, Sequence[float]], levels: Sequence[str] = ()
+) -> DataFrame:
+    """(feature, place, numeric) rows; missing numbers get no place, missing levels one."""
+    parts = []
+    for chunk in in_chunks(edges):
+        cells = ", ".join(
+            f"named_struct('feature', '{c}', 'place', CAST(`_bin_{c}` AS STRING), 'numeric', true)"
+            for c in chunk
+        )
+        placed = with_bins(df.select(*keep, *chunk), {c: edges[c] for c in chunk})
+        parts.append(placed.select(*keep, F.expr(f"inline(array({cells}))")).where("place IS NOT NULL"))
+    for chunk in in_chunks(levels):
+        cells = ", ".join(
+            f"named_struct('feature', '{c}', 'place', coalesce(CAST(`{c}` AS STRING), 'None'), 'numeric', false)"
+            for c in chunk
+        )
+        parts.append(df.select(*keep, F.expr(f"inline(array({cells}))")))
+    return union_all(parts)
 
 
 def stability(
@@ -66,8 +65,7 @@ def stability(
     marked = df.withColumn("_ref", is_reference)
     if edges is None:
         edges = stability_edges(marked.where("_ref"), numeric, n_bins)
-    placed = with_bins(marked.select("_ref", *numeric, *categorical), edges)
-    rows = placed.select("_ref", F.inline(_cells(edges, categorical))).where("place IS NOT NULL")
+    rows = _cells(marked, ["_ref"], edges, categorical)
     counts = rows.groupBy("feature", "numeric", "place").agg(
         F.count_if("_ref").alias("e"), F.count_if(~F.col("_ref")).alias("a")
     )
@@ -109,8 +107,7 @@ def drift(
     marked = df.withColumn("_ref", is_reference)
     if edges is None:
         edges = stability_edges(marked.where("_ref"), numeric, n_bins)
-    placed = with_bins(marked.select("_ref", by, *numeric), edges)
-    rows = placed.select("_ref", by, F.inline(_cells(edges, ()))).where("place IS NOT NULL")
+    rows = _cells(marked, ["_ref", by], edges)
     counts = rows.groupBy("feature", "place", "_ref", by).agg(F.count(F.lit(1)).alias("n"))
     expected = (
         counts.where("_ref")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from creditloom.config import MIN_IV
-from creditloom.functions.expr import iv_strength, sql_number, with_bins
+from creditloom.functions.expr import in_chunks, iv_strength, sql_number, union_all, with_bins
 from creditloom.functions.ordering import quantiles
 from creditloom.operators.quality import QualityError
 
@@ -83,17 +83,30 @@ def edge_frame(spark: SparkSession, edges: Mapping[str, Sequence[float]]) -> Dat
 def bin_counts(df: DataFrame, y: str, edges: Mapping[str, Sequence[float]]) -> DataFrame:
     """(feature, bin_index, count, bads); missing values count under index -1.
 
-    All features in one aggregation. The map side already folds each task's rows into at most
-    (features x bins) groups, so the shuffle does not grow with the table.
+    Rows unfold a few features at a time into one integer that stands for feature and bin. The
+    map side folds each task's rows into at most (features x bins) groups, so the shuffle does
+    not grow with the table.
     """
-    cells = ", ".join(
-        f"named_struct('feature', '{f}', 'bin_index', coalesce(`_bin_{f}`, -1), '_y', `{y}`)"
-        for f in edges
-    )
-    rows = with_bins(df.select(y, *edges), edges).select(F.expr(f"inline(array({cells}))"))
-    return rows.groupBy("feature", "bin_index").agg(
+    parts = [_coded_counts(df, y, {f: edges[f] for f in chunk}) for chunk in in_chunks(edges)]
+    return union_all(parts)
+
+
+def _coded_counts(df: DataFrame, y: str, edges: Mapping[str, Sequence[float]]) -> DataFrame:
+    features = list(edges)
+    width = max(len(cuts) for cuts in edges.values()) + 2
+    codes = ", ".join(f"{k * width + 1} + coalesce(`_bin_{f}`, -1)" for k, f in enumerate(features))
+    placed = with_bins(df.select(y, *features), edges)
+    rows = placed.select(F.col(y).alias("_y"), F.expr(f"explode(array({codes}))").alias("code"))
+    counted = rows.groupBy("code").agg(
         F.count(F.lit(1)).alias("count"), F.sum("_y").cast("bigint").alias("bads")
     )
+    names = "array(" + ", ".join(f"'{f}'" for f in features) + ")"
+    return counted.select(
+        F.expr(f"get({names}, CAST(code div {width} AS INT))").alias("feature"),
+        F.expr(f"CAST(code % {width} - 1 AS INT)").alias("bin_index"),
+        "count",
+        "bads",
+    )
 
 
 def level_counts(df: DataFrame, y: str, columns: Sequence[str]) -> DataFrame:

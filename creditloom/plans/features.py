@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom import contract
+from creditloom.functions.expr import short_methods
 from creditloom.operators.derive import add_derived
 from creditloom.operators.quality import require_columns, require_finite
 from creditloom.operators.split import time_split
@@ -33,7 +34,8 @@ def build_features(spark: SparkSession, book: DataFrame, out: str) -> Binning:
     require_columns(book, contract.RAW)
     split = time_split(add_derived(book))
     carry = [*contract.CARRY, "split"]
-    write_view(split.select(*carry, *contract.PROTECTED, *contract.MODELLED), f"{out}/raw")
+    with short_methods(spark):
+        write_view(split.select(*carry, *contract.PROTECTED, *contract.MODELLED), f"{out}/raw")
 
     # later passes read the written view, column by column, instead of deriving it again
     raw = spark.read.parquet(f"{out}/raw")
@@ -46,5 +48,6 @@ def build_features(spark: SparkSession, book: DataFrame, out: str) -> Binning:
         priors=contract.PRIORS,
     )
     binning.save(spark, out)
-    write_view(binning.transform(raw, carry), f"{out}/woe")
+    with short_methods(spark):
+        write_view(binning.transform(raw, carry), f"{out}/woe")
     return binning

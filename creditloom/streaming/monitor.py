@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from creditloom.functions.expr import with_bins
-from creditloom.operators.stability import EPS, drift_against, stability_edges
+from creditloom.operators.stability import EPS, _cells, drift_against, stability_edges
 
 
 def reference_shares(
@@ -17,7 +16,7 @@ def reference_shares(
 ) -> tuple[dict[str, list[float]], DataFrame]:
     """Edges and reference shares per (feature, place): a few rows per feature."""
     edges = stability_edges(reference, columns, n_bins)
-    counts = _places(reference, edges).groupBy("feature", "place").agg(F.count(F.lit(1)).alias("n"))
+    counts = _cells(reference, [], edges).groupBy("feature", "place").agg(F.count(F.lit(1)).alias("n"))
     held = counts.collect()  # at most features x bins rows
     totals: dict[str, int] = {}
     for r in held:
@@ -27,19 +26,11 @@ def reference_shares(
     return edges, shares
 
 
-def _places(df: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
-    cells = [
-        F.struct(F.lit(c).alias("feature"), F.col(f"_bin_{c}").cast("string").alias("place"))
-        for c in edges
-    ]
-    return with_bins(df.select(*edges), edges).select(F.inline(F.array(*cells))).where("place IS NOT NULL")
-
-
 def batch_drift(
     batch: DataFrame, edges: Mapping[str, Sequence[float]], shares: DataFrame, batch_id: int
 ) -> DataFrame:
     """PSI of one batch per feature."""
-    counts = _places(batch, edges).groupBy("feature", "place").agg(F.count(F.lit(1)).alias("n"))
+    counts = _cells(batch, [], edges).groupBy("feature", "place").agg(F.count(F.lit(1)).alias("n"))
     return drift_against(counts.withColumn("batch", F.lit(batch_id).cast("bigint")), shares, "batch")
 
 
