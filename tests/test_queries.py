@@ -110,3 +110,30 @@ def test_pandas_is_not_in_the_row_path(spark):
     for name in ("woe_transform", "scorecard_score", "derived_ratios", "score_scale"):
         plan = entry_point.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_adaptive_skew_handling_covers_the_customer_join(spark, skewed):
+    """The one row-level join on a raw key is split where that key is hot."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        from creditloom.sources import views
+
+        orders = views.table(spark, skewed, "orders").repartition(6)
+        people = views.table(spark, skewed, "customer").withColumnRenamed("c_custkey", "o_custkey")
+        joined = orders.join(people, "o_custkey", "left")
+        assert joined.count() == orders.count()
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
