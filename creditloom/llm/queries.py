@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import mixing, quality, vector_topk
 from .byte_bpe import byte_bpe
+from .phrase_fingerprint import fingerprints
 from .token_counts import token_counts
 
 
@@ -13,6 +16,22 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document in a mix whose shares are square roots of the sources' sizes."""
+    return mixing.mix(_documents(spark, sf_dir))
+
+
+def op5_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five best inner products for each vector whose id is divisible by 50, against all rows."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return vector_topk.top_k(vectors, lambda vec_id: vec_id % 50 == 0)
+
+
+def op6_phrase_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text."""
+    return fingerprints(_documents(spark, sf_dir))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every text with the 50k byte-level vocabulary."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -24,8 +43,24 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text."""
+    docs = _documents(spark, sf_dir)
+    machine = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs, machine, ["doc_id"]).select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
+    "op1_source_mix": op1_source_mix,
+    "op5_vector_topk": op5_vector_topk,
+    "op6_phrase_fingerprint": op6_phrase_fingerprint,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_token_counts": op8_token_counts,
+    "op10_quality": op10_quality,
 }
-SQL: dict[str, str] = {}
+SQL = {"op1_source_mix": mixing.SQL, "op5_vector_topk": vector_topk.SQL}
