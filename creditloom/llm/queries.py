@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, vector_topk
+from . import mixing, quality, relative_lz, vector_topk
 from .byte_bpe import byte_bpe
 from .phrase_fingerprint import fingerprints
 from .token_counts import token_counts
@@ -21,6 +21,11 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir))
 
 
+def op3_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without 13-word passages that an earlier document has."""
+    return relative_lz.remove_duplicates(_documents(spark, sf_dir), with_text=False)
+
+
 def op5_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five best inner products for each vector whose id is divisible by 50, against all rows."""
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
@@ -57,10 +62,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_source_mix": op1_source_mix,
+    "op3_relative_lz": op3_relative_lz,
     "op5_vector_topk": op5_vector_topk,
     "op6_phrase_fingerprint": op6_phrase_fingerprint,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_token_counts": op8_token_counts,
     "op10_quality": op10_quality,
 }
-SQL = {"op1_source_mix": mixing.SQL, "op5_vector_topk": vector_topk.SQL}
+SQL = {"op1_source_mix": mixing.SQL, "op3_relative_lz": relative_lz.SQL, "op5_vector_topk": vector_topk.SQL}
