@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, relative_lz, vector_topk
+from . import mixing, quality, relative_lz, run_index, vector_topk
 from .byte_bpe import byte_bpe
 from .phrase_fingerprint import fingerprints
 from .token_counts import token_counts
@@ -21,6 +21,11 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir))
 
 
+def op2_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without 200-byte strings that occur twice in the corpus."""
+    return run_index.remove_repeats(_documents(spark, sf_dir), with_bytes=False)
+
+
 def op3_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every text without 13-word passages that an earlier document has."""
     return relative_lz.remove_duplicates(_documents(spark, sf_dir), with_text=False)
@@ -62,6 +67,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_source_mix": op1_source_mix,
+    "op2_run_index": op2_run_index,
     "op3_relative_lz": op3_relative_lz,
     "op5_vector_topk": op5_vector_topk,
     "op6_phrase_fingerprint": op6_phrase_fingerprint,
