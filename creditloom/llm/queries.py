@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, relative_lz, run_index, vector_topk
+from . import jaccard_regions, mixing, quality, relative_lz, run_index, vector_topk
 from .byte_bpe import byte_bpe
 from .phrase_fingerprint import fingerprints
 from .token_counts import token_counts
@@ -31,6 +31,11 @@ def op3_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relative_lz.remove_duplicates(_documents(spark, sf_dir), with_text=False)
 
 
+def op4_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of 5-word shingle sets that are 0.8 alike."""
+    return jaccard_regions.jaccard_components(_documents(spark, sf_dir))
+
+
 def op5_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five best inner products for each vector whose id is divisible by 50, against all rows."""
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
@@ -69,10 +74,11 @@ QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op2_run_index": op2_run_index,
     "op3_relative_lz": op3_relative_lz,
+    "op4_jaccard_regions": op4_jaccard_regions,
     "op5_vector_topk": op5_vector_topk,
     "op6_phrase_fingerprint": op6_phrase_fingerprint,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_token_counts": op8_token_counts,
     "op10_quality": op10_quality,
 }
-SQL = {"op1_source_mix": mixing.SQL, "op3_relative_lz": relative_lz.SQL, "op5_vector_topk": vector_topk.SQL}
+SQL = {"op1_source_mix": mixing.SQL, "op3_relative_lz": relative_lz.SQL, "op4_jaccard_regions": jaccard_regions.SQL, "op5_vector_topk": vector_topk.SQL}

@@ -44,8 +44,9 @@ def parts(batch: pa.RecordBatch):
         yield ids[lo:hi], digests[lo:hi], data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
 
 
-def frequent_grams(rows: DataFrame, keys_of, share: int = 16, least: int = 64) -> np.ndarray:
-    """Sorted gram hashes that head most runs of windows in one of ``share`` documents, 8 per bucket at most."""
+def frequent_grams(rows: DataFrame, keys_of, share: int = 16, least: int = 64, limit: int | None = None) -> np.ndarray:
+    """Sorted gram hashes that head most runs of windows in one of ``share`` documents: ``limit``, or
+    8 per bucket, at most."""
 
     def count(batches):
         for batch in batches:
@@ -58,7 +59,7 @@ def frequent_grams(rows: DataFrame, keys_of, share: int = 16, least: int = 64) -
         rows.where(F.pmod(F.xxhash64("_id", "_digest"), F.lit(share)) == 0)
         .select("_id", "_digest", "_text").mapInArrow(count, "key long, n long")
         .groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-        .orderBy(F.desc("n"), "key").limit(8 * buckets(rows))
+        .orderBy(F.desc("n"), "key").limit(limit or 8 * buckets(rows))
     )
     return np.sort(np.array([r.key for r in top.collect()], np.int64).view(np.uint64))
 
