@@ -222,12 +222,10 @@ def region_links(members: DataFrame, contents: DataFrame, percent: int, depth: i
     return [*edges, stage(last.select(F.col("class").alias("a"), F.col("other_class").alias("b")), "links")]
 
 
-def jaccard_components(
-    docs: DataFrame, size: int = 5, percent: int = 80, slack: float = 0.03, depth: int = 3,
-    id_col: str = "doc_id", text_col: str = "text",
-) -> DataFrame:
-    """id, n_shingles, component_id (smallest id that links reach) of every row."""
-    rows = keyed(docs, id_col, text_col)
+def linked_classes(
+    rows: DataFrame, size: int = 5, percent: int = 80, slack: float = 0.03, depth: int = 3
+) -> tuple[DataFrame, DataFrame]:
+    """_id, _digest, n, class of keyed rows; class, first (its first document), lowest (its component's)."""
     own = stage(signatures(rows, size), "sets")
     classes = own.where("n > 0").groupBy("class").agg(
         F.min(F.struct("_id", "_digest")).alias("first"), F.min("n").alias("n")
@@ -303,16 +301,32 @@ def jaccard_components(
         edges = stage(edges.unionByName(last), "links")
         labels = components(edges)
 
-    reach = classes.select("class", F.col("first._id").alias("rep")).join(
-        labels.withColumnRenamed("node", "class"), "class", "left"
-    ).withColumn("label", F.coalesce("label", "class"))
-    lowest = reach.groupBy("label").agg(F.min("rep").alias("component"))
-    reach = reach.join(lowest, "label").select("class", "component")
-    same = own.join(reach, "class", "left").select("_id", "n", F.coalesce("component", "_id").alias("component"))
+    reach = classes.select("class", "first").join(labels.withColumnRenamed("node", "class"), "class", "left")
+    reach = reach.withColumn("label", F.coalesce("label", "class"))
+    lowest = reach.groupBy("label").agg(F.min("first").alias("lowest"))
+    return own, reach.join(lowest, "label").select("class", "first", "lowest")
+
+
+def jaccard_components(
+    docs: DataFrame, size: int = 5, percent: int = 80, slack: float = 0.03, depth: int = 3,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """id, n_shingles, component_id (smallest id that links reach) of every row."""
+    own, reach = linked_classes(keyed(docs, id_col, text_col), size, percent, slack, depth)
+    same = own.join(reach, "class", "left").select("_id", "n", F.coalesce("lowest._id", "_id").alias("component"))
     number = lambda c: F.when(F.col(c) < LAST_ID, F.col(c))
     return same.select(number("_id").alias(id_col), F.col("n").alias("n_shingles"), number("component").alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The document with the smallest id of each component, once; documents without words all stay."""
+    rows = keyed(docs, id_col, text_col, tuple(docs.columns))
+    own, reach = linked_classes(rows, **options)
+    kept = own.where("n = 0").select("_id", "_digest").unionByName(reach.select("lowest").distinct().select("lowest.*"))
+    kept = rows.join(kept.distinct(), ["_id", "_digest"], "left_semi").groupBy("_id", "_digest").agg(F.first("_row").alias("_row"))
+    return kept.select(*(F.col("_row")[c].alias(c) for c in docs.columns))
+
+
 #: The same for DuckDB.
 SQL = r"""
 WITH RECURSIVE w AS (

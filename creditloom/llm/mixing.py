@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .spans import buckets, keyed
+
 #: Rows that share a hash prefix within a source, on average at most.
 CELL_ROWS = 4096
 
@@ -84,18 +86,41 @@ def mix(
     steps: int = 100,
     id_col: str = "doc_id",
     source_col: str = "source",
-    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """id, source, ``keep`` columns, block (number within the source), slot (in the mix), place (in the block).
+    """id, source, block (number within the source), slot (in the mix) and place (in the block) of every row.
 
     ``targets``: wanted share of each source; without it, source size to the power ``power``.
     Sources that ``targets`` does not name get its smallest share.
     """
+    rows = docs.select(id_col, source_col, F.struct(id_col, source_col).alias("_row"))
+    return _placed(rows, targets, block_rows, power, steps, id_col, source_col).select("_row.*", "block", "slot", "place")
+
+
+def mixed(docs: DataFrame, targets=None, block_rows: int = 16, power: float = 0.5, steps: int = 100,
+          id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+    """All documents in the order of the mix: files, and rows within files, follow slot and place.
+
+    Places are found on narrow rows and join the texts once; repeated rows take their places in turn.
+    """
+    rows = keyed(docs.select(*docs.columns), id_col, "text", tuple(docs.columns))
+    narrow = rows.select(F.col("_row")[id_col].alias("_rid"), F.col("_row")[source_col].alias("_src"), F.struct("_id", "_digest").alias("_row"))
+    places = _placed(narrow, targets, block_rows, power, steps, "_rid", "_src")
+    places = places.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("slot", "place"))).alias("at"))
+    places = places.select("_row.*", "at")
+    copy = F.row_number().over(W.partitionBy("_id", "_digest").orderBy("_digest"))
+    found = rows.withColumn("_copy", copy).join(places, ["_id", "_digest"])
+    found = found.select(F.element_at("at", F.col("_copy")).alias("at"), "_row")
+    found = found.repartitionByRange(buckets(docs), "at").sortWithinPartitions("at")
+    return found.select(*(F.col("_row")[c].alias(c) for c in docs.columns))
+
+
+def _placed(docs, targets, block_rows, power, steps, id_col, source_col) -> DataFrame:
+    """Column _row of ``docs``, with block, slot and place."""
     n = docs.count()
     digits = max(0, math.ceil(math.log(max(1, n / CELL_ROWS), 16)))
-    names = list(dict.fromkeys([id_col, source_col, *keep]))
     rows = docs.select(
-        F.struct(*names).alias("_row"),
+        "_row",
+        F.col(id_col).alias("_order"),
         F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("n")).alias("_key"),
         F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("_hash"),
     ).withColumn("_cell", F.substring("_hash", 1, digits))
@@ -106,7 +131,7 @@ def mix(
     cells = cells.withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0))).join(
         weights.select("_key", "w"), "_key"
     )
-    order = W.partitionBy("_key", "_cell").orderBy("_hash", F.col(f"_row.{id_col}"))
+    order = W.partitionBy("_key", "_cell").orderBy("_hash", "_order")
     placed = (
         rows.join(cells.select("_key", "_cell", "_before", "w"), ["_key", "_cell"])
         .withColumn("_at", F.col("_before") + F.row_number().over(order) - 1)
@@ -118,7 +143,7 @@ def mix(
     here = (placed["_key"] == plan["_key"]) & (placed["j"] == plan["j"]) & (F.col("_round") >= F.col("first"))
     here &= F.col("last").isNull() | (F.col("_round") < F.col("last"))
     return placed.join(plan, here).select(
-        "_row.*",
+        "_row",
         F.col("_block").alias("block"),
         (F.col("base") + (F.col("_round") - F.col("first")) * F.col("total") + F.col("slot")).alias("slot"),
         (F.col("_at") % block_rows).cast("int").alias("place"),

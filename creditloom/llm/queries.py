@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_regions, mixing, quality, relative_lz, run_index, vector_topk
+from . import jaccard_regions, mixing, pitman_yor, quality, relative_lz, run_index, vector_topk
 from .byte_bpe import byte_bpe
 from .phrase_fingerprint import fingerprints
 from .token_counts import token_counts
@@ -58,6 +58,13 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model and base log probability of every text; four of five documents are learnt from."""
+    docs = _documents(spark, sf_dir)
+    model, table = pitman_yor.fit(docs.where(~pitman_yor.held_out(F.col("doc_id"))).select("text"))
+    return pitman_yor.score(docs, model, table)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every text."""
     docs = _documents(spark, sf_dir)
@@ -79,6 +86,7 @@ QUERIES = {
     "op6_phrase_fingerprint": op6_phrase_fingerprint,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_token_counts": op8_token_counts,
+    "op9_pitman_yor": op9_pitman_yor,
     "op10_quality": op10_quality,
 }
 SQL = {"op1_source_mix": mixing.SQL, "op3_relative_lz": relative_lz.SQL, "op4_jaccard_regions": jaccard_regions.SQL, "op5_vector_topk": vector_topk.SQL}

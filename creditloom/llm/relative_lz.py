@@ -170,6 +170,23 @@ def remove_duplicates(
 
     Kept words are joined by one space. ``kept`` is null where nothing was removed.
     """
+    out = _reduced(docs, window, gram, id_col, text_col, keep, with_text)
+    return out.select(*(F.col("_row")[c].alias(c) for c in keep), *out.columns[1:])
+
+
+def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """All documents; texts that lose words become their kept words, joined by one space."""
+    out = _reduced(docs, 13, 5, id_col, text_col, tuple(docs.columns), True)
+    new = {text_col: F.col("kept"), length_col: F.length("kept")}
+    kinds = dict(docs.dtypes)
+    return out.select(
+        *(F.when(F.col("kept").isNull(), F.col("_row")[c]).otherwise(new[c].cast(kinds[c])).alias(c) if c in new else F.col("_row")[c].alias(c)
+          for c in docs.columns)
+    )
+
+
+def _reduced(docs, window, gram, id_col, text_col, keep, with_text) -> DataFrame:
+    """The columns of remove_duplicates, with ``keep`` as one struct _row."""
     rows = keyed(docs, id_col, text_col, keep)
     joined = attach(rows, duplicate_spans(rows, window, gram)).select("_row", "_text", "spans")
 
@@ -194,8 +211,7 @@ def remove_duplicates(
 
     kind = joined.schema["_row"].dataType.simpleString()
     schema = f"_row {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text
-    out = joined.mapInArrow(cut, schema)
-    return out.select("_row.*", *out.columns[1:])
+    return joined.mapInArrow(cut, schema)
 
 
 #: The same for DuckDB, for the columns that SQL can give on whole tables.
