@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.staging import stage
+from .written import written as stage
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from .arrays import gram_hashes, ranges, sliding_min, span_hashes, words
 from .spans import attach, bucket_of, buckets, covered, frequent_grams, keyed, listed, parts, runs
+from .written import written
 
 _SENT = "bucket int, runs binary, lengths binary, hashes binary"
 _RUN = np.dtype([("id", "<i8"), ("digest", "<u4"), ("start", "<u4")])
@@ -90,7 +91,8 @@ def factors(ids: np.ndarray, lengths: np.ndarray, hashes: np.ndarray) -> tuple[n
 
 def duplicate_spans(rows: DataFrame, window: int = 13, gram: int = 5) -> DataFrame:
     """_id, _digest, start, n: windows start .. start + n - 1 of a document begin in one with a smaller id too."""
-    count = buckets(rows)
+    tasks = buckets(rows)
+    count = 4 * tasks  # blocks are smaller than tasks, which index one after the other
 
     def heads(data, offsets):
         row, pos, key, _ = windows(data, offsets, window, gram)
@@ -142,24 +144,29 @@ def duplicate_spans(rows: DataFrame, window: int = 13, gram: int = 5) -> DataFra
                 )
 
     def receive(batches):
-        sent, lengths, hashes = [], [], []
+        bucket, held = None, []
         for batch in batches:
-            for _, r, n, h in zip(*(c.to_pylist() for c in batch.columns)):
+            for b, r, n, h in zip(*(c.to_pylist() for c in batch.columns)):
                 r, n = np.frombuffer(r, _RUN), np.frombuffer(n, "<u4").astype(np.int64)
                 if h is None:
                     yield _span_batch(r["id"], r["digest"], r["start"], n)
-                else:
-                    sent.append(r)
-                    lengths.append(n)
-                    hashes.append(np.frombuffer(h, np.uint64))
-        if sent:
-            sent = np.concatenate(sent)
-            run, first, n = factors(sent["id"], np.concatenate(lengths), np.concatenate(hashes))
-            if len(run):
-                yield _span_batch(sent["id"][run], sent["digest"][run], sent["start"][run] + first, n)
+                    continue
+                if b != bucket and held:
+                    yield parse(held)
+                    held = []
+                bucket = b
+                held.append((r, n, np.frombuffer(h, np.uint64)))
+        if held:
+            yield parse(held)
+
+    def parse(held):
+        sent, lengths, hashes = (np.concatenate(x) for x in zip(*held))
+        run, first, n = factors(sent["id"], lengths, hashes)
+        return _span_batch(sent["id"][run], sent["digest"][run], sent["start"][run] + first, n)
 
     sent = rows.select("_id", "_digest", "_text").mapInArrow(send, _SENT)
-    return sent.repartition(count, "bucket").mapInArrow(receive, _SPANS)
+    found = sent.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(receive, _SPANS)
+    return written(found, "spans", release=True)
 
 
 def remove_duplicates(

@@ -26,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.staging import stage
 from .arrays import BYTE_CODES, gram_hashes, powers, ranges, slices, sliding_min, span_hashes
 from .spans import attach, bucket_of, buckets, covered, frequent_grams, keyed, listed, parts, runs
+from .written import written
 
 #: A context as it is sent. known: bit 0, a copy was met before; bit 1, its gram stands in it twice.
 _RUN = np.dtype([("id", "<i8"), ("digest", "<u4"), ("start", "<u4"), ("n", "<u4"), ("known", "<u4"), ("key", "<u8"), ("whole", "<u8")])
@@ -254,7 +254,7 @@ def repeated_spans(rows: DataFrame, length: int = 200, gram: int = 32) -> DataFr
 
     text = rows.select("_id", "_digest", "_text")
     routed = text.mapInArrow(send, "bucket int, done boolean, runs binary").repartition(count, "bucket")
-    notes = stage(routed.mapInArrow(settle, _NOTE), "passages")
+    notes = written(routed.mapInArrow(settle, _NOTE), "passages", release=True)
     wanted = (
         notes.where("key is not null").groupBy("_id", "_digest")
         .agg(F.collect_list(F.struct("start", "n", "key", "ask")).alias("wanted"))
@@ -295,6 +295,7 @@ def repeated_spans(rows: DataFrame, length: int = 200, gram: int = 32) -> DataFr
         text.join(wanted, ["_id", "_digest"]).mapInArrow(cut, _CONTEXT)
         .repartition(count, "bucket").sortWithinPartitions("key").mapInArrow(index, _SPANS)
     )
+    edges = written(edges, "spans", release=True)
     return notes.where("key is null").select("_id", "_digest", "start", "n").unionByName(edges)
 
 
