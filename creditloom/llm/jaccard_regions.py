@@ -7,17 +7,18 @@ the pivots of its shingles. In one global order of pivots (frequent ones last, e
 documents agree on at least t pivots among the first n - ceil(similarity * n) + t of each, so a document
 is replicated into these regions only, and dropped if fewer than t of them hold anybody else.
 Each document has one home region, the largest of those that are not unusually large for it, and home regions
-are joined in full. What is left are pairs of different homes and components. Such a pair is a candidate
-if it agrees on t regions; candidates are compared one by one. So most links are found once, none is lost.
+are joined in full. What is left are pairs of different homes and components. The document of the smaller home
+visits the larger one if its regions agree with t or more of those its members are in, and is compared with
+all of them. So most links are found once, none is lost.
 
 Inside a region the most shared document is the pivot. Its distance to all members gives its links, and, by
 the triangle inequality, a window: members whose distances to the pivot differ by more than the
 radius are not linked. All who are connected to the pivot are one component and need no comparison with each other.
-The others open new regions, one for each band of distances as wide as the radius, into which
-members of the band and of the next lower one are replicated; these are joined the same way, recursively. After
-``depth`` levels the pairs left inside the windows are compared one by one.
+The others stay open: they go to new regions, one for each band of distances as wide as the radius, into which
+members of the band and of the next lower one are replicated. After ``depth`` such levels, every open one is
+compared with all members of its regions, in blocks of bounded size, by exact intersection counts.
 
-A hot region is spread by joins on its key, which adaptive execution splits; no task gathers it.
+A hot region is spread by joins on its key, which adaptive execution splits, and by blocks; no task gathers it.
 Equal sets are one class throughout. Null text, or text without words, has an empty set and is linked with nothing.
 Rows with one id are one document; a null id ranks last.
 """
@@ -29,10 +30,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.staging import stage
 from .arrays import LOWER, U64, gram_hashes, mix, ranges, slices, span_hashes, words
 from .components import components
 from .spans import LAST_ID, bucket_of, buckets, frequent_grams, keyed, listed, parts
+from .written import written
 
 _TOP = U64(1 << 63)
 
@@ -91,7 +92,7 @@ def signatures(rows: DataFrame, size: int) -> DataFrame:
 
 
 def shared_pivots(rows: DataFrame, size: int, percent: int, slack: float) -> DataFrame:
-    """key, class: first-level regions, among those a class is replicated to, that hold several classes."""
+    """key, class, m: first-level regions, among those a class is replicated to, that hold m > 1 classes."""
     count = buckets(rows)
 
     def all_keys(data, offsets):
@@ -145,11 +146,14 @@ def shared_pivots(rows: DataFrame, size: int, percent: int, slack: float) -> Dat
         new_key[1:] = key[1:] != key[:-1]
         new[1:] = new_key[1:] | (cls[1:] != cls[:-1])
         group = np.cumsum(new_key) - 1
-        several = new & (np.bincount(group, new)[group] > 1)
-        yield pa.RecordBatch.from_arrays([pa.array(key[several].view(np.int64)), pa.array(cls[several])], ["key", "class"])
+        m = np.bincount(group, new).astype(np.int64)[group]
+        several = new & (m > 1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(key[several].view(np.int64)), pa.array(cls[several]), pa.array(m[several])], ["key", "class", "m"]
+        )
 
     sent = rows.select("_id", "_digest", "_text").mapInArrow(send, "bucket int, keys binary, classes binary")
-    return sent.repartition(count, "bucket").mapInArrow(meet, "key long, class long")
+    return sent.repartition(count, "bucket").mapInArrow(meet, "key long, class long, m long")
 
 
 def _compare(a: bytes, b: bytes) -> tuple[int, int]:
@@ -161,8 +165,8 @@ def _compare(a: bytes, b: bytes) -> tuple[int, int]:
     return same, len(both) - same
 
 
-def _distances(pairs: DataFrame, percent: int, keep: list[str]) -> DataFrame:
-    """``keep`` columns, distance and whether linked, for rows with sets ``words`` and ``other``."""
+def _distances(pairs: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
+    """Columns of ``pairs``, with the distance of classes ``a`` and ``b`` and whether they are linked."""
 
     def run(batches):
         for batch in batches:
@@ -173,77 +177,124 @@ def _distances(pairs: DataFrame, percent: int, keep: list[str]) -> DataFrame:
                 ["row", "distance", "linked"],
             )
 
-    rows = pairs.select(F.struct(*keep).alias("row"), "words", "other")
+    rows = pairs.select("b", F.struct(*pairs.columns).alias("row"))
+    rows = rows.join(contents.select(F.col("class").alias("b"), F.col("words").alias("other")), "b").drop("b")
+    rows = rows.withColumn("a", F.col("row.a")).join(contents.select(F.col("class").alias("a"), "words"), "a")
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row {kind}, distance double, linked boolean").select("row.*", "distance", "linked")
+    rows = rows.select("row", "words", "other").mapInArrow(run, f"row {kind}, distance double, linked boolean")
+    return rows.select("row.*", "distance", "linked")
 
 
 def region_links(members: DataFrame, contents: DataFrame, percent: int, depth: int) -> list[DataFrame]:
     """Edge tables (a, b) that connect what is linked across components inside each region.
 
-    ``members``: key, class, comp, rank (higher: a better pivot); ``contents``: class, n, words.
+    ``members``: key, class, comp, rank (higher: a better pivot), n; ``contents``: class, words.
     """
     radius = 1 - percent / 100
-    fit = F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * percent
-    rows = stage(members.withColumn("open", F.lit(True)).join(contents, "class"), "regions")
+    mixed = F.min("comp") != F.max("comp")
+    rows = written(members.withColumn("open", F.lit(True)), "regions")
     edges = []
     for level in range(depth):
         best = F.struct("open", "rank", (-F.col("class")).alias("tie"))
-        pivot = rows.groupBy("key").agg(
-            F.max_by(F.struct("class", "comp", "n", "words"), best).alias("p"), F.countDistinct("comp").alias("comps")
-        )
-        pivot = pivot.where("comps > 1").select(
-            "key", F.col("p.class").alias("pivot"), F.col("p.comp").alias("pivot_comp"), F.col("p.words").alias("other")
-        )
-        met = rows.join(pivot, "key")
-        met = _distances(met, percent, ["key", "class", "comp", "rank", "open", "n", "words", "pivot", "pivot_comp"])
-        met = stage(met, "regions")
-        edges.append(met.where("linked and class <> pivot").select(F.col("class").alias("a"), F.col("pivot").alias("b")))
+        pivot = rows.groupBy("key").agg(F.max_by(F.struct("class", "comp"), best).alias("p"), mixed.alias("mixed"))
+        pivot = pivot.where("mixed").select("key", F.col("p.class").alias("b"), F.col("p.comp").alias("pivot_comp"))
+        met = rows.withColumnRenamed("class", "a").join(pivot, "key").where("a <> b")
+        met = written(_distances(met, contents, percent), "regions", release=level == 0)
+        edges.append(met.where("linked").select("a", "b"))
         core = F.col("linked") | (F.col("comp") == F.col("pivot_comp"))
-        left = met.where("class <> pivot").select(
-            F.col("key").alias("was"), "class", F.when(core, F.col("pivot_comp")).otherwise(F.col("comp")).alias("comp"),
-            "rank", (F.col("open") & ~core).alias("open"), "n", "words",
-            F.floor(F.col("distance") / (radius + 1e-9)).cast("int").alias("band"),
+        left = met.select(
+            F.col("key").alias("was"), F.col("a").alias("class"), F.when(core, F.col("pivot_comp")).otherwise(F.col("comp")).alias("comp"),
+            "rank", "n", (F.col("open") & ~core).alias("open"), F.floor(F.col("distance") / (radius + 1e-9)).cast("int").alias("band"),
         )
         left = left.withColumn("band", F.explode(F.array("band", F.col("band") + 1)))
         left = left.withColumn("key", F.xxhash64("was", "band", F.lit(level))).drop("was", "band")
-        live = left.groupBy("key").agg(F.max("open").alias("any"), F.countDistinct("comp").alias("comps"))
-        live = live.where("any and comps > 1").select("key")
-        rows = stage(left.join(live, "key", "left_semi").select("key", "class", "comp", "rank", "open", "n", "words"), "regions")
+        live = left.groupBy("key").agg(F.max("open").alias("any"), mixed.alias("mixed")).where("any and mixed").select("key")
+        rows = written(left.join(live, "key", "left_semi"), "regions")
         if rows.isEmpty():
             return edges
-    one = rows.where("open").select("key", "class", "comp", "n", "words")
-    two = rows.select(
-        "key", "open", *(F.col(c).alias(f"other_{c}") for c in ("class", "comp", "n")), F.col("words").alias("other")
+    return [*edges, block_links(rows.where("open"), rows, contents, percent)]
+
+
+def _block(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """Links that connect components of a block: (class, comp, open, words), each open one against all."""
+    rows.sort()
+    sizes = np.array([len(r[3]) // 8 for r in rows])
+    _, codes = np.unique(np.frombuffer(b"".join(r[3] for r in rows), U64), return_inverse=True)
+    start = np.cumsum(sizes) - sizes
+    _, root = np.unique([r[1] for r in rows], return_inverse=True)
+    mark, out = np.zeros(len(codes), bool), []
+    for i, (cls, _, open_, _) in enumerate(rows):
+        if not open_ or (root == root[i]).all():
+            continue
+        own = codes[start[i] : start[i] + sizes[i]]
+        mark[own] = True
+        same = np.add.reduceat(mark[codes], start, dtype=np.int64)
+        mark[own] = False
+        linked = (100 * same >= percent * (sizes + sizes[i] - same)) & (root != root[i])
+        for r, j in zip(*np.unique(root[linked], return_index=True)):
+            out.append((cls, rows[np.flatnonzero(linked)[j]][0]))
+            root[root == r] = root[i]
+    return out
+
+
+def block_links(
+    open_rows: DataFrame, members: DataFrame, contents: DataFrame, percent: int, opens: int = 256, others: int = 1024
+) -> DataFrame:
+    """Links (a, b) between components, of every open row with every member of its region (key, class, comp).
+
+    Regions are cut into blocks of about ``opens`` open rows against ``others`` members, one group each.
+    """
+    n_open = open_rows.groupBy("key").agg(F.ceil(F.count("*") / opens).cast("int").alias("rows"))
+    n_other = members.groupBy("key").agg(F.ceil(F.count("*") / others).cast("int").alias("columns"))
+    cuts = n_open.join(n_other, "key")
+    cell = lambda n: F.pmod(F.xxhash64("class"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    one = open_rows.join(cuts, "key").select("key", "class", "comp", F.lit(True).alias("open"), cell("rows").alias("i"), every("columns").alias("j"))
+    two = members.join(cuts, "key").select("key", "class", "comp", F.lit(False).alias("open"), cell("columns").alias("j"), every("rows").alias("i"))
+    cells = one.unionByName(two).groupBy(F.xxhash64("key", "i", "j").alias("block"), "class").agg(
+        F.min("comp").alias("comp"), F.max("open").alias("open")
     )
-    once = ~F.col("open") | (F.col("class") < F.col("other_class"))
-    pairs = one.join(two, "key").where((F.col("comp") != F.col("other_comp")) & once & fit)
-    last = _distances(pairs, percent, ["class", "other_class"]).where("linked")
-    return [*edges, stage(last.select(F.col("class").alias("a"), F.col("other_class").alias("b")), "links")]
+
+    def run(batches):
+        block, held = None, []
+        for batch in batches:
+            for b, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if b != block and held:
+                    yield table(_block(held, percent))
+                    held = []
+                block = b
+                held.append(tuple(row))
+        if held:
+            yield table(_block(held, percent))
+
+    def table(links):
+        a, b = zip(*links) if links else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    filled = cells.join(contents, "class").select("block", "class", "comp", "open", "words")
+    filled = filled.repartition(buckets(members), "block").sortWithinPartitions("block")
+    return written(filled.mapInArrow(run, "a long, b long"), "links", release=True)
 
 
 def linked_classes(
-    rows: DataFrame, size: int = 5, percent: int = 80, slack: float = 0.03, depth: int = 3
+    rows: DataFrame, size: int = 5, percent: int = 80, slack: float = 0.03, depth: int = 1
 ) -> tuple[DataFrame, DataFrame]:
     """_id, _digest, n, class of keyed rows; class, first (its first document), lowest (its component's)."""
-    own = stage(signatures(rows, size), "sets")
+    own = written(signatures(rows, size), "sets")
     classes = own.where("n > 0").groupBy("class").agg(
         F.min(F.struct("_id", "_digest")).alias("first"), F.min("n").alias("n")
     )
-    shared = stage(shared_pivots(rows, size, percent, slack), "shared")
+    shared = written(shared_pivots(rows, size, percent, slack), "shared", release=True)
     needed = F.floor(F.lit(slack * percent / 100) * F.col("n")) + 1
-
-    def enough(table: DataFrame) -> DataFrame:
-        """Rows of classes that have as many shared regions as a link needs, with that number as rank."""
-        found = table.groupBy("class").agg(F.count("*").alias("regions")).join(classes.select("class", "n"), "class")
-        found = found.where(F.col("regions") >= needed).select("class", (F.col("regions") / F.col("n")).alias("rank"))
-        return table.join(found, "class")
-
-    several = lambda t, what: t.groupBy("key").agg(F.countDistinct(what).alias("m")).where("m > 1").select("key")
-    table = enough(shared)
-    table = stage(table.join(several(table, "class"), "key", "left_semi"), "shared")
-    wanted = table.select("class").distinct().join(classes, "class").select("class", "first.*")
-    texts = rows.join(wanted, ["_id", "_digest"]).select("class", "_digest", "_text")
+    own_keys = shared.groupBy("class").agg(
+        F.collect_list(F.struct("m", "key")).alias("at"), F.percentile_approx("m", 0.5).alias("usual")
+    ).join(classes, "class")
+    table = own_keys.where(F.size("at") >= needed).select(
+        "class", "first", "n", (F.size("at") / F.col("n")).alias("rank"),
+        F.expr("array_max(filter(at, x -> x.m <= 2 * usual)).key").alias("home"), F.expr("transform(at, x -> x.key)").alias("keys"),
+    )
+    table = written(table, "homes", release=True)
+    texts = rows.join(table.select("class", "first.*"), ["_id", "_digest"]).select("class", "_digest", "_text")
 
     def extract(batches):
         for batch in batches:
@@ -252,53 +303,38 @@ def linked_classes(
                     row, h = sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], size)
                     edge = np.searchsorted(row, np.arange(hi - lo + 1))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(cls[lo:hi]), pa.array(np.diff(edge)),
-                         pa.array([h[i:j].tobytes() for i, j in zip(edge, edge[1:])], pa.binary())],
-                        ["class", "n", "words"],
-                    )
-
-    contents = texts.mapInArrow(extract, "class long, n long, words binary").dropDuplicates(["class"])
-    contents = stage(contents, "contents")
-
-    sized = table.join(table.groupBy("key").agg(F.count("*").alias("m")), "key")
-    usual = sized.groupBy("class").agg(F.percentile_approx("m", 0.5).alias("usual"))
-    home = (
-        sized.join(usual, "class").where("m <= 2 * usual").groupBy("class")
-        .agg(F.max(F.struct("m", "key")).alias("top"), F.first("rank").alias("rank"))
-        .select("class", F.col("top.key").alias("key"), "rank")
-    )
-    home = stage(home, "homes")
-    alone = home.join(several(home, "class"), "key", "left_semi").withColumn("comp", F.col("class"))
-    found = region_links(alone.select("key", "class", "comp", "rank"), contents, percent, depth)
-    edges = found[0]
-    for more in found[1:]:
-        edges = edges.unionByName(more)
-    edges = stage(edges, "links")
+                        [pa.array(cls[lo:hi]), pa.array([h[i:j].tobytes() for i, j in zip(edge, edge[1:])], pa.binary())],
+                        ["class", "words"],
+                    )
+
+    contents = texts.mapInArrow(extract, "class long, words binary").groupBy("class").agg(F.first("words").alias("words"))
+    contents = written(contents, "contents", release=True)
+
+    members = table.select(F.col("home").alias("key"), "class", F.col("class").alias("comp"), "rank", "n")
+    full = members.groupBy("key").count().where("count > 1").select("key")
+    edges = None
+    for more in region_links(members.join(full, "key", "left_semi"), contents, percent, depth):
+        edges = more if edges is None else edges.unionByName(more)
+    edges = written(edges, "links", release=True)
     labels = components(edges)
 
-    named = table.select("key", "class").join(home.select("class", F.col("key").alias("home")), "class")
-    named = named.join(labels.withColumnRenamed("node", "class"), "class", "left")
-    named = named.withColumn("comp", F.coalesce("label", "class")).drop("label")
-    across = named.groupBy("key").agg(
-        F.countDistinct("comp").alias("comps"), F.countDistinct("home").alias("homes"), F.mode("home", True).alias("most")
-    )
-    named = named.join(across.where("comps > 1 and homes > 1").select("key", "most"), "key")
-    named = stage(named.join(classes.select("class", "n"), "class"), "across")
-    few = named.where("home <> most").select("key", "class", "comp", "home", "n")
-    other = named.select("key", *(F.col(c).alias(f"other_{c}") for c in ("class", "comp", "home", "n")))
-    fit = F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * percent
-    agreed = F.floor(F.lit(slack) * F.least("n", "other_n")) + 1
-    pairs = (
-        few.join(other, "key").where((F.col("comp") != F.col("other_comp")) & (F.col("home") != F.col("other_home")) & fit)
-        .groupBy(F.least("class", "other_class").alias("a"), F.greatest("class", "other_class").alias("b"), agreed.alias("need"))
-        .agg(F.countDistinct("key").alias("keys")).where("keys >= need").select("a", "b")
+    sizes = table.groupBy("home").agg(F.count("*").alias("size"))
+    named = table.join(labels.withColumnRenamed("node", "class"), "class", "left").join(sizes, "home")
+    named = written(named.select("class", "n", "home", "size", F.coalesce("label", "class").alias("comp"), "keys"), "across")
+    spread = named.select(F.explode("keys").alias("key"), "class", "n", "home", "size", "comp")
+    homes = spread.groupBy("key", "home", "size").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    across = homes.groupBy("key").agg(F.min("low").alias("least"), F.max("high").alias("most"), F.count("*").alias("homes"))
+    across = across.where("least <> most and homes > 1").select("key")
+    hosts = homes.join(across, "key").select("key", F.struct("size", "home").alias("host"), "low", "high")
+    visits = (
+        spread.join(hosts, "key").where((F.struct("size", "home") < F.col("host")) & ((F.col("low") != F.col("comp")) | (F.col("high") != F.col("comp"))))
+        .groupBy("class", F.col("host.home").alias("key")).agg(F.count("*").alias("keys"), F.first("n").alias("n"), F.first("comp").alias("comp"))
+        .where(F.col("keys") >= needed).select("key", "class", "comp")
     )
-    pairs = stage(pairs, "pairs")
-    if not pairs.isEmpty():
-        pairs = pairs.join(contents.select(F.col("class").alias("a"), "words"), "a")
-        pairs = pairs.join(contents.select(F.col("class").alias("b"), F.col("words").alias("other")), "b")
-        last = _distances(pairs, percent, ["a", "b"]).where("linked").select("a", "b")
-        edges = stage(edges.unionByName(last), "links")
+    visits = written(visits, "visits", release=True)
+    if not visits.isEmpty():
+        hosts = named.select(F.col("home").alias("key"), "class", "comp").join(visits.select("key").distinct(), "key", "left_semi")
+        edges = written(edges.unionByName(block_links(visits, hosts, contents, percent)), "links")
         labels = components(edges)
 
     reach = classes.select("class", "first").join(labels.withColumnRenamed("node", "class"), "class", "left")
@@ -308,7 +344,7 @@ def linked_classes(
 
 
 def jaccard_components(
-    docs: DataFrame, size: int = 5, percent: int = 80, slack: float = 0.03, depth: int = 3,
+    docs: DataFrame, size: int = 5, percent: int = 80, slack: float = 0.03, depth: int = 1,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """id, n_shingles, component_id (smallest id that links reach) of every row."""
