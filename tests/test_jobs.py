@@ -22,9 +22,9 @@ def test_contract_counts(spark):
     assert len(contract.FEATURES) == 61 and len(contract.MODELLED) == 58
     assert len(contract.NUMERIC) == 56 and contract.CATEGORICAL == ("segment", "device_tier")
     assert len(contract.PROTECTED) == 3 and len(contract.DERIVED) == 7
-    signs = [f.direction for f in contract.FEATURES if f.modelled]
-    assert (signs.count(1), signs.count(-1), signs.count(0)) == (25, 20, 13)
-    assert len(contract.APPLICATION_SCHEMA) == 59 and len(contract.FAMILIES) == 10
+    signs = list(contract.PRIORS.values())
+    assert (signs.count(1), signs.count(-1), len(contract.MODELLED) - len(signs)) == (25, 20, 13)
+    assert len(contract.APPLICATION_SCHEMA) == 59 and len(contract.CONTRACT) == 10
     table = contract.feature_frame(spark)
     assert table.count() == 61
     assert table.where("feature = 'tenure_days'").first()["risk_direction"] == "lower risk"
@@ -43,12 +43,12 @@ def book(spark, tmp_path_factory):
     months = np.array([(d - dt.datetime(2024, 1, 1)).days // 30 for d in columns[contract.DATE]])
     columns[contract.MONTH] = months
     for f in contract.FEATURES:
-        if f.derived:
+        if f.name in contract.DERIVED:
             continue
-        pull = f.direction * trait * (0.5 if len(f.name) % 3 else 0.1)
-        if f.storage == "s":
+        pull = f.metadata["direction"] * trait * (0.5 if len(f.name) % 3 else 0.1)
+        if f.dataType == contract.TEXT:
             columns[f.name] = rng.choice([f"{f.name}-{i}" for i in range(4)], n)
-        elif f.storage == "i":
+        elif f.dataType == contract.LONG:
             columns[f.name] = rng.poisson(np.exp(0.8 + pull * 0.3))
         else:
             columns[f.name] = np.round(np.exp(pull + rng.normal(0, 1, n)), 4)
