@@ -28,6 +28,14 @@ def normalise_missing(df: DataFrame) -> DataFrame:
     )
 
 
+def present(*names: str) -> Column:
+    """Is every named number there? Null and NaN both count as missing, everywhere."""
+    return reduce(
+        Column.__and__,
+        [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in names],
+    )
+
+
 def round_even(x: Column, places: int = 4) -> Column:
     """Half-to-even on the scaled value."""
     unit = float(10**places)
@@ -50,7 +58,7 @@ def sql_number(value: float) -> str:
 
 def _compared(name: str, edges: Sequence[float]) -> str:
     steps = " + ".join(f"CASE WHEN `{name}` > {sql_number(e)} THEN 1 ELSE 0 END" for e in edges)
-    return f"CASE WHEN `{name}` IS NOT NULL THEN {steps or '0'} END"
+    return f"CASE WHEN `{name}` IS NOT NULL AND NOT isnan(`{name}`) THEN {steps or '0'} END"
 
 
 def with_bins(df: DataFrame, edges: Mapping[str, Sequence[float]], prefix: str = "_bin_") -> DataFrame:
@@ -58,14 +66,15 @@ def with_bins(df: DataFrame, edges: Mapping[str, Sequence[float]], prefix: str =
 
     A few edges are compared in generated code. More go to ``Bucketizer``, which searches by
     halves and whose bins are closed on the left; it therefore gets the mirrored values
-    (``0 - x`` also folds the two zeros into one). Null stays null.
+    (``0 - x`` also folds the two zeros into one). Null and NaN are missing and get no bin,
+    however many edges there are.
     """
     few = {c: cuts for c, cuts in edges.items() if len(cuts) <= FEW_EDGES}
     many = {c: cuts for c, cuts in edges.items() if len(cuts) > FEW_EDGES}
     out = df.select("*", *[F.expr(_compared(c, cuts)).alias(prefix + c) for c, cuts in few.items()])
     if not many:
         return out
-    mirrored = out.select("*", *[(0.0 - F.col(c)).alias(f"_neg_{c}") for c in many])
+    mirrored = out.select("*", *[F.when(present(c), 0.0 - F.col(c)).alias(f"_neg_{c}") for c in many])
     inf = float("inf")
     bucketizer = Bucketizer(
         inputCols=[f"_neg_{c}" for c in many],

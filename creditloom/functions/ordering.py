@@ -5,19 +5,24 @@ everything here instead cuts the order into buckets of about equal size, with bo
 from a mergeable KLL sketch. The sketch only balances the work: counts per bucket are exact,
 so results do not depend on where the bounds fall. Equal values are collapsed before the
 shuffle, so one value holding a third of all rows is one row by the time it moves.
+
+A missing order value (null or NaN) has no place in an order: it is left out of ranks, buckets
+and totals and gets no band, below the row count and above it. A null group is a group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from creditloom.functions.expr import in_chunks, union_all, with_bins
+from creditloom.functions.expr import in_chunks, present, union_all, with_bins
 
 SALTS = 256
+MAX_BUCKETS = 16384
 ONE_TASK_KEY = "spark.creditloom.oneTaskRows"
 INTEGRAL = ("bigint", "int", "smallint", "tinyint")
 
@@ -27,13 +32,15 @@ def one_task_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(ONE_TASK_KEY, "1000000"))
 
 
-def bucket_count(spark: SparkSession, columns: int = 1) -> int:
-    """One bucket per shuffle partition, so that one task sorts one bucket.
+def bucket_count(spark: SparkSession, columns: int = 1, rows: int = 0) -> int:
+    """One bucket per shuffle partition, and more where ``rows`` would overfill one task's sort.
 
-    Many columns at once share a limit on the number of cut points a plan has to carry.
+    Many columns at once share a limit on the number of cut points a plan has to carry; past
+    the limits a bucket grows and its sort spills, the results stay.
     """
-    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
-    return min(wanted, 4096, max(32768 // columns, 64))
+    full = -(-rows // max(one_task_rows(spark), 1))
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8, full)
+    return min(wanted, MAX_BUCKETS, max(2 * MAX_BUCKETS // columns, 64))
 
 
 def splitters(df: DataFrame, columns: Sequence[str], buckets: int) -> dict[str, list[float]]:
@@ -76,7 +83,7 @@ def _long(df: DataFrame, columns: Sequence[str], cuts: dict[str, list[float]]) -
             for c in chunk
         )
         placed = with_bins(df.select(*chunk), {c: cuts[c] for c in chunk})
-        parts.append(placed.select(F.expr(f"inline(array({cells}))")).where("v IS NOT NULL"))
+        parts.append(placed.select(F.expr(f"inline(array({cells}))")).where(present("v")))
     return union_all(parts)
 
 
@@ -91,10 +98,11 @@ def order_statistics(
     """
     columns = list(columns or wanted)
     spark = df.sparkSession
-    totals = dict(zip(columns, df.agg(*[F.count(c) for c in columns]).first(), strict=True))
+    counts = df.agg(*[F.count_if(present(c)) for c in columns]).first()
+    totals = dict(zip(columns, counts, strict=True))
     large = max(totals.values()) > one_task_rows(spark)
     if large:
-        cuts = splitters(df, columns, bucket_count(spark, len(columns)))
+        cuts = splitters(df, columns, bucket_count(spark, len(columns), max(totals.values())))
     else:
         cuts = {c: [] for c in columns}
     cells = _long(df, columns, cuts)
@@ -154,12 +162,15 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) ->
 def with_bucket(df: DataFrame, order: str) -> DataFrame:
     """Add ``_bucket``: equal-sized slices of the order, never splitting equal values.
 
-    A frame small enough for one task per group gets a single bucket.
+    A frame small enough for one task per group gets a single bucket. Rows without an order
+    value are left out.
     """
     spark = df.sparkSession
-    if df.count() <= one_task_rows(spark):
+    df = df.where(present(order))
+    rows = df.count()
+    if rows <= one_task_rows(spark):
         return df.withColumn("_bucket", F.lit(0))
-    edges = splitters(df, [order], bucket_count(spark))
+    edges = splitters(df, [order], bucket_count(spark, rows=rows))
     return with_bins(df, edges, "_at_").withColumnRenamed(f"_at_{order}", "_bucket")
 
 
@@ -180,12 +191,12 @@ def running_totals(
     group = Window.partitionBy(*(by or [F.lit(0)]))
     ahead = group.orderBy("_bucket")
     offsets = per_bucket.select(
-        *by,
-        "_bucket",
+        *[F.col(c).alias(f"_of_{c}") for c in [*by, "_bucket"]],
         *[(F.sum(s).over(ahead) - F.col(s)).alias(f"_{s}_off") for s in sums],
         *[F.sum(s).over(group).alias(f"{s}_total") for s in sums],
     )
-    return local.join(offsets, [*by, "_bucket"]).select(
+    same = [local[c].eqNullSafe(offsets[f"_of_{c}"]) for c in [*by, "_bucket"]]
+    return local.join(offsets, reduce(Column.__and__, same)).select(
         *cells.columns,
         *[(F.col(f"_{s}_in") + F.col(f"_{s}_off")).alias(f"{s}_before") for s in sums],
         *[f"{s}_total" for s in sums],
@@ -266,10 +277,10 @@ def _band_index(key: str, tie: str, limits: dict[object, list[tuple]], by: str |
         return band
 
     if by is None:
-        return within(limits[None])
+        return F.when(present(key), within(limits[None]))
     chain = F
     for g, group in limits.items():
-        chain = chain.when(F.col(by).eqNullSafe(F.lit(g)), within(group))
+        chain = chain.when(present(key) & F.col(by).eqNullSafe(F.lit(g)), within(group))
     return chain
 
 
@@ -278,14 +289,16 @@ def with_band(
 ) -> DataFrame:
     """Add the equal-frequency band of (key, tie) order, within each ``by`` group.
 
-    ``by`` is a short list of groups such as splits. ``tie`` must be a unique integer.
+    ``by`` is a short list of groups such as splits. ``tie`` must be a unique integer. Rows
+    without a key get no band and do not count.
     """
-    counted = (df.groupBy(by) if by else df.groupBy()).agg(F.count(F.lit(1)).alias("n")).collect()
+    counted = (df.groupBy(by) if by else df.groupBy()).agg(F.count_if(present(key)).alias("n")).collect()
     totals = {(r[by] if by else None): r["n"] for r in counted}
     if sum(totals.values()) <= one_task_rows(df.sparkSession):
-        group = Window.partitionBy(by) if by else Window.partitionBy(F.lit(0))
+        ranked = present(key)
+        group = Window.partitionBy(*([by] if by else []), ranked)
         rank = F.row_number().over(group.orderBy(key, tie))
         total = F.count(F.lit(1)).over(group)
-        return df.withColumn(name, band_of_rank(rank, total, bands))
+        return df.withColumn(name, F.when(ranked, band_of_rank(rank, total, bands)))
     limits = band_limits(df, key, tie, bands, totals, by)
     return df.withColumn(name, _band_index(key, tie, limits, by))

@@ -132,17 +132,14 @@ def tune(
     return Tuned(name, best[0], best[1], float(best_auc), list(features), results)
 
 
-def importance(model, features: Sequence[str], spark: SparkSession, top: int = 20) -> DataFrame:
-    """Impurity importance with its share of the total, highest first."""
+def importance(model, features: Sequence[str], spark: SparkSession) -> DataFrame:
+    """Impurity importance of every feature with its share of the total, highest first."""
     values = model.featureImportances.toArray()
     rows = [(f, float(v)) for f, v in zip(features, values, strict=True)]
     table = spark.createDataFrame(rows, "feature string, importance double")
     total = max(float(values.sum()), 1e-12)
-    return (
-        table.withColumn("share_pct", F.round(100 * F.col("importance") / total, 2))
-        .orderBy(F.desc("importance"), "feature")
-        .limit(top)
-    )
+    shares = table.withColumn("share_pct", F.round(100 * F.col("importance") / total, 2))
+    return shares.orderBy(F.desc("importance"), "feature")
 
 
 def monotone_audit(
@@ -186,10 +183,10 @@ def evaluate_model(df: DataFrame, tuned: Tuned, y: str, tie: str, split: str = "
 
 
 def summary_row(evaluation: DataFrame, name: str) -> DataFrame:
-    """The comparison row of one model from its per-split evaluation."""
+    """The comparison row of one model from its per-split evaluation, not rounded."""
 
     def of(split: str, column: str):
-        return F.round(F.max(F.when(F.col("split") == split, F.col(column))), 4)
+        return F.max(F.when(F.col("split") == split, F.col(column)))
 
     return evaluation.agg(
         F.lit(name).alias("model"),

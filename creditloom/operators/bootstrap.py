@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.config import SEED
-from creditloom.functions.expr import with_bins
+from creditloom.functions.expr import present, with_bins
 from creditloom.functions.ordering import bucket_count, splitters
 from creditloom.operators.metrics import discrimination
 
@@ -89,7 +89,8 @@ def replicate_ginis(
     Rows with equal scores and outcome share a cell; a cell of n rows draws Poisson(n) per
     replicate from a stream keyed by the cell itself, so both orderings see the same weights.
     """
-    cells = df.groupBy(F.col(a).alias("a"), F.col(b).alias("b"), F.col(y).alias("y")).agg(
+    seen = df.where(present(a, b, y))
+    cells = seen.groupBy(F.col(a).alias("a"), F.col(b).alias("b"), F.col(y).alias("y")).agg(
         F.count(F.lit(1)).alias("n")
     )
     cells = cells.withColumn("key", F.xxhash64("a", "b", "y", F.lit(seed)))
@@ -122,7 +123,11 @@ def replicate_ginis(
 def gini_difference(
     df: DataFrame, a: str, b: str, y: str, *, replicates: int = 2000, seed: int = SEED
 ) -> DataFrame:
-    """Observed Ginis and their gap with a percentile interval and two-sided p; one row."""
+    """Observed Ginis and their gap with a percentile interval and two-sided p; one row.
+
+    Both models are judged on the rows that have both scores and an outcome.
+    """
+    df = df.where(present(a, b, y))
     one = F.lit(1).alias("_one")
     observed_a = discrimination(df, a, y).select(F.col("gini").alias("gini_a"), one)
     observed_b = discrimination(df, b, y).select(F.col("gini").alias("gini_b"), one)

@@ -1,4 +1,8 @@
-"""Discrimination, rank ordering and calibration, for every split in one job."""
+"""Discrimination, rank ordering and calibration, for every split in one job.
+
+Rows whose score or outcome is missing (null or NaN) take no part in any measure; ``n`` counts
+the rows that do. A null group is a group.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from creditloom.functions.expr import present
 from creditloom.functions.ordering import running_totals, with_band, with_bucket
 
 EPS = 1e-10
@@ -22,7 +27,7 @@ def score_cells(df: DataFrame, score: str, y: str, by: Sequence[str] = ()) -> Da
 
     Equal scores fold on the map side; nothing after this sees a row again.
     """
-    rows = with_bucket(df.select(*by, score, y), score)
+    rows = with_bucket(df.select(*by, score, y).where(present(score, y)), score)
     cells = rows.groupBy(*by, "_bucket", score).agg(
         F.count(F.lit(1)).alias("n"), F.sum(y).cast("double").alias("bads")
     )
@@ -69,6 +74,7 @@ def rank_ordering(
     """Equal-frequency bands in score order, riskiest first unless ``ascending``."""
     key = F.col(score) if ascending else -F.col(score)
     rows = df.select(*([by] if by else []), tie, score, y, key.alias("_key"))
+    rows = rows.where(present(score, y))
     banded = with_band(rows, "_key", tie, bands, by)
     groups = [by] if by else []
     table = banded.groupBy(*groups, "band").agg(
@@ -119,7 +125,8 @@ def calibration(
 ) -> DataFrame:
     """Brier score, log loss, expected and observed bad rate, their ratio, and the ECE."""
     groups = [by] if by else []
-    rows = df.select(*groups, tie, F.col(y).alias("_y"), _clipped(p).alias("_p"))
+    seen = df.where(present(p, y))
+    rows = seen.select(*groups, tie, F.col(y).alias("_y"), _clipped(p).alias("_p"))
     banded = with_band(rows, "_p", tie, bins, by)
     good = 1.0 - F.col("_y")
     loss = -(F.col("_y") * F.ln("_p") + good * F.ln(1.0 - F.col("_p")))
@@ -146,7 +153,8 @@ def calibration_table(
 ) -> DataFrame:
     """Mean prediction against observed rate per equal-frequency bin (not clipped)."""
     groups = [by] if by else []
-    banded = with_band(df.select(*groups, tie, p, y), p, tie, bins, by, name="bin")
+    rows = df.select(*groups, tie, p, y).where(present(p, y))
+    banded = with_band(rows, p, tie, bins, by, name="bin")
     return (
         banded.groupBy(*groups, "bin")
         .agg(
@@ -168,4 +176,7 @@ def evaluate(
     power = discrimination(df, p, y, [by])
     fit = calibration(df, p, y, tie, bins=bands, by=by)
     ordered = is_rank_ordered(rank_ordering(df, p, y, tie, bands=bands, by=by), by)
-    return power.join(fit, by).join(ordered, by)
+    for part in (fit, ordered):
+        other = part.withColumnRenamed(by, "_by")
+        power = power.join(other, power[by].eqNullSafe(other["_by"])).drop("_by")
+    return power

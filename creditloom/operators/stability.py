@@ -1,4 +1,8 @@
-"""Population and characteristic stability."""
+"""Population and characteristic stability.
+
+Every requested feature (and, for drift, every group of current rows) comes out. A numeric
+feature with no value on one side, or on both, counts as unmoved.
+"""
 
 from __future__ import annotations
 
@@ -49,6 +53,11 @@ def _cells(
     return union_all(parts)
 
 
+def _names(features: Sequence[str]) -> Column:
+    """One array with the requested features, to explode beside each group."""
+    return F.explode(F.array(*[F.lit(c) for c in features]))
+
+
 def stability(
     df: DataFrame,
     is_reference: Column,
@@ -75,7 +84,10 @@ def stability(
     # a numeric sample with no values on one side counts as unmoved
     empty = F.col("numeric") & ((all_e == 0) | (all_a == 0))
     terms = counts.select("feature", F.when(empty, F.lit(0.0)).otherwise(term).alias("_t"))
-    value = terms.groupBy("feature").agg(F.sum("_t").alias("psi"))
+    names = df.sparkSession.range(1).select(_names([*edges, *categorical]).alias("feature"))
+    value = names.join(terms, "feature", "left").groupBy("feature").agg(
+        F.coalesce(F.sum("_t"), F.lit(0.0)).alias("psi")
+    )
     return value.withColumn("verdict", psi_verdict(F.col("psi"))).orderBy(F.desc("psi"), "feature")
 
 
@@ -116,7 +128,14 @@ def drift(
         .withColumn("e", _share(F.col("n"), F.sum("n").over(Window.partitionBy("feature"))))
         .drop("n")
     )
-    return drift_against(counts.where("NOT _ref"), expected, by)
+    found = drift_against(counts.where("NOT _ref"), expected, by)
+    found = found.select(F.col("feature").alias("_f"), F.col(by).alias("_g"), "psi")
+    asked = marked.where("NOT _ref").select(by).distinct().select(_names(list(edges)).alias("feature"), by)
+    same = (F.col("feature") == F.col("_f")) & F.col(by).eqNullSafe(F.col("_g"))
+    value = asked.join(found, same, "left").select(
+        "feature", by, F.coalesce("psi", F.lit(0.0)).alias("psi")
+    )
+    return value.withColumn("verdict", psi_verdict(F.col("psi")))
 
 
 def drift_against(counts: DataFrame, expected: DataFrame, by: str) -> DataFrame:

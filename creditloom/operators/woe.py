@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from creditloom.config import MIN_IV
-from creditloom.functions.expr import in_chunks, iv_strength, sql_number, union_all, with_bins
+from creditloom.functions.expr import in_chunks, iv_strength, present, sql_number, union_all, with_bins
 from creditloom.functions.ordering import quantiles
 from creditloom.operators.quality import QualityError
 
@@ -380,7 +380,7 @@ def fit_bins(
     spark = df.sparkSession
     numeric = [f for f in numeric if f in df.columns]
     categorical = [f for f in categorical if f in df.columns]
-    size = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(y).isNull()).alias("lost")).first()
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(~present(y)).alias("lost")).first()
     if size["lost"]:
         raise QualityError(f"{size['lost']} rows have no observed outcome in {y}")
     smallest = max(int(min_bin_fraction * size["n"]), SMALLEST_BIN)

@@ -272,15 +272,14 @@ def anti_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """(SELECT DISTINCT l_partkey AS part FROM lineitem)
-       EXCEPT (SELECT DISTINCT l_partkey FROM lineitem WHERE l_returnflag = 'R')"""
+    """(SELECT DISTINCT l_orderkey AS "order" FROM lineitem)
+       EXCEPT (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_returnflag = 'R')"""
 )
 def set_difference(spark: SparkSession, sf: str) -> DataFrame:
-    """Parts never returned."""
+    """Orders of which nothing was returned."""
     items = views.table(spark, sf, "lineitem")
-    sold = items.select(F.col("l_partkey").alias("part")).distinct()
-    returned = items.where("l_returnflag = 'R'").select(F.col("l_partkey").alias("part"))
-    return sold.join(returned.distinct(), "part", "left_anti")
+    sold = items.select(F.col("l_orderkey").alias("order"))
+    return sold.subtract(items.where("l_returnflag = 'R'").select("l_orderkey"))
 
 
 @query(

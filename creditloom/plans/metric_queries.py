@@ -171,6 +171,15 @@ def evaluation(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(metrics.evaluate(staged_scores(spark, sf), "p", "y", "id", by="split"))
 
 
+@query(SQL["evaluation"].replace("WHERE approved = 1)", "WHERE approved = 1 AND n_lines >= 2)"))
+def evaluation_missing_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """The evaluation where orders of fewer than two lines have no score (null or NaN)."""
+    lost = F.when(F.col("n_lines") < 2, F.lit(float("nan")))
+    p = F.when(F.col("n_lines") >= 2, F.col("p")).otherwise(lost)
+    rows = stage(views.scored(spark, sf).select("id", "split", "y", p.alias("p")), "lost-scores")
+    return tidy(metrics.evaluate(rows, "p", "y", "id", by="split"))
+
+
 # --------------------------------------------------------------------- stability
 
 _DECILES = "[" + ", ".join(repr(p) for p in np.linspace(0, 1, 11)[1:-1].tolist()) + "]"
@@ -215,6 +224,39 @@ def psi(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(stability.stability(book, F.col("application_month") < PSI_MONTH, APP_NUMERIC))
 
 
+_GAPS = ("total_price", "stopped", "never")
+
+
+@query(
+    APPS_SQL
+    + f""", gaps AS (
+      SELECT application_month, total_price, CAST(NULL AS DOUBLE) AS never,
+             CASE WHEN application_month < {PSI_MONTH} THEN total_price END AS stopped FROM apps),
+    long AS ({numeric_long(_GAPS, 'gaps', 'application_month')}),
+    edges AS (SELECT feature, list_sort(list_distinct(quantile_cont(v, {_DECILES}))) AS e
+              FROM long WHERE v IS NOT NULL AND application_month < {PSI_MONTH} GROUP BY feature),
+    placed AS (SELECT feature, application_month, len(list_filter(e, lambda x: x < v)) AS b
+               FROM long JOIN edges USING (feature) WHERE v IS NOT NULL),
+    sides AS ({_sides('placed', 'b')}),
+    {_SUMMED},
+    both AS (SELECT feature FROM sides GROUP BY feature HAVING sum(ne) > 0 AND sum(na) > 0),
+    asked AS (SELECT unnest({list(_GAPS)}) AS feature),
+    filled AS (SELECT a.feature, CASE WHEN b.feature IS NULL THEN 0.0::DOUBLE ELSE v END AS v FROM asked a
+               LEFT JOIN both b ON b.feature = a.feature LEFT JOIN value v ON v.feature = a.feature)
+    SELECT feature, {r('v')} AS psi, {_VERDICT.format(v='v')} AS verdict FROM filled"""
+)
+def psi_missing_column(spark: SparkSession, sf: str) -> DataFrame:
+    """A column that ends with the reference and one that is never filled: both come out, unmoved."""
+    early = F.col("application_month") < PSI_MONTH
+    book = views.apps(spark, sf).select(
+        "application_month",
+        "total_price",
+        F.when(early, F.col("total_price")).alias("stopped"),
+        F.lit(None).cast("double").alias("never"),
+    )
+    return tidy(stability.stability(stage(book, "psi-gaps"), early, _GAPS))
+
+
 @query(
     _PSI_SQL
     + f"""words AS ({text_long(APP_CATEGORICAL, 'apps', 'id, application_month')}),

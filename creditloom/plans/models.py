@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom import contract
+from creditloom.functions.expr import union_all
 from creditloom.operators import boost
 from creditloom.operators.bootstrap import gini_difference
 from creditloom.operators.metrics import evaluate
 from creditloom.operators.quality import join_one_to_one
 from creditloom.operators.scorecard import Scorecard, fit_scorecard
 from creditloom.operators.woe import Binning
+from creditloom.plans.common import tidy
 from creditloom.sources.io import read_view, write_metrics
 from creditloom.sources.staging import stage
 
@@ -37,6 +39,13 @@ def scorecard_stage(spark: SparkSession, folder: str) -> tuple[Scorecard, DataFr
     return card, report
 
 
+def _card_scores(spark: SparkSession, folder: str) -> DataFrame | None:
+    """Scores that the card stage wrote, if it ran."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/scored")
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tie_key(spark.read.parquet(f"{folder}/scored")) if store.exists(path) else None
+
+
 def challenger_stage(
     spark: SparkSession,
     folder: str,
@@ -44,7 +53,11 @@ def challenger_stage(
     searches: Sequence[tuple[str, int, boost.Space]] = (("gbt", 40, boost.Space()),),
     replicates: int = 2000,
 ) -> dict[str, DataFrame]:
-    """Search, choose by validation AUC, and test the champion against the scorecard."""
+    """Search, choose by validation AUC, and test the champion against the scorecard.
+
+    Choice and uplift use unrounded figures; the comparison that is returned has four places.
+    Without a written card there is no card row, no uplift and no contest.
+    """
     binning = Binning.load(spark, folder)
     features = [f"woe_{f}" for f in binning.features]
     woe = read_view(spark, f"{folder}/woe")
@@ -63,23 +76,27 @@ def challenger_stage(
         )
         report = evaluate(scored, "p", "y", "_tie", by="split")
         rows.append((name, scored, boost.summary_row(report, name)))
-    card_scores = tie_key(spark.read.parquet(f"{folder}/scored"))
-    comparison = boost.summary_row(evaluate(card_scores, "p", "y", "_tie", by="split"), "scorecard")
-    for _, _, row in rows:
-        comparison = comparison.unionByName(row)
-    comparison = stage(comparison, "comparison")
+    card_scores = _card_scores(spark, folder)
+    parts = [row for _, _, row in rows]
+    if card_scores is not None:
+        card_report = evaluate(card_scores, "p", "y", "_tie", by="split")
+        parts.insert(0, boost.summary_row(card_report, "scorecard"))
+    comparison = stage(union_all(parts), "comparison")
     best = boost.champion(comparison, list(tuned)).first()["champion"]
+    out = {
+        "comparison": tidy(comparison, 4),
+        "importance": boost.importance(tuned[best].model, features, spark),
+    }
+    if card_scores is None:
+        return out
     theirs = next(s for n, s, _ in rows if n == best).where("split = 'oot'")
     ours = card_scores.where("split = 'oot'").select(contract.ID, F.col("p").alias("card_p"))
-    contest = gini_difference(
+    out["uplift"] = boost.uplift(comparison, best, "scorecard")
+    out["contest"] = gini_difference(
         stage(join_one_to_one(theirs, ours, contract.ID), "contest"),
         "p",
         "card_p",
         "y",
         replicates=replicates,
     )
-    return {
-        "comparison": comparison,
-        "contest": contest,
-        "importance": boost.importance(tuned[best].model, features, spark),
-    }
+    return out

@@ -322,8 +322,8 @@ def champion(spark: SparkSession, sf: str) -> DataFrame:
         rows = stage(scored.select("id", "split", "y", "p"), name)
         parts.append(boost.summary_row(evaluate(rows, "p", "y", "id", by="split"), name))
     table = stage(parts[0].unionByName(parts[1]), "comparison")
-    best = boost.champion(table, list(names)).first()["champion"]
-    return table.withColumn("champion", F.col("model") == best)
+    best = boost.champion(table, ["gbt"]).first()["champion"]
+    return tidy(table, 4).withColumn("champion", F.col("model") == best)
 
 
 @query()

@@ -28,6 +28,14 @@ def test_bins_are_right_closed(spark, count):
     assert values(df) == expected
 
 
+@pytest.mark.parametrize("count", [0, 2, 12, 13, 39])
+@pytest.mark.parametrize("lost", [None, float("nan")])
+def test_missing_numbers_get_no_bin_at_any_edge_count(spark, count, lost):
+    edges = [float(e) for e in range(count)]
+    df = expr.with_bins(column(spark, [lost, 0.5, lost, 1e9]), {"x": edges})
+    assert values(df, "_bin_x") == [None, min(count, 1), None, count]
+
+
 def test_bins_of_integers(spark):
     df = expr.with_bins(column(spark, [1, 2, 3, None], "bigint"), {"x": [1.5, 2.0]})
     assert values(df, "_bin_x") == [0, 1, 2, None]

@@ -219,6 +219,19 @@ def test_windows_close_and_late_events_are_left_out(spark, event_folder, tmp_pat
     assert not any(r["start"] == dt.datetime(2024, 1, 28) for r in got)
 
 
+def test_a_backlog_gives_the_same_windows_in_any_files(spark, event_folder, tmp_path):
+    """The files hold late events; read as one backlog, none is lost whatever the files."""
+    rows = spark.read.schema(events.EVENT_SCHEMA).parquet(f"{event_folder}/*")
+    rows.coalesce(1).write.parquet(str(tmp_path / "one"))
+    rows.orderBy(F.desc("ts")).repartition(5).write.parquet(str(tmp_path / "five"))
+    found = []
+    for source in (str(tmp_path / "one"), str(tmp_path / "five"), f"{event_folder}/*"):
+        name = f"b{len(found)}"
+        stream = events.windowed_activity(events.read_events(spark, source), size="1 day")
+        found.append(sorted(map(tuple, run(spark, stream, tmp_path, name).collect())))
+    assert found[0] and found[0] == found[1] == found[2]
+
+
 def test_sliding_windows_and_sessions(spark, event_folder, tmp_path):
     source = events.read_events(spark, f"{event_folder}/[01]", files_per_trigger=10)
     sliding = events.windowed_activity(source, size="2 days", slide="1 day")
