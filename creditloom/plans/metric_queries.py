@@ -6,7 +6,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.operators import metrics, stability
+from creditloom.functions.expr import union_all
+from creditloom.operators import boost, metrics, stability
 from creditloom.operators.bootstrap import gini_difference
 from creditloom.operators.scorecard import correlation_frame
 from creditloom.plans.common import numeric_long, r, text_long, tidy
@@ -180,6 +181,64 @@ def evaluation_missing_scores(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(metrics.evaluate(rows, "p", "y", "id", by="split"))
 
 
+#: Fixed-weight scores that stand in for a card and two challengers, as SQL both engines read.
+_RIVALS = {
+    "scorecard": "p",
+    "lines": "least(coalesce(n_lines, 0) / CAST(10 AS DOUBLE), CAST(1 AS DOUBLE))",
+    "discount": "coalesce(mean_discount, CAST(0.05 AS DOUBLE)) * CAST(2 AS DOUBLE)",
+}
+_FIGURES = {
+    "valid_auc": ("valid", "auc"),
+    "oot_auc": ("oot", "auc"),
+    "oot_gini": ("oot", "2.0::DOUBLE * auc - 1.0::DOUBLE"),
+    "oot_ks": ("oot", "ks"),
+    "oot_calibration_ratio": ("oot", "ratio"),
+}
+
+
+@query(
+    APPS_SQL
+    + SCORED_SQL
+    + ", s AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS model, id, split, y, {score} AS p FROM scored WHERE approved = 1"
+        for name, score in _RIVALS.items()
+    )
+    + f"""), cells AS (
+      SELECT model, split, p, count(*) AS n, sum(y) AS b, count(*) - sum(y) AS g FROM s GROUP BY ALL),
+    run AS (
+      SELECT *, sum(b) OVER w AS cb, sum(g) OVER w AS cg, sum(b) OVER (PARTITION BY model, split) AS tb,
+             sum(g) OVER (PARTITION BY model, split) AS tg
+      FROM cells WINDOW w AS (PARTITION BY model, split ORDER BY p)),
+    power AS (
+      SELECT model, split, sum(b * (cg - g / 2.0::DOUBLE)) / (any_value(tb) * any_value(tg)) AS auc,
+             max(abs(cb / tb - cg / tg)) AS ks FROM run GROUP BY model, split),
+    fit AS (
+      SELECT model, split, avg(least(greatest(p, 1e-10::DOUBLE), 1.0::DOUBLE - 1e-10::DOUBLE)) / avg(y) AS ratio
+      FROM s GROUP BY model, split),
+    wide AS (SELECT model, """
+    + ", ".join(f"max({e}) FILTER (split = '{at}') AS {name}" for name, (at, e) in _FIGURES.items())
+    + """ FROM power JOIN fit USING (model, split) GROUP BY model),
+    best AS (SELECT model AS name FROM wide WHERE model <> 'scorecard' ORDER BY valid_auc DESC, model DESC LIMIT 1)
+    SELECT model, """
+    + ", ".join(f"{r(name)} AS {name}" for name in _FIGURES)
+    + f""", model = (SELECT name FROM best) AS champion,
+      CASE WHEN model = (SELECT name FROM best)
+           THEN {r("oot_gini - (SELECT oot_gini FROM wide WHERE model = 'scorecard')")} END AS uplift
+      FROM wide"""
+)
+def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per score; the champion among the challengers and its gain in Gini on the card."""
+    book = views.scored(spark, sf)
+    rows = stage(book.select("id", "split", "y", *[F.expr(e).alias(n) for n, e in _RIVALS.items()]), "rivals")
+    parts = [boost.summary_row(metrics.evaluate(rows, n, "y", "id", by="split"), n) for n in _RIVALS]
+    table = stage(union_all(parts), "rivals-compared")
+    best = boost.champion(table, ["lines", "discount"]).first()["champion"]
+    gain = boost.uplift(table, best, "scorecard").first()["uplift"]
+    chosen = F.col("model") == best
+    return tidy(table.select("*", chosen.alias("champion"), F.when(chosen, F.lit(gain)).alias("uplift")))
+
+
 # --------------------------------------------------------------------- stability
 
 _DECILES = "[" + ", ".join(repr(p) for p in np.linspace(0, 1, 11)[1:-1].tolist()) + "]"
@@ -239,10 +298,10 @@ _GAPS = ("total_price", "stopped", "never")
                FROM long JOIN edges USING (feature) WHERE v IS NOT NULL),
     sides AS ({_sides('placed', 'b')}),
     {_SUMMED},
-    both AS (SELECT feature FROM sides GROUP BY feature HAVING sum(ne) > 0 AND sum(na) > 0),
+    known AS (SELECT feature FROM sides GROUP BY feature HAVING sum(ne) > 0 AND sum(na) > 0),
     asked AS (SELECT unnest({list(_GAPS)}) AS feature),
-    filled AS (SELECT a.feature, CASE WHEN b.feature IS NULL THEN 0.0::DOUBLE ELSE v END AS v FROM asked a
-               LEFT JOIN both b ON b.feature = a.feature LEFT JOIN value v ON v.feature = a.feature)
+    filled AS (SELECT a.feature, CASE WHEN k.feature IS NULL THEN 0.0::DOUBLE ELSE w.v END AS v FROM asked a
+               LEFT JOIN known k ON k.feature = a.feature LEFT JOIN value w ON w.feature = a.feature)
     SELECT feature, {r('v')} AS psi, {_VERDICT.format(v='v')} AS verdict FROM filled"""
 )
 def psi_missing_column(spark: SparkSession, sf: str) -> DataFrame:

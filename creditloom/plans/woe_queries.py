@@ -145,11 +145,12 @@ def iv_strength(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     WOE_SQL
-    + f"""SELECT feature, printf('IV %.4f below 0.02', sum(iv)) AS reason FROM weighed
-          GROUP BY feature HAVING sum(iv) < 0.02"""
+    + f"""SELECT feature, printf('IV %.4f below 0.1', sum(iv)) AS reason FROM weighed
+          GROUP BY feature HAVING sum(iv) < 0.1"""
 )
 def weak_features(spark: SparkSession, sf: str) -> DataFrame:
-    return woe.drop_reasons(woe.iv_table(prebinned(spark, sf)[2]))
+    """Features below medium strength, with the reason."""
+    return woe.drop_reasons(woe.iv_table(prebinned(spark, sf)[2]), 0.1)
 
 
 @query(
