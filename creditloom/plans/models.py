@@ -20,6 +20,10 @@ from creditloom.sources.io import read_view, write_metrics
 from creditloom.sources.staging import stage
 
 
+#: Features that the importance report names; ``boost.importance`` returns all of them.
+IMPORTANCE_REPORTED = 20
+
+
 def tie_key(df: DataFrame, key: str = contract.ID) -> DataFrame:
     """Integer tie-break for text keys, the same in every plan."""
     return df.withColumn("_tie", F.xxhash64(key))
@@ -85,7 +89,7 @@ def challenger_stage(
     best = boost.champion(comparison, list(tuned)).first()["champion"]
     out = {
         "comparison": tidy(comparison, 4),
-        "importance": boost.importance(tuned[best].model, features, spark),
+        "importance": boost.importance(tuned[best].model, features, spark).limit(IMPORTANCE_REPORTED),
     }
     if card_scores is None:
         return out
