@@ -192,6 +192,29 @@ def points_sum(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(woe.select("id", total.alias("total_points")), 4)
 
 
+_TERMS = [*CARD, "(intercept)"]
+_WIDE = ", ".join(f"max(w) FILTER (feature = '{f}') AS x{i}" for i, f in enumerate(CARD))
+_ENTRIES = ", ".join(f"[{', '.join(f'x{i} * x{j}' for j in range(len(CARD) + 1))}]" for i in range(len(CARD) + 1))
+
+
+@query(
+    _CARD_SCORED
+    + f""", design AS (SELECT id, 1.0::DOUBLE AS x{len(CARD)}, {_WIDE} FROM applied GROUP BY id),
+    products AS (SELECT p, unnest(range({len(CARD) + 1})) AS i, unnest([{_ENTRIES}]) AS line FROM design JOIN pd USING (id)),
+    entries AS (SELECT p, i, unnest(range({len(CARD) + 1})) AS j, unnest(line) AS c FROM products)
+    SELECT {_TERMS!r}[i + 1] AS term, {_TERMS!r}[j + 1] AS other, {r('sum(p * (1.0::DOUBLE - p) * c)', 4)} AS value
+    FROM entries GROUP BY ALL"""
+)
+def information_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    """Curvature of the likelihood at the fixed card: what its Wald tests rest on."""
+    book, binning = prebinning(spark, sf)
+    woe = binning.transform(book, ["id"], CARD)
+    rows = woe.select(F.array(*[f"woe_{f}" for f in CARD]).alias("x"))
+    found = scorecard.information(rows, "x", list(CARD.values()), INTERCEPT)
+    names = F.array(*[F.lit(t) for t in _TERMS])
+    return tidy(found.select(names[F.col("i")].alias("term"), names[F.col("j")].alias("other"), "value"), 4)
+
+
 _LOSSES = ", ".join(
     f"('{f}', {c!r}::DOUBLE)" for f, c in CARD.items()
 )

@@ -93,6 +93,20 @@ def test_pruning_keeps_the_stronger_feature():
     assert scorecard.prune_correlated(matrix, ["x", "y", "z"])[0] == ["x", "y", "z"]
 
 
+def test_a_constant_column_has_a_wald_test_too(spark):
+    rng = np.random.default_rng(9)
+    x = np.column_stack([rng.normal(size=500), np.ones(500)])
+    df = spark.createDataFrame([(row.tolist(),) for row in x], "x array<double>").repartition(3)
+    p = 1 / (1 + np.exp(-(x @ [-0.7, 0.0] - 1.0)))
+    design = np.column_stack([x, np.ones(500)])
+    expected = design.T @ (design * (p * (1 - p))[:, None])
+    found = {(i, j): v for i, j, v in scorecard.information(df, "x", [-0.7, 0.0], -1.0).collect()}
+    assert all(found[i, j] == pytest.approx(expected[i, j]) for i in range(3) for j in range(3))
+    tests = scorecard.wald(df, "x", [-0.7, 0.0], -1.0)
+    assert np.isfinite(np.array(tests)).all() and tests[0][2] < 1e-4 < tests[1][2]
+    assert scorecard.information(df.where("false"), "x", [-0.7, 0.0], -1.0).agg(F.sum("value")).first()[0] in (None, 0.0)
+
+
 def test_wrong_signs_are_dropped_one_by_one(spark):
     rng = np.random.default_rng(4)
     n = 4000
