@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.operators import mart
+from creditloom.operators import asof, mart
 from creditloom.plans.common import r, tidy
 from creditloom.sources import views
 from creditloom.sources.staging import shared_folder
@@ -257,6 +257,102 @@ def mart_flags(spark: SparkSession, sf: str) -> DataFrame:
     return mart.recurring_flags(views.txn(spark, sf))
 
 
+# ------------------------------------------------------------- as of each application
+
+_FLAGS = ("A", "N", "R")
+_BACK = (30, 90, 365)
+
+_ASOF_SQL = """
+WITH asked AS (SELECT o_orderkey AS id, o_custkey AS user_id, CAST(o_orderdate AS DATE) AS decision_day FROM orders),
+log AS (SELECT o_custkey AS user_id, CAST(l_shipdate AS DATE) AS day, l_returnflag AS type, l_extendedprice AS amount
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+met AS (SELECT id, a.user_id, decision_day, date_diff('day', day, decision_day) AS age, type, amount
+        FROM asked a LEFT JOIN log l ON a.user_id = l.user_id AND day < decision_day)
+"""
+
+
+def _decisions(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as applications: each looks back from its own day."""
+    return views.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("at")
+    )
+
+
+def _lines(spark: SparkSession, sf: str) -> DataFrame:
+    orders = views.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("user_id"), "o_orderdate"
+    )
+    return views.table(spark, sf, "lineitem").join(orders, "l_orderkey")
+
+
+def _shipments(spark: SparkSession, sf: str) -> DataFrame:
+    return _lines(spark, sf).select(
+        "user_id",
+        F.col("l_shipdate").alias("ts"),
+        F.col("l_returnflag").alias("type"),
+        F.col("l_extendedprice").alias("amount"),
+    )
+
+
+@query(
+    _ASOF_SQL
+    + "SELECT id, user_id, decision_day, "
+    + ", ".join(f"count(*) FILTER (type = '{t}' AND age <= {d}) AS {t}_count_{d}d" for t in _FLAGS for d in _BACK)
+    + ", "
+    + ", ".join(f"{r(f'sum(amount) FILTER (age <= {d})', 2)} AS amount_{d}d" for d in _BACK)
+    + " FROM met GROUP BY ALL"
+)
+def mart_asof_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Shipments to a customer in the days before each of their orders."""
+    found = asof.activity(_shipments(spark, sf), _decisions(spark, sf), _BACK, _FLAGS, key="id", at="at")
+    return tidy(found, 2)
+
+
+@query(
+    _ASOF_SQL
+    + """SELECT id, user_id, decision_day, CAST(max(age) AS INTEGER) AS tenure_days,
+         CAST(min(age) AS INTEGER) AS days_since_last,
+         CAST(min(age) FILTER (type = 'R') AS INTEGER) AS days_since_outflow FROM met GROUP BY ALL"""
+)
+def mart_asof_recency(spark: SparkSession, sf: str) -> DataFrame:
+    return asof.recency(_shipments(spark, sf), _decisions(spark, sf), "R", key="id", at="at")
+
+
+_TERM = 60
+
+
+@query(
+    f"""
+    WITH asked AS (SELECT o_orderkey AS id, o_custkey AS user_id, CAST(o_orderdate AS DATE) AS decision_day FROM orders),
+    loans AS (SELECT o_custkey AS user_id, l_suppkey AS lender, CAST(o_orderdate AS DATE) AS opened,
+                     CASE WHEN l_linestatus = 'F' THEN CAST(l_shipdate AS DATE) END AS repaid, l_extendedprice AS principal
+              FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+    met AS (SELECT id, a.user_id, decision_day, lender, opened, principal, repaid <= opened + {_TERM} AS ontime,
+                   repaid IS NOT NULL AND greatest(repaid, opened) < decision_day AS shut
+            FROM asked a LEFT JOIN loans l ON a.user_id = l.user_id AND opened < decision_day),
+    held AS (SELECT *, opened IS NOT NULL AND NOT shut AS held FROM met)
+    SELECT id, user_id, decision_day, count(opened) AS prior_loan_count,
+           {r("avg(CASE WHEN ontime THEN 1 ELSE 0 END) FILTER (shut)")} AS ontime_share,
+           CAST(min(date_diff('day', opened, decision_day)) AS INTEGER) AS days_since_last_loan,
+           {r("count(*) FILTER (date_diff('day', opened, decision_day) <= 90) / 3.0::DOUBLE")} AS stacking_velocity,
+           count(DISTINCT lender) FILTER (held) AS active_lenders,
+           {r("coalesce(sum(principal) FILTER (held), 0.0)", 2)} AS exposure
+    FROM held GROUP BY ALL"""
+)
+def mart_loan_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines as loans from suppliers: opened with the order, repaid when a finished line ships."""
+    loans = _lines(spark, sf).select(
+        "user_id",
+        F.col("l_suppkey").alias("lender"),
+        F.col("o_orderdate").alias("opened"),
+        F.date_add(F.to_date("o_orderdate"), _TERM).alias("due"),
+        F.when(F.col("l_linestatus") == "F", F.col("l_shipdate")).alias("repaid"),
+        F.col("l_extendedprice").alias("principal"),
+    )
+    found = asof.loan_history(loans, _decisions(spark, sf), key="id", at="at")
+    return tidy(found.withColumn("exposure", F.round("exposure", 2)))
+
+
 # ---------------------------------------------------------------------------- streams
 
 

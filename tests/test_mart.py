@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from creditloom.operators import mart
+from creditloom.operators import asof, mart
 from creditloom.sources.views import days_since_previous
 
 START = dt.datetime(2024, 1, 1)
@@ -153,3 +153,66 @@ def test_trend_sizes_and_flags(spark):
     last = by_user(mart.recency(df, at()))
     assert last.loc[1, "days_since_outflow"] == 5 and last.loc[1, "tenure_days"] == 28
     assert pd.isna(last.loc[2, "days_since_outflow"])
+
+
+# ------------------------------------------------------- as of each application
+
+
+def test_each_application_looks_back_from_its_own_day(spark):
+    log = spark.createDataFrame(
+        [(1, "2024-03-01 09:00:00", "in", 5.0), (1, "2024-03-01 23:00:00", "out", 2.0), (1, "2024-03-10 01:00:00", "in", 1.0),
+         (None, "2024-03-01 01:00:00", "in", 9.0), (1, None, "in", 9.0), (2, "2024-03-05 00:00:00", "in", 4.0)],
+        "user_id long, ts string, type string, amount double",
+    ).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    asked = spark.createDataFrame(
+        [(10, 1, "2024-03-01 23:59:00"), (11, 1, "2024-03-11 00:00:00"), (12, 1, "2024-03-11 12:00:00"),
+         (12, 1, "2024-03-11 12:00:00"), (13, 2, "2024-03-05 10:00:00"), (14, 3, "2024-03-05 00:00:00"),
+         (15, None, "2024-03-11 00:00:00"), (16, 1, None)],
+        "id long, user_id long, at string",
+    ).withColumn("at", F.col("at").cast("timestamp_ntz"))
+    got = asof.activity(log, asked, [5, 10], ["in", "out"], key="id", at="at").collect()
+    assert len(got) == 8 and sum(r["id"] == 12 for r in got) == 2
+    by = {r["id"]: (r["in_count_5d"], r["in_count_10d"], r["out_count_10d"], r["amount_10d"]) for r in got}
+    assert by[11] == by[12] == (1, 2, 1, 8.0)
+    assert all(by[i] == (0, 0, 0, None) for i in (10, 13, 14, 15, 16))
+    seen = {r["id"]: r for r in asof.recency(log, asked, "out", key="id", at="at").collect()}
+    assert (seen[11]["tenure_days"], seen[11]["days_since_last"], seen[11]["days_since_outflow"]) == (10, 1, 10)
+    assert seen[10]["tenure_days"] is None and seen[15]["days_since_last"] is None
+    empty = asof.activity(log.limit(0), asked, [5], ["in"], key="id", at="at")
+    assert empty.count() == 8 and empty.agg(F.sum("in_count_5d")).first()[0] == 0
+
+
+def test_a_hot_user_equals_a_plain_join(spark):
+    rng = np.random.default_rng(5)
+    n = 3000
+    users = np.where(rng.random(n) < 0.6, 0, rng.integers(1, 40, n))
+    days = pd.Timestamp("2024-01-01") + pd.to_timedelta(rng.integers(0, 120 * 24, n), unit="h")
+    log = pd.DataFrame({"user_id": users, "ts": days, "type": rng.choice(["in", "out"], n), "amount": 1.0})
+    asked = log.sample(400, random_state=1)[["user_id", "ts"]].reset_index(drop=True)
+    asked["id"] = np.arange(len(asked))
+    asked = asked.rename(columns={"ts": "at"})
+    got = asof.activity(
+        spark.createDataFrame(log), spark.createDataFrame(asked), [30], ["in", "out"], key="id", at="at"
+    ).collect()
+    pairs = asked.merge(log, on="user_id")
+    age = (pairs["at"].dt.normalize() - pairs["ts"].dt.normalize()).dt.days
+    expected = pairs[(age >= 1) & (age <= 30)].groupby(["id", "type"]).size()
+    for row in got:
+        assert row["in_count_30d"] == expected.get((row["id"], "in"), 0)
+        assert row["out_count_30d"] == expected.get((row["id"], "out"), 0)
+
+
+def test_lenders_count_while_any_of_their_loans_is_open(spark):
+    loans = spark.createDataFrame(
+        [(1, "x", "2024-01-01", "2024-02-01", "2024-01-20", 100.0), (1, "x", "2024-01-10", "2024-02-10", None, 50.0),
+         (1, "y", "2024-01-05", "2024-01-10", "2024-01-15", 30.0), (1, "z", "2024-01-08", "2024-01-10", "2024-01-02", 7.0)],
+        "user_id long, lender string, opened string, due string, repaid string, principal double",
+    )
+    asked = spark.createDataFrame([(1, 1, "2024-01-01"), (2, 1, "2024-01-12"), (3, 1, "2024-01-31"), (4, 2, "2024-01-31")],
+                                  "id long, user_id long, at string")
+    got = {r["id"]: r for r in asof.loan_history(loans, asked, key="id", at="at").collect()}
+    shown = lambda r: (r["prior_loan_count"], r["ontime_share"], r["active_lenders"], r["exposure"])
+    assert shown(got[1]) == shown(got[4]) == (0, None, 0, 0.0)
+    assert shown(got[2]) == (4, 1.0, 2, 180.0)
+    assert shown(got[3]) == (4, pytest.approx(2 / 3), 1, 50.0)
+    assert (got[3]["days_since_last_loan"], got[3]["stacking_velocity"]) == (21, pytest.approx(4 / 3))
