@@ -15,70 +15,124 @@ from creditloom.functions.ordering import bucket_count, splitters
 from creditloom.operators.metrics import discrimination
 
 
+#: Cells whose weights are drawn and added up at a time.
+BLOCK = 256
+#: Tasks that may share the cells of one score.
+SALTS = 64
+
+
+def _draws(keys: np.ndarray, counts: np.ndarray, replicates: int) -> np.ndarray:
+    """(cells x replicates) Poisson weights, each row from a stream of its cell's own."""
+    return np.stack(
+        [
+            np.random.Generator(np.random.Philox(key=int(k) & (2**64 - 1))).poisson(n, replicates)
+            for k, n in zip(keys, counts, strict=True)
+        ]
+    ).astype(float)
+
+
+class _Running:
+    """Totals per replicate of one stretch of cells in score order; the last score is still open."""
+
+    def __init__(self, replicates: int):
+        self.bads, self.goods, self.pairs = (np.zeros(replicates) for _ in range(3))
+        self.tied_bad, self.tied_good = np.zeros((1, replicates)), np.zeros((1, replicates))
+        self.at = None
+
+    def add(self, score: np.ndarray, bad: np.ndarray, weights: np.ndarray) -> None:
+        starts = np.flatnonzero(np.r_[True, score[1:] != score[:-1]])
+        bads = np.add.reduceat(weights * bad[:, None], starts)
+        goods = np.add.reduceat(weights * ~bad[:, None], starts)
+        if score[0] == self.at:
+            bads[0] += self.tied_bad[0]
+            goods[0] += self.tied_good[0]
+        else:
+            self._close(self.tied_bad, self.tied_good)
+        self._close(bads[:-1], goods[:-1])
+        self.tied_bad, self.tied_good, self.at = bads[-1:], goods[-1:], score[-1]
+
+    def _close(self, bads: np.ndarray, goods: np.ndarray) -> None:
+        """Each bad outranks the goods of all lower scores; ties count half."""
+        below = self.goods + np.cumsum(goods, axis=0) - goods
+        self.pairs = self.pairs + (bads * (below + goods / 2.0)).sum(axis=0)
+        self.bads, self.goods = self.bads + bads.sum(axis=0), self.goods + goods.sum(axis=0)
+
+    def report(self, bucket: int) -> pd.DataFrame:
+        self._close(self.tied_bad, self.tied_good)
+        pairs = 0.0 if bucket % 2 else self.pairs  # one score alone: settled once its parts are together
+        return pd.DataFrame(
+            {
+                "bucket": np.int32(bucket),
+                "replicate": np.arange(len(self.bads), dtype=np.int32),
+                "bads": self.bads,
+                "goods": self.goods,
+                "pairs": pairs,
+            }
+        )
+
+
+def placed_cells(cells: DataFrame, score: str) -> DataFrame:
+    """Cells by (bucket, salt) in score order: even buckets hold the scores between two cut points.
+
+    A score that many cells share is a cut point. Every cut point is an odd bucket of its own, whose
+    cells need no order and are therefore spread over several tasks.
+    """
+    buckets = bucket_count(cells.sparkSession)
+    edges = splitters(cells, [score], buckets)
+    binned = with_bins(cells.withColumn(score, F.col(score).cast("double")), edges)
+    place = F.col(f"_bin_{score}")
+    cuts = edges[score]
+    alone = F.coalesce(F.get(F.lit(cuts), place) == F.col(score), F.lit(False)) if cuts else F.lit(False)
+    salt = F.when(alone, F.pmod("key", F.lit(min(buckets, SALTS)))).otherwise(0).cast("int")
+    return (
+        binned.select(
+            (2 * place + alone.cast("int")).cast("int").alias("bucket"),
+            salt.alias("salt"),
+            F.col(score).alias("s"),
+            "y",
+            "n",
+            "key",
+        )
+        .repartition("bucket", "salt")
+        .sortWithinPartitions("bucket", "salt", "s")
+    )
+
+
 def _replicate_sums(
     cells: DataFrame, score: str, replicates: int, model: str
 ) -> DataFrame:
     """Per (bucket, replicate): weighted bads, goods, and concordant pairs inside the bucket.
 
-    Cells stream through a task in score order, a few hundred at a time, against a vector with
-    one running total per replicate; rows are never multiplied by the number of replicates.
+    Cells stream through a task a block at a time against one running total per replicate; rows
+    are never multiplied by the number of replicates.
     """
-    spark = cells.sparkSession
-    edges = splitters(cells, [score], bucket_count(spark))
-    placed = (
-        with_bins(cells, edges)
-        .select(F.col(f"_bin_{score}").alias("bucket"), F.col(score).alias("s"), "y", "n", "key")
-        .repartition("bucket")
-        .sortWithinPartitions("bucket", "s")
-    )
-
-    def weights(key: int, n: int) -> np.ndarray:
-        return np.random.Generator(np.random.Philox(key=key & (2**64 - 1))).poisson(n, replicates)
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bucket, at = None, None
-        bads = goods = pairs = tied_bad = tied_good = None
-
-        def settle() -> None:
-            """Close a run of equal scores: ties count half."""
-            nonlocal bads, goods, pairs, tied_bad, tied_good
-            pairs = pairs + tied_bad * (goods + tied_good / 2.0)
-            bads, goods = bads + tied_bad, goods + tied_good
-            tied_bad, tied_good = np.zeros(replicates), np.zeros(replicates)
-
-        def report() -> pd.DataFrame:
-            settle()
-            return pd.DataFrame(
-                {
-                    "bucket": bucket,
-                    "replicate": np.arange(replicates),
-                    "bads": bads,
-                    "goods": goods,
-                    "pairs": pairs,
-                }
-            )
-
+        here, running = None, None
         for batch in batches:
-            for r in batch.itertuples(index=False):
-                if r.bucket != bucket:
-                    if bucket is not None:
-                        yield report()
-                    bucket, at = r.bucket, None
-                    bads, goods, pairs = (np.zeros(replicates) for _ in range(3))
-                    tied_bad, tied_good = np.zeros(replicates), np.zeros(replicates)
-                if r.s != at:
-                    settle()
-                    at = r.s
-                w = weights(r.key, r.n)
-                if r.y:
-                    tied_bad += w
-                else:
-                    tied_good += w
-        if bucket is not None:
-            yield report()
+            for first in range(0, len(batch), BLOCK):
+                block = batch.iloc[first : first + BLOCK]
+                weights = _draws(block["key"].to_numpy(), block["n"].to_numpy(), replicates)
+                places = block[["bucket", "salt"]].to_numpy()
+                score_, bad = block["s"].to_numpy(), block["y"].to_numpy() != 0
+                turns = np.flatnonzero((places[1:] != places[:-1]).any(axis=1)) + 1
+                for rows in np.split(np.arange(len(block)), turns):
+                    place = tuple(places[rows[0]])
+                    if place != here:
+                        if running is not None:
+                            yield running.report(int(here[0]))
+                        here, running = place, _Running(replicates)
+                    running.add(score_[rows], bad[rows], weights[rows])
+        if running is not None:
+            yield running.report(int(here[0]))
 
     schema = "bucket int, replicate int, bads double, goods double, pairs double"
-    return placed.mapInPandas(sums, schema).withColumn("model", F.lit(model))
+    parts = placed_cells(cells, score).mapInPandas(sums, schema)
+    whole = parts.groupBy("bucket", "replicate").agg(
+        F.sum("bads").alias("bads"), F.sum("goods").alias("goods"), F.sum("pairs").alias("pairs")
+    )
+    tied = F.when(F.col("bucket") % 2 == 1, F.col("bads") * F.col("goods") / 2.0).otherwise(F.col("pairs"))
+    return whole.withColumn("pairs", tied).withColumn("model", F.lit(model))
 
 
 def replicate_ginis(
