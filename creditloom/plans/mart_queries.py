@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.operators import asof, mart
+from creditloom.operators.stability import drift_against
 from creditloom.plans.common import r, tidy
+from creditloom.plans.metric_queries import _DECILES, _TERM, _VERDICT
 from creditloom.sources import views
 from creditloom.sources.staging import shared_folder
 from creditloom.sources.views import TXN_SQL
@@ -318,7 +320,7 @@ def mart_asof_recency(spark: SparkSession, sf: str) -> DataFrame:
     return asof.recency(_shipments(spark, sf), _decisions(spark, sf), "R", key="id", at="at")
 
 
-_TERM = 60
+_LOAN_DAYS = 60
 
 
 @query(
@@ -327,7 +329,7 @@ _TERM = 60
     loans AS (SELECT o_custkey AS user_id, l_suppkey AS lender, CAST(o_orderdate AS DATE) AS opened,
                      CASE WHEN l_linestatus = 'F' THEN CAST(l_shipdate AS DATE) END AS repaid, l_extendedprice AS principal
               FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-    met AS (SELECT id, a.user_id, decision_day, lender, opened, principal, repaid <= opened + {_TERM} AS ontime,
+    met AS (SELECT id, a.user_id, decision_day, lender, opened, principal, repaid <= opened + {_LOAN_DAYS} AS ontime,
                    repaid IS NOT NULL AND greatest(repaid, opened) < decision_day AS shut
             FROM asked a LEFT JOIN loans l ON a.user_id = l.user_id AND opened < decision_day),
     held AS (SELECT *, opened IS NOT NULL AND NOT shut AS held FROM met)
@@ -345,7 +347,7 @@ def mart_loan_history(spark: SparkSession, sf: str) -> DataFrame:
         "user_id",
         F.col("l_suppkey").alias("lender"),
         F.col("o_orderdate").alias("opened"),
-        F.date_add(F.to_date("o_orderdate"), _TERM).alias("due"),
+        F.date_add(F.to_date("o_orderdate"), _LOAN_DAYS).alias("due"),
         F.when(F.col("l_linestatus") == "F", F.col("l_shipdate")).alias("repaid"),
         F.col("l_extendedprice").alias("principal"),
     )
@@ -418,17 +420,27 @@ def stream_sessions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query()
-def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
-    """PSI of each micro-batch of amounts against the first half of the month."""
-    history = views.txn(spark, sf).where(F.col("ts") < F.expr("TIMESTAMP_NTZ '2024-01-16 00:00:00'"))
-    edges, shares = monitor.reference_shares(history, ["amount"])
-    folder = f"{shared_folder(spark)}/creditloom/drift-{uuid.uuid4().hex}"
+_REFERENCE_END = "2024-01-16"
 
-    def sink(found: DataFrame, batch_id: int) -> None:
-        found.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
 
-    stream = events.read_events(spark, _source(sf)).select("amount")
-    monitor.watch(stream, edges, shares, sink, checkpoint=f"{folder}/checkpoint").awaitTermination()
-    found = spark.read.parquet(f"{folder}/out")
-    return found.select("feature", F.col("batch").cast("bigint").alias("batch"), "psi", "verdict")
+@query(
+    f"""
+    WITH base AS (SELECT value AS v, CAST(ts AS DATE) AS day FROM events WHERE value IS NOT NULL AND NOT isnan(value)),
+    edges AS (SELECT list_sort(list_distinct(quantile_cont(v, {_DECILES}))) AS e FROM base WHERE day < '{_REFERENCE_END}'),
+    placed AS (SELECT day, len(list_filter(e, lambda x: x < v)) AS b FROM base, edges),
+    expected AS (SELECT b, count(*) / sum(count(*)) OVER () AS e FROM placed WHERE day < '{_REFERENCE_END}' GROUP BY b),
+    counts AS (SELECT day, b, count(*) AS n FROM placed WHERE day >= '{_REFERENCE_END}' GROUP BY ALL),
+    days AS (SELECT day, sum(n) AS n FROM counts WHERE CAST(day AS TIMESTAMP) + INTERVAL 1 DAY <= {_CLOSED} GROUP BY day),
+    filled AS (SELECT d.day, coalesce(x.e, 0.0::DOUBLE) AS e, coalesce(c.n, 0) / d.n AS a
+               FROM days d, edges, unnest(range(0, len(edges.e) + 1)) t(b)
+               LEFT JOIN expected x ON x.b = t.b LEFT JOIN counts c ON c.day = d.day AND c.b = t.b),
+    value AS (SELECT day, sum({_TERM}) AS v FROM filled GROUP BY day)
+    SELECT 'amount' AS feature, day, {r('greatest(v, 0.0::DOUBLE)')} AS psi, {_VERDICT.format(v='v')} AS verdict FROM value"""
+)
+def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """PSI of each closed day of amounts after the reference period, against that period."""
+    history = views.txn(spark, sf).where(F.col("ts") < F.expr(f"TIMESTAMP_NTZ '{_REFERENCE_END} 00:00:00'"))
+    edges, shares = monitor.reference_shares(history, ["amount"])
+    live = events.read_events(spark, _source(sf))
+    cells = _run(spark, monitor.daily_cells(live, edges), "drift").where(F.col("day") >= F.lit(_REFERENCE_END))
+    return tidy(drift_against(cells, shares, "day"))

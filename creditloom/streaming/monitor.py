@@ -1,4 +1,4 @@
-"""Drift of a scored stream against a fixed reference, one verdict per micro-batch."""
+"""Drift of a stream against a fixed reference, per event day or per micro-batch."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from creditloom.functions.expr import from_epoch_micros
 from creditloom.operators.stability import EPS, _cells, drift_against, stability_edges
 
 
@@ -26,6 +27,19 @@ def reference_shares(
     return edges, shares
 
 
+def daily_cells(
+    stream: DataFrame, edges: Mapping[str, Sequence[float]], *, ts: str = "ts", lateness: str = "1 day"
+) -> DataFrame:
+    """(feature, place, day, n) of every UTC event day that the watermark has closed.
+
+    State is one row per open day, feature and bin, whatever the triggers were.
+    """
+    rows = _cells(stream.withWatermark(ts, lateness), [ts], edges)
+    counts = rows.groupBy("feature", "place", F.window(ts, "1 day").alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    day = F.to_date(from_epoch_micros(F.unix_micros("w.start")))
+    return counts.select("feature", "place", day.alias("day"), "n")
+
+
 def batch_drift(
     batch: DataFrame, edges: Mapping[str, Sequence[float]], shares: DataFrame, batch_id: int
 ) -> DataFrame:

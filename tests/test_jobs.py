@@ -261,3 +261,31 @@ def test_drift_per_micro_batch(spark, tmp_path):
 
     monitor.watch(stream, edges, shares, sink, checkpoint=str(tmp_path / "cp")).awaitTermination()
     assert sorted(seen.values()) == ["stable", "unstable"]
+
+
+def test_daily_drift_counts_do_not_depend_on_files(spark, tmp_path):
+    rng = np.random.default_rng(31)
+    n = 600
+    pdf = pd.DataFrame(
+        {"ts": pd.Timestamp("2024-01-01") + pd.to_timedelta(rng.integers(0, 6 * 86400, n), unit="s"), "x": rng.normal(size=n)}
+    )
+    pdf.loc[:20, "x"] = np.nan
+    live = spark.createDataFrame(pdf).withColumn("ts", F.col("ts").cast("timestamp"))
+    edges = {"x": [-0.5, 0.5]}
+    for files in (1, 5):
+        live.repartition(files).write.parquet(str(tmp_path / f"in{files}"))
+        stream = spark.readStream.schema(live.schema).parquet(str(tmp_path / f"in{files}"))
+        job = (
+            monitor.daily_cells(stream, edges)
+            .writeStream.format("parquet")
+            .option("checkpointLocation", str(tmp_path / f"cp{files}"))
+            .trigger(availableNow=True)
+            .start(str(tmp_path / f"out{files}"))
+        )
+        job.awaitTermination()
+        got = spark.read.parquet(str(tmp_path / f"out{files}")).toPandas()
+        day = pdf["ts"].dt.date
+        closed = pdf[(pdf["ts"].dt.normalize() + pd.Timedelta(days=2) <= pdf["ts"].max()) & pdf["x"].notna()]
+        place = np.searchsorted(edges["x"], closed["x"]).astype(str)
+        expected = closed.groupby([day[closed.index], place]).size().to_dict()
+        assert {(r.day, r.place): r.n for r in got.itertuples()} == expected and len(expected) > 6
