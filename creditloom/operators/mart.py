@@ -109,13 +109,13 @@ def trend(
     return sums.select(user, "recent", "earlier", growth.alias("growth"), "slope")
 
 
-def daily_balances(
+def balance_runs(
     df: DataFrame, signed: Column, *, user: str = "user_id", ts: str = "ts"
 ) -> DataFrame:
-    """End-of-day running balance on every calendar day between a user's first and last.
+    """End-of-day running balance as runs of days, ``day`` to ``until``, between a user's first and last.
 
     Amounts fold to one row per user and day before the running sum; days without a movement
-    carry the last balance forward.
+    carry the last balance forward inside a run.
     """
     moves = df.groupBy(user, F.to_date(ts).alias("day")).agg(F.sum(signed).alias("net"))
     order = Window.partitionBy(user).orderBy("day")
@@ -126,21 +126,44 @@ def daily_balances(
         F.lead("day").over(order).alias("next_day"),
     )
     until = F.coalesce(F.date_sub("next_day", 1), F.col("day"))
-    return closing.select(user, F.explode(F.sequence("day", until)).alias("day"), "balance")
+    return closing.select(user, "day", until.alias("until"), "balance")
+
+
+def daily_balances(
+    df: DataFrame, signed: Column, *, user: str = "user_id", ts: str = "ts"
+) -> DataFrame:
+    """The balance on every calendar day: runs unfolded, for those who want the days themselves."""
+    runs = balance_runs(df, signed, user=user, ts=ts)
+    return runs.select(user, F.explode(F.sequence("day", "until")).alias("day"), "balance")
+
 
+def balance_features(balances: DataFrame, *, user: str = "user_id", tail: int = 5) -> DataFrame:
+    """Mean, minimum, variation, empty days and month-end ratio of daily balances.
 
-def balance_features(days: DataFrame, *, user: str = "user_id", tail: int = 5) -> DataFrame:
-    """Mean, minimum, variation, empty days and month-end ratio of daily balances."""
-    last = F.max("day").over(Window.partitionBy(user))
-    marked = days.withColumn("_tail", F.datediff(last, "day") < tail)
-    mean = F.avg("balance")
-    return marked.groupBy(user).agg(
-        F.count(F.lit(1)).alias("days"),
+    Takes runs or single days; a run weighs as many days as it has and is never unfolded.
+    """
+    if "until" not in balances.columns:
+        balances = balances.withColumn("until", F.col("day"))
+    whole = Window.partitionBy(user)
+    days = F.datediff("until", "day") + 1
+    late = F.datediff(F.max("until").over(whole), "day") + 1  # days from the run's start to the last
+    weighted = balances.select(
+        user,
+        "balance",
+        days.alias("_n"),
+        F.greatest(F.least(days, F.lit(tail) - (late - days)), F.lit(0)).alias("_tail"),
+        (F.sum(days * F.col("balance")).over(whole) / F.sum(days).over(whole)).alias("_mean"),
+    )
+    mean, off = F.first("_mean"), F.col("balance") - F.col("_mean")
+    spread = F.sqrt(F.sum(F.col("_n") * off * off) / F.sum("_n"))
+    late_mean = F.try_divide(F.sum(F.col("_tail") * F.col("balance")), F.sum("_tail"))
+    return weighted.groupBy(user).agg(
+        F.sum("_n").alias("days"),
         mean.alias("avg_balance"),
         F.min("balance").alias("min_balance"),
-        F.try_divide(F.stddev_pop("balance"), F.abs(mean)).alias("balance_cv"),
-        F.count_if(F.col("balance") <= 0).alias("zero_days"),
-        F.try_divide(F.avg(F.when(F.col("_tail"), F.col("balance"))), mean).alias("month_end_ratio"),
+        F.try_divide(spread, F.abs(mean)).alias("balance_cv"),
+        F.sum(F.when(F.col("balance") <= 0, F.col("_n")).otherwise(0)).alias("zero_days"),
+        F.try_divide(late_mean, mean).alias("month_end_ratio"),
     )
 
 

@@ -131,8 +131,8 @@ _SIGNED = "CASE type WHEN 'signup' THEN amount WHEN 'purchase' THEN -amount ELSE
 )
 def mart_daily(spark: SparkSession, sf: str) -> DataFrame:
     """Daily balance features; sign-ups stand in for inflows and purchases for outflows."""
-    days = mart.daily_balances(views.txn(spark, sf), F.expr(_SIGNED))
-    return tidy(mart.balance_features(days), 4)
+    runs = mart.balance_runs(views.txn(spark, sf), F.expr(_SIGNED))
+    return tidy(mart.balance_features(runs), 4)
 
 
 @query(

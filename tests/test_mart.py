@@ -74,6 +74,8 @@ def test_concentration_and_entropy(txn, log):
 def test_daily_balances(txn, log):
     signed = F.expr("CASE type WHEN 'signup' THEN amount WHEN 'purchase' THEN -amount ELSE 0.0 END")
     got = by_user(mart.balance_features(mart.daily_balances(txn, signed)))
+    runs = by_user(mart.balance_features(mart.balance_runs(txn, signed)))
+    pd.testing.assert_frame_equal(runs.sort_index(), got.sort_index())
     sign = log["type"].map({"signup": 1, "purchase": -1}).fillna(0)
     for user, part in log.assign(v=sign * log["amount"]).groupby("user_id"):
         daily = part.groupby(part["ts"].dt.normalize())["v"].sum().asfreq("D", fill_value=0).cumsum()
