@@ -1,20 +1,23 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
-Each token sits in the restaurant of its context: the word before it if that is one of the
-``contexts`` most frequent words, the start of the text, or "other". All context restaurants share
+Each token sits in the restaurant of its context: the word before it, whatever its frequency, or the
+start of the text. All context restaurants share
 one parent, whose customers are their tables; the parent's own tables serve each word once, and its
 chance of a new table is the chance of a word never seen. So p(w | u) = (c_uw - d t_uw) / (a + c_u)
 + (a + d t_u) / (a + c_u) * p(w), and p(w) likewise from the tables, with p(unknown) the mass left.
 
 Seating is sampled by Gibbs: given the parent's predictive, the customers of each (context, word) are
 seated anew, one by one for the first 32 and in growing groups after that; tables and the predictive of
-``samples`` sweeps after ``burn`` are averaged. Words are partitioned, so all restaurants' customers for a word meet in
-one task; only totals per context pass between sweeps. Discounts come from the numbers of pairs and
-words seen once and twice.
+``samples`` sweeps after ``burn`` are averaged. Pairs (context, word) are counted on the map side and lie in the
+bucket of their word; those of the ``frequent`` words in the bucket of the pair, so that a word after
+many others has no task of its own. Totals per context meet in the bucket of the context, a row for each bucket
+that has pairs of it, and go back to those buckets; totals per context, and the parent's customers of frequent
+words, are fixed during a sweep. Discounts come from the numbers of pairs and words seen once and twice.
 
-Counts: frequent words (``frequent`` of them, a bounded table) are summed inside each task, others by word. Scoring: frequent words
-are looked up in a broadcast of that bounded table; the others travel to their word's bucket,
-packed by batch, and sums per document come back. No key is hot in either direction.
+Scoring: the ``near`` most frequent pairs are looked up in a broadcast of that bounded table; other tokens travel to their
+pair's bucket, packed by batch. A pair never seen there needs only its context's totals besides the word: those
+of the ``contexts`` most frequent words are broadcast, others are asked in the context's bucket. Sums per document come back.
+No key is hot in either direction.
 
 Null and empty texts consist of the end token. Documents without id count as not held out, repeated rows each count. Without
 training documents every probability is 1.
@@ -30,18 +33,22 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.staging import stage
-from .arrays import LOWER, U64, slices, span_hashes, utf8, words
+from .arrays import LOWER, U64, mix, slices, span_hashes, utf8, words
 from .spans import PART_BYTES, bucket_of, buckets
+from .written import written
 
 END, START = U64(0x1F83D9ABFB41BD6B), U64(0x5BE0CD19137E2179)
-_WORD = np.dtype([("w", "<u8"), ("c", "<u8"), ("n", "<f4"), ("k", "<u2")])
-_PAIR = np.dtype([("u", "u1"), ("c", "<u8"), ("t", "<f4")])
+_WORD = np.dtype([("w", "<u8"), ("c", "<u8"), ("n", "<f4"), ("k", "<u4")])
+_PAIR = np.dtype([("u", "<u8"), ("c", "<u8"), ("t", "<f4")])
+_ABOUT = np.dtype([("u", "<u8"), ("c", "<f8"), ("t", "<f8")])
+_NEAR = np.dtype([("key", "<u8"), ("base", "<f8"), ("score", "<f8")])
 _ASK = np.dtype([("w", "<u8"), ("m", "<u4")])
-_AT = np.dtype([("doc", "<u4"), ("u", "u1")])
+_AT = np.dtype([("doc", "<u4"), ("u", "<u8")])
 _SUM = np.dtype([("doc", "<u4"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
 _DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("held", "u1"), ("tokens", "<u4"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
-_MODEL = "bucket int, words binary, pairs binary, tables binary, customers binary, types binary, counts binary"
+_MODEL = "bucket int, words binary, pairs binary, counts binary"
+#: Pairs that a task counts before it sends them on.
+TASK_PAIRS = 1 << 20
 
 
 def held_out(id_col: Column) -> Column:
@@ -79,35 +86,43 @@ def find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(table[at] == keys, at, -1)
 
 
-def context_of(contexts: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """Restaurant of each token: a frequent word's, the start's, or the one for all other words."""
-    at = find(contexts, before)
-    return np.where(before == START, len(contexts), np.where(at < 0, len(contexts) + 1, at))
+def pair_key(word: np.ndarray, ctx: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each (word, context)."""
+    return mix(word + mix(ctx ^ U64(0x2545F4914F6CDD1D)))
+
+
+def route(word: np.ndarray, ctx: np.ndarray, top: np.ndarray, count: int) -> np.ndarray:
+    """Bucket of each pair: that of its word, or of the pair if the word is frequent."""
+    to = bucket_of(word, count)
+    hot = find(top, word) >= 0
+    to[hot] = bucket_of(pair_key(word[hot], ctx[hot]), count)
+    return to
 
 
 def count_pairs(word: np.ndarray, ctx: np.ndarray, count: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
-    """Distinct (word, context) with their counts, by word."""
-    order = np.lexsort((ctx, word))
-    word, ctx = word[order], ctx[order]
-    new = np.ones(len(word), bool)
-    new[1:] = (word[1:] != word[:-1]) | (ctx[1:] != ctx[:-1])
-    at = np.flatnonzero(new)
+    """Distinct (word, context) with their counts."""
+    key = pair_key(word, ctx)
+    order = np.argsort(key)
+    at = np.flatnonzero(_new(key[order]))
     ones = np.ones(len(word), np.int64) if count is None else count[order].astype(np.int64)
-    return word[at], ctx[at], np.add.reduceat(ones, at) if len(at) else ones
+    return word[order[at]], ctx[order[at]], np.add.reduceat(ones, at) if len(at) else ones
+
+
+def _new(values: np.ndarray) -> np.ndarray:
+    out = np.ones(len(values), bool)
+    out[1:] = values[1:] != values[:-1]
+    return out
 
 
-def pack(word: np.ndarray, ctx: np.ndarray, count: np.ndarray, tables=None, mean=None) -> tuple[bytes, bytes]:
+def pack(word: np.ndarray, ctx: np.ndarray, count: np.ndarray, tables=None) -> tuple[bytes, bytes]:
     """Pairs sorted by word as one record per word and one per pair."""
-    w, first, k = np.unique(word, return_index=True, return_counts=True)
-    head = np.zeros(len(w), _WORD)
-    head["w"], head["k"] = w, k
-    if len(w):
-        head["c"] = np.add.reduceat(count, first)
-    if mean is not None:
-        head["n"] = mean
-    pairs = np.zeros(len(word), _PAIR)
-    pairs["u"], pairs["c"] = ctx, count
-    pairs["t"] = 0 if tables is None else tables
+    first = np.flatnonzero(_new(word))
+    head, pairs = np.zeros(len(first), _WORD), np.zeros(len(word), _PAIR)
+    pairs["u"], pairs["c"], pairs["t"] = ctx, count, 1 if tables is None else tables
+    head["w"], head["k"] = word[first], np.diff(np.append(first, len(word)))
+    if len(first):
+        head["c"] = np.add.reduceat(pairs["c"], first)
+        head["n"] = np.add.reduceat(pairs["t"].astype(float), first)
     return head.tobytes(), pairs.tobytes()
 
 
@@ -115,6 +130,23 @@ def unpack(words_blob: bytes, pairs_blob: bytes) -> tuple[np.ndarray, np.ndarray
     return np.frombuffer(words_blob, _WORD), np.frombuffer(pairs_blob, _PAIR)
 
 
+def add_up(about: np.ndarray) -> np.ndarray:
+    """One record of totals per context, sorted."""
+    about = about[np.argsort(about["u"])]
+    at = np.flatnonzero(_new(about["u"]))
+    out = about[at]
+    if len(at):
+        out["c"], out["t"] = np.add.reduceat(about["c"], at), np.add.reduceat(about["t"], at)
+    return out
+
+
+def context_sums(pairs: np.ndarray) -> np.ndarray:
+    about = np.zeros(len(pairs), _ABOUT)
+    for name in ("u", "c", "t"):
+        about[name] = pairs[name]
+    return add_up(about)
+
+
 def seat(rng, count: np.ndarray, fresh: np.ndarray, discount: float) -> np.ndarray:
     """Tables that ``count`` customers of one dish take, seated one after another.
 
@@ -134,7 +166,7 @@ def seat(rng, count: np.ndarray, fresh: np.ndarray, discount: float) -> np.ndarr
 
 @dataclass
 class Model:
-    """What every task knows: totals per context, discounts, and the frequent words."""
+    """What every task knows: discounts, and totals of frequent words, contexts and pairs (bounded tables)."""
 
     contexts: np.ndarray
     customers: np.ndarray
@@ -144,31 +176,87 @@ class Model:
     strength: float
     n: int
     v: int
+    all_tables: float
     words: np.ndarray
-    pairs: np.ndarray
+    near: np.ndarray
 
     def parent(self, mean: np.ndarray) -> np.ndarray:
         """Predictive of the shared parent; a word without tables there is unknown."""
-        total = self.tables.sum() + self.strength
+        total = self.all_tables + self.strength
         return np.where(mean > 0, np.maximum(mean - self.top_discount, 1e-9), self.strength + self.top_discount * self.v) / total
 
-    def scores(self, words_: np.ndarray, pairs: np.ndarray, at: np.ndarray, ctx: np.ndarray) -> tuple[np.ndarray, ...]:
-        """log10 of base and model probability, and whether known, for tokens at ``at`` (-1: unknown) of a word table."""
-        width = len(self.customers)
-        safe = np.maximum(at, 0)
-        if len(words_):
-            seen = np.where(at >= 0, words_["c"][safe], 0).astype(float)
-            mean = np.where(at >= 0, words_["n"][safe], 0.0)
-            code = np.repeat(np.arange(len(words_)), words_["k"]) * width + pairs["u"]
-            hit = find(code, at * width + ctx)
-            got = np.maximum(hit, 0)
-            own = np.where(hit >= 0, pairs["c"][got] - self.discount * pairs["t"][got].astype(float), 0.0)
-        else:
-            seen = mean = own = np.zeros(len(at))
+    def fresh(self, tables: np.ndarray) -> np.ndarray:
+        """Weight of a new table in restaurants with so many."""
+        return self.strength + self.discount * tables
+
+    def _logs(self, seen, share, parent, own, tables, customers):
         base = np.log10((seen + 0.5) / (self.n + 0.5 * (self.v + 1)))
-        whole = self.strength + self.customers[ctx]
-        p = np.maximum(own, 0) / whole + (self.strength + self.discount * self.tables[ctx]) / whole * self.parent(mean)
-        return base, np.log10(p), seen > 0
+        p = (np.maximum(own, 0) + self.fresh(tables) * parent * share) / (self.strength + customers)
+        return base, np.log10(np.maximum(p, 1e-300)), seen > 0
+
+    def _words(self, words_: np.ndarray, at: np.ndarray, token: np.ndarray):
+        """Count and mean customers of words at ``at`` (-1: not there) of a word table; frequent ones have theirs from the model."""
+        safe, hot = np.maximum(at, 0), find(self.words["w"], token)
+        out = []
+        for name in ("c", "n"):
+            x = np.where(at >= 0, words_[name][safe], 0).astype(float) if len(words_) else np.zeros(len(at))
+            out.append(np.where(hot >= 0, self.words[name][hot], x) if len(self.words) else x)
+        return *out, hot >= 0
+
+    def scores(self, words_: np.ndarray, pairs: np.ndarray, at: np.ndarray, ctx: np.ndarray) -> tuple[np.ndarray, ...]:
+        """log10 of base and model probability, and whether known, for records at ``at`` (-1: unknown) of a word table,
+        after the broadcast contexts at ``ctx``. A frequent word has a record in each bucket with pairs of it; they
+        share its chance by their tables.
+        """
+        row = np.repeat(np.arange(len(words_)), words_["k"])
+        keys = pair_key(row.astype(U64), pairs["u"])
+        order = np.argsort(keys)
+        hit = find(keys[order], pair_key(at.astype(U64), self.contexts[ctx]))
+        own = np.zeros(len(at))
+        got = order[hit[hit >= 0]]
+        own[hit >= 0] = pairs["c"][got] - self.discount * pairs["t"][got].astype(float)
+        token = np.where(at >= 0, words_["w"][np.maximum(at, 0)], 0).astype(U64) if len(words_) else np.zeros(len(at), U64)
+        seen, mean, hot = self._words(words_, at, token)
+        hot &= at >= 0
+        share = np.ones(len(at))
+        share[hot] = words_["n"][at[hot]] / mean[hot]
+        return self._logs(seen, share, self.parent(mean), own, self.tables[ctx], self.customers[ctx])
+
+    def lookup(self, part: Part, word: np.ndarray, ctx: np.ndarray) -> tuple[np.ndarray, ...]:
+        """log10 of base and model probability, whether known, and whether the totals of the context, which are
+        missing here, change the result, for tokens whose pairs lie in this bucket."""
+        seen, mean, _ = self._words(part.head, find(part.head["w"], word), word)
+        hit = find(part.keys, pair_key(word, ctx))
+        own = np.zeros(len(word))
+        got = part.order[hit[hit >= 0]]
+        own[hit >= 0] = part.pairs["c"][got] - self.discount * part.pairs["t"][got].astype(float)
+        here, wide = find(part.about["u"], ctx), find(self.contexts, ctx)
+        tables, customers = np.zeros(len(word)), np.zeros(len(word))
+        for place, t, c in ((here, part.about["t"], part.about["c"]), (wide, self.tables, self.customers)):
+            tables[place >= 0], customers[place >= 0] = t[place[place >= 0]], c[place[place >= 0]]
+        return *self._logs(seen, 1.0, self.parent(mean), own, tables, customers), (here < 0) & (wide < 0)
+
+
+@dataclass
+class Part:
+    """Pairs of one bucket, with totals of their contexts."""
+
+    head: np.ndarray
+    pairs: np.ndarray
+    about: np.ndarray
+    keys: np.ndarray
+    order: np.ndarray
+
+
+def part_of(words_blob: bytes, pairs_blob: bytes, about: list[bytes]) -> Part:
+    head, pairs = unpack(words_blob, pairs_blob)
+    totals = context_sums(pairs)
+    for x in about:
+        whole = np.frombuffer(x, _ABOUT)
+        totals[find(totals["u"], whole["u"])] = whole
+    keys = pair_key(np.repeat(head["w"], head["k"]), pairs["u"])
+    order = np.argsort(keys)
+    return Part(head, pairs, totals, keys[order], order)
 
 
 def _parts(batch: pa.RecordBatch, column: int):
@@ -191,14 +279,13 @@ def frequent_words(train: DataFrame, n: int) -> np.ndarray:
     return np.array([r.w for r in top.collect()], np.int64).view(U64)
 
 
-def gather(train: DataFrame, frequent: np.ndarray, contexts: np.ndarray, count: int) -> DataFrame:
-    """Counts of (word, context) by bucket of the word, with totals."""
-    held = train.sparkSession.sparkContext.broadcast((np.sort(frequent), contexts))
-    width = len(contexts) + 2
+def gather(train: DataFrame, top: np.ndarray, count: int) -> DataFrame:
+    """Counts of (word, context) by bucket, with the numbers of customers and of pairs seen once and twice."""
+    held = train.sparkSession.sparkContext.broadcast(top)
 
     def rows(word, ctx, n):
-        to = bucket_of(word, count)
-        by = np.argsort(to, kind="stable")
+        to = route(word, ctx, held.value, count)
+        by = np.lexsort((word, to))
         word, ctx, n, edge = word[by], ctx[by], n[by], np.searchsorted(to[by], np.arange(count + 1))
         some = [b for b in range(count) if edge[b] < edge[b + 1]]
         packed = [pack(*(x[edge[b] : edge[b + 1]] for x in (word, ctx, n))) for b in some]
@@ -208,124 +295,223 @@ def gather(train: DataFrame, frequent: np.ndarray, contexts: np.ndarray, count:
         )
 
     def send(batches):
-        table, ctxs = held.value
-        dense = np.zeros(len(table) * width, np.int64)
+        kept, size = [], 0
         for batch in batches:
             for _, _, data, offsets in _parts(batch, 0):
                 _, token, before = tokens(data, offsets)
-                ctx, at = context_of(ctxs, before), find(table, token)
-                dense += np.bincount(at[at >= 0] * width + ctx[at >= 0], minlength=len(dense))
-                yield rows(*count_pairs(token[at < 0], ctx[at < 0]))
-        at = np.flatnonzero(dense)
-        if len(at):
-            yield rows(table[at // width], at % width, dense[at])
+                kept.append(count_pairs(token, before))
+                size += len(kept[-1][0])
+                if size > TASK_PAIRS:
+                    yield rows(*count_pairs(*map(np.concatenate, zip(*kept))))
+                    kept, size = [], 0
+        if kept:
+            yield rows(*count_pairs(*map(np.concatenate, zip(*kept))))
 
     def merge(batches):
         got = {}
         for batch in batches:
             for b, w, p in zip(*(c.to_pylist() for c in batch.columns)):
                 got.setdefault(b, []).append(unpack(w, p))
-        for b, some in got.items():
+        for b in list(got):
+            some = got.pop(b)
             word = np.concatenate([np.repeat(w["w"], w["k"]) for w, _ in some])
             pairs = np.concatenate([p for _, p in some])
             word, ctx, c = count_pairs(word, pairs["u"], pairs["c"])
-            w, p = pack(word, ctx, c)
-            _, kinds = np.unique(word, return_counts=True)
-            seen = [c.sum(), len(kinds), (c == 1).sum(), (c == 2).sum(), (kinds == 1).sum(), (kinds == 2).sum()]
-            totals = np.bincount(ctx, c, width), np.bincount(ctx, minlength=width).astype(float)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([b], pa.int32()), *(pa.array([x], pa.binary()) for x in (
-                    w, p, totals[1].tobytes(), totals[0].tobytes(), totals[1].tobytes(), np.array(seen, "<i8").tobytes()))],
-                [c.split()[0] for c in _MODEL.split(", ")],
-            )
+            by = np.argsort(word)
+            yield _row(b, *pack(word[by], ctx[by], c[by]), np.array([c.sum(), (c == 1).sum(), (c == 2).sum()], "<i8").tobytes())
 
     sent = train.mapInArrow(send, "bucket int, words binary, pairs binary")
-    return sent.repartition(count, "bucket").mapInArrow(merge, _MODEL)
+    return sent.repartitionById(count, "bucket").mapInArrow(merge, _MODEL)
+
+
+def _row(b: int, *blobs: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), *(pa.array([x], pa.binary()) for x in blobs)], [c.split()[0] for c in _MODEL.split(", ")])
 
 
-def sweep(counts: DataFrame, model: Model, burn: int, samples: int, seed: int) -> DataFrame:
+def context_totals(table: DataFrame, count: int) -> DataFrame:
+    """Customers and tables of every context: by the context's bucket (kind 0), and for each bucket that has only some pairs of it (kind 1)."""
+
+    def send(batches):
+        for batch in batches:
+            for b, p in zip(*(c.to_pylist() for c in batch.columns)):
+                about = context_sums(np.frombuffer(p, _PAIR))
+                to = bucket_of(about["u"], count)
+                by = np.argsort(to, kind="stable")
+                about, edge = about[by], np.searchsorted(to[by], np.arange(count + 1))
+                some = [x for x in range(count) if edge[x] < edge[x + 1]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some, pa.int32()), pa.array([b] * len(some), pa.int32()),
+                     pa.array([about[edge[x] : edge[x + 1]].tobytes() for x in some], pa.binary())],
+                    ["bucket", "back", "about"],
+                )
+
+    def answer(batches):
+        got = {}
+        for batch in batches:
+            for b, back, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                got.setdefault(b, []).append((back, blob))
+        for b in list(got):
+            some = got.pop(b)
+            sums = add_up(np.concatenate([np.frombuffer(x, _ABOUT) for _, x in some]))
+            out = [(b, 0, sums.tobytes())]
+            for back, x in some:
+                own = np.frombuffer(x, _ABOUT)
+                whole = sums[find(sums["u"], own["u"])]
+                out.append((back, 1, whole[(whole["c"] != own["c"]) | (whole["t"] != own["t"])].tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.binary()))], ["bucket", "kind", "about"])
+
+    sent = table.select("bucket", "pairs").mapInArrow(send, "bucket int, back int, about binary")
+    return sent.repartitionById(count, "bucket").mapInArrow(answer, "bucket int, kind int, about binary")
+
+
+def _beside(table: DataFrame, totals: DataFrame) -> DataFrame:
+    """Rows of the word table (kind 0) and of the totals of their contexts (kind 1), by bucket."""
+    nothing = F.lit(b"")
+    pairs = table.select("bucket", F.lit(0).alias("kind"), "words", "pairs")
+    return pairs.unionByName(totals.where("kind = 1").select("bucket", "kind", nothing.alias("words"), F.col("about").alias("pairs")))
+
+
+def sweep(counts: DataFrame, model: Model, burn: int, samples: int, seed: int, count: int) -> DataFrame:
     """Seat every bucket's customers anew; mean tables of pairs, mean customers of words at the parent."""
     held = counts.sparkSession.sparkContext.broadcast(model)
 
+    def seated(b, own, totals):
+        m, part = held.value, part_of(*own, totals)
+        head, pairs = part.head, part.pairs
+        of = np.repeat(np.arange(len(head)), head["k"])
+        rng = np.random.Generator(np.random.PCG64([seed, b]))
+        some = np.flatnonzero(pairs["c"] > 1)  # one customer has one table
+        customers, word = pairs["c"][some].astype(np.int64), of[some]
+        open_ = m.fresh(part.about["t"][find(part.about["u"], pairs["u"][some])])
+        hot = find(m.words["w"], head["w"])
+        alone = head["k"] - np.bincount(word, minlength=len(head))
+        tables = pairs["t"][some].astype(float)
+        total = np.zeros(len(some))
+        for turn in range(burn + samples):
+            mean = alone + np.bincount(word, tables, len(head))
+            if len(m.words):
+                mean = np.where(hot >= 0, m.words["n"][hot], mean)
+            tables = seat(rng, customers, open_ * m.parent(mean)[word], m.discount)
+            if turn >= burn:
+                total += tables / samples
+        all_ = np.ones(len(pairs))
+        all_[some] = total
+        return _row(b, *pack(head["w"][of], pairs["u"], pairs["c"], all_), b"")
+
     def run(batches):
-        m = held.value
+        bucket, own, totals = None, None, []
         for batch in batches:
-            for b, w, p, *_ in zip(*(c.to_pylist() for c in batch.columns)):
-                head, pairs = unpack(w, p)
-                of = np.repeat(np.arange(len(head)), head["k"])
-                rng = np.random.Generator(np.random.PCG64([seed, b]))
-                open_ = m.strength + m.discount * m.tables[pairs["u"]]
-                tables = np.ones(len(pairs))
-                total = np.zeros(len(pairs))
-                for turn in range(burn + samples):
-                    mean = np.bincount(of, tables, len(head))
-                    tables = seat(rng, pairs["c"].astype(np.int64), open_ * m.parent(mean)[of], m.discount)
-                    if turn >= burn:
-                        total += tables / samples
-                mean = np.bincount(of, total, len(head))
-                out = pack(head["w"][of], pairs["u"], pairs["c"].astype(np.int64), total, mean)
-                sums = np.bincount(pairs["u"], total, len(m.customers))
-                few = np.array([(mean < 1.5).sum(), ((mean >= 1.5) & (mean < 2.5)).sum()], "<i8")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([b], pa.int32()), *(pa.array([x], pa.binary()) for x in (*out, sums.tobytes(), b"", b"", few.tobytes()))],
-                    [c.split()[0] for c in _MODEL.split(", ")],
-                )
+            for b, kind, w, p in zip(*(c.to_pylist() for c in batch.columns)):
+                if kind == 1:
+                    totals.append(p)
+                    continue
+                if own is not None:
+                    yield seated(bucket, own, totals)
+                bucket, own, totals = b, (w, p), []
+        if own is not None:
+            yield seated(bucket, own, totals)
 
-    return counts.mapInArrow(run, _MODEL)
+    rows = _beside(counts, context_totals(counts, count)).repartitionById(count, "bucket").sortWithinPartitions("bucket", "kind")
+    return rows.mapInArrow(run, _MODEL)
 
 
 def _discount(once: float, twice: float) -> float:
     return float(np.clip(once / max(once + 2 * twice, 1), 0.05, 0.95))
 
 
-def _totals(table: DataFrame, width: int) -> tuple[np.ndarray, ...]:
-    """Sums of the totals of all buckets (one short row each)."""
-    rows = table.select("tables", "customers", "types", "counts").collect()
-    add = lambda name, kind: sum((np.frombuffer(r[name], kind) for r in rows if len(r[name])), np.zeros(1, kind))
-    return tuple(np.broadcast_to(add(n, "<f8"), width) for n in ("tables", "customers", "types")) + (add("counts", "<i8"),)
+def summary(table: DataFrame, top: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The frequent words, added up over buckets, and [customers, pairs seen once, twice, words, tables, words with
+    one table, with two]."""
+    held = table.sparkSession.sparkContext.broadcast(top)
+    names = [f"x{i}" for i in range(7)]
+
+    def read(batches):
+        for batch in batches:
+            for w, c in zip(*(x.to_pylist() for x in batch.columns)):
+                head = np.frombuffer(w, _WORD)
+                hot = find(held.value, head["w"]) >= 0
+                some, n = head[hot], head["n"][~hot]
+                rest = [*(np.frombuffer(c, "<i8") if c else np.zeros(3)), len(n), n.sum(dtype=float), (n < 1.5).sum(), ((n >= 1.5) & (n < 2.5)).sum()]
+                cols = [np.append(some["w"].view(np.int64), 0), np.append(np.zeros(len(some)), 1).astype(np.int32)]
+                for i in range(7):
+                    cols.append(np.append(some["c"] if i == 0 else some["n"] if i == 1 else np.zeros(len(some)), rest[i]).astype(float))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["w", "kind", *names])
+
+    got = table.select("words", "counts").mapInArrow(read, "w long, kind int, " + ", ".join(f"{x} double" for x in names))
+    rows = got.groupBy("kind", "w").agg(*(F.sum(x).alias(x) for x in names)).collect()
+    words_ = np.zeros(sum(r.kind == 0 for r in rows), _WORD)
+    for i, r in enumerate(r for r in rows if r.kind == 0):
+        words_[i] = (np.int64(r.w).view(U64), int(r.x0), r.x1, 0)
+    stats = sum((np.array(r[2:], float) for r in rows if r.kind == 1), np.zeros(7))
+    n = words_["n"].astype(float)
+    stats[3:] += [len(n), n.sum(), (n < 1.5).sum(), ((n >= 1.5) & (n < 2.5)).sum()]
+    return words_[np.argsort(words_["w"])], stats
 
 
 def fit(
-    train: DataFrame, contexts: int = 128, frequent: int = 32_768, burn: int = 2, samples: int = 3,
-    strength: float = 1.0, seed: int = 5,
+    train: DataFrame, contexts: int = 32_768, frequent: int = 32_768, burn: int = 2, samples: int = 3,
+    strength: float = 1.0, seed: int = 5, near: int = 1 << 19,
 ) -> tuple[Model, DataFrame]:
-    """The model, and its word table by bucket. ``train`` has one column, the text."""
+    """The model, and its word table by bucket. ``train`` has one column, the text.
+
+    ``contexts``, ``frequent`` and ``near`` bound what is broadcast, not what is counted.
+    """
     count = buckets(train)
-    top = frequent_words(train, frequent)
-    ctxs = np.sort(top[top != END][: min(contexts, 250)])
-    width = len(ctxs) + 2
-    counts = stage(gather(train, top, ctxs, count), "counts")
-    tables, customers, _, seen = _totals(counts, width)
-    seen = np.broadcast_to(seen, 6)
-    none = np.zeros(0, _WORD), np.zeros(0, _PAIR)
+    first = frequent_words(train, max(frequent, contexts + 1))
+    top, ctxs = np.sort(first[:frequent]), np.sort(np.append(first[first != END][:contexts], START))
+    counts = written(gather(train, top, count), "counts", release=True)
+    words_, x = summary(counts, top)
+    none = np.zeros(0, _NEAR)
     model = Model(
-        ctxs, customers, tables, _discount(seen[2], seen[3]), _discount(seen[4], seen[5]), strength, int(seen[0]), int(seen[1]), *none
+        ctxs, np.zeros(len(ctxs)), np.zeros(len(ctxs)), _discount(x[1], x[2]), _discount(x[5], x[6]), strength, int(x[0]), int(x[3]), x[4], words_, none
     )
-    model.tables, _, _, few = _totals(sweep(counts, model, burn, 1, seed), width)
-    model.top_discount = _discount(*np.broadcast_to(few, 2))
-    final = stage(sweep(counts, model, burn, samples, seed + 1), "seating")
-    model.tables = _totals(final, width)[0]
-    held = train.sparkSession.sparkContext.broadcast(np.sort(top))
+    for turn, kept in enumerate((1, samples)):
+        counts = written(sweep(counts, model, burn, kept, seed + turn, count), "seating", release=True)
+        model.words, x = summary(counts, top)
+        model.all_tables = x[4]
+        if turn == 0:
+            model.top_discount = _discount(x[5], x[6])
+
+    def wide(batches):
+        for batch in batches:
+            for blob in batch.column(0).to_pylist():
+                about = np.frombuffer(blob, _ABOUT)
+                yield pa.RecordBatch.from_arrays([pa.array([about[find(ctxs, about["u"]) >= 0].tobytes()], pa.binary())], ["about"])
+
+    got = context_totals(counts, count).where("kind = 0").select("about").mapInArrow(wide, "about binary").collect()
+    for r in got:
+        about = np.frombuffer(r.about, _ABOUT)
+        at = find(ctxs, about["u"])
+        model.customers[at], model.tables[at] = about["c"], about["t"]
+    model.near = _near(counts, model, near // count)
+    return model, counts
+
+
+def _near(table: DataFrame, model: Model, n: int) -> np.ndarray:
+    """Scores of each bucket's n most frequent pairs among those whose contexts are broadcast."""
+    held = table.sparkSession.sparkContext.broadcast(model)
 
     def pick(batches):
+        m = held.value
         for batch in batches:
-            for w, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for w, p in zip(*(c.to_pylist() for c in batch.columns)):
                 head, pairs = unpack(w, p)
-                good = find(held.value, head["w"]) >= 0
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([head[good].tobytes()], pa.binary()), pa.array([pairs[np.repeat(good, head["k"])].tobytes()], pa.binary())],
-                    ["words", "pairs"],
-                )
-
-    got = final.select("words", "pairs").mapInArrow(pick, "words binary, pairs binary").collect()
-    head = np.concatenate([none[0], *(np.frombuffer(r.words, _WORD) for r in got)])
-    pairs = np.concatenate([none[1], *(np.frombuffer(r.pairs, _PAIR) for r in got)])
-    order = np.argsort(head["w"])
-    first = np.cumsum(head["k"], dtype=np.int64) - head["k"]
-    model.words = head[order]
-    k = model.words["k"].astype(np.int64)
-    model.pairs = pairs[np.arange(k.sum()) + np.repeat(first[order] - (np.cumsum(k) - k), k)]
-    return model, final
+                some = np.flatnonzero((pairs["c"] > 1) & (find(m.contexts, pairs["u"]) >= 0))
+                some = np.sort(some[np.argsort(-pairs["c"][some].astype(np.int64), kind="stable")[:n]])
+                of = np.repeat(np.arange(len(head)), head["k"])[some]
+                k = np.bincount(of, minlength=len(head))
+                few = head[k > 0].copy()
+                few["k"] = k[k > 0]
+                part = part_of(few.tobytes(), pairs[some].tobytes(), [])
+                word, ctx = head["w"][of], pairs["u"][some]
+                out = np.zeros(len(some), _NEAR)
+                out["key"] = pair_key(word, ctx)
+                out["base"], out["score"], _, _ = m.lookup(part, word, ctx)
+                yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], ["near"])
+
+    got = table.select("words", "pairs").mapInArrow(pick, "near binary").collect()
+    out = np.concatenate([np.zeros(0, _NEAR), *(np.frombuffer(r.near, _NEAR) for r in got)])
+    return out[np.argsort(out["key"])]
 
 
 def score(docs: DataFrame, model: Model, table: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -340,9 +526,9 @@ def score(docs: DataFrame, model: Model, table: DataFrame, id_col: str = "doc_id
         for batch in batches:
             for lo, hi, data, offsets in _parts(batch, 2):
                 row, token, before = tokens(data, offsets)
-                ctx, at = context_of(m.contexts, before), find(m.words["w"], token)
+                at = find(m.near["key"], pair_key(token, before))
                 near = at >= 0
-                base, value, known = m.scores(m.words, m.pairs, at[near], ctx[near])
+                base, value, known = m.near["base"][at[near]], m.near["score"][at[near]], np.ones(near.sum())
                 ids = batch.column(0).slice(lo, hi - lo)
                 out = np.zeros(hi - lo, _DOC)
                 out["id"], out["null"] = ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False)
@@ -352,9 +538,9 @@ def score(docs: DataFrame, model: Model, table: DataFrame, id_col: str = "doc_id
                     out[name] = np.bincount(row[near], x, hi - lo)
                 key = task + turn
                 turn += 1
-                sent = [(key % count, 1, key, out.tobytes(), b"")]
-                row, token, ctx = row[~near], token[~near], ctx[~near]
-                to = bucket_of(token, count)
+                sent = [(key % count, 2, key, out.tobytes(), b"")]
+                row, token, ctx = row[~near], token[~near], before[~near]
+                to = route(token, ctx, m.words["w"], count)
                 by = np.lexsort((token, to))
                 row, token, ctx, edge = row[by], token[by], ctx[by], np.searchsorted(to[by], np.arange(count + 1))
                 for b in range(count):
@@ -363,32 +549,67 @@ def score(docs: DataFrame, model: Model, table: DataFrame, id_col: str = "doc_id
                         w, m_ = np.unique(token[s], return_counts=True)
                         asked = np.rec.fromarrays([w, m_], dtype=_ASK)
                         places = np.rec.fromarrays([row[s], ctx[s]], dtype=_AT)
-                        sent.append((b, 2, key, asked.tobytes(), places.tobytes()))
+                        sent.append((b, 3, key, asked.tobytes(), places.tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*sent), kinds)], names)
 
     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
 
     def answer(batches):
-        m, bucket, head, pairs = held.value, None, None, None
+        m, bucket, own, totals, part = held.value, None, (b"", b""), [], None
         for batch in batches:
             out = []
             for b, kind, key, w, p in zip(*(c.to_pylist() for c in batch.columns)):
                 if b != bucket:
-                    bucket, head, pairs = b, np.zeros(0, _WORD), np.zeros(0, _PAIR)
+                    bucket, own, totals, part = b, (b"", b""), [], None
                 if kind == 0:
-                    head, pairs = unpack(w, p)
+                    own = w, p
                 elif kind == 1:
-                    out.append((key, 1, w))
+                    totals.append(p)
+                elif kind == 2:
+                    out.append((0, key, 1, w))
                 else:
+                    if part is None:
+                        part = part_of(*own, totals)
                     asked, places = np.frombuffer(w, _ASK), np.frombuffer(p, _AT)
-                    at = np.repeat(find(head["w"], asked["w"]), asked["m"])
-                    base, value, known = m.scores(head, pairs, at, places["u"].astype(np.int64))
-                    docs_, inv = np.unique(places["doc"], return_inverse=True)
-                    sums = np.zeros(len(docs_), _SUM)
-                    sums["doc"] = docs_
-                    for name, x in (("known", known), ("base", base), ("score", value)):
-                        sums[name] = np.bincount(inv, x, len(docs_))
-                    out.append((key, 2, sums.tobytes()))
+                    base, value, known, left = m.lookup(part, np.repeat(asked["w"], asked["m"]), places["u"])
+                    out.append((0, key, 2, sums_of(places["doc"], known, base, value)))
+                    places = places[left]
+                    to = bucket_of(places["u"], count)
+                    by = np.argsort(to, kind="stable")
+                    places, to = places[by], to[by]
+                    for s in np.split(np.arange(len(to)), np.flatnonzero(_new(to))[1:]):
+                        if len(s):
+                            out.append((int(to[s[0]]), key, 3, places[s].tobytes()))
+            if out:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int32(), pa.binary()))], ["bucket", "batch", "kind", "sums"]
+                )
+
+    def sums_of(doc, known, base, value):
+        docs_, inv = np.unique(doc, return_inverse=True)
+        sums = np.zeros(len(docs_), _SUM)
+        sums["doc"] = docs_
+        for name, x in (("known", known), ("base", base), ("score", value)):
+            sums[name] = np.bincount(inv, x, len(docs_))
+        return sums.tobytes()
+
+    def finish(batches):
+        """What the context's totals add to tokens whose pair was not seen."""
+        m, bucket, about = held.value, None, np.zeros(0, _ABOUT)
+        for batch in batches:
+            out = []
+            for b, kind, key, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                if b != bucket:
+                    bucket, about = b, np.zeros(0, _ABOUT)
+                if kind == 0:
+                    about = np.frombuffer(blob, _ABOUT)
+                    continue
+                places = np.frombuffer(blob, _AT)
+                at = find(about["u"], places["u"])
+                value = np.zeros(len(places))
+                got = about[at[at >= 0]]
+                value[at >= 0] = np.log10(m.fresh(got["t"]) / (m.strength + got["c"]))
+                out.append((key, 2, sums_of(places["doc"], value * 0, value * 0, value)))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.binary()))], ["batch", "kind", "sums"]
@@ -419,10 +640,17 @@ def score(docs: DataFrame, model: Model, table: DataFrame, id_col: str = "doc_id
         )
 
     asked = docs.select(F.col(id_col).cast("long"), held_out(F.col(id_col)), text_col).mapInArrow(ask, wire)
-    known = table.select("bucket", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("batch"), "words", "pairs")
-    answers = (
-        known.unionByName(asked).repartition(count, "bucket").sortWithinPartitions("bucket", "kind")
-        .mapInArrow(answer, "batch long, kind int, sums binary")
+    totals = context_totals(table, count)
+    known = _beside(table, totals).withColumn("batch", F.lit(0).cast("long")).select(*names)
+    answers = written(
+        known.unionByName(asked).repartitionById(count, "bucket").sortWithinPartitions("bucket", "kind")
+        .mapInArrow(answer, "bucket int, batch long, kind int, sums binary"), "answers", release=True,
+    )
+    contexts = totals.where("kind = 0").select("bucket", "kind", F.lit(0).cast("long").alias("batch"), F.col("about").alias("sums"))
+    rest = (
+        contexts.unionByName(answers.where("kind = 3")).repartitionById(count, "bucket").sortWithinPartitions("bucket", "kind")
+        .mapInArrow(finish, "batch long, kind int, sums binary")
     )
+    answers = answers.where("kind < 3").drop("bucket").unionByName(rest)
     schema = f"`{id_col}` long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return answers.repartition(count, "batch").sortWithinPartitions("batch", "kind").mapInArrow(total, schema)

@@ -215,6 +215,30 @@ def test_model_is_a_distribution_and_counts_are_exact(spark, odd):
     assert {r.score for r in pitman_yor.score(docs.limit(3), empty, none).collect()} == {0.0}
 
 
+def test_every_previous_word_has_its_own_restaurant(spark):
+    rng = np.random.default_rng(6)
+    vocab = [f"w{i}" for i in range(700)]
+    texts = [" ".join(rng.choice(vocab, 40, p=np.arange(700, 0, -1) / 245350)) for _ in range(150)]
+    docs = frame(spark, list(enumerate(texts)), "score")
+    train = docs.where(~pitman_yor.held_out(F.col("doc_id")))
+    want = Counter()
+    for t in [r.text for r in train.collect()]:
+        data = t.encode()
+        _, token, before = pitman_yor.tokens(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+        want.update(zip(token.tolist(), before.tolist()))
+    found = []
+    for bounds in ({"contexts": 3, "near": 0}, {"contexts": 19}):
+        model, table = pitman_yor.fit(train.select("text"), frequent=20, **bounds)
+        got = {}
+        for r in table.collect():
+            head, pairs = pitman_yor.unpack(r.words, r.pairs)
+            got |= {(w, u): c for w, u, c in zip(np.repeat(head["w"], head["k"]).tolist(), pairs["u"].tolist(), pairs["c"].tolist())}
+        assert got == want
+        found.append({r.doc_id: r.score for r in pitman_yor.score(docs, model, table).collect()})
+    assert len({u for _, u in want}) > 600 and found[0].keys() == found[1].keys()
+    assert all(abs(found[0][d] - found[1][d]) < 1e-6 for d in found[0])
+
+
 def test_machine_formula_and_odd_labels(spark, odd):
     rng = np.random.default_rng(1)
     m = quality.Machine(4, 0.3, rng.normal(size=31), rng.normal(size=(31, 3)), np.zeros(15), np.ones(15))
