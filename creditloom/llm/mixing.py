@@ -9,6 +9,10 @@ from its share. Rounds differ only where a source runs out, so at most 2 * sourc
 rounds are scheduled, whatever the number of rows; when a source is used up the others go on in
 their own proportion. Every row is placed once.
 
+With ``exact`` (the default for given targets) weights are not rounded to whole blocks a round but to 2**-30 of one:
+source i has placed floor(r * w_i) blocks when r rounds are over, what is left of a block carries over, and each
+round is scheduled by itself. Without it shares are those of the rounded weights, at least 1 of ``steps``.
+
 Positions inside a source come from counts per (source, hash prefix): no source, however large, is
 ordered in one task. Null sources are a source of their own; null ids hash as the empty text; equal
 (source, id) rows are interchangeable and all placed. Clashing extra columns are not read.
@@ -18,7 +22,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -26,6 +30,8 @@ from .spans import buckets, keyed
 
 #: Rows that share a hash prefix within a source, on average at most.
 CELL_ROWS = 4096
+#: Parts of a block in which exact weights are counted.
+UNIT = 1 << 30
 
 _PICK = """array_min(transform(ms, (m, i) -> if(a.c[i] < m and (a.c[i] * total) div m <= t,
     named_struct('due', ((a.c[i] + 1) * total + m - 1) div m, 'i', i), null)))"""
@@ -36,8 +42,8 @@ _EDF = f"""aggregate(sequence(0L, total - 1),
     a -> a.picks)"""
 
 
-def _weights(sizes: DataFrame, targets: dict[str | None, float] | None, power: float, steps: int) -> DataFrame:
-    """Integer weight of each source: ``steps`` for the largest target, 1 at least."""
+def _weights(sizes: DataFrame, targets: dict[str | None, float] | None, power: float, steps: int, unit: int = 1) -> DataFrame:
+    """Integer weight of each source, in parts of 1 / ``unit``: ``steps`` for the largest target, one part at least."""
     if targets is None:
         share = F.pow(F.col("n") / F.max("n").over(W.partitionBy()), F.lit(power))
         if power == 0.5:
@@ -48,7 +54,7 @@ def _weights(sizes: DataFrame, targets: dict[str | None, float] | None, power: f
         for name, value in targets.items():
             key = "n" if name is None else f"s{name}"
             share = F.when(F.col("_key") == key, F.lit(value / top)).otherwise(share)
-    return sizes.withColumn("w", F.greatest(F.lit(1).cast("long"), F.round(steps * share).cast("long")))
+    return sizes.withColumn("w", F.greatest(F.lit(1).cast("long"), F.round(steps * unit * share).cast("long")))
 
 
 def schedule(weights: DataFrame) -> DataFrame:
@@ -78,6 +84,34 @@ def schedule(weights: DataFrame) -> DataFrame:
     )
 
 
+def round_slots(cells: DataFrame, weights: DataFrame, block_rows: int) -> DataFrame:
+    """_key, _round, j, at: place of a source's j-th block of a round, rounds scheduled one by one.
+
+    ``cells`` counts rows (_key, _before, count, w) with ``w`` in parts of 1 / UNIT; a block belongs to the cell of its first row.
+    """
+    first = F.expr(f"(_before + {block_rows - 1}) div {block_rows}")
+    last = F.expr(f"(_before + count - 1) div {block_rows}")
+    blocks = cells.where(first <= last).select("_key", "w", F.explode(F.sequence(first, last)).alias("_block"))
+    rounds = (
+        blocks.groupBy(_round().alias("_round"), "_key").agg(F.count(F.lit(1)).alias("m"))
+        .groupBy("_round").agg(F.array_sort(F.collect_list(F.struct("_key", "m"))).alias("live"))
+        .select("_round", F.col("live._key").alias("keys"), F.col("live.m").alias("ms"))
+        .withColumn("total", F.expr("aggregate(ms, 0L, (a, m) -> a + m)"))
+    )
+    all_ = weights.agg(F.collect_list(F.struct("w", "b")).alias("all"))
+    placed = F.expr(f"aggregate(all, 0L, (a, x) -> a + least(x.b, (_round * x.w) div {UNIT}))")
+    slots = rounds.crossJoin(F.broadcast(all_)).withColumn("base", placed).select("_round", "keys", "base", F.posexplode(F.expr(_EDF)).alias("slot", "i"))
+    j = F.row_number().over(W.partitionBy("_round", "i").orderBy("slot")) - 1
+    return slots.select(
+        F.element_at("keys", F.col("i") + 1).alias("_key"), "_round", j.cast("long").alias("j"), (F.col("base") + F.col("slot")).alias("at")
+    )
+
+
+def _round() -> Column:
+    """Round of a block: the first after which its source has placed it."""
+    return F.expr(f"((_block + 1) * {UNIT} + w - 1) div w - 1")
+
+
 def mix(
     docs: DataFrame,
     targets: dict[str | None, float] | None = None,
@@ -86,25 +120,27 @@ def mix(
     steps: int = 100,
     id_col: str = "doc_id",
     source_col: str = "source",
+    exact: bool | None = None,
 ) -> DataFrame:
     """id, source, block (number within the source), slot (in the mix) and place (in the block) of every row.
 
     ``targets``: wanted share of each source; without it, source size to the power ``power``.
-    Sources that ``targets`` does not name get its smallest share.
+    Sources that ``targets`` does not name get its smallest share. ``exact``: do not round weights; by default only
+    given targets are exact, and size-based weights are the rounded ones of ``SQL``.
     """
     rows = docs.select(id_col, source_col, F.struct(id_col, source_col).alias("_row"))
-    return _placed(rows, targets, block_rows, power, steps, id_col, source_col).select("_row.*", "block", "slot", "place")
+    return _placed(rows, targets, block_rows, power, steps, id_col, source_col, exact).select("_row.*", "block", "slot", "place")
 
 
 def mixed(docs: DataFrame, targets=None, block_rows: int = 16, power: float = 0.5, steps: int = 100,
-          id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+          id_col: str = "doc_id", source_col: str = "source", exact: bool | None = None) -> DataFrame:
     """All documents in the order of the mix: files, and rows within files, follow slot and place.
 
     Places are found on narrow rows and join the texts once; repeated rows take their places in turn.
     """
     rows = keyed(docs.select(*docs.columns), id_col, "text", tuple(docs.columns))
     narrow = rows.select(F.col("_row")[id_col].alias("_rid"), F.col("_row")[source_col].alias("_src"), F.struct("_id", "_digest").alias("_row"))
-    places = _placed(narrow, targets, block_rows, power, steps, "_rid", "_src")
+    places = _placed(narrow, targets, block_rows, power, steps, "_rid", "_src", exact)
     places = places.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("slot", "place"))).alias("at"))
     places = places.select("_row.*", "at")
     copy = F.row_number().over(W.partitionBy("_id", "_digest").orderBy("_digest"))
@@ -114,8 +150,9 @@ def mixed(docs: DataFrame, targets=None, block_rows: int = 16, power: float = 0.
     return found.select(*(F.col("_row")[c].alias(c) for c in docs.columns))
 
 
-def _placed(docs, targets, block_rows, power, steps, id_col, source_col) -> DataFrame:
+def _placed(docs, targets, block_rows, power, steps, id_col, source_col, exact=None) -> DataFrame:
     """Column _row of ``docs``, with block, slot and place."""
+    exact = targets is not None if exact is None else exact
     n = docs.count()
     digits = max(0, math.ceil(math.log(max(1, n / CELL_ROWS), 16)))
     rows = docs.select(
@@ -126,7 +163,7 @@ def _placed(docs, targets, block_rows, power, steps, id_col, source_col) -> Data
     ).withColumn("_cell", F.substring("_hash", 1, digits))
     cells = rows.groupBy("_key", "_cell").count()
     sizes = cells.groupBy("_key").agg(F.sum("count").alias("n"))
-    weights = _weights(sizes, targets, power, steps).withColumn("b", F.expr(f"(n + {block_rows - 1}) div {block_rows}"))
+    weights = _weights(sizes, targets, power, steps, UNIT if exact else 1).withColumn("b", F.expr(f"(n + {block_rows - 1}) div {block_rows}"))
     before = W.partitionBy("_key").orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
     cells = cells.withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0))).join(
         weights.select("_key", "w"), "_key"
@@ -136,9 +173,14 @@ def _placed(docs, targets, block_rows, power, steps, id_col, source_col) -> Data
         rows.join(cells.select("_key", "_cell", "_before", "w"), ["_key", "_cell"])
         .withColumn("_at", F.col("_before") + F.row_number().over(order) - 1)
         .withColumn("_block", F.expr(f"_at div {block_rows}"))
-        .withColumn("_round", F.expr("_block div w"))
-        .withColumn("j", F.col("_block") % F.col("w"))
+        .withColumn("_round", _round() if exact else F.expr("_block div w"))
+        .withColumn("j", F.expr(f"_block - (_round * w) div {UNIT}") if exact else F.col("_block") % F.col("w"))
     )
+    if exact:
+        plan = round_slots(cells, weights, block_rows)
+        return placed.join(plan, ["_key", "_round", "j"]).select(
+            "_row", F.col("_block").alias("block"), F.col("at").alias("slot"), (F.col("_at") % block_rows).cast("int").alias("place")
+        )
     plan = schedule(weights)
     here = (placed["_key"] == plan["_key"]) & (placed["j"] == plan["j"]) & (F.col("_round") >= F.col("first"))
     here &= F.col("last").isNull() | (F.col("_round") < F.col("last"))

@@ -21,6 +21,11 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir))
 
 
+def op1_exact_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same mix with shares that are not rounded to whole blocks a round."""
+    return mixing.mix(_documents(spark, sf_dir), exact=True)
+
+
 def op2_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every text without 200-byte strings that occur twice in the corpus."""
     return run_index.remove_repeats(_documents(spark, sf_dir), with_bytes=False)
@@ -79,6 +84,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_source_mix": op1_source_mix,
+    "op1_exact_mix": op1_exact_mix,
     "op2_run_index": op2_run_index,
     "op3_relative_lz": op3_relative_lz,
     "op4_jaccard_regions": op4_jaccard_regions,

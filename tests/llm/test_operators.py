@@ -152,6 +152,27 @@ def test_mix_keeps_every_row_and_the_shares(spark, odd):
     assert out.columns == whole.columns and sorted(map(str, out.collect())) == sorted(map(str, whole.collect()))
 
 
+@pytest.mark.parametrize("targets", [{"a": 0.9951, "b": 0.0049}, {"a": 0.7, "b": 0.235, "c": 0.00007}])
+def test_mix_follows_targets_that_are_no_whole_steps(spark, targets):
+    sizes = {k: max(3, int(6000 * v)) for k, v in targets.items()}
+    rows = [(i, k) for k, n in sizes.items() for i in range(n)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), targets, block_rows=1).toPandas().sort_values("slot")
+    assert got.slot.tolist() == list(range(len(rows))) and sorted(zip(got.doc_id, got.source)) == sorted(rows)
+    seen, total = Counter(), sum(targets.values())
+    for t, k in enumerate(got.source):
+        seen[k] += 1
+        if any(seen[x] == sizes[x] for x in sizes):  # the first source has run out
+            break
+        assert all(abs(seen[x] - (t + 1) * v / total) < 2 for x, v in targets.items())
+    assert t > 1000
+
+
+def test_mix_by_size_is_exact_on_demand(spark):
+    rows = [(i, "big") for i in range(20000)] + [(i, "small") for i in range(2)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), block_rows=1, power=1.0, exact=True).toPandas()
+    assert sorted(got.slot) == list(range(20002)) and min(got.slot[got.source == "small"]) > 5000  # rounding put both among the first 300
+
+
 def test_topk_is_brute_force(spark):
     rng = np.random.default_rng(4)
     vectors = rng.normal(0, 1, (700, 9)).astype(np.float32)
