@@ -4,10 +4,13 @@
 2. near duplicates: of documents whose 5-word shingle sets are 0.8 alike or more, the one with the smallest id stays.
 3. passages: words under 13-word windows that an earlier document has go; texts that lose words are
    their kept words joined by one space, with ``n_chars`` to match; all documents stay.
-4. mix: all documents stay; rows are ordered so that every stretch holds sources near their target shares.
-5. encode: ids of the byte-level vocabulary, with hashes of the ids and of the decoded bytes.
+4. mix: all documents stay and get their ``slot`` and ``place``; in that order every stretch holds sources near
+   their target shares until a source runs out. From there the others go on in their own proportion, and the end is the
+   source that lasts longest alone.
+5. encode: ids of the byte-level vocabulary, with hashes of the ids and of the decoded bytes, and slot and place: the
+   order of the mix is that of these columns, not of files.
 
-The first four return the columns of ``documents``. An empty table passes through all stages; null
+The first three return the columns of ``documents``, the fourth adds slot and place. An empty table passes through all stages; null
 texts count as empty (see the operators for null ids, ties and repeated rows).
 """
 
@@ -40,11 +43,11 @@ def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed(docs)
+    return mixing.mixed(docs, exact=True, with_places=True)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return byte_bpe.byte_bpe(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return byte_bpe.byte_bpe(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep=("slot", "place"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -171,8 +171,9 @@ def byte_bpe(
     text_col: str = "text",
     with_ids: bool = True,
     room: int = 400_000,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """id, n_tokens, ids (array, if asked for), hashes of the packed ids and of the decoded bytes."""
+    """id, n_tokens, ids (array, if asked for), hashes of the packed ids and of the decoded bytes; ``keep`` columns as they are."""
 
     def run(batches):
         v = load(path, pattern, room)
@@ -191,8 +192,11 @@ def byte_bpe(
                 flat = np.frombuffer(b"".join(packed), "<u4").astype(np.int32)
                 columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)))
                 names.append("ids")
+            columns += [b.column(2 + i) for i in range(len(keep))]
+            names += keep
             yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = docs.select(id_col).dtypes[0][1]
     schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select(id_col, text_col).mapInArrow(run, schema + ", ids array<int>" * with_ids)
+    schema += ", ids array<int>" * with_ids + "".join(f", `{c}` {kind}" for c, kind in docs.select(*keep).dtypes)
+    return docs.select(id_col, text_col, *keep).mapInArrow(run, schema)

@@ -133,9 +133,10 @@ def mix(
 
 
 def mixed(docs: DataFrame, targets=None, block_rows: int = 16, power: float = 0.5, steps: int = 100,
-          id_col: str = "doc_id", source_col: str = "source", exact: bool | None = None) -> DataFrame:
+          id_col: str = "doc_id", source_col: str = "source", exact: bool | None = None, with_places: bool = False) -> DataFrame:
     """All documents in the order of the mix: files, and rows within files, follow slot and place.
 
+    Readers of the files may take them in another order; ``with_places`` adds slot and place as columns.
     Places are found on narrow rows and join the texts once; repeated rows take their places in turn.
     """
     rows = keyed(docs.select(*docs.columns), id_col, "text", tuple(docs.columns))
@@ -147,7 +148,8 @@ def mixed(docs: DataFrame, targets=None, block_rows: int = 16, power: float = 0.
     found = rows.withColumn("_copy", copy).join(places, ["_id", "_digest"])
     found = found.select(F.element_at("at", F.col("_copy")).alias("at"), "_row")
     found = found.repartitionByRange(buckets(docs), "at").sortWithinPartitions("at")
-    return found.select(*(F.col("_row")[c].alias(c) for c in docs.columns))
+    added = ("slot", "place") if with_places else ()
+    return found.select(*(F.col("_row")[c].alias(c) for c in docs.columns if c not in added), *(F.col("at")[c].alias(c) for c in added))
 
 
 def _placed(docs, targets, block_rows, power, steps, id_col, source_col, exact=None) -> DataFrame:

@@ -173,6 +173,15 @@ def test_mix_by_size_is_exact_on_demand(spark):
     assert sorted(got.slot) == list(range(20002)) and min(got.slot[got.source == "small"]) > 5000  # rounding put both among the first 300
 
 
+@needs_tables
+def test_pipeline_result_carries_the_mix(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    mixed = corpus_pipeline.stage(corpus_pipeline.mix_sources(spark, docs, SF), "mixed")
+    got = {r.doc_id: (r.slot, r.place) for r in corpus_pipeline.encode(spark, mixed, SF).collect()}
+    assert got == {r.doc_id: (r.slot, r.place) for r in mixing.mix(docs, exact=True).collect()}
+    assert len(set(got.values())) == len(got) == docs.count()
+
+
 def test_topk_is_brute_force(spark):
     rng = np.random.default_rng(4)
     vectors = rng.normal(0, 1, (700, 9)).astype(np.float32)
