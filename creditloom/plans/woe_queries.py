@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from creditloom.functions.expr import iv_strength as strength
 from creditloom.operators import woe
+from creditloom.operators.scorecard import correlation_frame
 from creditloom.plans.common import numeric_long, r, text_long, tidy
 from creditloom.sources import io, views
 from creditloom.sources.staging import stage
@@ -286,6 +287,49 @@ def assign_bins(spark: SparkSession, sf: str) -> DataFrame:
     return binning.assign(book, ["id"])
 
 
+_CORR_SQL = (
+    _APPLIED_SQL.replace(numeric_long(APP_NUMERIC, "book", "id"), numeric_long(APP_NUMERIC, "apps", "id"))
+    + f""", texts AS ({text_long(APP_CATEGORICAL, 'train')}),
+    lv AS (SELECT feature, coalesce(v, 'Missing') AS level, count(*) AS n, sum(y) AS b FROM texts GROUP BY ALL),
+    floor_ AS (SELECT greatest(CAST(floor(0.03::DOUBLE * count(*)) AS BIGINT), 25) AS least_rows FROM train),
+    folded AS (SELECT feature, level, CASE WHEN n < least_rows THEN '__other__' ELSE level END AS label, n, b FROM lv, floor_),
+    text_counts AS (SELECT feature, label, sum(n) AS n, sum(b) AS b FROM folded GROUP BY ALL),
+    text_weights AS (
+      SELECT feature, label, ln((n - b + 0.5::DOUBLE) / sum(n - b + 0.5::DOUBLE) OVER (PARTITION BY feature)
+                                / ((b + 0.5::DOUBLE) / sum(b + 0.5::DOUBLE) OVER (PARTITION BY feature))) AS w FROM text_counts),
+    every_text AS ({text_long(APP_CATEGORICAL, 'apps', 'id')}),
+    whole AS (
+      SELECT id, feature, w FROM applied UNION ALL
+      SELECT id, e.feature, coalesce(k.w, o.w, 0.0::DOUBLE) AS w FROM every_text e
+      LEFT JOIN folded f ON f.feature = e.feature AND f.level = coalesce(e.v, 'Missing')
+      LEFT JOIN text_weights k ON k.feature = e.feature AND k.label = f.label
+      LEFT JOIN text_weights o ON o.feature = e.feature AND o.label = '__other__')
+    SELECT a.feature AS feature_a, b.feature AS feature_b, {r('corr(a.w, b.w)')} AS r
+    FROM whole a JOIN whole b ON a.id = b.id GROUP BY 1, 2"""
+)
+
+
+@query(_CORR_SQL)
+def woe_corr_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    """Correlations of the weights of all features over all applications; missing has a bin, so no row is dropped."""
+    book, binning = prebinning(spark, sf)
+    train = train_of(book)
+    smallest = max(int(0.03 * train.count()), woe.SMALLEST_BIN)
+    levels = woe.level_counts(train, "y", APP_CATEGORICAL)
+    weights = {(b["feature"], b["label"]): b["woe"] for b in woe.woe_iv(woe.fold_rare(levels, smallest)).collect()}
+    apps = binning.transform(stage(views.apps(spark, sf).select("id", *APP_NUMERIC, *APP_CATEGORICAL), "apps"), APP_CATEGORICAL)
+    for f in APP_CATEGORICAL:
+        level = F.coalesce(F.col(f).cast("string"), F.lit(woe.MISSING))
+        weight = F.lit(weights.get((f, woe.OTHER), 0.0))
+        for (feature, label), w in weights.items():
+            if feature == f and label != woe.OTHER:
+                weight = F.when(level == label, w).otherwise(weight)
+        apps = apps.withColumn(f"woe_{f}", weight)
+    names = (*APP_NUMERIC, *APP_CATEGORICAL)
+    apps = stage(apps.select(*(F.col(f"woe_{f}").alias(f) for f in names)), "weights")
+    return tidy(correlation_frame(apps, names))
+
+
 def fitted(spark: SparkSession, sf: str) -> tuple[DataFrame, woe.Binning]:
     """The staged book and the merged bins of its train part."""
     book = staged_book(spark, sf)

@@ -137,3 +137,13 @@ def test_adaptive_skew_handling_covers_the_customer_join(spark, skewed):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_weight_correlations_cover_every_feature_and_row(spark, db):
+    from creditloom.sources.views import APP_CATEGORICAL, APP_NUMERIC, APPS_SQL
+
+    names = {*APP_NUMERIC, *APP_CATEGORICAL}
+    got = {(x.feature_a, x.feature_b): x.r for x in entry_point.queries()["woe_corr_matrix"](spark, SF).collect()}
+    assert set(got) == {(a, b) for a in names for b in names} and all(got[a, a] == 1 for a in names)
+    dropped = db.execute(APPS_SQL + " SELECT count(*) FROM apps WHERE days_since_prev IS NULL OR n_lines IS NULL").fetchone()
+    assert dropped[0] > 0  # rows that complete cases would leave out
