@@ -7,8 +7,8 @@ chance of a new table is the chance of a word never seen. So p(w | u) = (c_uw -
 + (a + d t_u) / (a + c_u) * p(w), and p(w) likewise from the tables, with p(unknown) the mass left.
 
 Seating is sampled by Gibbs: given the parent's predictive, the customers of each (context, word) are
-seated anew, one by one for the first 32 and in growing groups after that; tables and the predictive of
-``samples`` sweeps after ``burn`` are averaged. Pairs (context, word) are counted on the map side and lie in the
+seated anew, one by one for the first 32 and in growing groups after that, whose customers share one chance; mean
+tables of ``samples`` turns after ``burn`` are kept, and scores are computed once from these means. Pairs (context, word) are counted on the map side and lie in the
 bucket of their word; those of the ``frequent`` words in the bucket of the pair, so that a word after
 many others has no task of its own. Totals per context meet in the bucket of the context, a row for each bucket
 that has pairs of it, and go back to those buckets; totals per context, and the parent's customers of frequent
