@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_regions, mixing, pitman_yor, quality, relative_lz, run_index, vector_topk
+from . import jaccard_regions, line_runs, mixing, pitman_yor, quality, relative_lz, run_index, vector_topk
 from .byte_bpe import byte_bpe
 from .phrase_fingerprint import fingerprints
 from .token_counts import token_counts
@@ -82,6 +82,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without long lines that at least five documents hold."""
+    return line_runs.remove_lines(_documents(spark, sf_dir), with_text=False)
+
+
 QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op1_exact_mix": op1_exact_mix,
@@ -94,5 +99,12 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_pitman_yor": op9_pitman_yor,
     "op10_quality": op10_quality,
+    "op13_line_runs": op13_line_runs,
+}
+SQL = {
+    "op1_source_mix": mixing.SQL,
+    "op3_relative_lz": relative_lz.SQL,
+    "op4_jaccard_regions": jaccard_regions.SQL,
+    "op5_vector_topk": vector_topk.SQL,
+    "op13_line_runs": line_runs.SQL,
 }
-SQL = {"op1_source_mix": mixing.SQL, "op3_relative_lz": relative_lz.SQL, "op4_jaccard_regions": jaccard_regions.SQL, "op5_vector_topk": vector_topk.SQL}
