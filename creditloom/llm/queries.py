@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_regions, line_runs, mixing, pitman_yor, quality, relative_lz, run_index, vector_topk
+from . import conversation_repair, conversation_trie, jaccard_regions, line_runs, mixing, pitman_yor, quality, relative_lz, run_index, vector_topk
 from .byte_bpe import byte_bpe
 from .phrase_fingerprint import fingerprints
 from .token_counts import token_counts
@@ -82,6 +82,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
+
+
+def op11_turn_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and repaired text of every conversation after planted damage."""
+    return conversation_repair.repair(conversation_repair.damaged(_conversations(spark, sf_dir)))
+
+
+def op12_block_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations, rebuilt to share their first turns."""
+    return conversation_trie.trie(conversation_trie.rebuilt(_conversations(spark, sf_dir)))
+
+
 def op13_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every text without long lines that at least five documents hold."""
     return line_runs.remove_lines(_documents(spark, sf_dir), with_text=False)
@@ -99,6 +113,8 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_pitman_yor": op9_pitman_yor,
     "op10_quality": op10_quality,
+    "op11_turn_alignment": op11_turn_alignment,
+    "op12_block_trie": op12_block_trie,
     "op13_line_runs": op13_line_runs,
 }
 SQL = {
@@ -106,5 +122,7 @@ SQL = {
     "op3_relative_lz": relative_lz.SQL,
     "op4_jaccard_regions": jaccard_regions.SQL,
     "op5_vector_topk": vector_topk.SQL,
+    "op11_turn_alignment": conversation_repair.SQL,
+    "op12_block_trie": conversation_trie.SQL,
     "op13_line_runs": line_runs.SQL,
 }
