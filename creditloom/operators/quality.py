@@ -56,8 +56,10 @@ def require_outcomes(df: DataFrame, y: str) -> DataFrame:
 
 
 def missing_rates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Share of missing values per feature, positive only, highest first."""
-    wide = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in columns])
+    """Share of missing values per feature, NaN included, positive only, highest first."""
+    numbers = set(floating(df))
+    lost = {c: F.col(c).isNull() | F.isnan(c) if c in numbers else F.col(c).isNull() for c in columns}
+    wide = df.agg(*[F.avg(gone.cast("double")).alias(c) for c, gone in lost.items()])
     long = wide.unpivot([], list(columns), "feature", "missing_rate")
     return long.where("missing_rate > 0").orderBy(F.desc("missing_rate"), "feature")
 

@@ -1,17 +1,16 @@
 """Weight-of-evidence binning: fit over all features at once, apply in one projection.
 
-Counting runs on the rows; what is left afterwards is at most (features x bins) counts, and
-only those small tables reach a Python worker, which merges the bins of one feature per group.
+Counting runs on the rows; what is left afterwards is at most (features x bins) counts. Merging folds
+them, one row of short arrays per feature, in JVM expressions.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,16 +46,18 @@ def _fold(counts: DataFrame, *by: str) -> DataFrame:
 def few_levels(df: DataFrame, columns: Sequence[str], at_most: int) -> dict[str, list[float]]:
     """Sorted distinct values of every column that has at most ``at_most`` of them.
 
-    A sketch screens out wide columns; the exact distinct then only sees narrow ones.
+    A sketch screens out wide columns; the exact distinct then only sees narrow ones, and decides. The sketch cannot
+    lose a narrow column: n values fill n of its registers at most, for which it answers little more than n, far under
+    the limit here. Missing values, NaN too, are no level.
     """
     if not columns:
         return {}
-    screen = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    screen = df.agg(*[F.approx_count_distinct(F.when(present(c), F.col(c))).alias(c) for c in columns]).first()
     narrow = [c for c in columns if screen[c] <= 3 * at_most + 3]
     if not narrow:
         return {}
     cells = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in narrow])
-    values = df.select(F.inline(cells)).where("v IS NOT NULL").distinct()
+    values = df.select(F.inline(cells)).where(present("v")).distinct()
     found: dict[str, list[float]] = {c: [] for c in narrow}
     for r in values.collect():
         found[r["c"]].append(r["v"])
@@ -156,76 +157,48 @@ def interval_label(lower: float, upper: float) -> str:
     return f"({side(lower)}, {side(upper)}]"
 
 
-@dataclass
-class _Bins:
-    """Counts of one feature's adjacent bins while they are being merged."""
-
-    upper: list[float]
-    count: list[float]
-    bads: list[float]
-
-    def __len__(self) -> int:
-        return len(self.count)
-
-    def absorb(self, i: int) -> None:
-        """Bin ``i`` joins its right neighbour."""
-        count, bads = self.count.pop(i), self.bads.pop(i)
-        self.upper.pop(i)
-        self.count[i] += count
-        self.bads[i] += bads
-
-    def weights(self) -> np.ndarray:
-        bad = np.asarray(self.bads) + SMOOTHING
-        good = np.asarray(self.count) - np.asarray(self.bads) + SMOOTHING
-        return np.log(good * bad.sum() / (bad * good.sum()))
-
-    def steps(self) -> np.ndarray:
-        return np.diff(self.weights())
-
-    def trend(self) -> int:
-        """Sign of the correlation between position and weight; undefined counts as falling."""
-        if len(self) < 2:
-            return 1
-        with np.errstate(invalid="ignore", divide="ignore"):
-            r = np.corrcoef(np.arange(len(self)), self.weights())[0, 1]
-        return 1 if r >= 0 else -1
-
-
-def merge_bins(
-    upper: Sequence[float],
-    count: Sequence[float],
-    bads: Sequence[float],
-    *,
-    smallest: int,
-    max_bins: int = 8,
-    prior: int = 0,
-    monotone: bool = True,
-) -> tuple[_Bins, int]:
-    """Merge pre-bins: first small ones, then trend breaks, then the least distinct pairs.
+def _absorbed(s: Column, i: Column) -> Column:
+    """The bins of one feature after bin ``i`` (from 0) has joined its right neighbour."""
 
-    Small-bin and trend merging both stop at two bins. Returns the bins and the direction.
-    """
-    bins = _Bins(list(upper), list(count), list(bads))
-    while len(bins) > 2 and min(bins.count) < smallest:
-        thin = bins.count.index(min(bins.count))
-        bins.absorb(min(thin, len(bins) - 2))
-    direction = 0
-    if monotone:
-        direction = prior or bins.trend()
-        while len(bins) > 2:
-            climb = bins.steps() * direction
-            if climb.min() >= 0:
-                break
-            bins.absorb(int(climb.argmin()))
-    while len(bins) > max_bins:
-        bins.absorb(int(np.abs(bins.steps()).argmin()))
-    return bins, direction
-
-
-MERGED_SCHEMA = (
-    "feature string, bin_index int, label string, lower double, upper double, "
-    "count long, bads long, direction int"
-)
+    def joined(a: Column) -> Column:
+        return F.concat(F.slice(a, F.lit(1), i), F.array(F.get(a, i) + F.get(a, i + 1)), F.slice(a, i + 3, F.size(a)))
+
+    upper = F.concat(F.slice(s["upper"], F.lit(1), i), F.slice(s["upper"], i + 2, F.size(s["upper"])))
+    return F.struct(upper.alias("upper"), joined(s["count"]).alias("count"), joined(s["bads"]).alias("bads"))
+
+
+def _merged(bins: Column, place: Callable[[Column], Column]) -> Column:
+    """Bins join their neighbours one at a time, as long as ``place`` names one."""
+
+    def step(s: Column, _: Column) -> Column:
+        return F.coalesce(F.get(F.transform(F.array(place(s)), lambda i: F.when(i.isNotNull(), _absorbed(s, i))), F.lit(0)), s)
+
+    return F.aggregate(F.sequence(F.lit(1), F.size(bins["count"])), bins, step)
+
+
+def _first(a: Column, value: Column) -> Column:
+    return (F.array_position(a, value) - 1).cast("int")
+
+
+def _weights(s: Column) -> Column:
+    """Weights of evidence up to a constant, which differences and trends do not need."""
+    return F.zip_with(s["count"], s["bads"], lambda c, b: F.ln((c - b + SMOOTHING) / (b + SMOOTHING)))
+
+
+def _steps(s: Column) -> Column:
+    w, n = _weights(s), F.size(s["count"])
+    return F.zip_with(F.slice(w, F.lit(2), n), F.slice(w, F.lit(1), n - 1), lambda b, a: b - a)
+
+
+def _trend(s: Column) -> Column:
+    """Sign of the correlation between position and weight; one bin counts as rising, equal weights as falling."""
+    w, n = _weights(s), F.size(s["count"])
+    moment = F.aggregate(F.transform(w, lambda x, i: x * (i - (n - 1) / 2)), F.lit(0.0), lambda a, x: a + x)
+    flat = F.array_min(w) == F.array_max(w)
+    return F.when(n < 2, 1).when(~flat & (moment >= 0), 1).otherwise(-1)
+
+
+MERGED_SCHEMA = "feature string, bin_index int, lower double, upper double, count long, bads long, direction int"
 
 
 def merge_counts(
@@ -237,44 +210,45 @@ def merge_counts(
     priors: Mapping[str, int] | None = None,
     monotone: bool = True,
 ) -> DataFrame:
-    """Merge the pre-bins of every feature; one small count table per group."""
-    priors = dict(priors or {})
-    cuts = {f: [float(e) for e in e_list] for f, e_list in edges.items()}
-    spark = counts.sparkSession
-    # every pre-bin is present, also the empty ones: at most (features x pre-bins) rows
-    slots = spark.createDataFrame(
-        [(f, i) for f, e_list in cuts.items() for i in range(len(e_list) + 1)],
-        "feature string, bin_index int",
-    )
-    full = slots.join(counts, ["feature", "bin_index"], "left").fillna(0, ["count", "bads"])
-
-    def settle(key: tuple, table: pd.DataFrame) -> pd.DataFrame:
-        feature = key[0]
-        table = table.sort_values("bin_index")
-        bins, direction = merge_bins(
-            [*cuts[feature], math.inf],
-            table["count"].tolist(),
-            table["bads"].tolist(),
-            smallest=smallest,
-            max_bins=max_bins,
-            prior=priors.get(feature, 0),
-            monotone=monotone,
-        )
-        lower = [-math.inf, *bins.upper[:-1]]
-        return pd.DataFrame(
-            {
-                "feature": feature,
-                "bin_index": range(len(bins)),
-                "label": [interval_label(a, b) for a, b in zip(lower, bins.upper, strict=True)],
-                "lower": lower,
-                "upper": bins.upper,
-                "count": np.asarray(bins.count, dtype="int64"),
-                "bads": np.asarray(bins.bads, dtype="int64"),
-                "direction": direction,
-            }
-        )
+    """Merge the pre-bins of every feature: first small ones, then trend breaks, then the least distinct pairs.
 
-    return full.groupBy("feature").applyInPandas(settle, MERGED_SCHEMA)
+    A feature's bins are three short arrays, and merging is a fold over them in JVM expressions. Small-bin and trend
+    merging both stop at two bins.
+    """
+    spark = counts.sparkSession
+    uppers = [(f, [*map(float, cuts), math.inf], (priors or {}).get(f, 0)) for f, cuts in edges.items()]
+    known = counts.groupBy("feature").agg(F.map_from_entries(F.collect_list(F.struct("bin_index", F.struct("count", "bads")))).alias("by"))
+    rows = spark.createDataFrame(uppers, "feature string, upper array<double>, prior int").join(known, "feature", "left")
+
+    def filled(name: str) -> Column:  # every pre-bin is present, also the empty ones
+        return F.transform("upper", lambda _, i: F.coalesce(F.col("by")[i][name], F.lit(0).cast("bigint"))).alias(name)
+
+    def thin(s: Column) -> Column:
+        n, least = F.size(s["count"]), F.array_min(s["count"])
+        return F.when((n > 2) & (least < smallest), F.least(_first(s["count"], least), n - 2))
+
+    def broken(s: Column) -> Column:
+        climb = F.transform(_steps(s), lambda x: x * F.col("direction"))
+        worst = F.array_min(climb)
+        return F.when((F.size(s["count"]) > 2) & (worst < 0), _first(climb, worst))
+
+    def alike(s: Column) -> Column:
+        apart = F.transform(_steps(s), F.abs)
+        return F.when(F.size(s["count"]) > max_bins, _first(apart, F.array_min(apart)))
+
+    rows = rows.select("feature", "prior", F.struct("upper", filled("count"), filled("bads")).alias("bins"))
+    rows = rows.withColumn("bins", _merged(F.col("bins"), thin))
+    direction = F.when(F.col("prior") != 0, F.col("prior")).otherwise(_trend(F.col("bins"))) if monotone else F.lit(0)
+    rows = rows.withColumn("direction", direction)
+    if monotone:
+        rows = rows.withColumn("bins", _merged(F.col("bins"), broken))
+    rows = rows.withColumn("bins", _merged(F.col("bins"), alike))
+    zipped = F.arrays_zip("bins.upper", "bins.count", "bins.bads")
+    return rows.select("feature", "bins", "direction", F.posexplode(zipped).alias("bin_index", "bin")).select(
+        "feature", "bin_index",
+        F.when(F.col("bin_index") == 0, F.lit(-math.inf)).otherwise(F.get("bins.upper", F.col("bin_index") - 1)).alias("lower"),
+        F.col("bin.upper").alias("upper"), F.col("bin.count").alias("count"), F.col("bin.bads").alias("bads"), "direction",
+    )
 
 
 @dataclass
@@ -401,7 +375,7 @@ def fit_bins(
         )
         parts.append(
             merged.select(
-                "feature", F.lit("numeric").alias("kind"), "bin_index", "label", "lower", "upper",
+                "feature", F.lit("numeric").alias("kind"), "bin_index", F.lit(None).cast("string").alias("label"), "lower", "upper",
                 F.lit(False).alias("is_missing"), "count", "bads", "direction",
             )
         )
@@ -439,6 +413,8 @@ def fit_bins(
     rows = sorted(
         (r.asDict() for r in weighed.collect()), key=lambda b: (b["feature"], b["bin_index"])
     )
+    for b in rows:
+        b["label"] = interval_label(b["lower"], b["upper"]) if b["label"] is None else b["label"]
     return _summarise(rows, [*numeric, *categorical])
 
 
@@ -489,5 +465,3 @@ def drop_reasons(ivs: DataFrame, min_iv: float = MIN_IV) -> DataFrame:
     weak = ivs.where(F.col("iv") < min_iv)
     return weak.select("feature", F.format_string(f"IV %.4f below {min_iv}", "iv").alias("reason"))
 
-
-__all__ = [n for n in dir() if not n.startswith("_") and n != "annotations"]

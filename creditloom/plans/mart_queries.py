@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.operators import asof, mart
+from creditloom.operators import asof, mart, timeline
 from creditloom.operators.stability import drift_against
 from creditloom.plans.common import r, tidy
 from creditloom.plans.metric_queries import _DECILES, _TERM, _VERDICT
@@ -355,6 +355,142 @@ def mart_loan_history(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(found.withColumn("exposure", F.round("exposure", 2)))
 
 
+# applications are sign-ups; each looks back over the wallet's days before its own
+_MEET_SQL = (
+    TXN_SQL
+    + """, asked AS (SELECT event_id AS id, user_id, CAST(ts AS DATE) AS decision_day FROM events WHERE event_type = 'signup'),
+    met AS (SELECT id, a.user_id, decision_day, t.ts, type, amount, party, date_diff('day', CAST(ts AS DATE), decision_day) AS age
+            FROM asked a LEFT JOIN txn t ON t.user_id = a.user_id AND CAST(t.ts AS DATE) < decision_day)
+    """
+)
+
+
+def _signups(spark: SparkSession, sf: str) -> DataFrame:
+    return views.table(spark, sf, "events").where("event_type = 'signup'").select(F.col("event_id").alias("id"), "user_id", F.col("ts").alias("at"))
+
+
+@query(
+    _MEET_SQL
+    + f""", n AS (SELECT id, party, count(*) FILTER (age <= 7) AS now, count(*) FILTER (age BETWEEN 8 AND 14) AS past, max(age) AS first_age
+               FROM met WHERE party IS NOT NULL GROUP BY ALL),
+    k AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY now DESC, party) AS now_rank,
+                 row_number() OVER (PARTITION BY id ORDER BY past DESC, party) AS past_rank FROM n),
+    f AS (SELECT id, count(*) FILTER (now > 0) AS active, count(*) FILTER (now > 0 AND first_age <= 7) AS fresh, sum(now) AS n, sum(now * now) AS sq, max(now) AS most,
+                 count(*) FILTER (past > 0 AND past_rank <= 10) AS base,
+                 count(*) FILTER (now > 0 AND now_rank <= 10 AND past > 0 AND past_rank <= 10) AS kept FROM k GROUP BY id)
+    SELECT a.id, a.user_id, a.decision_day, coalesce(active, 0) AS active_parties, {r('fresh / CASE WHEN active > 0 THEN active END')} AS new_share,
+      CAST(coalesce(kept, 0) AS INTEGER) AS kept_parties, {r('kept / CASE WHEN base > 0 THEN base END')} AS stability,
+      {r('sq / CASE WHEN n > 0 THEN n * n END')} AS hhi, {r('most / CASE WHEN n > 0 THEN n END')} AS top_share
+    FROM asked a LEFT JOIN f ON f.id = a.id"""
+)
+def mart_asof_parties(spark: SparkSession, sf: str) -> DataFrame:
+    """Counterparties of the week before each sign-up: how many, how many new, how stable, how concentrated."""
+    return tidy(timeline.parties(views.txn(spark, sf), _signups(spark, sf), 7, key="id"))
+
+
+_SHAPES = (7, 15)
+
+
+@query(
+    _MEET_SQL
+    + ", h AS (SELECT id, hour(ts) AS h, "
+    + ", ".join(f"count(*) FILTER (age <= {d}) AS n{d}" for d in _SHAPES)
+    + " FROM met WHERE ts IS NOT NULL GROUP BY ALL), e AS (SELECT id, "
+    + ", ".join(f"greatest(ln(sum(n{d})) - sum(CASE WHEN n{d} > 0 THEN n{d} * ln(n{d}) ELSE 0 END) / sum(n{d}), 0) AS entropy_{d}, sum(n{d}) AS n{d}" for d in _SHAPES)
+    + " FROM (SELECT id, h, " + ", ".join(f"CASE WHEN sum(n{d}) OVER (PARTITION BY id) > 0 THEN n{d} END AS n{d}" for d in _SHAPES) + " FROM h) GROUP BY id)"
+    + " SELECT m.id, m.user_id, m.decision_day, "
+    + ", ".join(
+        f"""count(ts) FILTER (age <= {d}) AS events_{d}d,
+        {r(f"avg(CASE WHEN hour(ts) >= 22 OR hour(ts) < 4 THEN 1 ELSE 0 END) FILTER (age <= {d})")} AS night_share_{d}d,
+        {r(f"avg(CASE WHEN dayofweek(ts) IN (0, 6) THEN 1 ELSE 0 END) FILTER (age <= {d})")} AS weekend_share_{d}d,
+        {r(f"avg(CASE WHEN type = 'error' THEN 1 ELSE 0 END) FILTER (age <= {d})")} AS failed_share_{d}d,
+        {r(f"first(entropy_{d})")} AS hour_entropy_{d}d"""
+        for d in _SHAPES
+    )
+    + " FROM met m LEFT JOIN e ON e.id = m.id GROUP BY m.id, m.user_id, m.decision_day"
+)
+def mart_asof_shape(spark: SparkSession, sf: str) -> DataFrame:
+    """Night, weekend and failed shares and the entropy of the hour before each sign-up."""
+    return tidy(timeline.shape(views.txn(spark, sf), _signups(spark, sf), _SHAPES, mart.FAILED, key="id"))
+
+
+_CENTS = "CAST(round(amount * 100) AS BIGINT)"
+
+
+@query(
+    _MEET_SQL
+    + f""", net AS (SELECT user_id, CAST(ts AS DATE) AS day, sum(CASE type WHEN 'signup' THEN {_CENTS} WHEN 'purchase' THEN -{_CENTS} ELSE 0 END) AS net FROM txn GROUP BY ALL),
+    b AS (SELECT user_id, day, sum(net) OVER (PARTITION BY user_id ORDER BY day) AS b, lead(day) OVER (PARTITION BY user_id ORDER BY day) AS next FROM net),
+    days AS (SELECT user_id, b, unnest(generate_series(CAST(day AS TIMESTAMP), coalesce(CAST(next AS TIMESTAMP) - INTERVAL 1 DAY, TIMESTAMP '2024-02-15'), INTERVAL 1 DAY)) AS day FROM b),
+    w AS (SELECT a.*, b / 100.0::DOUBLE AS b, date_diff('day', CAST(d.day AS DATE), decision_day) AS age
+          FROM asked a LEFT JOIN days d ON d.user_id = a.user_id AND d.day < decision_day AND d.day >= decision_day - INTERVAL 10 DAY)
+    SELECT id, user_id, decision_day, count(b) AS days_known, {r('avg(b)')} AS avg_balance, {r('min(b)')} AS min_balance,
+      {r('stddev_pop(b) / CASE WHEN avg(b) <> 0 THEN abs(avg(b)) END', 4)} AS balance_cv, count(*) FILTER (b <= 0) AS zero_days,
+      {r('avg(b) FILTER (age <= 5) / CASE WHEN avg(b) <> 0 THEN avg(b) END', 4)} AS month_end_ratio
+    FROM w GROUP BY ALL"""
+)
+def mart_asof_balance(spark: SparkSession, sf: str) -> DataFrame:
+    """End-of-day balances of the ten days before each sign-up."""
+    cents = F.round(F.col("amount") * 100).cast("long")
+    signed = F.when(F.col("type") == mart.INFLOW, cents).when(F.col("type") == mart.OUTFLOW, -cents).otherwise(F.lit(0).cast("long"))
+    found = timeline.balances(views.txn(spark, sf), _signups(spark, sf), signed, 10, key="id")
+    found = found.withColumns({c: F.col(c) / 100.0 for c in ("avg_balance", "min_balance")})
+    return tidy(found.withColumns({c: F.round(c, 4) for c in ("balance_cv", "month_end_ratio")}))
+
+
+@query(
+    _MEET_SQL
+    + f"""SELECT id, user_id, decision_day, max(amount) FILTER (type = 'purchase' AND age <= 12) AS max_outflow,
+      {r("avg(amount) FILTER (type = 'purchase' AND age <= 12)")} AS mean_outflow,
+      {r("max(amount) FILTER (type = 'purchase' AND age <= 12) / CASE WHEN sum(amount) FILTER (type = 'signup' AND age <= 12) > 0 THEN sum(amount) FILTER (type = 'signup' AND age <= 12) END")} AS max_outflow_ratio
+    FROM met GROUP BY ALL"""
+)
+def mart_asof_largest(spark: SparkSession, sf: str) -> DataFrame:
+    """Largest outflow of the twelve days before each sign-up, and against the inflow."""
+    out, inflow = (F.when(F.col("type") == t, F.col("amount")) for t in (mart.OUTFLOW, mart.INFLOW))
+    return tidy(timeline.largest(views.txn(spark, sf), _signups(spark, sf), 12, out, inflow, key="id"))
+
+
+@query(
+    _MEET_SQL
+    + f""", s AS (SELECT id, user_id, decision_day, {", ".join(f"coalesce(sum({_CENTS}) FILTER ({c} AND age {a}), 0) AS {n}" for n, c, a in (
+        ("inflow", "type = 'signup'", "<= 10"), ("outflow", "type = 'purchase'", "<= 10"), ("inflow_past", "type = 'signup'", "BETWEEN 11 AND 20")))}
+      FROM met GROUP BY ALL)
+    SELECT id, user_id, decision_day, CAST(inflow AS BIGINT) AS inflow, CAST(outflow AS BIGINT) AS outflow,
+      {r('outflow / CASE WHEN inflow <> 0 THEN inflow END')} AS spent_share, {r('inflow / CASE WHEN inflow_past <> 0 THEN inflow_past END - 1')} AS inflow_growth FROM s"""
+)
+def mart_asof_flows(spark: SparkSession, sf: str) -> DataFrame:
+    """Flows (in cents) of the ten days before each sign-up, their ratio and growth on the ten days before."""
+    cents = F.round(F.col("amount") * 100).cast("long")
+    sums = {"inflow": F.when(F.col("type") == mart.INFLOW, cents), "outflow": F.when(F.col("type") == mart.OUTFLOW, cents)}
+    found = timeline.flows(views.txn(spark, sf), _signups(spark, sf), 10, sums, {"spent_share": ("outflow", "inflow")}, ["inflow"], key="id")
+    return tidy(found)
+
+
+@query(
+    f"""
+    WITH asked AS (SELECT o_orderkey AS id, o_custkey AS user_id, CAST(o_orderdate AS DATE) AS decision_day FROM orders),
+    loans AS (SELECT o_custkey AS user_id, CAST(o_orderdate AS DATE) AS opened, CAST(o_orderdate AS DATE) + {_LOAN_DAYS} AS due,
+                     CASE WHEN l_linestatus = 'F' THEN CAST(l_shipdate AS DATE) END AS repaid, CAST(l_quantity AS BIGINT) AS drawn
+              FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+    met AS (SELECT id, a.user_id, decision_day, opened, due, drawn, greatest(repaid, opened) AS repaid
+            FROM asked a LEFT JOIN loans l ON a.user_id = l.user_id AND opened < decision_day),
+    seen AS (SELECT *, least(coalesce(repaid, decision_day), decision_day) - 1 AS last_unpaid FROM met)
+    SELECT id, user_id, decision_day,
+           CAST(greatest(coalesce(max(date_diff('day', due, last_unpaid)) FILTER (last_unpaid >= decision_day - 180 AND last_unpaid >= opened), 0), 0) AS INTEGER) AS max_dpd,
+           {r("sum(drawn) FILTER (repaid IS NULL OR repaid >= decision_day) / sum(50) FILTER (repaid IS NULL OR repaid >= decision_day)")} AS utilisation
+    FROM seen GROUP BY ALL"""
+)
+def mart_asof_past_due(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines as loans due after a fixed term, with the quantity drawn of a limit of 50."""
+    loans = _lines(spark, sf).select(
+        "user_id", F.col("o_orderdate").alias("opened"), F.date_add(F.to_date("o_orderdate"), _LOAN_DAYS).alias("due"),
+        F.when(F.col("l_linestatus") == "F", F.col("l_shipdate")).alias("repaid"),
+        F.col("l_quantity").cast("long").alias("drawn"), F.lit(50).cast("long").alias("limit"),
+    )
+    return tidy(timeline.past_due(loans, _decisions(spark, sf), 180, key="id", at="at"))
+
+
 # ---------------------------------------------------------------------------- streams
 
 

@@ -339,25 +339,97 @@ def fitted(spark: SparkSession, sf: str) -> tuple[DataFrame, woe.Binning]:
     return book, binning
 
 
-@query()
+_ABSORB = "list_concat({0}[1:i], list_concat([{0}[i + 1] + {0}[i + 2]], {0}[i + 3:]))"
+#: The merged fit: one round of the recursion merges one bin of every feature that is not done. Phases: 1 small bins,
+#: 2 trend breaks, 3 too many bins, 4 done; i is the place (from 0) of the bin that joins its right neighbour.
+MERGED_SQL = (
+    COUNTS_SQL.replace("WITH items", "WITH RECURSIVE items", 1)
+    + f""", least AS (SELECT greatest(CAST(floor(0.03::DOUBLE * count(*)) AS BIGINT), 25) AS smallest FROM train),
+    slots AS (SELECT feature, e, i FROM edges, unnest(range(0, len(e) + 1)) t(i)),
+    start AS (
+      SELECT s.feature, list_append(first(e), 'inf'::DOUBLE) AS u, list(coalesce("count", 0) ORDER BY i) AS c, list(coalesce(bads, 0) ORDER BY i) AS b
+      FROM slots s LEFT JOIN counts k ON k.feature = s.feature AND bin_index = i GROUP BY s.feature),
+    merging AS (
+      SELECT feature, 1 AS phase, CASE feature {' '.join(f"WHEN '{f}' THEN {d}" for f, d in PRIORS.items())} ELSE 0 END AS direction, u, c, b FROM start
+      UNION ALL
+      SELECT feature, CASE WHEN i IS NULL THEN phase + 1 ELSE phase END AS phase,
+        CASE WHEN i IS NULL AND phase = 1 AND direction = 0 THEN trend ELSE direction END AS direction,
+        CASE WHEN i IS NULL THEN u ELSE list_concat(u[1:i], u[i + 2:]) END AS u,
+        CASE WHEN i IS NULL THEN c ELSE {_ABSORB.format('c')} END AS c, CASE WHEN i IS NULL THEN b ELSE {_ABSORB.format('b')} END AS b
+      FROM (
+        SELECT *, CASE
+            WHEN phase = 1 AND n > 2 AND list_min(c) < smallest THEN least(list_position(c, list_min(c)) - 1, n - 2)
+            WHEN phase = 2 AND n > 2 AND list_min(climb) < 0 THEN list_position(climb, list_min(climb)) - 1
+            WHEN phase = 3 AND n > 8 THEN list_position(apart, list_min(apart)) - 1 END AS i,
+          CASE WHEN n < 2 THEN 1 WHEN list_min(w) < list_max(w) AND list_sum(list_transform(w, lambda x, k: x * (k - 1 - (n - 1) / 2.0::DOUBLE))) >= 0
+            THEN 1 ELSE -1 END AS trend
+        FROM (
+          SELECT *, list_transform(d, lambda x: x * direction) AS climb, list_transform(d, lambda x: abs(x)) AS apart
+          FROM (
+            SELECT *, list_transform(range(1, n), lambda k: w[k + 1] - w[k]) AS d
+            FROM (SELECT *, len(c) AS n, list_transform(c, lambda x, k: ln((x - b[k] + 0.5::DOUBLE) / (b[k] + 0.5::DOUBLE))) AS w FROM merging WHERE phase < 4))),
+        least)),
+    ranges AS (SELECT feature, direction, unnest(u) AS upper, unnest(list_prepend('-inf'::DOUBLE, u[:-2])) AS lower, unnest(c) AS "count", unnest(b) AS bads,
+        unnest(range(0, len(c))) AS place FROM merging WHERE phase = 4),
+    texts AS ({text_long(APP_CATEGORICAL, 'train')}),
+    lv AS (SELECT feature, coalesce(v, 'Missing') AS level, count(*) AS n, sum(y) AS b FROM texts GROUP BY ALL),
+    every_bin AS (
+      SELECT feature, 'numeric' AS kind, place, CASE WHEN false THEN '' END AS label, lower, upper, false AS is_missing, "count", bads, direction FROM ranges
+      UNION ALL SELECT feature, 'numeric', 99, 'Missing', NULL, NULL, true, "count", bads, 0 FROM counts WHERE bin_index = -1
+      UNION ALL SELECT feature, 'categorical', 0, label, NULL, NULL, label = 'Missing', CAST(sum(n) AS BIGINT), CAST(sum(b) AS BIGINT), 0
+        FROM (SELECT feature, CASE WHEN n < smallest THEN '__other__' ELSE level END AS label, n, b FROM lv, least) GROUP BY feature, label)
+    """
+    + WEIGHT_SQL.format(counts="every_bin")
+    + r""", sides AS (
+      SELECT *, regexp_replace(format('{:.4g}', lower), '^(-?\d)(\d\d\d)$', '\1,\2') AS l, regexp_replace(format('{:.4g}', upper), '^(-?\d)(\d\d\d)$', '\1,\2') AS u FROM weighed),
+    merged_bins AS (
+      SELECT feature, kind, CAST(CASE kind WHEN 'numeric' THEN row_number() OVER (PARTITION BY feature ORDER BY place)
+               ELSE row_number() OVER (PARTITION BY feature ORDER BY woe, label) END - 1 AS INTEGER) AS bin_index,
+             coalesce(label, '(' || l || ', ' || u || ']') AS label, lower, upper, is_missing, "count", bads,
+             CASE WHEN "count" > 0 THEN bads / "count"::DOUBLE ELSE 0 END AS event_rate, woe, iv, direction FROM sides),
+    moves AS (SELECT *, (woe - lag(woe) OVER (PARTITION BY feature ORDER BY bin_index)) * direction AS climb FROM merged_bins WHERE NOT is_missing)
+    """
+)
+
+
+@query(
+    MERGED_SQL
+    + f"""SELECT feature, kind, bin_index, label, {r('lower')} AS lower, {r('upper')} AS upper, is_missing, "count", bads,
+          {r('event_rate')} AS event_rate, {r('woe')} AS woe, {r('iv')} AS iv, {r('"count" / sum("count") OVER (PARTITION BY feature)')} AS share
+        FROM merged_bins"""
+)
 def woe_fit_merged(spark: SparkSession, sf: str) -> DataFrame:
     """Merged, monotone bins of every feature."""
     _, binning = fitted(spark, sf)
     return tidy(woe.bin_table(binning.bin_frame(spark)))
 
 
-@query()
+@query(
+    MERGED_SQL
+    + f""", trends AS (SELECT feature, max(direction) + min(direction) AS twice, coalesce(bool_and(climb >= -1e-9), true) AS monotonic FROM moves GROUP BY feature),
+      cuts AS (SELECT feature, string_agg(printf('%.6f', upper), ', ' ORDER BY bin_index) AS edges FROM merged_bins WHERE upper < 'inf'::DOUBLE GROUP BY feature)
+      SELECT b.feature, b.kind, coalesce(first(edges), '') AS edges, {r('sum(iv)')} AS iv, first(monotonic) AS monotonic,
+        CAST(coalesce(first(twice) // 2, 0) AS INTEGER) AS direction
+      FROM merged_bins b LEFT JOIN trends t ON t.feature = b.feature LEFT JOIN cuts c ON c.feature = b.feature GROUP BY b.feature, b.kind"""
+)
 def woe_fit_features(spark: SparkSession, sf: str) -> DataFrame:
-    """Edges, information value and direction of every feature."""
+    """Edges (as text), information value and direction of every feature."""
     _, binning = fitted(spark, sf)
-    return binning.feature_frame(spark)
+    edges = F.array_join(F.transform("edges", lambda e: F.format_string("%.6f", e)), ", ")
+    return tidy(binning.feature_frame(spark).withColumn("edges", edges))
 
 
-@query()
+@query(
+    MERGED_SQL
+    + f"""SELECT feature, kind, {r('sum(iv)')} AS iv, CAST(to_json(list({{'label': label, 'count': "count", 'bads': bads,
+          'woe': printf('%.6f', woe + 0.0)}} ORDER BY bin_index)) AS VARCHAR) AS json FROM merged_bins GROUP BY feature, kind"""
+)
 def woe_nested(spark: SparkSession, sf: str) -> DataFrame:
-    """Fitted bins nested per feature, also as JSON."""
+    """Fitted bins nested per feature, in order, and as JSON (weights as text of six places)."""
     _, binning = fitted(spark, sf)
-    return io.nested_bins(binning.bin_frame(spark)).select("feature", "kind", "iv", "json")
+    brief = F.transform("bins", lambda b: F.struct(b["label"].alias("label"), b["count"].alias("count"), b["bads"].alias("bads"),
+                                                   F.format_string("%.6f", b["woe"]).alias("woe")))
+    return tidy(io.nested_bins(binning.bin_frame(spark)).select("feature", "kind", "iv", F.to_json(brief).alias("json")))
 
 
 __all__ = ["OOT_MONTH", "QUERIES", "SQL", "fitted", "prebinning", "staged_book", "train_of"]

@@ -62,46 +62,101 @@ def test_golden_bins_and_points(spark):
     assert {f: round(v, 4) for f, v in ivs.items()} == {f: g[0] for f, g in GOLDEN.items()}
 
 
-def merged(upper, count, bads, **how):
-    bins, direction = woe.merge_bins(upper, count, bads, **{"smallest": 1, **how})
-    return bins.upper, bins.count, bins.bads, direction
+def merged(spark, upper, count, bads, prior=0, **how):
+    rows = [("x", i, n, b) for i, (n, b) in enumerate(zip(count, bads))]
+    counts = spark.createDataFrame(rows, "feature string, bin_index int, count long, bads long")
+    bins = woe.merge_counts(counts, {"x": upper[:-1]}, **{"smallest": 1, **how}, priors={"x": prior})
+    got = bins.orderBy("bin_index").collect()
+    assert [r["lower"] for r in got] == [-math.inf, *(r["upper"] for r in got[:-1])]
+    return [r["upper"] for r in got], [r["count"] for r in got], [r["bads"] for r in got], got[0]["direction"]
 
 
-def test_small_bins_join_right_and_the_last_joins_left():
-    got = merged([1, 2, 3, math.inf], [5, 50, 50, 50], [1, 9, 5, 2], smallest=25, monotone=False)
+def test_small_bins_join_right_and_the_last_joins_left(spark):
+    got = merged(spark, [1, 2, 3, math.inf], [5, 50, 50, 50], [1, 9, 5, 2], smallest=25, monotone=False)
     assert got[:2] == ([2, 3, math.inf], [55, 50, 50])
-    got = merged([1, 2, 3, math.inf], [50, 50, 50, 5], [9, 7, 5, 0], smallest=25, monotone=False)
+    got = merged(spark, [1, 2, 3, math.inf], [50, 50, 50, 5], [9, 7, 5, 0], smallest=25, monotone=False)
     assert got[:2] == ([1, 2, math.inf], [50, 50, 55])
 
 
-def test_first_of_equally_small_bins_goes_first():
-    got = merged([1, 2, 3, math.inf], [10, 100, 10, 100], [1, 9, 1, 9], smallest=15, monotone=False)
+def test_first_of_equally_small_bins_goes_first(spark):
+    got = merged(spark, [1, 2, 3, math.inf], [10, 100, 10, 100], [1, 9, 1, 9], smallest=15, monotone=False)
     assert got[1] == [110, 110]
 
 
-def test_merging_stops_at_two_bins():
-    got = merged([1, math.inf], [3, 4], [3, 0], smallest=25, prior=-1)
+def test_merging_stops_at_two_bins(spark):
+    got = merged(spark, [1, math.inf], [3, 4], [3, 0], smallest=25, prior=-1)
     assert got[0] == [1, math.inf] and got[3] == -1
 
 
-def test_trend_breaks_are_merged_worst_first():
+def test_trend_breaks_are_merged_worst_first(spark):
     upper, count, bads, direction = merged(
-        [1, 2, 3, 4, math.inf], [100] * 5, [40, 20, 35, 10, 5], prior=1
+        spark, [1, 2, 3, 4, math.inf], [100] * 5, [40, 20, 35, 10, 5], prior=1
     )
     assert count == [100, 200, 100, 100] and bads == [40, 55, 10, 5] and direction == 1
 
 
-def test_direction_from_data_and_undefined_direction():
-    assert merged([1, 2, math.inf], [100] * 3, [5, 10, 20])[3] == -1
-    assert merged([1, 2, math.inf], [100] * 3, [20, 10, 5])[3] == 1
-    assert merged([1, 2, math.inf], [100] * 3, [10, 10, 10])[3] == -1
-    assert merged([math.inf], [100], [10])[3] == 1
+def test_direction_from_data_and_undefined_direction(spark):
+    assert merged(spark, [1, 2, math.inf], [100] * 3, [5, 10, 20])[3] == -1
+    assert merged(spark, [1, 2, math.inf], [100] * 3, [20, 10, 5])[3] == 1
+    assert merged(spark, [1, 2, math.inf], [100] * 3, [10, 10, 10])[3] == -1
+    assert merged(spark, [math.inf], [100], [10])[3] == 1
 
 
-def test_weakest_pairs_go_until_the_limit():
-    got = merged([1, 2, 3, math.inf], [100] * 4, [40, 39, 20, 5], max_bins=2, monotone=False)
+def test_weakest_pairs_go_until_the_limit(spark):
+    got = merged(spark, [1, 2, 3, math.inf], [100] * 4, [40, 39, 20, 5], max_bins=2, monotone=False)
     assert got[1] == [200, 200] or got[1] == [300, 100]
-    assert len(merged(list(range(20)) + [math.inf], [100] * 21, range(21), max_bins=8)[0]) <= 8
+    assert len(merged(spark, list(range(20)) + [math.inf], [100] * 21, range(21), max_bins=8)[0]) <= 8
+
+
+def plain_merge(upper, count, bads, smallest, max_bins, prior):
+    """The rules one bin at a time, on lists."""
+    upper, count, bads = list(upper), list(count), list(bads)
+
+    def absorb(i):
+        count[i + 1] += count[i]
+        bads[i + 1] += bads[i]
+        del upper[i], count[i], bads[i]
+
+    def weights():
+        return np.log((np.array(count) - bads + 0.5) / (np.array(bads) + 0.5))
+
+    while len(count) > 2 and min(count) < smallest:
+        absorb(min(count.index(min(count)), len(count) - 2))
+    with np.errstate(all="ignore"):
+        r = np.corrcoef(np.arange(len(count)), weights())[0, 1] if len(count) > 1 else 1
+    direction = prior or (1 if r >= 0 else -1)
+    while len(count) > 2 and (np.diff(weights()) * direction).min() < 0:
+        absorb(int((np.diff(weights()) * direction).argmin()))
+    while len(count) > max_bins:
+        absorb(int(np.abs(np.diff(weights())).argmin()))
+    return upper, count, bads, direction
+
+
+def test_merging_of_many_features_equals_the_plain_rules(spark):
+    rng = np.random.default_rng(3)
+    edges, rows, want = {}, [], {}
+    for k in range(60):
+        n = int(rng.integers(1, 41))
+        count = rng.integers(0, 200, n)
+        bads = rng.binomial(count, np.clip(rng.normal(0.2, 0.1) + np.linspace(0, rng.normal(0, 0.2), n), 0.01, 0.9))
+        upper = [*np.sort(rng.normal(size=n - 1)).tolist(), math.inf]
+        edges[f"f{k}"] = upper[:-1]
+        rows += [(f"f{k}", i, int(c), int(b)) for i, (c, b) in enumerate(zip(count, bads)) if c]  # empty bins have no row
+        want[f"f{k}"] = plain_merge(upper, count.tolist(), bads.tolist(), 60, 6, [0, 1, -1][k % 3])
+    counts = spark.createDataFrame(rows, "feature string, bin_index int, count long, bads long")
+    priors = {f"f{k}": [0, 1, -1][k % 3] for k in range(60)}
+    got = woe.merge_counts(counts, edges, smallest=60, max_bins=6, priors=priors).orderBy("feature", "bin_index").collect()
+    for f, expected in want.items():
+        own = [r for r in got if r["feature"] == f]
+        assert ([r["upper"] for r in own], [r["count"] for r in own], [r["bads"] for r in own], own[0]["direction"]) == expected
+
+
+def test_missing_values_are_no_level_and_no_edge(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (2.0, float("nan")), (3.0, None), (float("nan"), 5.0), (None, 7.0)], "a double, b double")
+    assert woe.prebin_edges(df, ["a", "b"]) == {"a": [1.5, 2.5], "b": [3.0, 6.0]}
+    wide = spark.range(100).select(F.when(F.col("id") % 10 == 0, float("nan")).otherwise(F.col("id")).cast("double").alias("a"))
+    assert all(np.isfinite(woe.prebin_edges(wide, ["a"])["a"]))
+    assert woe.prebin_edges(df.limit(0), ["a"]) == {"a": []}
 
 
 def test_labels():
