@@ -135,14 +135,14 @@ def party_counts(log: DataFrame, days: int, *, user: str = "user_id", ts: str =
 def _stretches(levels: int) -> Column:
     """The days from ``lo`` up to ``end``, fewer than 2**levels, as the at most two aligned stretches of each length 2**k."""
     return F.expr(f"""filter(flatten(transform(sequence(0, {levels - 1}), k -> transform(
-        array(named_struct('l', (lo + shiftleft(1, k) - 1) div shiftleft(1, k), 'r', end div shiftleft(1, k))), x -> array(
-            if(x.l < x.r and x.l % 2 = 1, named_struct('k', k, 'b', x.l), null),
-            if(x.l < x.r and x.r % 2 = 1, named_struct('k', k, 'b', x.r - 1), null)))[0])), x -> x is not null)""")
+        array(named_struct('l', shiftright(lo + shiftleft(1, k) - 1, k), 'r', shiftright(end, k))), x -> array(
+            if(x.l < x.r and (x.l & 1) = 1, named_struct('k', k, 'b', x.l), null),
+            if(x.l < x.r and (x.r & 1) = 1, named_struct('k', k, 'b', x.r - 1), null)))[0])), x -> x is not null)""")
 
 
 def _lies_in(levels: int, day: Column) -> Column:
     """The stretch of each length that holds a day."""
-    return F.array(*[F.struct(F.lit(k).alias("k"), F.floor(day / (1 << k)).alias("b")) for k in range(levels)])
+    return F.array(*[F.struct(F.lit(k).alias("k"), F.shiftright(day, k).alias("b")) for k in range(levels)])
 
 
 def best_on(counts: DataFrame, asked: DataFrame, keep: int, days: int) -> DataFrame:
@@ -318,7 +318,7 @@ def past_due(loans: DataFrame, decisions: DataFrame, days: int = 180, *, key: st
     over cells); of those that still rise the one due first is the worst.
     """
     due, opened = F.to_date("due"), F.to_date("opened")
-    repaid = F.greatest(F.to_date("repaid"), opened)
+    repaid = F.when(F.col("repaid").isNotNull(), F.greatest(F.to_date("repaid"), opened))
     known = loans.where(F.col(user).isNotNull() & F.col("opened").isNotNull())
     asked = _asked(decisions, user, at)
     # ended: the last day on which the loan was unpaid, and how late it was then

@@ -473,7 +473,7 @@ def mart_asof_flows(spark: SparkSession, sf: str) -> DataFrame:
     loans AS (SELECT o_custkey AS user_id, CAST(o_orderdate AS DATE) AS opened, CAST(o_orderdate AS DATE) + {_LOAN_DAYS} AS due,
                      CASE WHEN l_linestatus = 'F' THEN CAST(l_shipdate AS DATE) END AS repaid, CAST(l_quantity AS BIGINT) AS drawn
               FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-    met AS (SELECT id, a.user_id, decision_day, opened, due, drawn, greatest(repaid, opened) AS repaid
+    met AS (SELECT id, a.user_id, decision_day, opened, due, drawn, CASE WHEN repaid IS NOT NULL THEN greatest(repaid, opened) END AS repaid
             FROM asked a LEFT JOIN loans l ON a.user_id = l.user_id AND opened < decision_day),
     seen AS (SELECT *, least(coalesce(repaid, decision_day), decision_day) - 1 AS last_unpaid FROM met)
     SELECT id, user_id, decision_day,
