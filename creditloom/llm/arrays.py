@@ -12,22 +12,9 @@ SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-#: A random 64-bit value for each byte, from a fixed seed.
-BYTE_CODES = np.random.Generator(np.random.PCG64(20240607)).integers(1, 2**63, 256, dtype=np.uint64)
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 2**64)
-_powers = [np.ones(1, U64), np.ones(1, U64)]
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers, modulo 2**64, of the hash base and of its inverse."""
-    if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        for i, base in enumerate((_BASE, _INVERSE)):
-            table = np.full(size, base, U64)
-            table[0] = 1
-            _powers[i] = np.multiply.accumulate(table)
-    return _powers[0][:n], _powers[1][:n]
+_STEP, _SIZE, _LEFT, _SEED = (U64(x) for x in np.random.Generator(np.random.PCG64(20240607)).integers(1, 2**63, 4, dtype=np.uint64) * 2 + 1)
+#: The low bytes of a little-endian word.
+_LOW = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -85,23 +72,96 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, np.flatnonzero(inside & ~after) + 1, np.searchsorted(starts, offsets)
 
 
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on, as one value; zeros follow the end."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span, equal for equal bytes wherever they stand."""
-    up, down = powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, U64)
-    np.cumsum(BYTE_CODES[data] * up[:-1], out=sums[1:])
-    out = (sums[ends] - sums[starts]) * down[starts]
-    return mix(out ^ (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
+    """A 64-bit hash of each byte span, equal for equal bytes wherever they stand.
+
+    Every eight bytes are mixed with their place in the span and the results are added up: unlike a polynomial
+    modulo 2**64, which maps a Thue-Morse word and its complement to one value, no pattern of bytes cancels.
+    """
+    size = np.asarray(ends) - np.asarray(starts)
+    n = (size + 7) // 8
+    first = np.cumsum(n) - n
+    place = np.arange(int(n.sum())) - np.repeat(first, n)
+    chunk = eights(data)[np.repeat(starts, n) + 8 * place]
+    chunk &= _LOW[np.minimum(np.repeat(size, n) - 8 * place, 8)]
+    chunk = mix(mix(chunk + _SEED) + place.astype(U64) * _STEP)
+    out = np.zeros(len(size), U64)
+    some = n > 0
+    if some.any():
+        out[some] = np.add.reduceat(chunk, first[some])
+    return mix(out ^ size.astype(U64) * _SIZE)
+
+
+def _join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of two neighbours, by pair."""
+    return mix(a * _LEFT + b)
+
+
+def gram_hashes(values: np.ndarray, k: int, step: int = 1) -> np.ndarray:
+    """Hash of each ``k`` values that are ``step`` apart, by halves; one entry per start, len(values) - (k - 1) * step in all."""
+    count = len(values) - (k - 1) * step
+    if count <= 0:
+        return np.zeros(0, U64)
+    level, size, out, done = mix(values + _SEED), 1, None, 0
+    while True:
+        if k & size:
+            part = level[done * step : done * step + count]
+            out = part if out is None else _join(out, part)
+            done += size
+        if done == k:
+            return out
+        level = _join(level[: -size * step], level[size * step :])
+        size *= 2
 
 
-def gram_hashes(values: np.ndarray, k: int) -> np.ndarray:
-    """Hash of each run of k values; one entry per start, len(values) - k + 1 in all."""
-    if len(values) < k:
+def byte_grams(data: np.ndarray, k: int) -> np.ndarray:
+    """Hash of each ``k`` bytes (eight or more); one entry per start."""
+    if len(data) < k:
         return np.zeros(0, U64)
-    up, down = powers(len(values) + 1)
-    sums = np.zeros(len(values) + 1, U64)
-    np.cumsum(values * up[:-1], out=sums[1:])
-    return mix((sums[k:] - sums[:-k]) * down[: len(values) - k + 1])
+    eight = eights(data)[: len(data) - 7]
+    out = gram_hashes(eight, k // 8, 8)[: len(data) - k + 1]
+    return _join(out, mix(eight[k - 8 :] + _SEED)) if k % 8 else out
+
+
+class Prefixes:
+    """Comparison of any two stretches of a text by polynomial sums modulo the prime 2**31 - 1, two bases."""
+
+    P = U64((1 << 31) - 1)
+    BASES = (1_130_406_883, 1_987_206_151)
+
+    def __init__(self, data: np.ndarray):
+        self.lanes = []
+        for base in self.BASES:
+            up, down = (self._powers(b, len(data) + 1) for b in (base, pow(base, -1, int(self.P))))
+            terms = self._fold((data.astype(U64) + U64(1)) * up[:-1])
+            self.lanes.append((np.concatenate([np.zeros(1, U64), np.cumsum(terms)]), down))
+
+    @classmethod
+    def _fold(cls, x: np.ndarray) -> np.ndarray:
+        x = (x & cls.P) + (x >> U64(31))
+        x = (x & cls.P) + (x >> U64(31))
+        return np.where(x >= cls.P, x - cls.P, x)
+
+    @classmethod
+    def _powers(cls, base: int, n: int) -> np.ndarray:
+        out = np.ones(1, U64)
+        while len(out) < n:
+            out = np.concatenate([out, cls._fold(out * U64(pow(base, len(out), int(cls.P))))])
+        return out[:n]
+
+    def same(self, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether ``size`` bytes from a equal those from b."""
+        out = np.ones(len(a), bool)
+        for sums, down in self.lanes:
+            x, y = (self._fold(self._fold(sums[at + size] - sums[at]) * down[at]) for at in (a, b))
+            out &= x == y
+        return out
 
 
 def sliding_min(a: np.ndarray, w: int) -> np.ndarray:

@@ -130,16 +130,16 @@ class LineIndex:
 def dropped_lines(rows: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int = 4, fanout: int = 2) -> DataFrame:
     """_id, _digest and gone: the sorted numbers of the lines that a text loses; texts that lose none are left out."""
     spark = rows.sparkSession
-    cuts = rows.approxQuantile("_id", [i / batches for i in range(1, batches)], 0.01)
-    batch = F.lit(0)
-    for cut in sorted(set(map(int, cuts))):
+    cuts = rows.approxQuantile("_id", [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
+    cuts, batch = {int(cut) for cut in cuts}, F.lit(0)
+    for cut in cuts:
         batch = batch + (F.col("_id") < cut).cast("int")
     path = f"{shared_folder(spark)}/creditloom/lines-{uuid.uuid4().hex}"
     lines = long_lines(rows, min_chars).withColumn("batch", batch)
     lines.write.partitionBy("batch").parquet(path)
     lines = spark.read.schema(lines.schema).parquet(path)
     index = LineIndex(spark, min_docs, fanout)
-    for n in range(len(set(map(int, cuts))) + 1):
+    for n in range(len(cuts) + 1):
         index.add(lines.where(F.col("batch") == n))
     common = stage(index.common(), "common-lines")
     gone = lines.join(common, "hash").where(F.col("_id") != F.col("holder"))

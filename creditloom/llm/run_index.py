@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import BYTE_CODES, gram_hashes, powers, ranges, slices, sliding_min, span_hashes
+from .arrays import Prefixes, byte_grams, ranges, slices, sliding_min, span_hashes
 from .spans import attach, bucket_of, buckets, covered, frequent_grams, keyed, listed, parts, runs
 from .written import written
 
@@ -41,7 +41,7 @@ BLOCK_BYTES = 2 << 20
 
 def heads(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
     """Row, position and smallest gram of each window; then the hashes of all grams."""
-    grams = gram_hashes(BYTE_CODES[data], gram)
+    grams = byte_grams(data, gram)
     least = sliding_min(grams, length - gram + 1)
     n = np.maximum(np.diff(offsets) - length + 1, 0)
     here = ranges(offsets[:-1], n)
@@ -104,8 +104,7 @@ class RunIndex:
         head = np.ones(len(order), bool)
         head[1:] = before[1:] != before[:-1]
         tail = np.append(head[1:], True)
-        up, self.down = powers(len(data) + 1)
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE_CODES[data] * up[:-1])])
+        self.prefixes = Prefixes(data)
         at = np.flatnonzero(head)
         self.heads = order[at], self._common(order[at], order[at - 1], at > 0)
         at = np.flatnonzero(tail)
@@ -118,7 +117,7 @@ class RunIndex:
         low = np.zeros(len(a), np.int64)
         while (open_ := low < most).any():
             mid = (low + most + 1) // 2
-            same = (self.sums[a + mid] - self.sums[a]) * self.down[a] == (self.sums[b + mid] - self.sums[b]) * self.down[b]
+            same = self.prefixes.same(a, b, np.where(open_, mid, 0))
             low = np.where(open_ & same, mid, low)
             most = np.where(open_ & ~same, mid - 1, most)
         return low

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from creditloom.llm import (
-    byte_bpe, jaccard_regions, mixing, phrase_fingerprint, pitman_yor, quality, queries, relative_lz, run_index, vector_topk,
+    arrays, byte_bpe, jaccard_regions, mixing, phrase_fingerprint, pitman_yor, quality, queries, relative_lz, run_index, vector_topk,
 )
 
 SF = "/root/testdata/sf0.001"
@@ -125,6 +125,41 @@ def test_jaccard_is_brute_force(spark, odd):
     assert kept == sorted(d for d in low if low[d] == d)
 
 
+def thue_morse(n, a, b):
+    """Words that a polynomial hash modulo 2**64 maps to one value, whatever its base, from 1,024 letters on."""
+    return "".join(a if bin(i).count("1") % 2 == 0 else b for i in range(n))
+
+
+def test_words_that_polynomial_hashes_confuse_stay_apart(spark):
+    one, two = thue_morse(1024, "a", "b"), thue_morse(1024, "b", "a")
+    same = " ".join(f"w{i}" for i in range(12))
+    rows = [(1, f"{same} {one}"), (2, f"{same} {two}")]
+    assert [r.n_removed for r in relative_lz.remove_duplicates(frame(spark, rows)).collect()] == [0, 0]
+    got = jaccard_regions.jaccard_components(frame(spark, [(1, one), (2, two)])).collect()
+    assert sorted(r.component_id for r in got) == [1, 2]
+    shared = thue_morse(4096, "a", "b")
+    rows = [(1, "x" + shared), (2, thue_morse(4096, "b", "a") + "y"), (3, "z" + shared[:1500])]
+    gone = passages(rows, lambda t: t.encode(), 200, False)
+    assert {r.doc_id: r.n_removed for r in run_index.remove_repeats(frame(spark, rows)).collect()} == {d: gone[d].sum() for d, _ in rows}
+
+
+def test_hashes_tell_spans_and_grams_apart():
+    rng = np.random.default_rng(0)
+    data = rng.integers(97, 100, 3000).astype(np.uint8)
+    starts = rng.integers(0, 2900, 9000)
+    ends = starts + rng.integers(0, 70, 9000)
+    spans = [data[a:b].tobytes() for a, b in zip(starts, ends)]
+    found = [(spans, arrays.span_hashes(data, starts, ends))]
+    found += [([data[i : i + k].tobytes() for i in range(3001 - k)], arrays.byte_grams(data, k)) for k in (8, 13, 32, 37)]
+    values = rng.integers(0, 3, 2000).astype(np.uint64)
+    found += [([values[i : i + k].tobytes() for i in range(2001 - k)], arrays.gram_hashes(values, k)) for k in (1, 2, 5, 13)]
+    for texts, hashes in found:
+        assert len(texts) == len(hashes) and len(set(zip(texts, hashes.tolist()))) == len(set(texts)) == len(set(hashes.tolist()))
+    a, b, n = rng.integers(0, 2900, 20000), rng.integers(0, 2900, 20000), rng.integers(0, 9, 20000)
+    same = [data[i : i + k].tobytes() == data[j : j + k].tobytes() for i, j, k in zip(a, b, n)]
+    assert arrays.Prefixes(data).same(a, b, n).tolist() == same
+
+
 def test_blocks_find_links_between_components():
     words = lambda *x: np.array(sorted(x), np.uint64).tobytes()
     rows = [(1, 1, True, words(*range(10))), (2, 2, False, words(*range(9))), (3, 2, False, words(*range(10, 20)))]
@@ -295,12 +330,12 @@ def test_empty_tables(spark, odd):
 @pytest.mark.parametrize("name", sorted({**queries.SQL}))
 def test_queries_equal_sql(spark, name):
     db = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = queries.QUERIES[name](spark, SF)
     cols = sorted(df.columns)
-    want = sorted(map(str, db.execute(queries.SQL[name]).df()[cols].itertuples(index=False, name=None)))
-    assert sorted(map(str, df.select(*cols).toPandas().itertuples(index=False, name=None))) == want
+    want = sorted(map(str, db.execute(f"SELECT {', '.join(cols)} FROM ({queries.SQL[name]})").fetchall()))
+    assert sorted(str(tuple(r)) for r in df.select(*cols).collect()) == want
 
 
 @needs_tables
