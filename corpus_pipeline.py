@@ -20,6 +20,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from creditloom.llm import byte_bpe, jaccard_regions, mixing, quality, relative_lz
 from creditloom.sources.staging import stage
@@ -30,8 +31,8 @@ QUALITY_LIMIT = 0.3
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     machine = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = quality.score(docs, machine, score_col="_score")
-    return scored.where(scored["_score"] >= QUALITY_LIMIT).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), "text")  # no column of the documents meets the score
+    return quality.score(rows, machine, ["doc"]).where(F.col("score") >= QUALITY_LIMIT).select("doc.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
