@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import LOWER, U64, gram_hashes, mix, ranges, slices, span_hashes, words
+from .arrays import LOWER, U64, gram_hashes, lean, mix, ranges, slices, span_hashes, words
 from .components import components
 from .spans import LAST_ID, bucket_of, buckets, frequent_grams, keyed, listed, parts
 from .written import written
@@ -88,7 +88,7 @@ def signatures(rows: DataFrame, size: int) -> DataFrame:
                         ["_id", "_digest", "n", "class"],
                     )
 
-    return rows.select("_id", "_digest", "_text").mapInArrow(run, "_id long, _digest long, n long, class long")
+    return rows.select("_id", "_digest", "_text").mapInArrow(lean(run), "_id long, _digest long, n long, class long")
 
 
 def shared_pivots(rows: DataFrame, size: int, percent: int, slack: float) -> DataFrame:
@@ -152,8 +152,8 @@ def shared_pivots(rows: DataFrame, size: int, percent: int, slack: float) -> Dat
             [pa.array(key[several].view(np.int64)), pa.array(cls[several]), pa.array(m[several])], ["key", "class", "m"]
         )
 
-    sent = rows.select("_id", "_digest", "_text").mapInArrow(send, "bucket int, keys binary, classes binary")
-    return sent.repartition(count, "bucket").mapInArrow(meet, "key long, class long, m long")
+    sent = rows.select("_id", "_digest", "_text").mapInArrow(lean(send), "bucket int, keys binary, classes binary")
+    return sent.repartition(count, "bucket").mapInArrow(lean(meet), "key long, class long, m long")
 
 
 def _compare(a: bytes, b: bytes) -> tuple[int, int]:
@@ -181,7 +181,7 @@ def _distances(pairs: DataFrame, contents: DataFrame, percent: int) -> DataFrame
     rows = rows.join(contents.select(F.col("class").alias("b"), F.col("words").alias("other")), "b").drop("b")
     rows = rows.withColumn("a", F.col("row.a")).join(contents.select(F.col("class").alias("a"), "words"), "a")
     kind = rows.schema["row"].dataType.simpleString()
-    rows = rows.select("row", "words", "other").mapInArrow(run, f"row {kind}, distance double, linked boolean")
+    rows = rows.select("row", "words", "other").mapInArrow(lean(run), f"row {kind}, distance double, linked boolean")
     return rows.select("row.*", "distance", "linked")
 
 
@@ -273,7 +273,7 @@ def block_links(
 
     filled = cells.join(contents, "class").select("block", "class", "comp", "open", "words")
     filled = filled.repartition(buckets(members), "block").sortWithinPartitions("block")
-    return written(filled.mapInArrow(run, "a long, b long"), "links", release=True)
+    return written(filled.mapInArrow(lean(run), "a long, b long"), "links", release=True)
 
 
 def linked_classes(
@@ -307,7 +307,7 @@ def linked_classes(
                         ["class", "words"],
                     )
 
-    contents = texts.mapInArrow(extract, "class long, words binary").groupBy("class").agg(F.first("words").alias("words"))
+    contents = texts.mapInArrow(lean(extract), "class long, words binary").groupBy("class").agg(F.first("words").alias("words"))
     contents = written(contents, "contents", release=True)
 
     members = table.select(F.col("home").alias("key"), "class", F.col("class").alias("comp"), "rank", "n")

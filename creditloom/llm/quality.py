@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import LOWER, U64, slices, span_hashes, utf8, words
+from .arrays import LOWER, U64, lean, slices, span_hashes, utf8, words
 
 STATS = 15
 _CLASS = np.zeros(256, np.uint8)
@@ -188,7 +188,7 @@ def train(
                 )
 
     got = rows.select("_id", "_text", "_y").mapInArrow(
-        extract, "id long, y int, index binary, value binary, stats binary"
+        lean(extract), "id long, y int, index binary, value binary, stats binary"
     ).collect()
     got.sort(key=lambda r: r.id)
     sparse = Rows(
@@ -220,4 +220,4 @@ def score(
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.concatenate(out))], ["row", score_col])
 
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row {kind}, `{score_col}` double").select("row.*", score_col)
+    return rows.mapInArrow(lean(run), f"row {kind}, `{score_col}` double").select("row.*", score_col)

@@ -25,10 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import gram_hashes, ranges, sliding_min, span_hashes, words
+from .arrays import gram_hashes, lean, ranges, sliding_min, span_hashes, words
 from .spans import attach, bucket_of, buckets, covered, frequent_grams, keyed, listed, parts, runs
 from .written import written
 
+#: Bytes of text whose windows are compared before anything is sent on; a window takes some 100 bytes meanwhile.
+PART_BYTES = 2 << 20
 _SENT = "bucket int, runs binary, lengths binary, hashes binary"
 _RUN = np.dtype([("id", "<i8"), ("digest", "<u4"), ("start", "<u4")])
 _SPANS = "_id long, _digest long, start int, n int"
@@ -42,8 +44,8 @@ def windows(data: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> tu
     least = sliding_min(gram_hashes(h, gram), window - gram + 1)
     n = np.maximum(np.diff(at) - window + 1, 0)
     here = ranges(at[:-1], n)
-    row = np.repeat(np.arange(len(n)), n)
-    return row, here - at[:-1][row], least[here], whole[here]
+    row = np.repeat(np.arange(len(n), dtype=np.int32), n)
+    return row, (here - at[:-1][row]).astype(np.int32), least[here], whole[here]
 
 
 def _span_batch(ids: np.ndarray, digests: np.ndarray, starts: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
@@ -53,6 +55,17 @@ def _span_batch(ids: np.ndarray, digests: np.ndarray, starts: np.ndarray, n: np.
     )
 
 
+def repeats(ids: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which windows an entry with a smaller id has too."""
+    order = np.lexsort((ids, hashes))
+    hashes, ids = hashes[order], ids[order]
+    new = np.ones(len(order), bool)
+    new[1:] = hashes[1:] != hashes[:-1]
+    out = np.empty(len(order), bool)
+    out[order] = ids > ids[new][np.cumsum(new, dtype=np.int32) - 1]
+    return out
+
+
 def factors(ids: np.ndarray, lengths: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Run, first window and number of windows of each factor of a block's runs against the block."""
     none = np.zeros(0, np.int64)
@@ -104,16 +117,11 @@ def duplicate_spans(rows: DataFrame, window: int = 13, gram: int = 5) -> DataFra
     def send(batches):
         table, turn = held.value, 0
         for batch in batches:
-            for ids, digests, data, offsets in parts(batch):
+            for ids, digests, data, offsets in parts(batch, PART_BYTES):
                 row, pos, key, whole = windows(data, offsets, window, gram)
                 if not len(row):
                     continue
-                doc = ids[row]
-                order = np.lexsort((doc, whole))
-                new = np.ones(len(order), bool)
-                new[1:] = whole[order[1:]] != whole[order[:-1]]
-                known = np.empty(len(order), bool)
-                known[order] = doc[order] > doc[order[np.flatnonzero(new)[np.cumsum(new) - 1]]]
+                known = repeats(ids[row], whole)
                 quiet = np.zeros(len(row), bool)
                 turn += 1
                 if known.any():
@@ -164,8 +172,8 @@ def duplicate_spans(rows: DataFrame, window: int = 13, gram: int = 5) -> DataFra
         run, first, n = factors(sent["id"], lengths, hashes)
         return _span_batch(sent["id"][run], sent["digest"][run], sent["start"][run] + first, n)
 
-    sent = rows.select("_id", "_digest", "_text").mapInArrow(send, _SENT)
-    found = sent.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(receive, _SPANS)
+    sent = rows.select("_id", "_digest", "_text").mapInArrow(lean(send), _SENT)
+    found = sent.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(lean(receive), _SPANS)
     return written(found, "spans", release=True)
 
 
@@ -200,8 +208,8 @@ def _reduced(docs, window, gram, id_col, text_col, keep, with_text) -> DataFrame
     def cut(batches):
         for batch in batches:
             sizes, lost, digests, kept = [], [], [], []
-            for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                own = text.encode().split()
+            for text, spans in zip(batch.column(1), batch.column(2)):
+                own, spans = text.as_py().encode().split(), spans.as_py()
                 gone = covered(len(own), spans, window - 1)
                 left = own if gone is None else list(compress(own, ~gone))
                 out = b" ".join(left)
@@ -218,7 +226,7 @@ def _reduced(docs, window, gram, id_col, text_col, keep, with_text) -> DataFrame
 
     kind = joined.schema["_row"].dataType.simpleString()
     schema = f"_row {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(lean(cut), schema)
 
 
 #: The same for DuckDB, for the columns that SQL can give on whole tables.

@@ -36,11 +36,11 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...] = (
     )
 
 
-def parts(batch: pa.RecordBatch):
-    """(ids, digests, bytes, offsets) of row ranges of about PART_BYTES."""
+def parts(batch: pa.RecordBatch, limit: int = PART_BYTES):
+    """(ids, digests, bytes, offsets) of row ranges of about ``limit`` bytes."""
     ids, digests = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.uint32)
     data, offsets = utf8(batch.column(2))
-    for lo, hi in slices(offsets, PART_BYTES):
+    for lo, hi in slices(offsets, limit):
         yield ids[lo:hi], digests[lo:hi], data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
 
 
