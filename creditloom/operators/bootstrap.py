@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.config import SEED
@@ -21,14 +21,52 @@ BLOCK = 256
 SALTS = 64
 
 
+# ---- fixed values of the counter-based draws (a 64-bit mixer), shared with the SQL ----
+STEP = 0x9E3779B97F4A7C15
+MIXERS = ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB))
+LAST_SHIFT = 31
+#: Cells of more rows draw from the normal curve, with a term for the skew of the Poisson distribution.
+TABLE_ROWS = 512
+# ---- end of fixed values ----
+
+
+def cell_key(a: str, b: str, y: str, seed: int) -> Column:
+    """60 bits of a digest of a cell's scores, to nine places, its outcome and the seed."""
+    parts = [F.round(F.col(c) * 1e9).cast("decimal(38,0)").cast("string") for c in (a, b)]
+    text = F.concat_ws(":", *parts, F.col(y).cast("int").cast("string"), F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
+def uniforms(keys: np.ndarray, replicates: int, lane: int = 0) -> np.ndarray:
+    """(cells x replicates) numbers in (0, 1), each a mix of its cell's key and the replicate's number."""
+    counter = np.arange(1, replicates + 1, dtype=np.uint64) + np.uint64(lane * (1 << 32))
+    x = keys.astype(np.uint64)[:, None] + counter[None, :] * np.uint64(STEP)
+    for shift, factor in MIXERS:
+        x ^= x >> np.uint64(shift)
+        x *= np.uint64(factor)
+    x ^= x >> np.uint64(LAST_SHIFT)
+    return ((x >> np.uint64(11)).astype(float) + 0.5) * 2.0**-53
+
+
+def poisson_table(n: int) -> np.ndarray:
+    """Cumulative probabilities of a Poisson count of mean n, as far as doubles tell them from 1."""
+    k = np.arange(int(n + 12 * np.sqrt(n) + 30))
+    logs = np.concatenate([[0.0], np.cumsum(np.log(k[1:]))])
+    return np.cumsum(np.exp(k * np.log(n) - n - logs))
+
+
 def _draws(keys: np.ndarray, counts: np.ndarray, replicates: int) -> np.ndarray:
-    """(cells x replicates) Poisson weights, each row from a stream of its cell's own."""
-    return np.stack(
-        [
-            np.random.Generator(np.random.Philox(key=int(k) & (2**64 - 1))).poisson(n, replicates)
-            for k, n in zip(keys, counts, strict=True)
-        ]
-    ).astype(float)
+    """(cells x replicates) Poisson weights by inversion; a cell's draws depend on nothing but its key and size."""
+    out = uniforms(keys, replicates)
+    for n in np.unique(counts):
+        rows = np.flatnonzero(counts == n)
+        if n <= TABLE_ROWS:
+            out[rows] = np.searchsorted(poisson_table(int(n)), out[rows], side="right")
+        else:
+            angle = 2 * np.pi * uniforms(keys[rows], replicates, 1)
+            z = np.sqrt(-2.0 * np.log(out[rows])) * np.cos(angle)
+            out[rows] = np.maximum(np.floor(n + np.sqrt(n) * z + (z * z - 1) / 6 + 0.5), 0)
+    return out
 
 
 class _Running:
@@ -141,13 +179,14 @@ def replicate_ginis(
     """(replicate, gini_a, gini_b) with the same Poisson row weights for both models.
 
     Rows with equal scores and outcome share a cell; a cell of n rows draws Poisson(n) per
-    replicate from a stream keyed by the cell itself, so both orderings see the same weights.
+    replicate, by inversion of a number that is a mix of the cell's key and the replicate, so both orderings, any
+    partitioning and any engine see the same weights. Cells that agree to nine places share their numbers.
     """
     seen = df.where(present(a, b, y))
     cells = seen.groupBy(F.col(a).alias("a"), F.col(b).alias("b"), F.col(y).alias("y")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    cells = cells.withColumn("key", F.xxhash64("a", "b", "y", F.lit(seed)))
+    cells = cells.withColumn("key", cell_key("a", "b", "y", seed))
     sums = _replicate_sums(cells, "a", replicates, "a").unionByName(
         _replicate_sums(cells, "b", replicates, "b")
     )

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from creditloom.functions.expr import union_all
 from creditloom.operators import boost, metrics, stability
-from creditloom.operators.bootstrap import gini_difference
+from creditloom.config import SEED
+from creditloom.operators.bootstrap import LAST_SHIFT, MIXERS, STEP, TABLE_ROWS, gini_difference
 from creditloom.operators.scorecard import correlation_frame
 from creditloom.plans.common import numeric_long, r, text_long, tidy
 from creditloom.sources import views
@@ -386,9 +387,52 @@ def corr_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(correlation_frame(book, _CORR))
 
 
-@query()
+_REPLICATES = 2000
+_WRAP = "18446744073709551616::UHUGEINT"
+
+
+def _uniform_sql(rows: str, lane: int) -> str:
+    """``rows`` (with key and k) and u, the number of ``uniforms``."""
+    out = f"(SELECT *, (key + (k + {1 + lane * (1 << 32)})::UHUGEINT * {STEP}::UHUGEINT) % {_WRAP} AS x FROM {rows})"
+    for shift, factor in MIXERS:
+        out = f"(SELECT * REPLACE ((xor(x, x >> {shift}) * {factor}::UHUGEINT) % {_WRAP} AS x) FROM {out})"
+    return f"(SELECT * EXCLUDE (x), ((xor(x, x >> {LAST_SHIFT}) >> 11)::DOUBLE + 0.5) * {2.0**-53!r}::DOUBLE AS u FROM {out})"
+
+
+#: Weighted ranks per replicate: each bad outranks the goods of all lower scores, ties count half.
+_GINI_SQL = """(SELECT k, 2 * sum(b * (below + g / 2.0::DOUBLE)) / (sum(b) * sum(g)) - 1 AS gini FROM (
+      SELECT k, b, g, sum(g) OVER (PARTITION BY k ORDER BY s) - g AS below FROM (
+        SELECT k, {score} AS s, sum(CASE WHEN y = 1 THEN w ELSE 0 END) AS b, sum(CASE WHEN y = 1 THEN 0 ELSE w END) AS g FROM {rows} GROUP BY ALL))
+      GROUP BY k)"""
+
+
+@query(
+    APPS_SQL
+    + SCORED_SQL
+    + f""", contest AS (SELECT y, p AS a, coalesce(n_lines, 0) / 10.0::DOUBLE AS b FROM scored WHERE split = 'oot' AND approved = 1),
+    cells AS (
+      SELECT a, b, y, CAST(count(*) AS DOUBLE) AS n, ('0x' || substr(md5(concat_ws(':', CAST(round(a * 1e9) AS HUGEINT), CAST(round(b * 1e9) AS HUGEINT),
+        CAST(y AS INTEGER), '{SEED}')), 1, 15))::UBIGINT::UHUGEINT AS key
+      FROM contest WHERE a IS NOT NULL AND y IS NOT NULL GROUP BY ALL),
+    odds AS (SELECT n, list(exp(k * ln(n) - n - lgamma(k + 1.0::DOUBLE)) ORDER BY k) AS ps
+             FROM (SELECT DISTINCT n FROM cells WHERE n <= {TABLE_ROWS}), unnest(range(0, CAST(floor(n + 12 * sqrt(n) + 30) AS BIGINT))) t(k) GROUP BY n),
+    steps AS (SELECT n, list(total ORDER BY k) AS cdf FROM (
+      SELECT n, k, sum(ps[k]) OVER (PARTITION BY n ORDER BY k) AS total FROM odds, unnest(range(1, len(ps) + 1)) t(k)) GROUP BY n),
+    pairs AS (SELECT c.*, k FROM cells c, unnest(range(0, {_REPLICATES})) t(k)),
+    few AS (SELECT k, a, b, y, CAST(len(list_filter(cdf, lambda x: x <= u)) AS DOUBLE) AS w FROM {_uniform_sql('pairs', 0)} JOIN steps USING (n)),
+    curve AS (SELECT k, a, b, y, n, sqrt(-2 * ln(f.u)) * cos(2 * pi() * g.u) AS z
+      FROM {_uniform_sql(f'(SELECT * FROM pairs WHERE n > {TABLE_ROWS})', 0)} f JOIN {_uniform_sql(f'(SELECT * FROM pairs WHERE n > {TABLE_ROWS})', 1)} g USING (k, a, b, y, n)),
+    weighted AS (SELECT * FROM few UNION ALL SELECT k, a, b, y, greatest(floor(n + sqrt(n) * z + (z * z - 1) / 6 + 0.5), 0) FROM curve),
+    spread AS (SELECT quantile_cont(x.gini - z.gini, [0.025, 0.975]) AS q, avg(CASE WHEN x.gini - z.gini <= 0 THEN 1 ELSE 0 END) AS below,
+        avg(CASE WHEN x.gini - z.gini >= 0 THEN 1 ELSE 0 END) AS above, count(*) AS n_resamples
+      FROM {_GINI_SQL.format(score='a', rows='weighted')} x JOIN {_GINI_SQL.format(score='b', rows='weighted')} z USING (k)),
+    whole AS (SELECT 0 AS k, a, b, y, n AS w FROM cells)
+    SELECT {r('x.gini')} AS gini_a, {r('z.gini')} AS gini_b, {r('x.gini - z.gini')} AS difference, {r('q[1]')} AS ci_low, {r('q[2]')} AS ci_high,
+      {r('least(2.0::DOUBLE * least(below, above), 1.0::DOUBLE)')} AS p_two_sided, NOT (q[1] <= 0 AND q[2] >= 0) AS significant_at_95, n_resamples
+    FROM spread, {_GINI_SQL.format(score='a', rows='whole')} x, {_GINI_SQL.format(score='b', rows='whole')} z"""
+)
 def bootstrap_gini(spark: SparkSession, sf: str) -> DataFrame:
     """The fixed-weight score against line count alone, out of time."""
     book = views.scored(spark, sf).where("split = 'oot'")
     rows = book.select("y", "p", (F.coalesce("n_lines", F.lit(0)) / 10.0).alias("q"))
-    return gini_difference(stage(rows, "contest"), "p", "q", "y", replicates=2000)
+    return tidy(gini_difference(stage(rows, "contest"), "p", "q", "y", replicates=_REPLICATES))
