@@ -16,6 +16,7 @@ from pyspark.storagelevel import StorageLevel
 
 from creditloom.config import SEED
 from creditloom.operators.metrics import discrimination, evaluate
+from creditloom.operators.quality import require_outcomes
 
 
 @dataclass(frozen=True)
@@ -84,7 +85,11 @@ def woe_signs(features: Sequence[str]) -> dict[str, int]:
 
 
 def train(df: DataFrame, features: Sequence[str], y: str, params: Mapping, seed: int = SEED):
-    """Fit one boosted classifier."""
+    """Fit one boosted classifier; every row needs an outcome."""
+    return _fit(require_outcomes(df, y), features, y, params, seed)
+
+
+def _fit(df: DataFrame, features: Sequence[str], y: str, params: Mapping, seed: int):
     vectors = df if "_x" in df.columns else assemble(df, features)
     booster = GBTClassifier(featuresCol="_x", labelCol=y, seed=seed, **params)
     return booster.fit(vectors)
@@ -115,8 +120,9 @@ def tune(
     judging = vectors.where(F.col(split) == "valid").select("_x", y).persist(StorageLevel.MEMORY_AND_DISK)
     best, best_auc = None, -1.0
     try:
+        require_outcomes(fitting, y)
         for params in draws[len(results) :]:
-            model = train(fitting, features, y, params, seed)
+            model = _fit(fitting, features, y, params, seed)
             p = model.transform(judging).select(vector_to_array("probability")[1].alias("p"), y)
             auc = discrimination(p, "p", y).first()["auc"]
             results.append((auc, params))
@@ -124,7 +130,7 @@ def tune(
                 best, best_auc = (model, params), auc
         top_auc, top_params = max(results, key=lambda r: r[0])
         if best is None or top_auc > best_auc:
-            best = (train(fitting, features, y, top_params, seed), top_params)
+            best = (_fit(fitting, features, y, top_params, seed), top_params)
             best_auc = top_auc
     finally:
         fitting.unpersist()

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +14,8 @@ from creditloom.config import (
     Economics,
 )
 from creditloom.functions.expr import log_odds, sigmoid
+from creditloom.operators.newton import newton
+from creditloom.operators.quality import require_outcomes
 from creditloom.operators.woe import Binning
 
 
@@ -41,7 +41,8 @@ def profit_curve(df: DataFrame, score: str, y: str, economics: Economics = ECONO
 
 
 def best_cutoff(curve: DataFrame) -> DataFrame:
-    best = F.max_by(F.struct("cutoff", "approval_rate", "profit"), F.struct("profit", "cutoff"))
+    """The row of the curve with the largest profit; of equal ones the highest cut-off."""
+    best = F.max_by(F.struct("*"), F.struct("profit", "cutoff"))
     return curve.agg(best.alias("best")).select("best.*")
 
 
@@ -92,23 +93,19 @@ def fuzzy_augment(df: DataFrame, p: str, approved: str, y: str) -> DataFrame:
 def reject_inference(
     df: DataFrame, features: Sequence[str], p: str, approved: str, y: str
 ) -> tuple[dict[str, float], float]:
-    """Refit on the augmented book; returns coefficients and intercept."""
+    """Refit on the augmented book; returns coefficients and intercept. Approved rows need an outcome."""
+    require_outcomes(df.where(F.col(approved) == 1), y)
     book = fuzzy_augment(df, p, approved, y)
-    vectors = VectorAssembler(inputCols=list(features), outputCol="_x").transform(book)
-    model = LogisticRegression(
-        featuresCol="_x", labelCol=y, weightCol="weight", standardization=False, maxIter=200
-    ).fit(vectors.select("_x", y, "weight"))
-    return dict(zip(features, model.coefficients.tolist(), strict=True)), model.intercept
+    rows = book.select(F.array(*[F.col(f).cast("double") for f in features]).alias("_x"), y, "weight")
+    fit = newton(rows, "_x", y, weight="weight", size=len(features))
+    return dict(zip(features, fit.coefficients.tolist(), strict=True)), fit.intercept
 
 
 def recalibrate(df: DataFrame, p: str, y: str) -> tuple[float, float]:
-    """Platt scaling: slope and intercept on the log-odds, fitted on a validation split."""
-    rows = df.select(log_odds(F.col(p), 1e-10).alias("_z"), F.col(y).alias("_y"))
-    vectors = VectorAssembler(inputCols=["_z"], outputCol="_x").transform(rows)
-    model = LogisticRegression(
-        featuresCol="_x", labelCol="_y", standardization=False, maxIter=200, tol=1e-9
-    ).fit(vectors)
-    return float(model.coefficients[0]), float(model.intercept)
+    """Platt scaling: slope and intercept on the log-odds, fitted on a validation split, from the identity on."""
+    rows = df.select(F.array(log_odds(F.col(p), 1e-10)).alias("_z"), F.col(y).alias("_y"))
+    fit = newton(rows, "_z", "_y", start=[1.0, 0.0])
+    return float(fit.coefficients[0]), fit.intercept
 
 
 def apply_recalibration(p: Column, slope: float, intercept: float) -> Column:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.config import ECONOMICS, SCALE
 from creditloom.functions.expr import risk_band as band_of
-from creditloom.operators import boost, policy, scale, scorecard
+from creditloom.operators import boost, isotonic, policy, scale, scorecard
 from creditloom.operators.metrics import evaluate
+from creditloom.operators.newton import newton
 from creditloom.plans.common import r, tidy
 from creditloom.plans.metric_queries import SCORES_SQL, bands_sql, staged_scores
 from creditloom.plans.woe_queries import (
@@ -21,7 +23,7 @@ from creditloom.plans.woe_queries import (
 )
 from creditloom.sources import views
 from creditloom.sources.staging import stage
-from creditloom.sources.views import APPS_SQL, SCORED_SQL
+from creditloom.sources.views import APPS_SQL, OUTCOMES_SQL, SCORED_SQL
 
 QUERIES = {}
 SQL = {}
@@ -41,6 +43,43 @@ def query(sql: str | None = None):
     return register
 
 
+def newton_sql(rows: str, k: int, *, penalty: float = 0.0, steps: int = 12) -> str:
+    """Recursive CTEs ``newton`` (one row a step) and ``fit`` (the last) for a logistic fit of two or three coefficients.
+
+    ``rows`` has x0 .. (the last is the constant 1), y and w; c0 .. are the coefficients, v0 .. their variances.
+    """
+    names = range(k)
+    z = " + ".join(f"c{i} * x{i}" for i in names)
+    sums = [f"sum(w * (y - p) * x{i}) AS g{i}" for i in names] + [f"sum(w * p * (1 - p) * x{i} * x{j}) AS h{i}{j}" for i in names for j in names if i <= j]
+    h = lambda i, j: f"h{min(i, j)}{max(i, j)}" + (f" + {penalty!r}::DOUBLE" if penalty and i == j and i < k - 1 else "")
+    g = [f"(g{i}" + (f" - {penalty!r}::DOUBLE * c{i}" if penalty and i < k - 1 else "") + ")" for i in names]
+
+    def det(cells: list[list[str]]) -> str:
+        if len(cells) == 1:
+            return f"({cells[0][0]})"
+        parts = [f"{'-' if j % 2 else '+'} ({a}) * {det([line[:j] + line[j + 1 :] for line in cells[1:]])}" for j, a in enumerate(cells[0])]
+        return "(" + " ".join(parts) + ")"
+
+    matrix = [[h(i, j) for j in names] for i in names]
+    whole = det(matrix)
+    moved = [det([[g[i] if j == c else matrix[i][j] for j in names] for i in names]) for c in names]
+    free = [[f"h{min(i, j)}{max(i, j)}" for j in names] for i in names]  # tests rest on the curvature without the penalty
+    minors = [det([[free[i][j] for j in names if j != c] for i in names if i != c]) for c in names]
+    old = ", ".join(f"c{i}" for i in names)
+    return f"""newton AS (
+      SELECT 0 AS step, {", ".join(f"0.0::DOUBLE AS c{i}" for i in names)}, {", ".join(f"0.0::DOUBLE AS v{i}" for i in names)}
+      UNION ALL
+      SELECT step + 1, {", ".join(f"c{i} + {moved[i]} / {whole} AS c{i}" for i in names)}, {", ".join(f"{minors[i]} / {det(free)} AS v{i}" for i in names)} FROM (
+        SELECT step, {old}, {", ".join(sums)} FROM (
+          SELECT *, 1.0::DOUBLE / (1.0::DOUBLE + exp(-({z}))) AS p FROM newton, {rows} WHERE step < {steps}) GROUP BY step, {old})),
+    fit AS (SELECT * FROM newton WHERE step = {steps})
+    """
+
+
+def recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def score_sql(p: str) -> str:
     q = f"least(greatest({p}, 1e-9::DOUBLE), 1.0::DOUBLE - 1e-9::DOUBLE)"
     raw = f"{SCALE.offset!r}::DOUBLE - {SCALE.factor!r}::DOUBLE * ln({q} / (1.0::DOUBLE - {q}))"
@@ -275,6 +314,28 @@ def scorecard_fit(spark: SparkSession, sf: str) -> DataFrame:
     return card.diagnostics_frame(spark)
 
 
+_TWO = ("n_lines", "mean_discount")
+
+
+@query(
+    recursive(_APPLIED_SQL)
+    + f""", design AS (SELECT id, max(w) FILTER (feature = '{_TWO[0]}') AS x0, max(w) FILTER (feature = '{_TWO[1]}') AS x1, 1.0::DOUBLE AS x2 FROM applied GROUP BY id),
+    train_rows AS (SELECT x0, x1, x2, y, 1.0::DOUBLE AS w FROM design JOIN book USING (id) WHERE split = 'train'),
+    {newton_sql('train_rows', 3, penalty=1 / scorecard.INVERSE_PENALTY)}
+    SELECT term, {r('c')} AS coefficient, {r('sqrt(v)')} AS std_error FROM (
+      SELECT unnest({[*_TWO, "(intercept)"]!r}) AS term, unnest([c0, c1, c2]) AS c, unnest([v0, v1, v2]) AS v FROM fit)"""
+)
+def scorecard_newton(spark: SparkSession, sf: str) -> DataFrame:
+    """A card of two features: coefficients and standard errors from Newton steps."""
+    book, binning = prebinning(spark, sf)
+    woe = stage(binning.transform(train_of(book), ["y"], _TWO), "woe")
+    rows = woe.select(F.array(*[f"woe_{f}" for f in _TWO]).alias("x"), "y")
+    fit = newton(rows, "x", "y", penalty=1 / scorecard.INVERSE_PENALTY, size=2)
+    errors = np.sqrt(np.diag(np.linalg.inv(fit.information)))
+    found = zip([*_TWO, "(intercept)"], [*map(float, fit.coefficients), fit.intercept], map(float, errors))
+    return tidy(spark.createDataFrame(list(found), "term string, coefficient double, std_error double"))
+
+
 @query()
 def wald_and_vif(spark: SparkSession, sf: str) -> DataFrame:
     """The same diagnostics as reported: rounded, strongest first."""
@@ -393,10 +454,7 @@ def profit_curve(spark: SparkSession, sf: str) -> DataFrame:
 )
 def best_cutoff(spark: SparkSession, sf: str) -> DataFrame:
     """The most profitable cut-off."""
-    curve = policy.profit_curve(_pointed(spark, sf).where("approved = 1"), "score", "y")
-    best = curve.agg(
-        F.max_by(F.struct("*"), F.struct("profit", "cutoff")).alias("best")
-    ).select("best.*")
+    best = policy.best_cutoff(policy.profit_curve(_pointed(spark, sf).where("approved = 1"), "score", "y"))
     return best.select(
         "cutoff", "goods", "bads",
         F.round("approval_rate", 6).alias("approval_rate"), F.round("profit", 2).alias("profit"),
@@ -441,7 +499,24 @@ def reject_augment(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(grouped.agg(F.count(F.lit(1)).alias("rows"), F.sum("weight").alias("weight")), 4)
 
 
-@query()
+_REFIT = (
+    recursive(APPS_SQL)
+    + SCORED_SQL
+    + """, book AS (SELECT approved, y, p, true_default_flag, CAST(coalesce(n_lines, 0) AS DOUBLE) AS x0, coalesce(mean_discount, 0.05::DOUBLE) AS x1, 1.0::DOUBLE AS x2
+                  FROM scored JOIN outcomes USING (id)),
+    twice AS (SELECT x0, x1, x2, y, 1.0::DOUBLE AS w FROM book WHERE approved = 1
+              UNION ALL SELECT x0, x1, x2, 1.0::DOUBLE, p FROM book WHERE approved = 0
+              UNION ALL SELECT x0, x1, x2, 0.0::DOUBLE, 1.0::DOUBLE - p FROM book WHERE approved = 0),
+    """
+)
+
+
+@query(
+    _REFIT.replace("WITH RECURSIVE ", f"WITH RECURSIVE {OUTCOMES_SQL.strip()}, ", 1)
+    + newton_sql("twice", 3)
+    + f"""SELECT approved, count(*) AS rows, {r('avg(p)')} AS before, {r('avg(1.0::DOUBLE / (1.0::DOUBLE + exp(-(c0 * x0 + c1 * x1 + c2))))')} AS after,
+          {r('avg(true_default_flag)')} AS actual FROM book, fit GROUP BY approved"""
+)
 def reject_inference(spark: SparkSession, sf: str) -> DataFrame:
     """A refit on the augmented book, with its bad rate on rejects against what happened."""
     book = views.scored(spark, sf, approved_only=False).join(views.outcomes(spark, sf), "id")
@@ -466,7 +541,17 @@ def reject_inference(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query()
+_LOGIT = "ln(least(greatest(p, 1e-10::DOUBLE), 1 - 1e-10::DOUBLE) / (1 - least(greatest(p, 1e-10::DOUBLE), 1 - 1e-10::DOUBLE)))"
+
+
+@query(
+    recursive(SCORES_SQL)
+    + f""", logits AS (SELECT split, y, p, {_LOGIT} AS x0, 1.0::DOUBLE AS x1, 1.0::DOUBLE AS w FROM s),
+    valid AS (SELECT x0, x1, y, w FROM logits WHERE split = 'valid'),
+    {newton_sql('valid', 2)}
+    SELECT split, {r('avg(p)')} AS before, {r('avg(1.0::DOUBLE / (1.0::DOUBLE + exp(-(c0 * x0 + c1))))')} AS after, {r('avg(y)')} AS observed
+    FROM logits, fit GROUP BY split"""
+)
 def probability_calibration(spark: SparkSession, sf: str) -> DataFrame:
     """Expected against observed bad rate per split, before and after recalibration on valid."""
     rows = staged_scores(spark, sf)
@@ -477,3 +562,19 @@ def probability_calibration(spark: SparkSession, sf: str) -> DataFrame:
             F.avg("p").alias("before"), F.avg(fixed).alias("after"), F.avg("y").alias("observed")
         )
     )
+
+
+@query(
+    SCORES_SQL
+    + f""", cells AS (SELECT round(p, 3) AS s, count(*) AS n, sum(y) AS b FROM s WHERE split = 'valid' GROUP BY 1),
+    sums AS (SELECT s, sum(n) OVER w AS n, sum(b) OVER w AS b, n AS own_n, b AS own_b FROM cells WINDOW w AS (ORDER BY s)),
+    means AS (SELECT lo.s AS lo, hi.s AS hi, (hi.b - lo.b + lo.own_b) / (hi.n - lo.n + lo.own_n) AS m FROM sums lo JOIN sums hi ON lo.s <= hi.s),
+    least_after AS (SELECT lo, hi, min(m) OVER (PARTITION BY lo ORDER BY hi ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS m FROM means),
+    fitted AS (SELECT hi AS s, max(m) AS rate FROM least_after GROUP BY hi)
+    SELECT row_number() OVER (ORDER BY min(s)) - 1 AS step, min(s) AS low, max(s) AS high, CAST(sum(n) AS BIGINT) AS n, CAST(sum(b) AS BIGINT) AS bads, {r('rate')} AS rate
+    FROM fitted JOIN cells USING (s) GROUP BY rate"""
+)
+def isotonic_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """Rising bad rates by score on the validation split; the SQL takes them as the largest of smallest means."""
+    rows = staged_scores(spark, sf).where("split = 'valid'").withColumn("p", F.round("p", 3))
+    return tidy(isotonic.isotonic_steps(rows, "p", "y"))

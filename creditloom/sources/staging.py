@@ -34,3 +34,10 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = f"{shared_folder(spark)}/creditloom/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(staged: DataFrame) -> None:
+    """Empty the files of a table from ``stage`` that nothing will read again, so that disks hold one step and not all."""
+    spark = staged.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in staged.inputFiles()}:
+        spark.createDataFrame([], staged.schema).write.mode("overwrite").parquet(folder)

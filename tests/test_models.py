@@ -1,10 +1,13 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import functions as F
 
 from creditloom.config import SCALE
-from creditloom.operators import boost, policy, scorecard, woe
+from creditloom.operators import boost, isotonic, policy, scorecard, woe
+from creditloom.operators.newton import newton as newton_fit
+from creditloom.operators.quality import QualityError
 
 
 @pytest.fixture(scope="module")
@@ -76,18 +79,18 @@ def test_fit_matches_maximum_likelihood(weighted, card):
 
 
 def test_dropped_features_have_reasons(card):
-    reasons = dict(card.dropped)
+    reasons = {f: rest for f, *rest in card.dropped}
     assert set(card.features) | set(reasons) == set(FEATURES)
-    assert reasons["weak"].startswith("IV 0.0")
-    clash = next(r for f, r in reasons.items() if f in ("a", "twin"))
-    assert clash.startswith("|r| = 0.9")
+    assert reasons["weak"][0] == "low information" and reasons["weak"][1] < 0.02
+    reason, value, rival = next(r for f, r in reasons.items() if f in ("a", "twin"))
+    assert reason == "correlated" and value > 0.9 and rival in card.features
 
 
 def test_pruning_keeps_the_stronger_feature():
     matrix = np.array([[1.0, 0.8, -0.9], [0.8, 1.0, 0.1], [-0.9, 0.1, 1.0]])
     assert scorecard.prune_correlated(matrix, ["x", "y", "z"]) == (
         ["x"],
-        [("y", "|r| = 0.80 with x"), ("z", "|r| = 0.90 with x")],
+        [("y", "correlated", 0.8, "x"), ("z", "correlated", 0.9, "x")],
     )
     matrix[:] = np.nan
     assert scorecard.prune_correlated(matrix, ["x", "y", "z"])[0] == ["x", "y", "z"]
@@ -116,7 +119,7 @@ def test_wrong_signs_are_dropped_one_by_one(spark):
     info = {f: {"iv": iv} for f, iv in (("p", 0.3), ("q", 0.2), ("r", 0.1))}
     card = scorecard.fit_scorecard(spark.createDataFrame(pdf), woe.Binning([], info), "y")
     assert card.features == ["p", "q"]
-    assert card.dropped[0][0] == "r" and card.dropped[0][1].startswith("wrong sign (coef +0.")
+    assert card.dropped[0][:2] == ("r", "sign") and 0 < card.dropped[0][2] < 1
 
 
 def test_points_add_up_to_the_unrounded_score(spark, book, binning, card, weighted):
@@ -259,3 +262,94 @@ def test_reason_codes(spark, binning):
     rows = binning.transform(spark.createDataFrame([(-9.0, 9.0)], "a double, b double"), features=["a", "b"])
     codes = policy.reason_codes(rows, binning, {"a": -1.0, "b": -1.0}, 40.0, top=1)
     assert rows.select(codes).first()[0] == ["a"]
+
+
+# ------------------------------------------------------------------ Newton and isotonic fits
+
+
+def by_hand(x, y, w, penalty=0.0):
+    """Coefficients and the curvature there, by plain Newton steps in numpy."""
+    d = np.column_stack([x, np.ones(len(x))])
+    held, beta = np.append(np.full(x.shape[1], penalty), 0), np.zeros(x.shape[1] + 1)
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-d @ beta))
+        table = d.T @ (d * (w * p * (1 - p))[:, None])
+        beta = beta - np.linalg.solve(table + np.diag(held), d.T @ (w * (p - y)) + held * beta)
+    return beta, table
+
+
+@pytest.mark.parametrize("weighted, penalty", [(False, 0.0), (True, 0.0), (True, 5.0)])
+def test_newton_equals_numpy_in_few_passes(spark, weighted, penalty):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 3)) * [1, 3, 0.2]
+    y = (rng.random(3000) < 1 / (1 + np.exp(2 - x @ [1.0, -0.5, 2.0]))).astype(float)
+    w = rng.uniform(0.1, 2, 3000) if weighted else np.ones(3000)
+    rows = [(a.tolist(), float(b), float(c)) for a, b, c in zip(x, y, w)]
+    df = spark.createDataFrame(rows, "x array<double>, y double, w double").repartition(5)
+    got = newton_fit(df, "x", "y", weight="w", penalty=penalty, size=3)
+    beta, table = by_hand(x, y, w, penalty)
+    assert np.abs(np.append(got.coefficients, got.intercept) - beta).max() < 1e-7 and got.passes <= 9
+    assert got.information == pytest.approx(table, rel=1e-6)
+    part = newton_fit(df, "x", "y", weight="w", penalty=penalty, places=[2, 0], start=np.array([beta[2], beta[0], beta[3]]))
+    assert np.abs(np.append(part.coefficients, part.intercept) - by_hand(x[:, [2, 0]], y, w, penalty)[0]).max() < 1e-7
+    far = newton_fit(df, "x", "y", weight="w", penalty=penalty, start=np.array([4.0, -9.0, 9.0, 5.0]))  # full steps alone diverge
+    assert np.abs(np.append(far.coefficients, far.intercept) - beta).max() < 1e-6
+
+
+def test_newton_on_constant_columns_and_without_outcomes(spark):
+    df = spark.createDataFrame([([1.0, 2.0], float(i % 4 == 0)) for i in range(400)], "x array<double>, y double")
+    got = newton_fit(df, "x", "y", size=2)
+    z = got.coefficients @ [1.0, 2.0] + got.intercept
+    assert 1 / (1 + np.exp(-z)) == pytest.approx(0.25)
+    for lost in (None, float("nan")):
+        with pytest.raises(QualityError):
+            newton_fit(df.unionByName(spark.createDataFrame([([1.0, 2.0], lost)], df.schema)), "x", "y", size=2)
+
+
+def test_every_fit_refuses_missing_outcomes(spark):
+    rows = [(float(i % 7), float(i % 3 == 0), 1, 0.3) for i in range(60)] + [(1.0, None, 1, 0.3)]
+    df = spark.createDataFrame(rows, "woe_a double, y double, approved int, p double")
+    info = woe.Binning([], {"a": {"iv": 0.5}})
+    for fit in (
+        lambda: scorecard.fit_scorecard(df, info, "y"), lambda: boost.train(df, ["woe_a"], "y", {"maxIter": 1}),
+        lambda: policy.recalibrate(df, "p", "y"), lambda: policy.reject_inference(df, ["woe_a"], "p", "approved", "y"),
+        lambda: isotonic.isotonic_steps(df, "p", "y").collect(),
+    ):
+        with pytest.raises(QualityError):
+            fit()
+
+
+def plain_pools(cells):
+    out = []
+    for s, n, b in cells:
+        out.append([s, s, n, b])
+        while len(out) > 1 and out[-2][3] / out[-2][2] >= out[-1][3] / out[-1][2] - 1e-15:
+            last = out.pop()
+            out[-1] = [out[-1][0], last[1], out[-1][2] + last[2], out[-1][3] + last[3]]
+    return out
+
+
+@pytest.mark.parametrize("partitions", ["4", "40"])
+def test_isotonic_steps(spark, partitions):
+    rng = np.random.default_rng(5)
+    p = np.round(rng.random(6000), 3)
+    p[:2000] = 0.25  # a score that a third of all rows share
+    y = (rng.random(6000) < 0.1 + 0.5 * p**2).astype(int)
+    pdf = pd.DataFrame({"p": p, "y": y.astype(float)})
+    df = spark.createDataFrame(pdf)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = isotonic.isotonic_steps(df.unionByName(spark.createDataFrame([(None, 1.0), (float("nan"), 0.0)], "p double, y double")), "p", "y").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    cells = [(s, len(g), g.sum()) for s, g in pdf.groupby("p")["y"]]
+    assert [(r.low, r.high, r.n, r.bads) for r in got] == [tuple(b) for b in plain_pools(cells)]
+    assert [r.step for r in got] == list(range(len(got))) and all(a.rate < b.rate for a, b in zip(got, got[1:]))
+    theirs = IsotonicRegression(featuresCol="p", labelCol="y").fit(df)
+    steps = [(r.high, r.rate) for r in got]
+    both = isotonic.calibrated(theirs.transform(df), "p", steps).select(F.max(F.abs(F.col("prediction") - F.col("calibrated")))).first()
+    assert both[0] < 1e-12
+    odd = spark.createDataFrame([(-1.0,), (2.0,), (None,)], "p double")
+    assert [r.calibrated for r in isotonic.calibrated(odd, "p", steps).collect()] == [steps[0][1], steps[-1][1], None]
+    assert isotonic.isotonic_steps(df.limit(0), "p", "y").count() == 0
