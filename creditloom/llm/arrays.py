@@ -117,9 +117,18 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(out ^ size.astype(U64) * _SIZE)
 
 
+def _stir(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit values, in place: enough between values that are multiplied again."""
+    x *= _STEP
+    x ^= x >> U64(32)
+    return x
+
+
 def _join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Hash of two neighbours, by pair."""
-    return mix(a * _LEFT + b)
+    x = a * _LEFT
+    x += b
+    return _stir(x)
 
 
 def gram_hashes(values: np.ndarray, k: int, step: int = 1) -> np.ndarray:
@@ -127,14 +136,14 @@ def gram_hashes(values: np.ndarray, k: int, step: int = 1) -> np.ndarray:
     count = len(values) - (k - 1) * step
     if count <= 0:
         return np.zeros(0, U64)
-    level, size, out, done = mix(values + _SEED), 1, None, 0
+    level, size, out, done = _stir(values + _SEED), 1, None, 0
     while True:
         if k & size:
             part = level[done * step : done * step + count]
             out = part if out is None else _join(out, part)
             done += size
         if done == k:
-            return out
+            return mix(out) if step == 1 else out
         level = _join(level[: -size * step], level[size * step :])
         size *= 2
 
@@ -145,7 +154,7 @@ def byte_grams(data: np.ndarray, k: int) -> np.ndarray:
         return np.zeros(0, U64)
     eight = eights(data)[: len(data) - 7]
     out = gram_hashes(eight, k // 8, 8)[: len(data) - k + 1]
-    return _join(out, mix(eight[k - 8 :] + _SEED)) if k % 8 else out
+    return _join(out, _stir(eight[k - 8 :] + _SEED)) if k % 8 else out
 
 
 class Prefixes:

@@ -13,7 +13,8 @@ edges of repeated passages, are cut from the texts and indexed bucket by bucket:
   other place), and positions that reach ``length`` bytes are marked.
 
 Windows under a gram that many documents share are settled one by one, by their own hash, so a common
-line has no bucket of its own. Hashes have 64 bits. Null text is empty; short texts lose nothing;
+line has no bucket of its own. They travel with their neighbours, by the gram and its rough place in them, and what is
+settled goes on as joined spans, so rows follow passages and not windows. Hashes have 64 bits. Null text is empty; short texts lose nothing;
 repeated rows are documents of their own, so each loses what it shares.
 """
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import Prefixes, byte_grams, ranges, slices, sliding_min, span_hashes
+from .arrays import Prefixes, byte_grams, eights, lean, mix, ranges, slices, sliding_min, span_hashes
 from .spans import attach, bucket_of, buckets, covered, frequent_grams, keyed, listed, parts, runs
 from .written import written
 
@@ -35,6 +36,8 @@ _RUN = np.dtype([("id", "<i8"), ("digest", "<u4"), ("start", "<u4"), ("n", "<u4"
 _NOTE = "_id long, _digest long, start int, n int, key long, ask boolean"
 _SPANS = "_id long, _digest long, start int, n int"
 _CONTEXT = "bucket int, key long, _id long, _digest long, start int, n int, ask boolean, data binary"
+#: Bytes that two suffixes are compared by directly before hashes take over.
+DIRECT_BYTES = 512
 #: Bytes of contexts that are indexed together.
 BLOCK_BYTES = 2 << 20
 
@@ -59,6 +62,31 @@ def meets_itself(grams: np.ndarray, begin: np.ndarray, n: np.ndarray, key: np.nd
     return first != last
 
 
+def stretch_of(grams: np.ndarray, table: np.ndarray, at: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """For windows that start at ``at`` under listed grams ``key``: the gram and, in steps of 16, how far into the window it
+    first stands. Equal windows agree on it, and neighbours mostly do."""
+    places = np.flatnonzero(listed(grams, table))
+    i = np.searchsorted(places, at)
+    while (other := grams[places[i]] != key).any():
+        i[other] += 1
+    return mix(key ^ ((places[i] - at) // 16 + 1).astype(np.uint64))
+
+
+def joined_spans(sent: np.ndarray) -> np.ndarray:
+    """Windows of one document that follow each other, as one span each."""
+    if not len(sent):
+        return sent
+    sent = sent[np.lexsort((sent["start"], sent["digest"], sent["id"]))]
+    new = np.ones(len(sent), bool)
+    new[1:] = (sent["id"][1:] != sent["id"][:-1]) | (sent["digest"][1:] != sent["digest"][:-1])
+    new[1:] |= sent["start"][1:].astype(np.int64) > sent["start"][:-1].astype(np.int64) + sent["n"][:-1]
+    first = np.flatnonzero(new)
+    end = np.maximum.reduceat(sent["start"].astype(np.int64) + sent["n"], first)
+    out = sent[first].copy()
+    out["n"] = end - out["start"]
+    return out
+
+
 def suffix_order(data: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Suffix array of contexts: suffixes stop at the end of their context, equal ones keep text order."""
     n = len(data)
@@ -104,7 +132,7 @@ class RunIndex:
         head = np.ones(len(order), bool)
         head[1:] = before[1:] != before[:-1]
         tail = np.append(head[1:], True)
-        self.prefixes = Prefixes(data)
+        self.eights = eights(data)
         at = np.flatnonzero(head)
         self.heads = order[at], self._common(order[at], order[at - 1], at > 0)
         at = np.flatnonzero(tail)
@@ -112,15 +140,27 @@ class RunIndex:
         self.tails = order[at], self._common(order[at], order[nxt], at + 1 < len(order))
 
     def _common(self, a: np.ndarray, b: np.ndarray, real: np.ndarray) -> np.ndarray:
-        """Length of the common prefix of the suffixes at a and b, by bisection over prefix hashes."""
+        """Length of the common prefix of the suffixes at a and b: eight bytes at a time, and by bisection over
+        prefix hashes for those that go on for long."""
         most = np.where(real, np.minimum(self.end[a] - a, self.end[b] - b), 0)
-        low = np.zeros(len(a), np.int64)
-        while (open_ := low < most).any():
-            mid = (low + most + 1) // 2
-            same = self.prefixes.same(a, b, np.where(open_, mid, 0))
-            low = np.where(open_ & same, mid, low)
-            most = np.where(open_ & ~same, mid - 1, most)
-        return low
+        out, live, at = np.zeros(len(a), np.int64), np.flatnonzero(most), 0
+        while len(live) and at < DIRECT_BYTES:
+            differ = self.eights[a[live] + at] ^ self.eights[b[live] + at]
+            ends = differ != 0
+            lowest = differ[ends] & (~differ[ends] + np.uint64(1))
+            out[live[ends]] = at + np.log2(lowest.astype(float)).astype(np.int64) // 8
+            live, at = live[~ends], at + 8
+            out[live] = at
+            live = live[most[live] > at]
+        if len(live):
+            prefixes, low, high = Prefixes(self.data), out[live], most[live]
+            x, y = a[live], b[live]
+            while (open_ := low < high).any():
+                mid = (low + high + 1) // 2
+                same = prefixes.same(x, y, mid)
+                low, high = np.where(open_ & same, mid, low), np.where(open_ & ~same, mid - 1, high)
+            out[live] = low
+        return np.minimum(out, most)
 
     def statistics(self) -> np.ndarray:
         """For each text position, the length of its longest match to any other position."""
@@ -167,15 +207,15 @@ def _settle(sent: np.ndarray) -> pa.RecordBatch | None:
     contexts = np.bincount((np.cumsum(new_key) - 1)[new])  # different contexts under each gram
     span = twice[of] & (known == 0)
     ask = new & ((contexts > 1)[np.cumsum(new_key) - 1] | ((own > 0) & ~twice[of]))
-    rows = np.concatenate([np.flatnonzero(span), np.flatnonzero(ask)])
-    if not len(rows):
+    spans, asked = joined_spans(sent[span]), np.flatnonzero(ask)
+    got = np.concatenate([spans, sent[asked]])
+    if not len(got):
         return None
-    plain = np.arange(len(rows)) < span.sum()
-    got = sent[rows]
+    plain = np.arange(len(got)) < len(spans)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(got["id"]), pa.array(got["digest"].astype(np.int64)), pa.array(got["start"].astype(np.int32)),
-            pa.array(got["n"].astype(np.int32)), pa.array(got["key"].view(np.int64), mask=plain), pa.array(~twice[of[rows]]),
+            pa.array(got["n"].astype(np.int32)), pa.array(got["key"].view(np.int64), mask=plain), pa.array(np.concatenate([np.zeros(len(spans), bool), ~twice[of[asked]]])),
         ],
         ["_id", "_digest", "start", "n", "key", "ask"],
     )
@@ -195,7 +235,7 @@ def repeated_spans(rows: DataFrame, length: int = 200, gram: int = 32) -> DataFr
     held = rows.sparkSession.sparkContext.broadcast(frequent_grams(rows, keys_of))
 
     def contexts(ids, digests, data, offsets):
-        """All runs of a part as records."""
+        """All runs of a part as records, and what deals them out."""
         for lo, hi in slices(offsets):
             some, offs = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
             row, pos, key, grams = heads(some, offs, length, gram)
@@ -205,31 +245,33 @@ def repeated_spans(rows: DataFrame, length: int = 200, gram: int = 32) -> DataFr
             begin = offs[:-1][r] + p
             whole = span_hashes(some, begin, begin + n + length - 1)
             own = meets_itself(grams, begin, n, key[first], length - gram + 1) & ~frequent[first]
-            key = np.where(frequent[first], whole, key[first])
-            yield np.rec.fromarrays([ids[lo:hi][r], digests[lo:hi][r], p, n, 2 * own, key, whole], dtype=_RUN)
+            alone = frequent[first]
+            route = key[first]
+            route[alone] = stretch_of(grams, held.value, begin[alone], route[alone])
+            key = np.where(alone, whole, key[first])
+            yield np.rec.fromarrays([ids[lo:hi][r], digests[lo:hi][r], p, n, 2 * own, key, whole], dtype=_RUN), route
 
     def send(batches):
-        turn = 0
         for batch in batches:
             for part in parts(batch):
                 found = list(contexts(*part))
-                sent = np.concatenate(found) if found else np.zeros(0, _RUN)
+                sent, route = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, _RUN), None)
                 if not len(sent):
                     continue
-                sent = sent[np.argsort(sent["whole"], kind="stable")]
+                by = np.argsort(sent["whole"], kind="stable")
+                sent, route = sent[by], route[by]
                 new = np.ones(len(sent), bool)
                 new[1:] = sent["whole"][1:] != sent["whole"][:-1]
                 of = np.cumsum(new) - 1
                 again = np.bincount(of)[of] > 1
                 out = []
                 if again.any():  # contexts met twice here: settled, one goes on as a reference
-                    turn += 1
-                    copies = sent[again].copy()
+                    copies = joined_spans(sent[again])
                     copies["key"] = copies["whole"] = 0
-                    out.append((turn % count, True, copies))
-                sent = sent[new].copy()
+                    out.append((int(bucket_of(copies["id"][:1].view(np.uint64), count)[0]), True, copies))
+                sent, route = sent[new].copy(), route[new]
                 sent["known"] |= again[new]
-                to = bucket_of(sent["key"], count)
+                to = bucket_of(route, count)
                 by = np.argsort(to, kind="stable")
                 sent, edge = sent[by], np.searchsorted(to[by], np.arange(count + 1))
                 out += [(b, False, sent[edge[b] : edge[b + 1]]) for b in range(count) if edge[b] < edge[b + 1]]
@@ -252,8 +294,8 @@ def repeated_spans(rows: DataFrame, length: int = 200, gram: int = 32) -> DataFr
             yield notes
 
     text = rows.select("_id", "_digest", "_text")
-    routed = text.mapInArrow(send, "bucket int, done boolean, runs binary").repartition(count, "bucket")
-    notes = written(routed.mapInArrow(settle, _NOTE), "passages", release=True)
+    routed = text.mapInArrow(lean(send), "bucket int, done boolean, runs binary").repartitionById(count, "bucket")
+    notes = written(routed.mapInArrow(lean(settle), _NOTE), "passages", release=True)
     wanted = (
         notes.where("key is not null").groupBy("_id", "_digest")
         .agg(F.collect_list(F.struct("start", "n", "key", "ask")).alias("wanted"))
@@ -291,8 +333,8 @@ def repeated_spans(rows: DataFrame, length: int = 200, gram: int = 32) -> DataFr
             yield _table(list(_block_spans(held, length)), _SPANS)
 
     edges = (
-        text.join(wanted, ["_id", "_digest"]).mapInArrow(cut, _CONTEXT)
-        .repartition(count, "bucket").sortWithinPartitions("key").mapInArrow(index, _SPANS)
+        text.join(wanted, ["_id", "_digest"]).mapInArrow(lean(cut), _CONTEXT)
+        .repartition(count, "bucket").sortWithinPartitions("key").mapInArrow(lean(index), _SPANS)
     )
     edges = written(edges, "spans", release=True)
     return notes.where("key is null").select("_id", "_digest", "start", "n").unionByName(edges)
@@ -327,5 +369,5 @@ def remove_repeats(
 
     kind = joined.schema["_row"].dataType.simpleString()
     schema = f"_row {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes
-    out = joined.mapInArrow(drop, schema)
+    out = joined.mapInArrow(lean(drop), schema)
     return out.select("_row.*", *out.columns[1:])

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from creditloom.llm import (
-    arrays, byte_bpe, jaccard_regions, mixing, phrase_fingerprint, pitman_yor, quality, queries, relative_lz, run_index, vector_topk,
+    arrays, byte_bpe, jaccard_regions, mixing, phrase_fingerprint, pitman_yor, quality, queries, relative_lz, run_index, spans, vector_topk,
 )
 
 SF = "/root/testdata/sf0.001"
@@ -60,7 +60,9 @@ def passages(docs, units, size, smaller):
     return out
 
 
-def test_relative_lz_is_brute_force(spark, odd):
+@pytest.mark.parametrize("least", [64, 1])
+def test_relative_lz_is_brute_force(spark, odd, least, monkeypatch):
+    monkeypatch.setattr(relative_lz, "frequent_grams", lambda rows, keys: spans.frequent_grams(rows, keys, share=1, least=least, limit=10**6))
     units = lambda t: tuple(WORD.findall(t or ""))
     gone = passages(odd, units, 13, True)
     got = {r.doc_id: r for r in relative_lz.remove_duplicates(frame(spark, odd)).collect()}
@@ -73,7 +75,10 @@ def test_relative_lz_is_brute_force(spark, odd):
     assert sum(r.n_removed for r in got.values()) > 500
 
 
-def test_run_index_is_brute_force(spark, odd):
+@pytest.mark.parametrize("least", [64, 2, 1])
+def test_run_index_is_brute_force(spark, odd, least, monkeypatch):
+    """With ``least`` 2 or 1, most or all windows are settled by themselves."""
+    monkeypatch.setattr(run_index, "frequent_grams", lambda rows, keys: spans.frequent_grams(rows, keys, share=1, least=least, limit=10**6))
     units = lambda t: (t or "").encode()
     gone = passages(odd, units, 200, False)
     got = {r.doc_id: r for r in run_index.remove_repeats(frame(spark, odd)).collect()}
@@ -160,6 +165,15 @@ def test_hashes_tell_spans_and_grams_apart():
     assert arrays.Prefixes(data).same(a, b, n).tolist() == same
 
 
+def test_settled_windows_of_a_common_passage_are_few_rows(spark):
+    passage = "".join(f"{i:04d}" for i in range(160))
+    rows = [(i, f"{i:07d} {passage} {i * 7919 % 10007:07d}") for i in range(600)]
+    docs, gone = frame(spark, rows), passages(rows, lambda t: t.encode(), 200, False)
+    found = run_index.repeated_spans(spans.keyed(docs, "doc_id", "text"))
+    assert found.count() < 20 * 600  # the passage has 441 windows
+    assert {r.doc_id: r.n_removed for r in run_index.remove_repeats(docs).collect()} == {d: gone[d].sum() for d, _ in rows}
+
+
 def test_blocks_find_links_between_components():
     words = lambda *x: np.array(sorted(x), np.uint64).tobytes()
     rows = [(1, 1, True, words(*range(10))), (2, 2, False, words(*range(9))), (3, 2, False, words(*range(10, 20)))]
@@ -262,7 +276,7 @@ def test_model_is_a_distribution_and_counts_are_exact(spark, odd):
     model, table = pitman_yor.fit(docs.where(~pitman_yor.held_out(F.col("doc_id"))).select("text"), contexts=8, frequent=40)
     got = pitman_yor.score(docs, model, table).collect()
     assert len(got) == len(odd) + 1
-    words, pairs = (np.concatenate([np.frombuffer(r[c], k) for r in table.collect()]) for c, k in (("words", pitman_yor._WORD), ("pairs", pitman_yor._PAIR)))
+    words, pairs = (np.concatenate([pitman_yor.records(r[c], k) for r in table.collect()]) for c, k in (("words", pitman_yor._WORD), ("pairs", pitman_yor._PAIR)))
     for ctx in range(len(model.customers)):
         at = np.append(np.arange(len(words)), -1)
         p = 10 ** model.scores(words, pairs, at, np.full(len(at), ctx))[1]
