@@ -159,15 +159,15 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) ->
     return result
 
 
-def with_bucket(df: DataFrame, order: str) -> DataFrame:
+def with_bucket(df: DataFrame, order: str, rows: int | None = None) -> DataFrame:
     """Add ``_bucket``: equal-sized slices of the order, never splitting equal values.
 
     A frame small enough for one task per group gets a single bucket. Rows without an order
-    value are left out.
+    value are left out. ``rows``: how many there are, if the caller has counted them.
     """
     spark = df.sparkSession
     df = df.where(present(order))
-    rows = df.count()
+    rows = df.count() if rows is None else rows
     if rows <= one_task_rows(spark):
         return df.withColumn("_bucket", F.lit(0))
     edges = splitters(df, [order], bucket_count(spark, rows=rows))
@@ -284,16 +284,22 @@ def _band_index(key: str, tie: str, limits: dict[object, list[tuple]], by: str |
     return chain
 
 
+def group_sizes(df: DataFrame, needed: Sequence[str], by: str | None = None) -> dict:
+    """Rows per group that have every needed number."""
+    counted = (df.groupBy(by) if by else df.groupBy()).agg(F.count_if(present(*needed)).alias("n")).collect()
+    return {(r[by] if by else None): r["n"] for r in counted}
+
+
 def with_band(
-    df: DataFrame, key: str, tie: str, bands: int = 10, by: str | None = None, name: str = "band"
-) -> DataFrame:
+    df: DataFrame, key: str, tie: str, bands: int = 10, by: str | None = None, name: str = "band",
+    totals: dict | None = None,
+) -> DataFrame:
     """Add the equal-frequency band of (key, tie) order, within each ``by`` group.
 
     ``by`` is a short list of groups such as splits. ``tie`` must be a unique integer. Rows
-    without a key get no band and do not count.
+    without a key get no band and do not count. ``totals``: rows with a key per group, if the caller has counted them.
     """
-    counted = (df.groupBy(by) if by else df.groupBy()).agg(F.count_if(present(key)).alias("n")).collect()
-    totals = {(r[by] if by else None): r["n"] for r in counted}
+    totals = group_sizes(df, [key], by) if totals is None else totals
     if sum(totals.values()) <= one_task_rows(df.sparkSession):
         ranked = present(key)
         group = Window.partitionBy(*([by] if by else []), ranked)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 import random
 from collections.abc import Mapping, Sequence
@@ -106,38 +107,72 @@ def tune(
     seed: int = SEED,
     done: Sequence[tuple] = (),
     split: str = "split",
+    store: str | None = None,
 ) -> Tuned:
     """Seeded random search, judged by AUC on the validation split only.
 
-    ``done`` holds trials finished earlier as (auc, params); they are not run again. The winner
-    is the model whose own validation AUC is best, and that fitted model is what is returned.
+    ``done`` holds trials finished earlier as (auc, params); they are not run again. ``store`` names a table of
+    trials in a shared folder: each trial is appended when it ends, and a search that was cut off goes on with the draws
+    that the table lacks. The winner is the model whose own validation AUC is best, and that fitted model is what is returned.
     """
     rng = random.Random(seed)
     draws = [space.draw(rng) for _ in range(trials)]
-    results: list[tuple] = list(done)[:trials]
+    found: dict[int, tuple] = {i: tuple(t) for i, t in enumerate(list(done)[:trials])}
+    if store is not None:
+        known = {(r["trial"], r["params"]): r["valid_auc"] for r in stored_trials(df.sparkSession, store).where(F.col("search") == name).collect()}
+        for i, params in enumerate(draws):
+            if (i, text_of(params)) in known:
+                found.setdefault(i, (known[i, text_of(params)], params))
     vectors = assemble(df, features)
     fitting = vectors.where(F.col(split) == "train").select("_x", y).persist(StorageLevel.MEMORY_AND_DISK)
     judging = vectors.where(F.col(split) == "valid").select("_x", y).persist(StorageLevel.MEMORY_AND_DISK)
     best, best_auc = None, -1.0
     try:
         require_outcomes(fitting, y)
-        for params in draws[len(results) :]:
+        for i, params in enumerate(draws):
+            if i in found:
+                continue
             model = _fit(fitting, features, y, params, seed)
             p = model.transform(judging).select(vector_to_array("probability")[1].alias("p"), y)
             auc = discrimination(p, "p", y).first()["auc"]
-            results.append((auc, params))
+            found[i] = (auc, params)
+            if store is not None:
+                store_trial(df.sparkSession, store, name, i, auc, params)
             if auc is not None and auc > best_auc:
                 best, best_auc = (model, params), auc
-        top_auc, top_params = max(results, key=lambda r: r[0])
-        if best is None or top_auc > best_auc:
+        results = [found[i] for i in sorted(found)]
+        top_auc, top_params = max((t for t in results if t[0] is not None), key=lambda t: t[0], default=results[0])
+        if best is None or (top_auc or 0) > best_auc:
             best = (_fit(fitting, features, y, top_params, seed), top_params)
-            best_auc = top_auc
+            best_auc = -1.0 if top_auc is None else top_auc
     finally:
         fitting.unpersist()
         judging.unpersist()
     return Tuned(name, best[0], best[1], float(best_auc), list(features), results)
 
 
+STORED_SCHEMA = "search string, trial int, params string, valid_auc double"
+
+
+def text_of(params: Mapping) -> str:
+    """A draw as text that is the same wherever the draw is."""
+    return json.dumps(dict(params), sort_keys=True)
+
+
+def stored_trials(spark: SparkSession, path: str) -> DataFrame:
+    """All finished trials of the searches that share a table; none if there is no table yet."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return spark.createDataFrame([], STORED_SCHEMA)
+    return spark.read.schema(STORED_SCHEMA).parquet(path)
+
+
+def store_trial(spark: SparkSession, path: str, search: str, trial: int, auc: float | None, params: Mapping) -> None:
+    row = [(search, trial, text_of(params), None if auc is None else float(auc))]
+    spark.createDataFrame(row, STORED_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+
+
 def importance(model, features: Sequence[str], spark: SparkSession) -> DataFrame:
     """Impurity importance of every feature with its share of the total, highest first."""
     values = model.featureImportances.toArray()

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.functions.expr import present
-from creditloom.functions.ordering import running_totals, with_band, with_bucket
+from creditloom.functions.ordering import group_sizes, running_totals, with_band, with_bucket
 
 EPS = 1e-10
 BANDS = 10
@@ -22,21 +22,21 @@ def _floor(x: Column) -> Column:
     return F.greatest(x.cast("double"), F.lit(EPS))
 
 
-def score_cells(df: DataFrame, score: str, y: str, by: Sequence[str] = ()) -> DataFrame:
+def score_cells(df: DataFrame, score: str, y: str, by: Sequence[str] = (), rows: int | None = None) -> DataFrame:
     """Rows collapsed to (group, score) with counts of goods and bads.
 
     Equal scores fold on the map side; nothing after this sees a row again.
     """
-    rows = with_bucket(df.select(*by, score, y).where(present(score, y)), score)
-    cells = rows.groupBy(*by, "_bucket", score).agg(
+    placed = with_bucket(df.select(*by, score, y).where(present(score, y)), score, rows)
+    cells = placed.groupBy(*by, "_bucket", score).agg(
         F.count(F.lit(1)).alias("n"), F.sum(y).cast("double").alias("bads")
     )
     return cells.withColumn("goods", F.col("n") - F.col("bads"))
 
 
-def discrimination(df: DataFrame, score: str, y: str, by: Sequence[str] = ()) -> DataFrame:
+def discrimination(df: DataFrame, score: str, y: str, by: Sequence[str] = (), rows: int | None = None) -> DataFrame:
     """AUC (ties count half), Gini and KS per group; a higher score means riskier."""
-    cells = score_cells(df, score, y, by)
+    cells = score_cells(df, score, y, by, rows)
     placed = running_totals(cells, by, score, ["bads", "goods"])
     pairs = F.col("bads") * (F.col("goods_before") + F.col("goods") / 2.0)
     gap = F.abs(
@@ -70,12 +70,13 @@ def rank_ordering(
     bands: int = BANDS,
     by: str | None = None,
     ascending: bool = False,
+    totals: dict | None = None,
 ) -> DataFrame:
     """Equal-frequency bands in score order, riskiest first unless ``ascending``."""
     key = F.col(score) if ascending else -F.col(score)
     rows = df.select(*([by] if by else []), tie, score, y, key.alias("_key"))
     rows = rows.where(present(score, y))
-    banded = with_band(rows, "_key", tie, bands, by)
+    banded = with_band(rows, "_key", tie, bands, by, totals=totals)
     groups = [by] if by else []
     table = banded.groupBy(*groups, "band").agg(
         F.count(F.lit(1)).alias("count"),
@@ -121,13 +122,13 @@ def _clipped(p: str) -> Column:
 
 
 def calibration(
-    df: DataFrame, p: str, y: str, tie: str, *, bins: int = BANDS, by: str | None = None
+    df: DataFrame, p: str, y: str, tie: str, *, bins: int = BANDS, by: str | None = None, totals: dict | None = None
 ) -> DataFrame:
     """Brier score, log loss, expected and observed bad rate, their ratio, and the ECE."""
     groups = [by] if by else []
     seen = df.where(present(p, y))
     rows = seen.select(*groups, tie, F.col(y).alias("_y"), _clipped(p).alias("_p"))
-    banded = with_band(rows, "_p", tie, bins, by)
+    banded = with_band(rows, "_p", tie, bins, by, totals=totals)
     good = 1.0 - F.col("_y")
     loss = -(F.col("_y") * F.ln("_p") + good * F.ln(1.0 - F.col("_p")))
     per_bin = banded.groupBy(*groups, "band").agg(
@@ -171,11 +172,12 @@ def evaluate(
 ) -> DataFrame:
     """One row per split: discrimination, calibration and rank ordering together.
 
-    Pass a staged frame; the three parts each read their few columns of it.
+    Pass a staged frame; the three parts each read their few columns of it. Rows are counted once, for all three.
     """
-    power = discrimination(df, p, y, [by])
-    fit = calibration(df, p, y, tie, bins=bands, by=by)
-    ordered = is_rank_ordered(rank_ordering(df, p, y, tie, bands=bands, by=by), by)
+    totals = {g: n for g, n in group_sizes(df, [p, y], by).items() if n}
+    power = discrimination(df, p, y, [by], sum(totals.values()))
+    fit = calibration(df, p, y, tie, bins=bands, by=by, totals=totals)
+    ordered = is_rank_ordered(rank_ordering(df, p, y, tie, bands=bands, by=by, totals=totals), by)
     for part in (fit, ordered):
         other = part.withColumnRenamed(by, "_by")
         power = power.join(other, power[by].eqNullSafe(other["_by"])).drop("_by")

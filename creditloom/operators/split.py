@@ -10,8 +10,9 @@ from creditloom.config import OOT_START_MONTH, SEED, VALIDATION_FRACTION
 
 
 def held_out(key: str, fraction: float, seed: int) -> Column:
-    """Seeded membership test on the key: the same row falls the same way in every plan."""
-    return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10_000)) < int(round(fraction * 10_000))
+    """Seeded membership test on the key: the same row falls the same way in every plan and engine."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    return F.conv(F.substring(digest, 1, 12), 16, 10).cast("long") % 10_000 < int(round(fraction * 10_000))
 
 
 def time_split(

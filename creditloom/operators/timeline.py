@@ -168,7 +168,7 @@ def parties(
     ts: str = "ts", party: str = "party",
 ) -> DataFrame:
     """Counterparties in the window, the share never seen before it, how many of the ``top`` of the window before are
-    among the ``top`` now, squared shares, and the share of the largest."""
+    among the ``top`` now, squared shares, and the share and events of the largest."""
     asked = _asked(decisions, user, at)
     counts = party_counts(log, days, user=user, ts=ts, party=party)
     changes = counts.groupBy("user", "day").agg(
@@ -196,9 +196,9 @@ def parties(
         F.when(F.col("now").isNull() | F.col("past").isNull(), 0).otherwise(kept).alias("kept_parties"),
         F.when(F.col("past").isNotNull(), F.when(F.col("now").isNull(), 0).otherwise(kept) / F.size("past")).alias("stability"),
         F.try_divide("squares_None", F.col("events_None") * F.col("events_None")).alias("hhi"),
-        F.try_divide("most", "events_None").alias("top_share"),
+        F.try_divide("most", "events_None").alias("top_share"), F.col("most").alias("top_count"),
     )
-    return _answer(decisions, found, key, user, at).fillna(0, ["active_parties", "kept_parties"])
+    return _answer(decisions, found, key, user, at).fillna(0, ["active_parties", "kept_parties", "top_count"])
 
 
 # --------------------------------------------------------------------------- extremes
@@ -296,9 +296,7 @@ def largest(
     spent = cells.where("v IS NOT NULL").select("user", "day", "v", (F.row_number().over(order) - 1).alias("i"))
     asked = _asked(decisions, user, at)
     sums = window_sums(cells, asked, ["out", "n", "inflow"], [days])
-    passed = window_sums(spent.withColumn("cells", F.lit(1)), asked, ["cells"], [None, days])
-    spans = passed.select("user", "day", (F.col("cells_None") - F.col(f"cells_{days}")).alias("first"), (F.col("cells_None") - 1).alias("last"))
-    most = extremes(spent, spans, "max", days)
+    most = extremes(spent.select("user", "i", "v"), _numbers(spent, asked, days), "max", days)
     found = sums.join(most, ["user", "day"], "left").select(
         "user", "day", F.col("value").alias("max_outflow"), F.try_divide(f"out_{days}", f"n_{days}").alias("mean_outflow"),
         F.try_divide("value", f"inflow_{days}").alias("max_outflow_ratio"),
@@ -306,6 +304,65 @@ def largest(
     return _answer(decisions, found, key, user, at)
 
 
+def box(
+    log: DataFrame, decisions: DataFrame, columns: Sequence[str], days: int, *, key: str, user: str = "user_id",
+    at: str = "at", ts: str = "ts",
+) -> DataFrame:
+    """{column}_min and {column}_max over the rows of the window that have a value."""
+    asked = _asked(decisions, user, at)
+    found = asked
+    for c in columns:
+        cells = _known(log, user, ts).where(F.col(c).isNotNull()).groupBy(F.col(user).alias("user"), F.to_date(ts).alias("day")).agg(
+            F.min(c).alias("min"), F.max(c).alias("max")
+        )
+        cells = cells.withColumn("i", F.row_number().over(Window.partitionBy("user").orderBy("day")) - 1)
+        spans = _numbers(cells, asked, days)
+        for how in ("min", "max"):
+            best = extremes(cells.select("user", "i", F.col(how).alias("v")), spans, how, days)
+            found = found.join(best.withColumnRenamed("value", f"{c}_{how}"), ["user", "day"], "left")
+    return _answer(decisions, found, key, user, at)
+
+
+def _numbers(cells: DataFrame, asked: DataFrame, days: int) -> DataFrame:
+    """First and last number of the cells (user, day) in the window of each asked day."""
+    passed = window_sums(cells.withColumn("cells", F.lit(1)), asked, ["cells"], [None, days])
+    return passed.select("user", "day", (F.col("cells_None") - F.col(f"cells_{days}")).alias("first"), (F.col("cells_None") - 1).alias("last"))
+
+
+# -------------------------------------------------------------------------------- gaps
+
+
+def regularity(
+    log: DataFrame, decisions: DataFrame, days: int, *, key: str, user: str = "user_id", at: str = "at", ts: str = "ts"
+) -> DataFrame:
+    """Events of the window and 1 minus the coefficient of variation of the gaps between them; null under three events.
+
+    Gaps inside a day and the gap to the day before it are sums per cell; of the window's first cell the latter lies outside
+    and is taken off again.
+    """
+    seconds = F.unix_timestamp(F.col(ts).cast("timestamp"))
+    times = _known(log, user, ts).groupBy(F.col(user).alias("user"), F.to_date(ts).alias("day"), seconds.alias("t")).agg(F.count(F.lit(1)).alias("n"))
+    inside = F.col("t") - F.lag("t").over(Window.partitionBy("user", "day").orderBy("t"))
+    cells = times.withColumn("g", inside).groupBy("user", "day").agg(
+        F.sum("n").alias("n"), F.min("t").alias("from"), F.max("t").alias("until"), F.coalesce(F.sum(F.col("g") * F.col("g")), F.lit(0)).alias("sq")
+    )
+    order = Window.partitionBy("user").orderBy("day")
+    jump = F.coalesce(F.col("from") - F.lag("until").over(order), F.lit(0))
+    cells = cells.withColumn("jump", jump * jump).withColumn("i", F.row_number().over(order) - 1)
+    asked = _asked(decisions, user, at)
+    sums = window_sums(cells.withColumn("sq", F.col("sq") + F.col("jump")), asked, ["n", "sq"], [days])
+    spans = _numbers(cells, asked, days).where("last >= first")
+    first = cells.select("user", F.col("i").alias("first"), "from", F.col("jump").alias("outside"))
+    last = cells.select("user", F.col("i").alias("last"), "until")
+    got = sums.join(spans.join(first, ["user", "first"]).join(last, ["user", "last"]), ["user", "day"])
+    gaps = F.col(f"n_{days}") - 1
+    mean = F.try_divide(F.col("until") - F.col("from"), gaps)
+    spread = F.sqrt(F.greatest(F.try_divide(F.col(f"sq_{days}") - F.col("outside"), gaps) - mean * mean, F.lit(0.0)))
+    value = F.when(gaps >= 2, 1.0 - F.try_divide(spread, mean))
+    found = got.select("user", "day", F.col(f"n_{days}").alias("events"), value.alias("regularity"))
+    return _answer(decisions, found, key, user, at).fillna(0, ["events"])
+
+
 # ------------------------------------------------------------------------------- loans
 
 
@@ -327,9 +384,7 @@ def past_due(loans: DataFrame, decisions: DataFrame, days: int = 180, *, key: st
     cells = ended.where("late > 0").groupBy("user", "day").agg(F.max("late").alias("v"))
     order = Window.partitionBy("user").orderBy("day")
     cells = cells.withColumn("i", F.row_number().over(order) - 1)
-    passed = window_sums(cells.withColumn("cells", F.lit(1)), asked, ["cells"], [None, days])
-    spans = passed.select("user", "day", (F.col("cells_None") - F.col(f"cells_{days}")).alias("first"), (F.col("cells_None") - 1).alias("last"))
-    worst = extremes(cells.select("user", "i", "v"), spans, "max", days)
+    worst = extremes(cells.select("user", "i", "v"), _numbers(cells, asked, days), "max", days)
     # rising: unpaid on the day before the decision; the earliest due day among intervals [opened, repaid) that hold it
     rising = _earliest_due(known.select(F.col(user).alias("user"), opened.alias("opened"), due.alias("due"), repaid.alias("repaid")), asked)
     moves = F.array(

@@ -269,6 +269,13 @@ class Binning:
         ]
         return spark.createDataFrame(rows, FEATURE_SCHEMA)
 
+    def iv_frame(self, spark: SparkSession) -> DataFrame:
+        """feature, iv, strength, bins, monotonic, kind; highest information value first."""
+        rows = [(f, v["iv"], len(self.of(f)), v["monotonic"], v["kind"]) for f, v in self.features.items()]
+        table = spark.createDataFrame(rows, "feature string, iv double, bins long, monotonic boolean, kind string")
+        table = table.select("feature", "iv", iv_strength(F.col("iv")).alias("strength"), "bins", "monotonic", "kind")
+        return table.orderBy(F.desc("iv"), "feature")
+
     def of(self, feature: str) -> list[dict]:
         return [b for b in self.bins if b["feature"] == feature]
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from creditloom.config import SEED
 from creditloom.functions.expr import age_band, mask_thin_file, observed_outcome
 from creditloom.operators import derive, quality, split
 from creditloom.plans.common import r, tidy
 from creditloom.sources import io, views
+from creditloom.sources.staging import shared_folder
 from creditloom.sources.views import APPS_SQL, DOCS_SQL, OOT_MONTH, OUTCOMES_SQL, SPLIT_SQL
 
 QUERIES = {}
@@ -239,16 +243,13 @@ def one_to_one_join(spark: SparkSession, sf: str) -> DataFrame:
                {r('unlabelled / (SELECT sum(unlabelled) FROM sides)')} AS unlabelled_share FROM sides"""
 )
 def level_align(spark: SparkSession, sf: str) -> DataFrame:
-    """Level shares of two samples on the union of their levels (a full outer join)."""
+    """Level shares of two samples on the union of their levels: both counted in one pass."""
     book = views.docs(spark, sf).select("approved", F.col("source").alias("level"))
-
-    def shares(flag: int, name: str) -> DataFrame:
-        counts = book.where(F.col("approved") == flag).groupBy("level").agg(F.count(F.lit(1)).alias("n"))
-        total = counts.agg(F.sum("n")).first()[0] or 1
-        return counts.select("level", (F.col("n") / total).alias(name))
-
-    joined = shares(1, "labelled_share").join(shares(0, "unlabelled_share"), "level", "full_outer")
-    return tidy(joined.fillna(0.0, ["labelled_share", "unlabelled_share"]))
+    counts = book.groupBy("level").agg(
+        F.count_if(F.col("approved") == 1).alias("labelled"), F.count_if(F.col("approved") == 0).alias("unlabelled")
+    )
+    whole = Window.partitionBy(F.lit(0))  # one row per level
+    return tidy(counts.select("level", *[(F.col(c) / F.sum(c).over(whole)).alias(f"{c}_share") for c in ("labelled", "unlabelled")]))
 
 
 @query(
@@ -290,3 +291,25 @@ def set_union(spark: SparkSession, sf: str) -> DataFrame:
     book = views.docs(spark, sf)
     labelled = book.where("approved = 1").select(F.col("lang").alias("level"))
     return labelled.union(book.select("source")).distinct()
+
+
+@query(
+    APPS_SQL
+    + f"""SELECT id, split, y, total_price FROM (SELECT *, {SPLIT_SQL} AS split FROM apps WHERE approved = 1) WHERE split = 'valid'"""
+)
+def view_per_split(spark: SparkSession, sf: str) -> DataFrame:
+    """A modelling view written by split, and one split of it read back."""
+    path = f"{shared_folder(spark)}/creditloom/view-{uuid.uuid4().hex}"
+    io.write_view(views.with_split(views.apps(spark, sf, gap=False)).select("id", "split", "y", "total_price"), path)
+    return io.read_view(spark, path, "valid").select("id", "split", "y", "total_price")
+
+
+@query(
+    APPS_SQL
+    + f"""SELECT id, CASE WHEN application_month >= {OOT_MONTH} THEN 'oot'
+            WHEN ('0x' || substr(md5('{SEED}:' || id), 1, 12))::BIGINT % 10000 < 2000 THEN 'valid' ELSE 'train' END AS split FROM apps WHERE approved = 1"""
+)
+def seeded_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The time split with a seeded fifth of the earlier months for validation."""
+    book = views.apps(spark, sf, lines=False, customer=False, gap=False)
+    return split.time_split(book, oot_start_month=OOT_MONTH, key="id", validation_fraction=0.2).select("id", "split")

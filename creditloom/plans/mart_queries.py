@@ -380,7 +380,7 @@ def _signups(spark: SparkSession, sf: str) -> DataFrame:
                  count(*) FILTER (now > 0 AND now_rank <= 10 AND past > 0 AND past_rank <= 10) AS kept FROM k GROUP BY id)
     SELECT a.id, a.user_id, a.decision_day, coalesce(active, 0) AS active_parties, {r('fresh / CASE WHEN active > 0 THEN active END')} AS new_share,
       CAST(coalesce(kept, 0) AS INTEGER) AS kept_parties, {r('kept / CASE WHEN base > 0 THEN base END')} AS stability,
-      {r('sq / CASE WHEN n > 0 THEN n * n END')} AS hhi, {r('most / CASE WHEN n > 0 THEN n END')} AS top_share
+      {r('sq / CASE WHEN n > 0 THEN n * n END')} AS hhi, {r('most / CASE WHEN n > 0 THEN n END')} AS top_share, coalesce(most, 0) AS top_count
     FROM asked a LEFT JOIN f ON f.id = a.id"""
 )
 def mart_asof_parties(spark: SparkSession, sf: str) -> DataFrame:
@@ -467,6 +467,20 @@ def mart_asof_flows(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(found)
 
 
+@query(
+    _MEET_SQL
+    + f""", w AS (SELECT id, CAST(floor(epoch(ts)) AS BIGINT) AS t, count(*) AS n FROM met WHERE ts IS NOT NULL AND age <= 15 GROUP BY ALL),
+    g AS (SELECT id, n, t, t - lag(t) OVER (PARTITION BY id ORDER BY t) AS g FROM w),
+    s AS (SELECT id, CAST(sum(n) AS BIGINT) AS n, (max(t) - min(t)) / CASE WHEN sum(n) > 2 THEN CAST(sum(n) - 1 AS DOUBLE) END AS mean,
+      coalesce(sum(g * g), 0) / CASE WHEN sum(n) > 2 THEN CAST(sum(n) - 1 AS DOUBLE) END AS sq FROM g GROUP BY id)
+    SELECT a.id, a.user_id, a.decision_day, coalesce(n, 0) AS events,
+      {r('1 - sqrt(greatest(sq - mean * mean, 0)) / CASE WHEN mean <> 0 THEN mean END')} AS regularity FROM asked a LEFT JOIN s ON s.id = a.id"""
+)
+def mart_asof_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Rhythm of the fifteen days before each sign-up."""
+    return tidy(timeline.regularity(views.txn(spark, sf), _signups(spark, sf), 15, key="id"))
+
+
 @query(
     f"""
     WITH asked AS (SELECT o_orderkey AS id, o_custkey AS user_id, CAST(o_orderdate AS DATE) AS decision_day FROM orders),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from creditloom.operators.metrics import evaluate
 from creditloom.operators.newton import newton
 from creditloom.plans.common import r, tidy
 from creditloom.plans.metric_queries import SCORES_SQL, bands_sql, staged_scores
+from creditloom.plans.metric_queries import SQL as METRIC_SQL
 from creditloom.plans.woe_queries import (
     WOE_SQL,
     _APPLIED_SQL,
@@ -21,8 +24,8 @@ from creditloom.plans.woe_queries import (
     prebinning,
     train_of,
 )
-from creditloom.sources import views
-from creditloom.sources.staging import stage
+from creditloom.sources import io, views
+from creditloom.sources.staging import shared_folder, stage
 from creditloom.sources.views import APPS_SQL, OUTCOMES_SQL, SCORED_SQL
 
 QUERIES = {}
@@ -578,3 +581,22 @@ def isotonic_steps(spark: SparkSession, sf: str) -> DataFrame:
     """Rising bad rates by score on the validation split; the SQL takes them as the largest of smallest means."""
     rows = staged_scores(spark, sf).where("split = 'valid'").withColumn("p", F.round("p", 3))
     return tidy(isotonic.isotonic_steps(rows, "p", "y"))
+
+
+@query(SQL["scorecard_score"])
+def stored_card(spark: SparkSession, sf: str) -> DataFrame:
+    """The fixed card, saved and loaded, on the book."""
+    book, binning = prebinning(spark, sf)
+    path = f"{shared_folder(spark)}/creditloom/card-{uuid.uuid4().hex}"
+    _card().save(spark, path)
+    loaded = scorecard.Scorecard.load(spark, path)
+    return tidy(loaded.apply(binning.transform(book, ["id"], loaded.features), ["id"]))
+
+
+@query(METRIC_SQL["evaluation"])
+def metric_record(spark: SparkSession, sf: str) -> DataFrame:
+    """The evaluation, written as a metric record and read back."""
+    found = tidy(evaluate(staged_scores(spark, sf), "p", "y", "id", by="split"))
+    path = f"{shared_folder(spark)}/creditloom/metrics-{uuid.uuid4().hex}"
+    io.write_metrics(found, path)
+    return io.read_metrics(spark, path, ", ".join(f"`{n}` {t}" for n, t in found.dtypes))

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.functions.expr import iv_strength as strength
 from creditloom.operators import woe
+from creditloom.operators.quality import missing_rates
 from creditloom.operators.scorecard import correlation_frame
 from creditloom.plans.common import numeric_long, r, text_long, tidy
 from creditloom.sources import io, views
-from creditloom.sources.staging import stage
+from creditloom.sources.staging import shared_folder, stage
 from creditloom.sources.views import (
     APP_CATEGORICAL,
     APP_NUMERIC,
@@ -419,6 +422,43 @@ def woe_fit_features(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(binning.feature_frame(spark).withColumn("edges", edges))
 
 
+_MONOTONIC_SQL = ", trends AS (SELECT feature, coalesce(bool_and(climb >= -1e-9), true) AS monotonic FROM moves GROUP BY feature) "
+_PLACED = ", ".join(r(f"max(w) FILTER (feature = '{f}')") + f" AS woe_{f}" for f in (*APP_NUMERIC, *APP_CATEGORICAL))
+
+
+@query(
+    MERGED_SQL
+    + _MONOTONIC_SQL
+    + f"""SELECT feature, round(iv, 6) AS iv, {STRENGTH_SQL} AS strength, bins, monotonic, kind FROM (
+      SELECT b.feature, sum(iv) AS iv, count(*) AS bins, first(monotonic) AS monotonic, first(kind) AS kind
+      FROM merged_bins b JOIN trends t ON t.feature = b.feature GROUP BY b.feature)"""
+)
+def iv_table_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Information value, strength, bins, monotony and kind of every fitted feature."""
+    return tidy(fitted(spark, sf)[1].iv_frame(spark))
+
+
+@query(
+    MERGED_SQL
+    + f""", nums AS ({numeric_long(APP_NUMERIC, 'book', 'id')}), words AS ({text_long(APP_CATEGORICAL, 'book', 'id')}),
+    placed_rows AS (
+      SELECT id, n.feature, coalesce(b.woe, l.woe) AS w FROM nums n
+      LEFT JOIN merged_bins b ON b.feature = n.feature AND CASE WHEN n.v IS NULL THEN b.is_missing ELSE NOT b.is_missing AND n.v > b.lower AND n.v <= b.upper END
+      JOIN merged_bins l ON l.feature = n.feature AND l.bin_index = 0
+      UNION ALL
+      SELECT id, e.feature, coalesce(k.woe, o.woe, 0.0::DOUBLE) FROM words e
+      LEFT JOIN merged_bins k ON k.feature = e.feature AND k.label = coalesce(e.v, 'Missing')
+      LEFT JOIN merged_bins o ON o.feature = e.feature AND o.label = '__other__')
+    SELECT id, {_PLACED} FROM placed_rows GROUP BY id"""
+)
+def woe_fit_transform(spark: SparkSession, sf: str) -> DataFrame:
+    """The book under its own merged bins, which were saved and loaded before use."""
+    book, binning = fitted(spark, sf)
+    path = f"{shared_folder(spark)}/creditloom/binner-{uuid.uuid4().hex}"
+    binning.save(spark, path)
+    return tidy(woe.Binning.load(spark, path).transform(book, ["id"]))
+
+
 @query(
     MERGED_SQL
     + f"""SELECT feature, kind, {r('sum(iv)')} AS iv, CAST(to_json(list({{'label': label, 'count': "count", 'bads': bads,
@@ -432,4 +472,39 @@ def woe_nested(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(io.nested_bins(binning.bin_frame(spark)).select("feature", "kind", "iv", F.to_json(brief).alias("json")))
 
 
-__all__ = ["OOT_MONTH", "QUERIES", "SQL", "fitted", "prebinning", "staged_book", "train_of"]
+_HOLES_SQL = (
+    APPS_SQL
+    + """, holes AS (SELECT CASE WHEN acctbal < 0 THEN NULL ELSE CAST(n_lines % 4 AS DOUBLE) END AS few,
+                            CASE WHEN n_lines % 3 = 0 THEN NULL ELSE total_price END AS wide FROM apps)
+    """
+)
+
+
+def _holes(spark: SparkSession, sf: str) -> DataFrame:
+    """Two columns with missing values, some null and some NaN."""
+    apps = views.apps(spark, sf, gap=False)
+    lost = F.when(F.col("id") % 2 == 0, F.lit(float("nan")))
+    few = F.when(F.col("acctbal") < 0, lost).otherwise((F.col("n_lines") % 4).cast("double"))
+    wide = F.when(F.col("n_lines") % 3 == 0, lost).otherwise(F.col("total_price"))
+    return stage(apps.select(few.alias("few"), wide.alias("wide")), "holes")
+
+
+@query(
+    _HOLES_SQL
+    + f""", long AS (SELECT unnest(['few', 'wide']) AS feature, unnest([few, wide]) AS v FROM holes),
+    levels AS (SELECT feature, list_sort(list(DISTINCT v)) AS l, list_sort(list_distinct(quantile_cont(v, {_PROBS}))) AS q FROM long WHERE v IS NOT NULL GROUP BY feature),
+    edges AS (SELECT feature, CASE WHEN len(l) <= 8 THEN list_transform(range(1, len(l)), lambda i: (l[i] + l[i + 1]) / 2.0::DOUBLE) ELSE q END AS e FROM levels)
+    SELECT feature, CAST(i AS INTEGER) AS edge_index, {r('e[i + 1]')} AS edge FROM edges, unnest(range(0, len(e))) t(i)"""
+)
+def prebin_edges_missing(spark: SparkSession, sf: str) -> DataFrame:
+    """Cut points of columns with null and NaN."""
+    return tidy(woe.edge_frame(spark, woe.prebin_edges(_holes(spark, sf), ["few", "wide"])))
+
+
+_RATE = r("avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END)")
+
+
+@query(_HOLES_SQL + " UNION ALL ".join(f"SELECT '{c}' AS feature, {_RATE.format(c=c)} AS missing_rate FROM holes" for c in ("few", "wide")))
+def missing_rate_nan(spark: SparkSession, sf: str) -> DataFrame:
+    """Missing rates where some missing values are NaN."""
+    return tidy(missing_rates(_holes(spark, sf), ["few", "wide"]))

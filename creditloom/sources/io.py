@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from creditloom import contract
 from creditloom.functions.expr import normalise_missing
+from creditloom.sources.staging import stage
 
 
 def read_applications(spark: SparkSession, path: str) -> DataFrame:
@@ -36,19 +37,31 @@ def read_view(spark: SparkSession, path: str, split: str | None = None) -> DataF
     return view if split is None else view.where(F.col("split") == split)
 
 
+#: Levels of a column that a plan carries as a set; columns with more are joined.
+LISTED_LEVELS = 1000
+
+
 def align_levels(
     df: DataFrame, columns: Sequence[str], split: str = "split", train: str = "train"
 ) -> DataFrame:
     """Levels the train split never showed become null in every split.
 
-    Level tables are joined, not collected: a high-cardinality column only costs a shuffle.
+    One pass finds the train levels of all columns, folded on the map side. A column of few levels then needs neither
+    join nor shuffle of rows; one of many is joined to its level table.
     """
-    order = df.columns
+    shown = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level")) for c in columns])
+    levels = stage(df.where(F.col(split) == train).select(F.inline(shown)).where("level IS NOT NULL").distinct(), "levels")
+    sizes = {r["column"]: r["n"] for r in levels.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    listed: dict[str, list[str]] = {c: [] for c in columns if sizes.get(c, 0) <= LISTED_LEVELS}
+    for r in levels.where(F.col("column").isin(list(listed))).collect():  # at most LISTED_LEVELS a column
+        listed[r["column"]].append(r["level"])
+    out = df.withColumns({c: F.when(F.col(c).cast("string").isin(known), F.col(c)) for c, known in listed.items()})
     for c in columns:
-        levels = df.where((F.col(split) == train) & F.col(c).isNotNull()).select(F.col(c).alias("_level"))
-        df = df.join(levels.distinct(), F.col(c) == F.col("_level"), "left")
-        df = df.withColumn(c, F.col("_level")).drop("_level")
-    return df.select(*order)
+        if c not in listed:
+            own = levels.where(F.col("column") == c).select(F.col("level").alias("_level"))
+            out = out.join(own, out[c].cast("string") == F.col("_level"), "left")
+            out = out.withColumn(c, F.when(F.col("_level").isNotNull(), F.col(c))).drop("_level")
+    return out.select(*df.columns)
 
 
 def write_metrics(df: DataFrame, path: str) -> None:

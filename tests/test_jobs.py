@@ -160,8 +160,8 @@ def test_quality_checks(spark):
         quality.require_finite(df)
     with pytest.raises(quality.QualityError, match="no observed outcome"):
         quality.require_outcomes(df, "y")
-    with pytest.raises(quality.QualityError, match="not unique"):
-        quality.join_one_to_one(df, df, "id")
+    with pytest.raises(Exception, match="id is not unique, e.g. 1"):
+        quality.join_one_to_one(df, df, "id").collect()
     row = quality.quality_counts(df, ["x"], "y").first()
     assert (row["rows"], row["without_outcome"], row["infinite_values"]) == (3, 1, 1)
     rates = quality.missing_rates(df.select("id", "x", "y"), ["id", "x", "y"]).collect()
@@ -289,3 +289,27 @@ def test_daily_drift_counts_do_not_depend_on_files(spark, tmp_path):
         place = np.searchsorted(edges["x"], closed["x"]).astype(str)
         expected = closed.groupby([day[closed.index], place]).size().to_dict()
         assert {(r.day, r.place): r.n for r in got.itertuples()} == expected and len(expected) > 6
+
+
+def test_the_checked_join_is_one_shuffle(spark):
+    left = spark.createDataFrame([(1, "a"), (2, None), (3, "c"), (None, "n")], "id long, v string")
+    right = spark.createDataFrame([(2, 0.5), (1, None), (4, 1.0)], "id long, w double")
+    joined = quality.join_one_to_one(left, right, "id")
+    assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted(map(tuple, joined.collect())) == [(1, "a", None), (2, None, 0.5)]
+    assert joined.columns == ["id", "v", "w"]
+    for twice in ([(2, 0.5), (2, 0.5)], [(9, 0.5), (9, None)], [(None, 1.0), (None, 2.0)]):
+        with pytest.raises(Exception, match="not unique"):
+            quality.join_one_to_one(left, spark.createDataFrame(twice, "id long, w double"), "id").collect()
+    assert quality.join_one_to_one(left, right.limit(0), "id").count() == 0
+
+
+def test_levels_of_many_columns(spark, monkeypatch):
+    rows = [(1, "train", "a", 5), (2, "train", None, 6), (3, "valid", "b", 5), (4, "oot", "a", 9), (5, "oot", None, None)]
+    df = spark.createDataFrame(rows, "id int, split string, x string, k int")
+    want = [(1, "a", 5), (2, None, 6), (3, None, 5), (4, "a", None), (5, None, None)]
+    for limit in (1000, 1):  # sets in the plan, or joins
+        monkeypatch.setattr(io, "LISTED_LEVELS", limit)
+        got = io.align_levels(df, ["x", "k"])
+        assert got.dtypes == df.dtypes and [(r.id, r.x, r.k) for r in got.orderBy("id").collect()] == want
+    assert io.align_levels(df.where("split = 'oot'"), ["x", "k"]).select("x", "k").distinct().collect() == [(None, None)]

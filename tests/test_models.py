@@ -353,3 +353,33 @@ def test_isotonic_steps(spark, partitions):
     odd = spark.createDataFrame([(-1.0,), (2.0,), (None,)], "p double")
     assert [r.calibrated for r in isotonic.calibrated(odd, "p", steps).collect()] == [steps[0][1], steps[-1][1], None]
     assert isotonic.isotonic_steps(df.limit(0), "p", "y").count() == 0
+
+
+def test_a_search_that_was_cut_off_goes_on_from_its_table(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"woe_a": rng.normal(size=600), "woe_b": rng.normal(size=600)})
+    pdf["y"] = (rng.random(600) < 1 / (1 + np.exp(1 + pdf.woe_a))).astype(float)
+    pdf["split"] = np.where(np.arange(600) % 4 == 0, "valid", "train")
+    df, store, ran, real = spark.createDataFrame(pdf), str(tmp_path / "trials"), [], boost._fit
+    space = boost.Space(trees=(2, 6, 1), depth=(2, 3), leaf_rows=(5, 20))
+
+    def fit(*args):
+        if len(ran) == 2:
+            raise RuntimeError("the machine was lost")
+        ran.append(args[3])
+        return real(*args)
+
+    monkeypatch.setattr(boost, "_fit", fit)
+    with pytest.raises(RuntimeError):
+        boost.tune(df, ["woe_a", "woe_b"], "y", name="one", trials=4, space=space, store=store)
+    assert boost.stored_trials(spark, store).count() == 2
+    monkeypatch.setattr(boost, "_fit", lambda *args: (ran.append(args[3]), real(*args))[1])
+    resumed = boost.tune(df, ["woe_a", "woe_b"], "y", name="one", trials=4, space=space, store=store)
+    assert len({boost.text_of(p) for p in ran}) == 4 and len(resumed.trials) == 4  # two before, two now, the winner once more at most
+    whole = boost.tune(df, ["woe_a", "woe_b"], "y", name="one", trials=4, space=space)
+    assert [t[0] for t in whole.trials] == pytest.approx([t[0] for t in resumed.trials]) and whole.params == resumed.params
+    n = len(ran)
+    again = boost.tune(df, ["woe_a", "woe_b"], "y", name="one", trials=4, space=space, store=store)
+    assert len(ran) == n + 1 and again.valid_auc == pytest.approx(whole.valid_auc)  # only the winner is fitted
+    boost.tune(df, ["woe_a"], "y", name="two", trials=1, space=space, store=store)
+    assert {r["search"]: r["n"] for r in boost.stored_trials(spark, store).groupBy("search").agg(F.count("*").alias("n")).collect()} == {"one": 4, "two": 1}
