@@ -574,7 +574,7 @@ def probability_calibration(spark: SparkSession, sf: str) -> DataFrame:
     means AS (SELECT lo.s AS lo, hi.s AS hi, (hi.b - lo.b + lo.own_b) / (hi.n - lo.n + lo.own_n) AS m FROM sums lo JOIN sums hi ON lo.s <= hi.s),
     least_after AS (SELECT lo, hi, min(m) OVER (PARTITION BY lo ORDER BY hi ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS m FROM means),
     fitted AS (SELECT hi AS s, max(m) AS rate FROM least_after GROUP BY hi)
-    SELECT row_number() OVER (ORDER BY min(s)) - 1 AS step, min(s) AS low, max(s) AS high, CAST(sum(n) AS BIGINT) AS n, CAST(sum(b) AS BIGINT) AS bads, {r('rate')} AS rate
+    SELECT CAST(row_number() OVER (ORDER BY min(s)) - 1 AS INTEGER) AS step, min(s) AS low, max(s) AS high, CAST(sum(n) AS BIGINT) AS n, CAST(sum(b) AS BIGINT) AS bads, {r('rate')} AS rate
     FROM fitted JOIN cells USING (s) GROUP BY rate"""
 )
 def isotonic_steps(spark: SparkSession, sf: str) -> DataFrame:
