@@ -25,15 +25,22 @@ def lean(run: Callable) -> Callable:
     one stage add to those of the next.
     """
 
+    def release() -> None:
+        pa.default_memory_pool().release_unused()
+        if hasattr(ctypes.pythonapi, "malloc_trim"):
+            ctypes.pythonapi.malloc_trim(0)
+
     def fed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch
             del batch
-            pa.default_memory_pool().release_unused()
-            if hasattr(ctypes.pythonapi, "malloc_trim"):
-                ctypes.pythonapi.malloc_trim(0)
+            release()
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(fed(batches))
+        release()
 
-    return lambda batches: run(fed(batches))
+    return whole
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -33,8 +33,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import LOWER, U64, mix, slices, span_hashes, utf8, words
-from .spans import PART_BYTES, bucket_of, buckets
+from ..sources.staging import discard
+from .arrays import LOWER, U64, lean, mix, slices, span_hashes, utf8, words
+from .spans import bucket_of, buckets
 from .written import written
 
 END, START = U64(0x1F83D9ABFB41BD6B), U64(0x5BE0CD19137E2179)
@@ -47,10 +48,17 @@ _AT = np.dtype([("doc", "<u4"), ("u", "<u8")])
 _SUM = np.dtype([("doc", "<u4"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
 _DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("held", "u1"), ("tokens", "<u4"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
 _MODEL = "bucket int, words binary, pairs binary, counts binary"
+#: Bytes of text that are turned into tokens at a time; a token takes some 100 bytes meanwhile.
+PART_BYTES = 4 << 20
 #: Pairs that a task counts before it sends them on.
 TASK_PAIRS = 1 << 20
 
 
+def _buckets(df: DataFrame) -> int:
+    """Two for each shuffle partition, as a task holds a bucket's pairs with all that seating them takes."""
+    return 2 * buckets(df)
+
+
 def held_out(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit(""))) % 5 == 1
 
@@ -114,6 +122,41 @@ def _new(values: np.ndarray) -> np.ndarray:
     return out
 
 
+def flat(table: np.ndarray) -> bytes:
+    """Records column by column: small numbers then compress, beside hashes that do not."""
+    return b"".join(table[name].tobytes() for name in table.dtype.names)
+
+
+def records(blob: bytes, kind: np.dtype) -> np.ndarray:
+    """What ``flat`` has written."""
+    n, at = len(blob) // kind.itemsize, 0
+    out = np.empty(n, kind)
+    for name in kind.names:
+        out[name] = np.frombuffer(blob, kind[name], n, at)
+        at += n * kind[name].itemsize
+    return out
+
+
+def pack_places(doc: np.ndarray, ctx: np.ndarray) -> bytes:
+    """Documents and contexts of tokens: each context once, and numbers as narrow as they can be."""
+    own, at = np.unique(ctx, return_inverse=True)
+    columns = [own, *(x.astype(np.min_scalar_type(int(x.max()))) for x in (at, doc))]
+    head = np.array([len(own), len(doc), *(c.itemsize for c in columns[1:])], "<u4")
+    return b"".join(c.tobytes() for c in (head, *columns))
+
+
+def unpack_places(blob: bytes) -> np.ndarray:
+    n_own, n, *sizes = np.frombuffer(blob, "<u4", 4).tolist()
+    own = np.frombuffer(blob, U64, n_own, 16)
+    start, found = 16 + 8 * n_own, []
+    for size in sizes:
+        found.append(np.frombuffer(blob, f"<u{size}", n, start))
+        start += size * n
+    out = np.empty(n, _AT)
+    out["u"], out["doc"] = own[found[0]], found[1]
+    return out
+
+
 def pack(word: np.ndarray, ctx: np.ndarray, count: np.ndarray, tables=None) -> tuple[bytes, bytes]:
     """Pairs sorted by word as one record per word and one per pair."""
     first = np.flatnonzero(_new(word))
@@ -123,11 +166,11 @@ def pack(word: np.ndarray, ctx: np.ndarray, count: np.ndarray, tables=None) -> t
     if len(first):
         head["c"] = np.add.reduceat(pairs["c"], first)
         head["n"] = np.add.reduceat(pairs["t"].astype(float), first)
-    return head.tobytes(), pairs.tobytes()
+    return flat(head), flat(pairs)
 
 
 def unpack(words_blob: bytes, pairs_blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(words_blob, _WORD), np.frombuffer(pairs_blob, _PAIR)
+    return records(words_blob, _WORD), records(pairs_blob, _PAIR)
 
 
 def add_up(about: np.ndarray) -> np.ndarray:
@@ -252,7 +295,7 @@ def part_of(words_blob: bytes, pairs_blob: bytes, about: list[bytes]) -> Part:
     head, pairs = unpack(words_blob, pairs_blob)
     totals = context_sums(pairs)
     for x in about:
-        whole = np.frombuffer(x, _ABOUT)
+        whole = records(x, _ABOUT)
         totals[find(totals["u"], whole["u"])] = whole
     keys = pair_key(np.repeat(head["w"], head["k"]), pairs["u"])
     order = np.argsort(keys)
@@ -275,7 +318,7 @@ def frequent_words(train: DataFrame, n: int) -> np.ndarray:
                 best = np.argsort(-c, kind="stable")[: 2 * n]
                 yield pa.RecordBatch.from_arrays([pa.array(w[best].view(np.int64)), pa.array(c[best])], ["w", "c"])
 
-    top = train.mapInArrow(count, "w long, c long").groupBy("w").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "w").limit(n)
+    top = train.mapInArrow(lean(count), "w long, c long").groupBy("w").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "w").limit(n)
     return np.array([r.w for r in top.collect()], np.int64).view(U64)
 
 
@@ -320,8 +363,8 @@ def gather(train: DataFrame, top: np.ndarray, count: int) -> DataFrame:
             by = np.argsort(word)
             yield _row(b, *pack(word[by], ctx[by], c[by]), np.array([c.sum(), (c == 1).sum(), (c == 2).sum()], "<i8").tobytes())
 
-    sent = train.mapInArrow(send, "bucket int, words binary, pairs binary")
-    return sent.repartitionById(count, "bucket").mapInArrow(merge, _MODEL)
+    sent = train.mapInArrow(lean(send), "bucket int, words binary, pairs binary")
+    return sent.repartitionById(count, "bucket").mapInArrow(lean(merge), _MODEL)
 
 
 def _row(b: int, *blobs: bytes) -> pa.RecordBatch:
@@ -334,14 +377,14 @@ def context_totals(table: DataFrame, count: int) -> DataFrame:
     def send(batches):
         for batch in batches:
             for b, p in zip(*(c.to_pylist() for c in batch.columns)):
-                about = context_sums(np.frombuffer(p, _PAIR))
+                about = context_sums(records(p, _PAIR))
                 to = bucket_of(about["u"], count)
                 by = np.argsort(to, kind="stable")
                 about, edge = about[by], np.searchsorted(to[by], np.arange(count + 1))
                 some = [x for x in range(count) if edge[x] < edge[x + 1]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(some, pa.int32()), pa.array([b] * len(some), pa.int32()),
-                     pa.array([about[edge[x] : edge[x + 1]].tobytes() for x in some], pa.binary())],
+                     pa.array([flat(about[edge[x] : edge[x + 1]]) for x in some], pa.binary())],
                     ["bucket", "back", "about"],
                 )
 
@@ -352,16 +395,16 @@ def context_totals(table: DataFrame, count: int) -> DataFrame:
                 got.setdefault(b, []).append((back, blob))
         for b in list(got):
             some = got.pop(b)
-            sums = add_up(np.concatenate([np.frombuffer(x, _ABOUT) for _, x in some]))
-            out = [(b, 0, sums.tobytes())]
+            sums = add_up(np.concatenate([records(x, _ABOUT) for _, x in some]))
+            out = [(b, 0, flat(sums))]
             for back, x in some:
-                own = np.frombuffer(x, _ABOUT)
+                own = records(x, _ABOUT)
                 whole = sums[find(sums["u"], own["u"])]
-                out.append((back, 1, whole[(whole["c"] != own["c"]) | (whole["t"] != own["t"])].tobytes()))
+                out.append((back, 1, flat(whole[(whole["c"] != own["c"]) | (whole["t"] != own["t"])])))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.binary()))], ["bucket", "kind", "about"])
 
-    sent = table.select("bucket", "pairs").mapInArrow(send, "bucket int, back int, about binary")
-    return sent.repartitionById(count, "bucket").mapInArrow(answer, "bucket int, kind int, about binary")
+    sent = table.select("bucket", "pairs").mapInArrow(lean(send), "bucket int, back int, about binary")
+    return sent.repartitionById(count, "bucket").mapInArrow(lean(answer), "bucket int, kind int, about binary")
 
 
 def _beside(table: DataFrame, totals: DataFrame) -> DataFrame:
@@ -412,7 +455,7 @@ def sweep(counts: DataFrame, model: Model, burn: int, samples: int, seed: int, c
             yield seated(bucket, own, totals)
 
     rows = _beside(counts, context_totals(counts, count)).repartitionById(count, "bucket").sortWithinPartitions("bucket", "kind")
-    return rows.mapInArrow(run, _MODEL)
+    return rows.mapInArrow(lean(run), _MODEL)
 
 
 def _discount(once: float, twice: float) -> float:
@@ -428,7 +471,7 @@ def summary(table: DataFrame, top: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     def read(batches):
         for batch in batches:
             for w, c in zip(*(x.to_pylist() for x in batch.columns)):
-                head = np.frombuffer(w, _WORD)
+                head = records(w, _WORD)
                 hot = find(held.value, head["w"]) >= 0
                 some, n = head[hot], head["n"][~hot]
                 rest = [*(np.frombuffer(c, "<i8") if c else np.zeros(3)), len(n), n.sum(dtype=float), (n < 1.5).sum(), ((n >= 1.5) & (n < 2.5)).sum()]
@@ -456,7 +499,7 @@ def fit(
 
     ``contexts``, ``frequent`` and ``near`` bound what is broadcast, not what is counted.
     """
-    count = buckets(train)
+    count = _buckets(train)
     first = frequent_words(train, max(frequent, contexts + 1))
     top, ctxs = np.sort(first[:frequent]), np.sort(np.append(first[first != END][:contexts], START))
     counts = written(gather(train, top, count), "counts", release=True)
@@ -466,7 +509,9 @@ def fit(
         ctxs, np.zeros(len(ctxs)), np.zeros(len(ctxs)), _discount(x[1], x[2]), _discount(x[5], x[6]), strength, int(x[0]), int(x[3]), x[4], words_, none
     )
     for turn, kept in enumerate((1, samples)):
-        counts = written(sweep(counts, model, burn, kept, seed + turn, count), "seating", release=True)
+        seated = written(sweep(counts, model, burn, kept, seed + turn, count), "seating", release=True)
+        discard(counts)
+        counts = seated
         model.words, x = summary(counts, top)
         model.all_tables = x[4]
         if turn == 0:
@@ -475,12 +520,12 @@ def fit(
     def wide(batches):
         for batch in batches:
             for blob in batch.column(0).to_pylist():
-                about = np.frombuffer(blob, _ABOUT)
-                yield pa.RecordBatch.from_arrays([pa.array([about[find(ctxs, about["u"]) >= 0].tobytes()], pa.binary())], ["about"])
+                about = records(blob, _ABOUT)
+                yield pa.RecordBatch.from_arrays([pa.array([flat(about[find(ctxs, about["u"]) >= 0])], pa.binary())], ["about"])
 
     got = context_totals(counts, count).where("kind = 0").select("about").mapInArrow(wide, "about binary").collect()
     for r in got:
-        about = np.frombuffer(r.about, _ABOUT)
+        about = records(r.about, _ABOUT)
         at = find(ctxs, about["u"])
         model.customers[at], model.tables[at] = about["c"], about["t"]
     model.near = _near(counts, model, near // count)
@@ -502,7 +547,7 @@ def _near(table: DataFrame, model: Model, n: int) -> np.ndarray:
                 k = np.bincount(of, minlength=len(head))
                 few = head[k > 0].copy()
                 few["k"] = k[k > 0]
-                part = part_of(few.tobytes(), pairs[some].tobytes(), [])
+                part = part_of(flat(few), flat(pairs[some]), [])
                 word, ctx = head["w"][of], pairs["u"][some]
                 out = np.zeros(len(some), _NEAR)
                 out["key"] = pair_key(word, ctx)
@@ -514,9 +559,14 @@ def _near(table: DataFrame, model: Model, n: int) -> np.ndarray:
     return out[np.argsort(out["key"])]
 
 
-def score(docs: DataFrame, model: Model, table: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
-    count = buckets(docs)
+def score(
+    docs: DataFrame, model: Model, table: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3
+) -> DataFrame:
+    """id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
+
+    Documents are scored in ``rounds`` shares, one after the other, so that disks hold the travelling tokens of one share.
+    """
+    count = _buckets(docs)
     held = docs.sparkSession.sparkContext.broadcast(model)
     wire = "bucket int, kind int, batch long, words binary, pairs binary"
     names = [c.split()[0] for c in wire.split(", ")]
@@ -548,8 +598,7 @@ def score(docs: DataFrame, model: Model, table: DataFrame, id_col: str = "doc_id
                     if s.start < s.stop:
                         w, m_ = np.unique(token[s], return_counts=True)
                         asked = np.rec.fromarrays([w, m_], dtype=_ASK)
-                        places = np.rec.fromarrays([row[s], ctx[s]], dtype=_AT)
-                        sent.append((b, 3, key, asked.tobytes(), places.tobytes()))
+                        sent.append((b, 3, key, flat(asked), pack_places(row[s], ctx[s])))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*sent), kinds)], names)
 
     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
@@ -570,7 +619,7 @@ def score(docs: DataFrame, model: Model, table: DataFrame, id_col: str = "doc_id
                 else:
                     if part is None:
                         part = part_of(*own, totals)
-                    asked, places = np.frombuffer(w, _ASK), np.frombuffer(p, _AT)
+                    asked, places = records(w, _ASK), unpack_places(p)
                     base, value, known, left = m.lookup(part, np.repeat(asked["w"], asked["m"]), places["u"])
                     out.append((0, key, 2, sums_of(places["doc"], known, base, value)))
                     places = places[left]
@@ -579,7 +628,7 @@ def score(docs: DataFrame, model: Model, table: DataFrame, id_col: str = "doc_id
                     places, to = places[by], to[by]
                     for s in np.split(np.arange(len(to)), np.flatnonzero(_new(to))[1:]):
                         if len(s):
-                            out.append((int(to[s[0]]), key, 3, places[s].tobytes()))
+                            out.append((int(to[s[0]]), key, 3, pack_places(places["doc"][s], places["u"][s])))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int32(), pa.binary()))], ["bucket", "batch", "kind", "sums"]
@@ -602,9 +651,9 @@ def score(docs: DataFrame, model: Model, table: DataFrame, id_col: str = "doc_id
                 if b != bucket:
                     bucket, about = b, np.zeros(0, _ABOUT)
                 if kind == 0:
-                    about = np.frombuffer(blob, _ABOUT)
+                    about = records(blob, _ABOUT)
                     continue
-                places = np.frombuffer(blob, _AT)
+                places = unpack_places(blob)
                 at = find(about["u"], places["u"])
                 value = np.zeros(len(places))
                 got = about[at[at >= 0]]
@@ -639,18 +688,24 @@ def score(docs: DataFrame, model: Model, table: DataFrame, id_col: str = "doc_id
             [id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         )
 
-    asked = docs.select(F.col(id_col).cast("long"), held_out(F.col(id_col)), text_col).mapInArrow(ask, wire)
-    totals = context_totals(table, count)
+    schema = f"`{id_col}` long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    totals = written(context_totals(table, count), "contexts", release=True)
     known = _beside(table, totals).withColumn("batch", F.lit(0).cast("long")).select(*names)
-    answers = written(
-        known.unionByName(asked).repartitionById(count, "bucket").sortWithinPartitions("bucket", "kind")
-        .mapInArrow(answer, "bucket int, batch long, kind int, sums binary"), "answers", release=True,
-    )
     contexts = totals.where("kind = 0").select("bucket", "kind", F.lit(0).cast("long").alias("batch"), F.col("about").alias("sums"))
-    rest = (
-        contexts.unionByName(answers.where("kind = 3")).repartitionById(count, "bucket").sortWithinPartitions("bucket", "kind")
-        .mapInArrow(finish, "batch long, kind int, sums binary")
-    )
-    answers = answers.where("kind < 3").drop("bucket").unionByName(rest)
-    schema = f"`{id_col}` long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return answers.repartition(count, "batch").sortWithinPartitions("batch", "kind").mapInArrow(total, schema)
+    found = None
+    for share in range(rounds):
+        some = docs.where(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(rounds)) == share)
+        asked = some.select(F.col(id_col).cast("long"), held_out(F.col(id_col)), text_col).mapInArrow(lean(ask), wire)
+        answers = written(
+            known.unionByName(asked).repartitionById(count, "bucket").sortWithinPartitions("bucket", "kind")
+            .mapInArrow(lean(answer), "bucket int, batch long, kind int, sums binary"), "answers", release=True,
+        )
+        rest = (
+            contexts.unionByName(answers.where("kind = 3")).repartitionById(count, "bucket").sortWithinPartitions("bucket", "kind")
+            .mapInArrow(lean(finish), "batch long, kind int, sums binary")
+        )
+        sums = answers.where("kind < 3").drop("bucket").unionByName(rest)
+        scored = written(sums.repartition(count, "batch").sortWithinPartitions("batch", "kind").mapInArrow(lean(total), schema), "scores", release=True)
+        discard(answers)
+        found = scored if found is None else found.unionByName(scored)
+    return found

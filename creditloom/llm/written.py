@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import DataFrame
 
@@ -17,6 +18,13 @@ def written(df: DataFrame, label: str, release: bool = False) -> DataFrame:
     """
     out = stage(df, label)
     if release:
+        released(df)
+    return out
+
+
+def released(df: DataFrame) -> None:
+    """Ask twice: what the first collection makes unreachable goes in the second, and Spark's cleaner works beside us."""
+    for _ in range(2):
         gc.collect()
         df.sparkSession.sparkContext._jvm.System.gc()
-    return out
+        time.sleep(0.5)
