@@ -10,7 +10,7 @@ from creditloom.functions.expr import union_all
 from creditloom.operators import boost, metrics, stability
 from creditloom.config import SEED
 from creditloom.operators.bootstrap import LAST_SHIFT, MIXERS, STEP, TABLE_ROWS, gini_difference
-from creditloom.operators.scorecard import correlation_frame
+from creditloom.operators.scorecard import pairwise_correlations
 from creditloom.plans.common import numeric_long, r, text_long, tidy
 from creditloom.sources import views
 from creditloom.sources.staging import stage
@@ -370,21 +370,17 @@ def drift_by_month(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(stability.drift(book, early, APP_NUMERIC, "application_month"))
 
 
-_CORR = ("total_price", "n_lines", "mean_discount", "mean_quantity", "acctbal")
-
-
 @query(
     APPS_SQL
-    + ", whole AS (SELECT * FROM apps WHERE n_lines IS NOT NULL AND acctbal IS NOT NULL) "
     + " UNION ALL ".join(
-        f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {r(f'corr({a}, {b})')} AS r FROM whole"
-        for a in _CORR
-        for b in _CORR
+        f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {r(f'corr({a}, {b})')} AS r FROM apps"
+        for a in APP_NUMERIC
+        for b in APP_NUMERIC
     )
 )
 def corr_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    book = views.apps(spark, sf, gap=False).select(*_CORR).dropna()
-    return tidy(correlation_frame(book, _CORR))
+    """Correlations of the raw features, each over all applications that have both."""
+    return tidy(pairwise_correlations(views.apps(spark, sf), APP_NUMERIC))
 
 
 _REPLICATES = 2000

@@ -96,6 +96,18 @@ def test_pruning_keeps_the_stronger_feature():
     assert scorecard.prune_correlated(matrix, ["x", "y", "z"])[0] == ["x", "y", "z"]
 
 
+def test_pairwise_correlations_keep_incomplete_rows(spark):
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame(rng.normal(size=(400, 3)), columns=["x", "y", "z"])
+    pdf["y"] += pdf.x
+    pdf.loc[::3, "z"] = np.nan
+    pdf.loc[1::4, "x"] = np.nan
+    got = {(r.feature_a, r.feature_b): r.r for r in scorecard.pairwise_correlations(spark.createDataFrame(pdf), ["x", "y", "z"]).collect()}
+    want = pdf.corr()  # pandas leaves out incomplete pairs only
+    assert len(got) == 9 and all(v == pytest.approx(want.loc[k]) for k, v in got.items())
+    assert scorecard.pairwise_correlations(spark.createDataFrame(pdf.head(0), "x double, y double"), ["x", "y"]).where("r IS NOT NULL").count() == 0
+
+
 def test_a_constant_column_has_a_wald_test_too(spark):
     rng = np.random.default_rng(9)
     x = np.column_stack([rng.normal(size=500), np.ones(500)])
