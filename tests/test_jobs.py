@@ -128,9 +128,13 @@ def test_models_end_to_end(spark, built):
     found = models.challenger_stage(
         spark, out,
         searches=[("gbt", 1, boost.Space(trees=(3, 3, 1), depth=(2, 2)))],
+        free=("raw", 1, boost.Space(trees=(3, 3, 1), depth=(2, 2))),
         replicates=40,
     )
-    assert {r["model"] for r in found["comparison"].collect()} == {"scorecard", "gbt"}
+    gini = {r["model"]: r["oot_gini"] for r in found["comparison"].collect()}
+    assert set(gini) == {"scorecard", "gbt", "raw"}
+    assert found["constraint_cost"].first()["constraint_cost"] == pytest.approx(gini["raw"] - gini["gbt"], abs=2e-4)
+    assert boost.stored_trials(spark, f"{out}/trials").count() == 2
     contest = found["contest"].first()
     assert contest["ci_low"] <= contest["difference"] <= contest["ci_high"]
     assert found["importance"].count() <= 20
