@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,15 +39,15 @@ def totals(df: DataFrame, x: str, y: str, beta: np.ndarray, places: Sequence[int
     """
     beta, k = np.asarray(beta, float), len(beta)
 
-    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((k + 1, k + 1))
         size, lost = 0.0, 0
         for batch in batches:
-            if not len(batch):
+            if not batch.num_rows:
                 continue
-            rows = np.stack(batch["x"].to_numpy())
+            rows = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
             design = np.column_stack([rows if places is None else rows[:, list(places)], np.ones(len(rows))])
-            w, outcome = batch["w"].to_numpy(), batch["y"].to_numpy(dtype=float)
+            outcome, w = (batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in (1, 2))
             lost += int(np.isnan(outcome).sum())
             z = design @ beta
             tail = np.exp(-np.abs(z))
@@ -58,10 +58,10 @@ def totals(df: DataFrame, x: str, y: str, beta: np.ndarray, places: Sequence[int
             size += float(w.sum())
         i, j = np.indices(sums.shape)
         i, j, value = (np.append(a.ravel(), b) for a, b in ((i, [-1, -2]), (j, [-1, -2]), (sums, [size, lost])))
-        yield pd.DataFrame({"i": i, "j": j, "value": value})
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(value)], ["i", "j", "value"])
 
     rows = df.select(F.col(x).alias("x"), F.col(y).cast("double").alias("y"), (F.col(weight) if weight else F.lit(1.0)).cast("double").alias("w"))
-    parts = rows.mapInPandas(add_up, "i int, j int, value double").groupBy("i", "j").agg(F.sum("value").alias("value"))
+    parts = rows.mapInArrow(add_up, "i int, j int, value double").groupBy("i", "j").agg(F.sum("value").alias("value"))
     sums, rest = np.zeros((k + 1, k + 1)), {-1: 0.0, -2: 0.0}
     for i, j, value in parts.collect():
         if i < 0:
