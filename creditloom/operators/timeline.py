@@ -145,6 +145,14 @@ def _lies_in(levels: int, day: Column) -> Column:
     return F.array(*[F.struct(F.lit(k).alias("k"), F.shiftright(day, k).alias("b")) for k in range(levels)])
 
 
+def _meet(asks: DataFrame, stored: DataFrame) -> DataFrame:
+    """Asked days with the stretches they lie in, by a merge.
+
+    The planner takes the unfolded days for as small as the days before ``inline``, and would send all of them through the driver.
+    """
+    return asks.join(stored.hint("merge"), ["user", "k", "b"])
+
+
 def best_on(counts: DataFrame, asked: DataFrame, keep: int, days: int) -> DataFrame:
     """user, day, party, n, place: the ``keep`` largest counts on each asked day, ties by counterparty.
 
@@ -159,7 +167,7 @@ def best_on(counts: DataFrame, asked: DataFrame, keep: int, days: int) -> DataFr
     stored = held.select("user", "party", "n", F.inline(_stretches(max(days, 1).bit_length()))).withColumn("_place", F.row_number().over(first)).where(F.col("_place") <= keep)
     asks = asked.select("user", "day", F.inline(_lies_in(max(days, 1).bit_length(), F.unix_date("day"))))
     best = Window.partitionBy("user", "day").orderBy(F.desc("n"), "party")
-    hits = asks.join(stored.select("user", "k", "b", "party", "n"), ["user", "k", "b"])
+    hits = _meet(asks, stored.select("user", "k", "b", "party", "n"))
     return hits.select("user", "day", "party", "n", F.row_number().over(best).alias("place")).where(F.col("place") <= keep)
 
 
@@ -412,5 +420,5 @@ def _earliest_due(loans: DataFrame, asked: DataFrame, levels: int = 17) -> DataF
         "user", "due", F.unix_date("opened").alias("lo"), F.unix_date(F.least(F.coalesce("repaid", "_end"), "_end")).alias("end")
     ).where("lo < end")
     stored = held.select("user", "due", F.inline(_stretches(levels))).groupBy("user", "k", "b").agg(F.min("due").alias("due"))
-    hits = asked.select("user", "day", F.inline(_lies_in(levels, F.unix_date("day") - 1))).join(stored, ["user", "k", "b"])
+    hits = _meet(asked.select("user", "day", F.inline(_lies_in(levels, F.unix_date("day") - 1))), stored)
     return hits.groupBy("user", "day").agg(F.min("due").alias("due"))

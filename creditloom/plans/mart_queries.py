@@ -284,7 +284,8 @@ def _lines(spark: SparkSession, sf: str) -> DataFrame:
     orders = views.table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("user_id"), "o_orderdate"
     )
-    return views.table(spark, sf, "lineitem").join(orders, "l_orderkey")
+    # Parquet packs orders so well that the planner would broadcast millions of them
+    return views.table(spark, sf, "lineitem").join(orders.hint("merge"), "l_orderkey")
 
 
 def _shipments(spark: SparkSession, sf: str) -> DataFrame:

@@ -148,6 +148,18 @@ def test_past_due(spark, book):
         assert got[r.id].max_dpd == worst and same(got[r.id].utilisation, drawn / limit if limit else None)
 
 
+def test_unfolded_days_never_go_through_the_driver(spark):
+    """Each asked day meets its stretches in a merge, however small the planner takes the days for."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int"))
+    asked = spark.range(40).select((F.col("id") % 3).alias("user"), day.alias("day"))
+    loans = asked.select("user", F.col("day").alias("opened"), F.col("day").alias("due"), F.date_add("day", 9).alias("repaid"))
+    counts = asked.select("user", F.lit("a").alias("party"), "day", F.lit(1).alias("n"))
+    for found in (timeline._earliest_due(loans, asked), timeline.best_on(counts, asked, 3, DAYS)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join [user" in line and ", k#" in line]
+        assert joins and all("SortMergeJoin" in line for line in joins)
+
+
 def test_extremes_store_a_logarithm_per_cell_and_no_pair_per_window(spark):
     n = 1200
     cells = spark.range(n).select(F.lit(0).alias("user"), F.col("id").alias("i"), ((F.col("id") * 7919) % 1009).alias("v"))
