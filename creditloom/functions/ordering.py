@@ -97,9 +97,21 @@ def order_statistics(
     column is cut into buckets, counted, and only the buckets holding a wanted rank are sorted.
     """
     columns = list(columns or wanted)
-    spark = df.sparkSession
     counts = df.agg(*[F.count_if(present(c)) for c in columns]).first()
     totals = dict(zip(columns, counts, strict=True))
+    found = runs_at(df, wanted, totals, probs=probs)
+    return {c: {0: totals[c], **{r: v for r, (v, _, _) in found[c].items()}} for c in columns}
+
+
+def runs_at(
+    df: DataFrame, wanted: dict[str, Sequence[int]] | None, totals: dict[str, int], *, probs=None
+) -> dict[str, dict[int, tuple]]:
+    """What ``order_statistics`` finds, with its run: ``{column: {rank: (value, rows below it, rows that share it)}}``.
+
+    ``totals``: how many values each column has.
+    """
+    columns = list(totals)
+    spark = df.sparkSession
     large = max(totals.values()) > one_task_rows(spark)
     if large:
         cuts = splitters(df, columns, bucket_count(spark, len(columns), max(totals.values())))
@@ -112,7 +124,7 @@ def order_statistics(
     else:
         sizes = {(k, 0): totals[c] for k, c in enumerate(columns)}
 
-    targets = []
+    targets, ahead = [], {}
     for k, column in enumerate(columns):
         if probs is None:
             need = set(wanted[column])
@@ -122,8 +134,9 @@ def order_statistics(
         before = 0
         for b, n in sorted((b, n) for (kk, b), n in sizes.items() if kk == k):
             targets += [(k, b, r, r - before) for r in sorted(need) if before < r <= before + n]
+            ahead[k, b] = before
             before += n
-    out = {c: {0: totals[c]} for c in columns}
+    out = {c: {} for c in columns}
     if not targets:
         return out
 
@@ -137,8 +150,8 @@ def order_statistics(
     hits = placed.join(goals, ["k", "b"]).where(
         (F.col("local") <= F.col("upto")) & (F.col("local") > F.col("upto") - F.col("n"))
     )
-    for r in hits.select("k", "rank", "v").collect():
-        out[columns[r["k"]]][r["rank"]] = r["v"]
+    for r in hits.select("k", "b", "rank", "v", "n", "upto").collect():
+        out[columns[r["k"]]][r["rank"]] = (r["v"], ahead[r["k"], r["b"]] + r["upto"] - r["n"], r["n"])
     return out
 
 
@@ -210,57 +223,47 @@ def band_of_rank(rank: Column, total: Column, bands: int) -> Column:
 
 
 def band_limits(
-    df: DataFrame, key: str, tie: str, bands: int, totals: dict, by: str | None = None
-) -> dict[object, list[tuple]]:
-    """Last (key, tie) pair of each equal-frequency band but the last, per group.
+    df: DataFrame, keys: Sequence[str], tie: str, bands: int, totals: dict, by: str | None = None
+) -> dict[str, dict[object, list[tuple]]]:
+    """Last (key, tie) pair of each equal-frequency band but the last, per key and group.
 
-    Band ``j`` ends at rank ``1 + floor(j * (n - 1) / bands)`` in (key, tie) order. The key is
-    located first; only where a run of equal keys straddles a band end is the tie-break column
+    Band ``j`` ends at rank ``1 + floor(j * (n - 1) / bands)`` in (key, tie) order. The keys are
+    located first, all in the same passes; only where a run of equal keys straddles a band end is the tie-break column
     searched too, among the rows of that run alone.
     """
     groups = [g for g, n in totals.items() if n]
     ends = [[1 + (j * (totals[g] - 1)) // bands for j in range(1, bands)] for g in groups]
-    columns = [f"g{i}" for i in range(len(groups))]
+    columns = {(key, i): f"k{k}g{i}" for k, key in enumerate(keys) for i in range(len(groups))}
     wide = df.select(
         tie,
         *[
-            (F.col(key) if by is None else F.when(F.col(by).eqNullSafe(F.lit(g)), F.col(key))).alias(c)
-            for g, c in zip(groups, columns, strict=True)
+            (F.col(key) if by is None else F.when(F.col(by).eqNullSafe(F.lit(groups[i])), F.col(key))).alias(c)
+            for (key, i), c in columns.items()
         ],
     )
-    at = order_statistics(wide, dict(zip(columns, ends, strict=True)))
-
-    # how many rows lie below each boundary key, and how many share it
-    runs = sorted({(c, at[c][r]) for c, ranks in zip(columns, ends, strict=True) for r in ranks})
-    counted = wide.agg(
-        *[
-            F.array(F.count_if(F.col(c) < F.lit(v)), F.count_if(F.col(c) == F.lit(v)))
-            for c, v in runs
-        ]
-    ).first()
-    spans = dict(zip(runs, counted, strict=True))
+    wanted = {c: ends[i] for (_, i), c in columns.items()}
+    at = runs_at(wide, wanted, {c: totals[groups[i]] for (_, i), c in columns.items()})
 
     straddled: dict[tuple, set[int]] = {}
-    for c, ranks in zip(columns, ends, strict=True):
+    for c, ranks in wanted.items():
         for r in ranks:
-            below, same = spans[c, at[c][r]]
+            value, below, same = at[c][r]
             if r - below < same:
-                straddled.setdefault((c, at[c][r]), set()).add(r - below)
+                straddled.setdefault((c, value, same), set()).add(r - below)
     ties = {}
     if straddled:
         names = {run: f"t{j}" for j, run in enumerate(straddled)}
         members = wide.select(
-            *[F.when(F.col(c) == F.lit(v), F.col(tie)).alias(t) for (c, v), t in names.items()]
+            *[F.when(F.col(c) == F.lit(v), F.col(tie)).alias(t) for (c, v, _), t in names.items()]
         )
-        found = order_statistics(members, {t: sorted(straddled[run]) for run, t in names.items()})
+        found = runs_at(members, {t: sorted(straddled[run]) for run, t in names.items()}, {t: run[2] for run, t in names.items()})
         ties = {run: found[t] for run, t in names.items()}
 
-    limits: dict[object, list[tuple]] = {}
-    for g, c, ranks in zip(groups, columns, ends, strict=True):
-        limits[g] = []
-        for r in ranks:
-            run = (c, at[c][r])
-            limits[g].append((run[1], ties.get(run, {}).get(r - spans[run][0])))
+    limits: dict[str, dict[object, list[tuple]]] = {key: {} for key in keys}
+    for (key, i), c in columns.items():
+        limits[key][groups[i]] = [
+            (value, ties.get((c, value, same), {}).get(r - below, (None,))[0]) for r in ends[i] for value, below, same in [at[c][r]]
+        ]
     return limits
 
 
@@ -292,12 +295,13 @@ def group_sizes(df: DataFrame, needed: Sequence[str], by: str | None = None) ->
 
 def with_band(
     df: DataFrame, key: str, tie: str, bands: int = 10, by: str | None = None, name: str = "band",
-    totals: dict | None = None,
+    totals: dict | None = None, limits: dict | None = None,
 ) -> DataFrame:
     """Add the equal-frequency band of (key, tie) order, within each ``by`` group.
 
     ``by`` is a short list of groups such as splits. ``tie`` must be a unique integer. Rows
-    without a key get no band and do not count. ``totals``: rows with a key per group, if the caller has counted them.
+    without a key get no band and do not count. ``totals``: rows with a key per group, if the caller has counted them;
+    ``limits``: of this key from ``band_limits``, if the caller has found them.
     """
     totals = group_sizes(df, [key], by) if totals is None else totals
     if sum(totals.values()) <= one_task_rows(df.sparkSession):
@@ -306,5 +310,6 @@ def with_band(
         rank = F.row_number().over(group.orderBy(key, tie))
         total = F.count(F.lit(1)).over(group)
         return df.withColumn(name, F.when(ranked, band_of_rank(rank, total, bands)))
-    limits = band_limits(df, key, tie, bands, totals, by)
+    if limits is None:
+        limits = band_limits(df, [key], tie, bands, totals, by)[key]
     return df.withColumn(name, _band_index(key, tie, limits, by))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.functions.expr import present
-from creditloom.functions.ordering import group_sizes, running_totals, with_band, with_bucket
+from creditloom.functions.ordering import band_limits, group_sizes, one_task_rows, running_totals, with_band, with_bucket
 
 EPS = 1e-10
 BANDS = 10
@@ -71,12 +71,13 @@ def rank_ordering(
     by: str | None = None,
     ascending: bool = False,
     totals: dict | None = None,
+    limits: dict | None = None,
 ) -> DataFrame:
     """Equal-frequency bands in score order, riskiest first unless ``ascending``."""
     key = F.col(score) if ascending else -F.col(score)
     rows = df.select(*([by] if by else []), tie, score, y, key.alias("_key"))
     rows = rows.where(present(score, y))
-    banded = with_band(rows, "_key", tie, bands, by, totals=totals)
+    banded = with_band(rows, "_key", tie, bands, by, totals=totals, limits=limits)
     groups = [by] if by else []
     table = banded.groupBy(*groups, "band").agg(
         F.count(F.lit(1)).alias("count"),
@@ -122,13 +123,14 @@ def _clipped(p: str) -> Column:
 
 
 def calibration(
-    df: DataFrame, p: str, y: str, tie: str, *, bins: int = BANDS, by: str | None = None, totals: dict | None = None
-) -> DataFrame:
+    df: DataFrame, p: str, y: str, tie: str, *, bins: int = BANDS, by: str | None = None, totals: dict | None = None,
+    limits: dict | None = None,
+) -> DataFrame:
     """Brier score, log loss, expected and observed bad rate, their ratio, and the ECE."""
     groups = [by] if by else []
     seen = df.where(present(p, y))
     rows = seen.select(*groups, tie, F.col(y).alias("_y"), _clipped(p).alias("_p"))
-    banded = with_band(rows, "_p", tie, bins, by, totals=totals)
+    banded = with_band(rows, "_p", tie, bins, by, totals=totals, limits=limits)
     good = 1.0 - F.col("_y")
     loss = -(F.col("_y") * F.ln("_p") + good * F.ln(1.0 - F.col("_p")))
     per_bin = banded.groupBy(*groups, "band").agg(
@@ -172,12 +174,18 @@ def evaluate(
 ) -> DataFrame:
     """One row per split: discrimination, calibration and rank ordering together.
 
-    Pass a staged frame; the three parts each read their few columns of it. Rows are counted once, for all three.
+    Pass a staged frame; the three parts each read their few columns of it. Rows are counted once, for all three, and of
+    many rows the ends of both kinds of bands are found in the same passes.
     """
     totals = {g: n for g, n in group_sizes(df, [p, y], by).items() if n}
+    limits: dict = {}
+    if sum(totals.values()) > one_task_rows(df.sparkSession):
+        keys = df.where(present(p, y)).select(by, tie, _clipped(p).alias("_p"), (-F.col(p)).alias("_key"))
+        limits = band_limits(keys, ["_p", "_key"], tie, bands, totals, by)
     power = discrimination(df, p, y, [by], sum(totals.values()))
-    fit = calibration(df, p, y, tie, bins=bands, by=by, totals=totals)
-    ordered = is_rank_ordered(rank_ordering(df, p, y, tie, bands=bands, by=by, totals=totals), by)
+    fit = calibration(df, p, y, tie, bins=bands, by=by, totals=totals, limits=limits.get("_p"))
+    table = rank_ordering(df, p, y, tie, bands=bands, by=by, totals=totals, limits=limits.get("_key"))
+    ordered = is_rank_ordered(table, by)
     for part in (fit, ordered):
         other = part.withColumnRenamed(by, "_by")
         power = power.join(other, power[by].eqNullSafe(other["_by"])).drop("_by")
