@@ -9,14 +9,15 @@ chance of a new table is the chance of a word never seen. So p(w | u) = (c_uw -
 Seating is sampled by Gibbs: given the parent's predictive, the customers of each (context, word) are
 seated anew, one by one for the first 32 and in growing groups after that, whose customers share one chance; mean
 tables of ``samples`` turns after ``burn`` are kept, and scores are computed once from these means. Pairs (context, word) are counted on the map side and lie in the
-bucket of their word; those of the ``frequent`` words in the bucket of the pair, so that a word after
-many others has no task of its own. Totals per context meet in the bucket of the context, a row for each bucket
-that has pairs of it, and go back to those buckets; totals per context, and the parent's customers of frequent
-words, are fixed during a sweep. Discounts come from the numbers of pairs and words seen once and twice.
+bucket of their word; those of the ``frequent`` words in the bucket of their context, or of the pair if the context is frequent
+too, so that no word and no context has a task of its own. Totals of frequent contexts are broadcast, others are added up where they lie;
+only a pair of a rare word after a rare context lies apart from its context's bucket: it sends its counts there, a row for each
+context, and gets totals back if it needs them. So messages grow with the pairs, not with the buckets. Totals per context, and the
+parent's customers of frequent words, are fixed during a sweep. Discounts come from the numbers of pairs and words seen once and twice.
 
 Scoring: the ``near`` most frequent pairs are looked up in a broadcast of that bounded table; other tokens travel to their
-pair's bucket, packed by batch. A pair never seen there needs only its context's totals besides the word: those
-of the ``contexts`` most frequent words are broadcast, others are asked in the context's bucket. Sums per document come back.
+pair's bucket, packed by batch. A pair never seen there needs only its context's totals besides the word: where neither
+word nor context is frequent, they are asked in the context's bucket, a row for each token. Sums per document come back.
 No key is hot in either direction.
 
 Null and empty texts consist of the end token. Documents without id count as not held out, repeated rows each count. Without
@@ -44,10 +45,11 @@ _PAIR = np.dtype([("u", "<u8"), ("c", "<u8"), ("t", "<f4")])
 _ABOUT = np.dtype([("u", "<u8"), ("c", "<f8"), ("t", "<f8")])
 _NEAR = np.dtype([("key", "<u8"), ("base", "<f8"), ("score", "<f8")])
 _ASK = np.dtype([("w", "<u8"), ("m", "<u4")])
-_AT = np.dtype([("doc", "<u4"), ("u", "<u8")])
 _SUM = np.dtype([("doc", "<u4"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
 _DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("held", "u1"), ("tokens", "<u4"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
 _MODEL = "bucket int, words binary, pairs binary, counts binary"
+_MESSAGE = "bucket int, kind int, u long, c double, t double, about binary"
+_PLAIN = (("u", "<i8"), ("c", "<f8"), ("t", "<f8"))
 #: Bytes of text that are turned into tokens at a time; a token takes some 100 bytes meanwhile.
 PART_BYTES = 4 << 20
 #: Pairs that a task counts before it sends them on.
@@ -100,13 +102,22 @@ def pair_key(word: np.ndarray, ctx: np.ndarray) -> np.ndarray:
 
 
 def route(word: np.ndarray, ctx: np.ndarray, top: np.ndarray, count: int) -> np.ndarray:
-    """Bucket of each pair: that of its word, or of the pair if the word is frequent."""
+    """Bucket of each pair: that of its word; if the word is frequent that of the context, and of the pair if both are."""
     to = bucket_of(word, count)
     hot = find(top, word) >= 0
-    to[hot] = bucket_of(pair_key(word[hot], ctx[hot]), count)
+    both = np.flatnonzero(hot)
+    often = (find(top, ctx[both]) >= 0) | (ctx[both] == START)
+    lone, both = both[~often], both[often]
+    to[lone] = bucket_of(ctx[lone], count)
+    to[both] = bucket_of(pair_key(word[both], ctx[both]), count)
     return to
 
 
+def by_bucket(to: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Order by bucket, and by word but for its last 16 bits: a word may then come in more than one run."""
+    return np.argsort((to.astype(U64) << U64(48)) | (word >> U64(16)))
+
+
 def count_pairs(word: np.ndarray, ctx: np.ndarray, count: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """Distinct (word, context) with their counts."""
     key = pair_key(word, ctx)
@@ -145,16 +156,15 @@ def pack_places(doc: np.ndarray, ctx: np.ndarray) -> bytes:
     return b"".join(c.tobytes() for c in (head, *columns))
 
 
-def unpack_places(blob: bytes) -> np.ndarray:
+def unpack_places(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts, each once, and place among them and document of each token."""
     n_own, n, *sizes = np.frombuffer(blob, "<u4", 4).tolist()
     own = np.frombuffer(blob, U64, n_own, 16)
     start, found = 16 + 8 * n_own, []
     for size in sizes:
         found.append(np.frombuffer(blob, f"<u{size}", n, start))
         start += size * n
-    out = np.empty(n, _AT)
-    out["u"], out["doc"] = own[found[0]], found[1]
-    return out
+    return own, *found
 
 
 def pack(word: np.ndarray, ctx: np.ndarray, count: np.ndarray, tables=None) -> tuple[bytes, bytes]:
@@ -232,10 +242,18 @@ class Model:
         """Weight of a new table in restaurants with so many."""
         return self.strength + self.discount * tables
 
-    def _logs(self, seen, share, parent, own, tables, customers):
-        base = np.log10((seen + 0.5) / (self.n + 0.5 * (self.v + 1)))
-        p = (np.maximum(own, 0) + self.fresh(tables) * parent * share) / (self.strength + customers)
-        return base, np.log10(np.maximum(p, 1e-300)), seen > 0
+    def base(self, seen: np.ndarray) -> np.ndarray:
+        return np.log10((seen + 0.5) / (self.n + 0.5 * (self.v + 1)))
+
+    def chance(self, parent, own, tables, customers) -> np.ndarray:
+        p = (np.maximum(own, 0) + self.fresh(tables) * parent) / (self.strength + customers)
+        return np.log10(np.maximum(p, 1e-300))
+
+    def wide(self) -> np.ndarray:
+        """Totals of the broadcast contexts as records."""
+        out = np.zeros(len(self.contexts), _ABOUT)
+        out["u"], out["c"], out["t"] = self.contexts, self.customers, self.tables
+        return out
 
     def _words(self, words_: np.ndarray, at: np.ndarray, token: np.ndarray):
         """Count and mean customers of words at ``at`` (-1: not there) of a word table; frequent ones have theirs from the model."""
@@ -263,26 +281,25 @@ class Model:
         hot &= at >= 0
         share = np.ones(len(at))
         share[hot] = words_["n"][at[hot]] / mean[hot]
-        return self._logs(seen, share, self.parent(mean), own, self.tables[ctx], self.customers[ctx])
+        return self.base(seen), self.chance(self.parent(mean) * share, own, self.tables[ctx], self.customers[ctx]), seen > 0
 
-    def lookup(self, part: Part, word: np.ndarray, ctx: np.ndarray) -> tuple[np.ndarray, ...]:
-        """log10 of base and model probability, whether known, and whether the totals of the context, which are
-        missing here, change the result, for tokens whose pairs lie in this bucket."""
+    def lookup(self, part: Part, word: np.ndarray, times: np.ndarray, ctx: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+        """log10 of base and model probability, whether known, and whether the totals of the context are missing here, for
+        tokens whose pairs lie in this bucket: ``times`` tokens of each word, after the contexts ``ctx`` at ``at``."""
         seen, mean, _ = self._words(part.head, find(part.head["w"], word), word)
-        hit = find(part.keys, pair_key(word, ctx))
-        own = np.zeros(len(word))
+        hit = find(part.keys, pair_key(np.repeat(word, times), ctx[at]))
+        own = np.zeros(len(at))
         got = part.order[hit[hit >= 0]]
         own[hit >= 0] = part.pairs["c"][got] - self.discount * part.pairs["t"][got].astype(float)
-        here, wide = find(part.about["u"], ctx), find(self.contexts, ctx)
-        tables, customers = np.zeros(len(word)), np.zeros(len(word))
-        for place, t, c in ((here, part.about["t"], part.about["c"]), (wide, self.tables, self.customers)):
-            tables[place >= 0], customers[place >= 0] = t[place[place >= 0]], c[place[place >= 0]]
-        return *self._logs(seen, 1.0, self.parent(mean), own, tables, customers), (here < 0) & (wide < 0)
+        place = find(part.about["u"], ctx)
+        tables, customers = (np.where(place >= 0, part.about[x][place], 0) if len(part.about) else np.zeros(len(ctx)) for x in ("t", "c"))
+        value = self.chance(np.repeat(self.parent(mean), times), own, tables[at], customers[at])
+        return np.repeat(self.base(seen), times), value, np.repeat(seen > 0, times), (place < 0)[at]
 
 
 @dataclass
 class Part:
-    """Pairs of one bucket, with totals of their contexts."""
+    """Pairs of one bucket, with totals of their contexts and of those that are broadcast."""
 
     head: np.ndarray
     pairs: np.ndarray
@@ -291,15 +308,19 @@ class Part:
     order: np.ndarray
 
 
-def part_of(words_blob: bytes, pairs_blob: bytes, about: list[bytes]) -> Part:
+def totals_of(pairs: np.ndarray, about: list[np.ndarray], model: Model) -> np.ndarray:
+    """Totals of contexts: the model's, else those sent here, else what the pairs here add up to."""
+    some = pairs[find(model.contexts, pairs["u"]) < 0]
+    every = np.concatenate([model.wide(), *about, context_sums(some)])
+    every = every[np.argsort(every["u"], kind="stable")]
+    return every[_new(every["u"])]
+
+
+def part_of(words_blob: bytes, pairs_blob: bytes, about: list[np.ndarray], model: Model) -> Part:
     head, pairs = unpack(words_blob, pairs_blob)
-    totals = context_sums(pairs)
-    for x in about:
-        whole = records(x, _ABOUT)
-        totals[find(totals["u"], whole["u"])] = whole
     keys = pair_key(np.repeat(head["w"], head["k"]), pairs["u"])
     order = np.argsort(keys)
-    return Part(head, pairs, totals, keys[order], order)
+    return Part(head, pairs, totals_of(pairs, about, model), keys[order], order)
 
 
 def _parts(batch: pa.RecordBatch, column: int):
@@ -328,7 +349,7 @@ def gather(train: DataFrame, top: np.ndarray, count: int) -> DataFrame:
 
     def rows(word, ctx, n):
         to = route(word, ctx, held.value, count)
-        by = np.lexsort((word, to))
+        by = by_bucket(to, word)
         word, ctx, n, edge = word[by], ctx[by], n[by], np.searchsorted(to[by], np.arange(count + 1))
         some = [b for b in range(count) if edge[b] < edge[b + 1]]
         packed = [pack(*(x[edge[b] : edge[b + 1]] for x in (word, ctx, n))) for b in some]
@@ -367,65 +388,112 @@ def gather(train: DataFrame, top: np.ndarray, count: int) -> DataFrame:
     return sent.repartitionById(count, "bucket").mapInArrow(lean(merge), _MODEL)
 
 
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
 def _row(b: int, *blobs: bytes) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), *(pa.array([x], pa.binary()) for x in blobs)], [c.split()[0] for c in _MODEL.split(", ")])
+    return pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), *(pa.array([x], pa.binary()) for x in blobs)], _names(_MODEL))
 
 
-def context_totals(table: DataFrame, count: int) -> DataFrame:
-    """Customers and tables of every context: by the context's bucket (kind 0), and for each bucket that has only some pairs of it (kind 1)."""
+def context_totals(table: DataFrame, model: Model, count: int, whole: bool = False) -> DataFrame:
+    """Customers and tables of the contexts that are not broadcast, where they are not known from the pairs at hand: for the bucket of
+    the context (kind 1), and for pairs of rare words that lie elsewhere (kind 2, a row for each context). With ``whole`` all
+    contexts of each bucket too (kind 0); without it, only pairs of more than one customer are answered, as only they are seated.
+    """
+    held = table.sparkSession.sparkContext.broadcast((model.contexts, model.words["w"]))
 
     def send(batches):
+        wide, top = held.value
         for batch in batches:
-            for b, p in zip(*(c.to_pylist() for c in batch.columns)):
-                about = context_sums(records(p, _PAIR))
-                to = bucket_of(about["u"], count)
-                by = np.argsort(to, kind="stable")
-                about, edge = about[by], np.searchsorted(to[by], np.arange(count + 1))
-                some = [x for x in range(count) if edge[x] < edge[x + 1]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some, pa.int32()), pa.array([b] * len(some), pa.int32()),
-                     pa.array([flat(about[edge[x] : edge[x + 1]]) for x in some], pa.binary())],
-                    ["bucket", "back", "about"],
-                )
+            for b, w, p in zip(*(c.to_pylist() for c in batch.columns)):
+                head, pairs = unpack(w, p)
+                away = np.repeat(find(top, head["w"]) < 0, head["k"])
+                rare = find(wide, pairs["u"]) < 0
+                yield _messages([b], [-1], blobs=[flat(context_sums(pairs[rare & ~away]))])
+                pairs = pairs[rare & away]
+                about = context_sums(pairs)
+                back = np.full(len(about), b)
+                if not whole:
+                    back[find(np.unique(pairs["u"][pairs["c"] > 1]), about["u"]) < 0] = -1
+                if len(about):
+                    yield _messages(bucket_of(about["u"], count), back, about)
 
     def answer(batches):
         got = {}
         for batch in batches:
-            for b, back, blob in zip(*(c.to_pylist() for c in batch.columns)):
-                got.setdefault(b, []).append((back, blob))
+            for b, rows in _by_bucket(batch):
+                back, about, blobs = _read(rows)
+                kept = got.setdefault(b, [[], [], []])
+                kept[0].append(back[len(blobs) :])
+                kept[1].append(about)
+                kept[2] += [records(x, _ABOUT) for x in blobs]
         for b in list(got):
-            some = got.pop(b)
-            sums = add_up(np.concatenate([records(x, _ABOUT) for _, x in some]))
-            out = [(b, 0, flat(sums))]
-            for back, x in some:
-                own = records(x, _ABOUT)
-                whole = sums[find(sums["u"], own["u"])]
-                out.append((back, 1, flat(whole[(whole["c"] != own["c"]) | (whole["t"] != own["t"])])))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.binary()))], ["bucket", "kind", "about"])
-
-    sent = table.select("bucket", "pairs").mapInArrow(lean(send), "bucket int, back int, about binary")
-    return sent.repartitionById(count, "bucket").mapInArrow(lean(answer), "bucket int, kind int, about binary")
+            back, about, local = (np.concatenate(x) if x else np.zeros(0, _ABOUT) for x in got.pop(b))
+            local = add_up(local)
+            sums = add_up(np.concatenate([local, about]))
+            if whole:
+                yield _messages([b], [0], blobs=[flat(sums)])
+            at = find(local["u"], sums["u"])
+            same = at >= 0
+            same[same] = (local["c"][at[same]] == sums["c"][same]) & (local["t"][at[same]] == sums["t"][same])
+            yield _messages([b], [1], blobs=[flat(sums[~same])])
+            back, about = back[back >= 0], about[back >= 0]
+            full = sums[find(sums["u"], about["u"])]
+            some = (full["c"] != about["c"]) | (full["t"] != about["t"])
+            if some.any():
+                yield _messages(back[some], np.full(some.sum(), 2), full[some])
+
+    sent = table.select("bucket", "words", "pairs").mapInArrow(lean(send), _MESSAGE)
+    return sent.repartitionById(count, "bucket").mapInArrow(lean(answer), _MESSAGE)
+
+
+def _messages(bucket, kind, about: np.ndarray | None = None, blobs: list[bytes] | None = None) -> pa.RecordBatch:
+    """Rows of single contexts, or of blobs."""
+    n = len(bucket)
+    about = np.zeros(n, _ABOUT) if about is None else about
+    columns = [pa.array(np.asarray(bucket, np.int32)), pa.array(np.asarray(kind, np.int32)), *(pa.array(np.ascontiguousarray(about[x]).view(t)) for x, t in _PLAIN)]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(blobs or [None] * n, pa.binary())], _names(_MESSAGE))
+
+
+def _by_bucket(batch: pa.RecordBatch):
+    """Each run of rows of one bucket."""
+    bucket = batch.column(0).to_numpy()
+    edge = np.append(np.flatnonzero(_new(bucket)), len(bucket))
+    for lo, hi in zip(edge[:-1], edge[1:]):
+        yield int(bucket[lo]), batch.slice(lo, hi - lo)
+
+
+def _read(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Kinds, single contexts and blobs of message rows; blobs come first among the kinds."""
+    single = rows.column(5).is_null().to_numpy(zero_copy_only=False)
+    kind = rows.column(1).to_numpy()
+    about = np.zeros(single.sum(), _ABOUT)
+    for i, (name, t) in enumerate(_PLAIN):
+        about[name] = rows.column(2 + i).to_numpy()[single].view(about.dtype[name])
+    return np.concatenate([kind[~single], kind[single]]), about, [x for x in rows.column(5).to_pylist() if x is not None]
 
 
 def _beside(table: DataFrame, totals: DataFrame) -> DataFrame:
-    """Rows of the word table (kind 0) and of the totals of their contexts (kind 1), by bucket."""
-    nothing = F.lit(b"")
-    pairs = table.select("bucket", F.lit(0).alias("kind"), "words", "pairs")
-    return pairs.unionByName(totals.where("kind = 1").select("bucket", "kind", nothing.alias("words"), F.col("about").alias("pairs")))
+    """Rows of the word table (kind 0) and of the totals of their contexts (kinds 1 and 2), by bucket."""
+    none = F.lit(0.0)
+    pairs = table.select("bucket", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("u"), none.alias("c"), none.alias("t"), F.col("pairs").alias("about"), "words")
+    return pairs.unionByName(totals.where("kind > 0").withColumn("words", F.lit(None).cast("binary")))
 
 
 def sweep(counts: DataFrame, model: Model, burn: int, samples: int, seed: int, count: int) -> DataFrame:
     """Seat every bucket's customers anew; mean tables of pairs, mean customers of words at the parent."""
     held = counts.sparkSession.sparkContext.broadcast(model)
 
-    def seated(b, own, totals):
-        m, part = held.value, part_of(*own, totals)
-        head, pairs = part.head, part.pairs
+    def seated(b, own, sent):
+        m = held.value
+        head, pairs = unpack(*own)
+        about = totals_of(pairs, sent, m)
         of = np.repeat(np.arange(len(head)), head["k"])
         rng = np.random.Generator(np.random.PCG64([seed, b]))
         some = np.flatnonzero(pairs["c"] > 1)  # one customer has one table
         customers, word = pairs["c"][some].astype(np.int64), of[some]
-        open_ = m.fresh(part.about["t"][find(part.about["u"], pairs["u"][some])])
+        open_ = m.fresh(about["t"][find(about["u"], pairs["u"][some])])
         hot = find(m.words["w"], head["w"])
         alone = head["k"] - np.bincount(word, minlength=len(head))
         tables = pairs["t"][some].astype(float)
@@ -442,53 +510,86 @@ def sweep(counts: DataFrame, model: Model, burn: int, samples: int, seed: int, c
         return _row(b, *pack(head["w"][of], pairs["u"], pairs["c"], all_), b"")
 
     def run(batches):
-        bucket, own, totals = None, None, []
+        bucket, own, sent = None, None, []
         for batch in batches:
-            for b, kind, w, p in zip(*(c.to_pylist() for c in batch.columns)):
-                if kind == 1:
-                    totals.append(p)
-                    continue
-                if own is not None:
-                    yield seated(bucket, own, totals)
-                bucket, own, totals = b, (w, p), []
+            for b, rows in _by_bucket(batch):
+                if b != bucket:
+                    if own is not None:
+                        yield seated(bucket, own, sent)
+                    bucket, own, sent = b, None, []
+                own, rows = _table(rows, own)
+                sent += _sent(rows)
         if own is not None:
-            yield seated(bucket, own, totals)
+            yield seated(bucket, own, sent)
 
-    rows = _beside(counts, context_totals(counts, count)).repartitionById(count, "bucket").sortWithinPartitions("bucket", "kind")
+    totals = context_totals(counts, model, count)
+    rows = _beside(counts, totals).repartitionById(count, "bucket").sortWithinPartitions("bucket", "kind")
     return rows.mapInArrow(lean(run), _MODEL)
 
 
+def _table(rows: pa.RecordBatch, own):
+    """Words and pairs, if rows of a bucket begin with them, and the other rows."""
+    if len(rows) and rows.column(1)[0].as_py() == 0:
+        return (rows.column(6)[0].as_py(), rows.column(5)[0].as_py()), rows.slice(1)
+    return own, rows
+
+
+def _sent(rows: pa.RecordBatch) -> list[np.ndarray]:
+    """Totals of contexts in message rows."""
+    _, about, blobs = _read(rows)
+    return [*(records(x, _ABOUT) for x in blobs), *([about] if len(about) else [])]
+
+
 def _discount(once: float, twice: float) -> float:
     return float(np.clip(once / max(once + 2 * twice, 1), 0.05, 0.95))
 
 
-def summary(table: DataFrame, top: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The frequent words, added up over buckets, and [customers, pairs seen once, twice, words, tables, words with
-    one table, with two]."""
-    held = table.sparkSession.sparkContext.broadcast(top)
+def summary(table: DataFrame, top: np.ndarray, ctxs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The frequent words, added up over buckets; [customers, pairs seen once, twice, words, tables, words with
+    one table, with two]; customers and tables of the broadcast contexts."""
+    held = table.sparkSession.sparkContext.broadcast((top, ctxs))
     names = [f"x{i}" for i in range(7)]
 
     def read(batches):
+        top, ctxs = held.value
+        c, t, used = np.zeros(len(ctxs)), np.zeros(len(ctxs)), np.zeros(len(ctxs), bool)
+        hc, hn, met = np.zeros(len(top)), np.zeros(len(top)), np.zeros(len(top), bool)
+        rest = np.zeros(7)
         for batch in batches:
-            for w, c in zip(*(x.to_pylist() for x in batch.columns)):
-                head = records(w, _WORD)
-                hot = find(held.value, head["w"]) >= 0
-                some, n = head[hot], head["n"][~hot]
-                rest = [*(np.frombuffer(c, "<i8") if c else np.zeros(3)), len(n), n.sum(dtype=float), (n < 1.5).sum(), ((n >= 1.5) & (n < 2.5)).sum()]
-                cols = [np.append(some["w"].view(np.int64), 0), np.append(np.zeros(len(some)), 1).astype(np.int32)]
-                for i in range(7):
-                    cols.append(np.append(some["c"] if i == 0 else some["n"] if i == 1 else np.zeros(len(some)), rest[i]).astype(float))
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["w", "kind", *names])
-
-    got = table.select("words", "counts").mapInArrow(read, "w long, kind int, " + ", ".join(f"{x} double" for x in names))
-    rows = got.groupBy("kind", "w").agg(*(F.sum(x).alias(x) for x in names)).collect()
-    words_ = np.zeros(sum(r.kind == 0 for r in rows), _WORD)
-    for i, r in enumerate(r for r in rows if r.kind == 0):
-        words_[i] = (np.int64(r.w).view(U64), int(r.x0), r.x1, 0)
-    stats = sum((np.array(r[2:], float) for r in rows if r.kind == 1), np.zeros(7))
+            for w, p, counts in zip(*(x.to_pylist() for x in batch.columns)):
+                head, pairs = unpack(w, p)
+                at = find(top, head["w"])
+                n = head["n"][at < 0]
+                rest += [*(np.frombuffer(counts, "<i8") if counts else np.zeros(3)), len(n), n.sum(dtype=float), (n < 1.5).sum(), ((n >= 1.5) & (n < 2.5)).sum()]
+                some, at = head[at >= 0], at[at >= 0]
+                if len(at):
+                    met[at] = True
+                    hc += np.bincount(at, some["c"], len(top))
+                    hn += np.bincount(at, some["n"], len(top))
+                at = find(ctxs, pairs["u"])
+                some, at = pairs[at >= 0], at[at >= 0]
+                if len(at):
+                    used[at] = True
+                    c += np.bincount(at, some["c"], len(ctxs))
+                    t += np.bincount(at, some["t"], len(ctxs))
+        key = np.concatenate([top[met], ctxs[used], np.zeros(1, U64)])
+        kind = np.repeat(np.array([0, 2, 1], np.int32), [met.sum(), used.sum(), 1])
+        cols = np.zeros((7, len(key)))
+        cols[0, :-1], cols[1, :-1], cols[:, -1] = np.append(hc[met], c[used]), np.append(hn[met], t[used]), rest
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(kind), *(pa.array(x) for x in cols)], ["w", "kind", *names])
+
+    got = table.select("words", "pairs", "counts").mapInArrow(lean(read), "w long, kind int, " + ", ".join(f"{x} double" for x in names))
+    rows = got.groupBy("kind", "w").agg(*(F.sum(x).alias(x) for x in names)).toArrow().combine_chunks()
+    kind, w = rows["kind"].to_numpy(), rows["w"].to_numpy().view(U64)
+    sums = np.array([rows[x].to_numpy() for x in names])
+    words_ = np.zeros((kind == 0).sum(), _WORD)
+    words_["w"], words_["c"], words_["n"] = w[kind == 0], sums[0, kind == 0], sums[1, kind == 0]
+    stats = sums[:, kind == 1].sum(axis=1)
     n = words_["n"].astype(float)
     stats[3:] += [len(n), n.sum(), (n < 1.5).sum(), ((n >= 1.5) & (n < 2.5)).sum()]
-    return words_[np.argsort(words_["w"])], stats
+    about = np.zeros((2, len(ctxs)))
+    about[:, find(ctxs, w[kind == 2])] = sums[:2, kind == 2]
+    return words_[np.argsort(words_["w"])], stats, about
 
 
 def fit(
@@ -497,37 +598,23 @@ def fit(
 ) -> tuple[Model, DataFrame]:
     """The model, and its word table by bucket. ``train`` has one column, the text.
 
-    ``contexts``, ``frequent`` and ``near`` bound what is broadcast, not what is counted.
+    ``contexts``, ``frequent`` and ``near`` bound what is broadcast, not what is counted; frequent words are always among the
+    contexts that are broadcast.
     """
     count = _buckets(train)
     first = frequent_words(train, max(frequent, contexts + 1))
-    top, ctxs = np.sort(first[:frequent]), np.sort(np.append(first[first != END][:contexts], START))
+    top, ctxs = np.sort(first[:frequent]), np.sort(np.append(first[first != END][: max(contexts, frequent)], START))
     counts = written(gather(train, top, count), "counts", release=True)
-    words_, x = summary(counts, top)
-    none = np.zeros(0, _NEAR)
-    model = Model(
-        ctxs, np.zeros(len(ctxs)), np.zeros(len(ctxs)), _discount(x[1], x[2]), _discount(x[5], x[6]), strength, int(x[0]), int(x[3]), x[4], words_, none
-    )
+    words_, x, about = summary(counts, top, ctxs)
+    model = Model(ctxs, *about, _discount(x[1], x[2]), _discount(x[5], x[6]), strength, int(x[0]), int(x[3]), x[4], words_, np.zeros(0, _NEAR))
     for turn, kept in enumerate((1, samples)):
         seated = written(sweep(counts, model, burn, kept, seed + turn, count), "seating", release=True)
         discard(counts)
         counts = seated
-        model.words, x = summary(counts, top)
+        model.words, x, (model.customers, model.tables) = summary(counts, top, ctxs)
         model.all_tables = x[4]
         if turn == 0:
             model.top_discount = _discount(x[5], x[6])
-
-    def wide(batches):
-        for batch in batches:
-            for blob in batch.column(0).to_pylist():
-                about = records(blob, _ABOUT)
-                yield pa.RecordBatch.from_arrays([pa.array([flat(about[find(ctxs, about["u"]) >= 0])], pa.binary())], ["about"])
-
-    got = context_totals(counts, count).where("kind = 0").select("about").mapInArrow(wide, "about binary").collect()
-    for r in got:
-        about = records(r.about, _ABOUT)
-        at = find(ctxs, about["u"])
-        model.customers[at], model.tables[at] = about["c"], about["t"]
     model.near = _near(counts, model, near // count)
     return model, counts
 
@@ -547,11 +634,11 @@ def _near(table: DataFrame, model: Model, n: int) -> np.ndarray:
                 k = np.bincount(of, minlength=len(head))
                 few = head[k > 0].copy()
                 few["k"] = k[k > 0]
-                part = part_of(flat(few), flat(pairs[some]), [])
+                part = part_of(flat(few), flat(pairs[some]), [], m)
                 word, ctx = head["w"][of], pairs["u"][some]
                 out = np.zeros(len(some), _NEAR)
                 out["key"] = pair_key(word, ctx)
-                out["base"], out["score"], _, _ = m.lookup(part, word, ctx)
+                out["base"], out["score"], _, _ = m.lookup(part, word, np.ones(len(word), int), ctx, np.arange(len(word)))
                 yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], ["near"])
 
     got = table.select("words", "pairs").mapInArrow(pick, "near binary").collect()
@@ -560,7 +647,7 @@ def _near(table: DataFrame, model: Model, n: int) -> np.ndarray:
 
 
 def score(
-    docs: DataFrame, model: Model, table: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3
+    docs: DataFrame, model: Model, table: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2
 ) -> DataFrame:
     """id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
@@ -568,8 +655,7 @@ def score(
     """
     count = _buckets(docs)
     held = docs.sparkSession.sparkContext.broadcast(model)
-    wire = "bucket int, kind int, batch long, words binary, pairs binary"
-    names = [c.split()[0] for c in wire.split(", ")]
+    wire = _MESSAGE + ", words binary"
 
     def ask(batches):
         m, turn, task = held.value, 0, TaskContext.get().partitionId() << 24
@@ -588,81 +674,88 @@ def score(
                     out[name] = np.bincount(row[near], x, hi - lo)
                 key = task + turn
                 turn += 1
-                sent = [(key % count, 2, key, out.tobytes(), b"")]
+                sent = [(key % count, 3, key, 0.0, 0.0, out.tobytes(), b"")]
                 row, token, ctx = row[~near], token[~near], before[~near]
                 to = route(token, ctx, m.words["w"], count)
-                by = np.lexsort((token, to))
+                by = by_bucket(to, token)
                 row, token, ctx, edge = row[by], token[by], ctx[by], np.searchsorted(to[by], np.arange(count + 1))
                 for b in range(count):
                     s = slice(edge[b], edge[b + 1])
                     if s.start < s.stop:
-                        w, m_ = np.unique(token[s], return_counts=True)
-                        asked = np.rec.fromarrays([w, m_], dtype=_ASK)
-                        sent.append((b, 3, key, flat(asked), pack_places(row[s], ctx[s])))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*sent), kinds)], names)
+                        first = np.flatnonzero(_new(token[s]))
+                        asked = np.zeros(len(first), _ASK)
+                        asked["w"], asked["m"] = token[s][first], np.diff(np.append(first, s.stop - s.start))
+                        sent.append((b, 4, key, 0.0, 0.0, pack_places(row[s], ctx[s]), flat(asked)))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*sent), kinds)], _names(wire))
 
-    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.binary()]
 
     def answer(batches):
-        m, bucket, own, totals, part = held.value, None, (b"", b""), [], None
+        m, bucket, own, sent, part = held.value, None, None, [], None
         for batch in batches:
-            out = []
-            for b, kind, key, w, p in zip(*(c.to_pylist() for c in batch.columns)):
+            for b, rows in _by_bucket(batch):
                 if b != bucket:
-                    bucket, own, totals, part = b, (b"", b""), [], None
-                if kind == 0:
-                    own = w, p
-                elif kind == 1:
-                    totals.append(p)
-                elif kind == 2:
-                    out.append((0, key, 1, w))
-                else:
+                    bucket, own, sent, part = b, None, [], None
+                own, rows = _table(rows, own)
+                edge = int(np.searchsorted(rows.column(1).to_numpy(), 3))
+                sent += _sent(rows.slice(0, edge))
+                out = []
+                for kind, key, p, w in zip(*(rows.slice(edge).column(i).to_pylist() for i in (1, 2, 5, 6))):
+                    if kind == 3:
+                        out.append((0, key, 1, 0, 0, p))
+                        continue
                     if part is None:
-                        part = part_of(*own, totals)
-                    asked, places = records(w, _ASK), unpack_places(p)
-                    base, value, known, left = m.lookup(part, np.repeat(asked["w"], asked["m"]), places["u"])
-                    out.append((0, key, 2, sums_of(places["doc"], known, base, value)))
-                    places = places[left]
-                    to = bucket_of(places["u"], count)
-                    by = np.argsort(to, kind="stable")
-                    places, to = places[by], to[by]
-                    for s in np.split(np.arange(len(to)), np.flatnonzero(_new(to))[1:]):
-                        if len(s):
-                            out.append((int(to[s[0]]), key, 3, pack_places(places["doc"][s], places["u"][s])))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int32(), pa.binary()))], ["bucket", "batch", "kind", "sums"]
-                )
+                        part = part_of(*(own or (b"", b"")), sent, m)
+                        own, sent = None, []
+                    asked, (ctx, at, doc) = records(w, _ASK), unpack_places(p)
+                    base, value, known, left = m.lookup(part, asked["w"], asked["m"], ctx, at)
+                    out.append((0, key, 2, 0, 0, sums_of(doc, known, base, value)))
+                    home = bucket_of(ctx, count)[at]
+                    left = np.flatnonzero(left & (home != b))
+                    if len(left):
+                        yield rests(home[left], key, doc[left], ctx[at[left]])
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), answered)], _names(reply))
+
+    def rests(home, key, doc, ctx):
+        n = len(home)
+        columns = [home.astype(np.int32), np.full(n, key), np.full(n, 3, np.int32), doc.astype(np.int32), ctx.view(np.int64)]
+        return pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), pa.nulls(n, pa.binary())], _names(reply))
+
+    reply = "bucket int, batch long, kind int, doc int, u long, sums binary"
+    answered = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
 
     def sums_of(doc, known, base, value):
-        docs_, inv = np.unique(doc, return_inverse=True)
-        sums = np.zeros(len(docs_), _SUM)
-        sums["doc"] = docs_
+        n = np.bincount(doc)
+        sums = np.zeros((n > 0).sum(), _SUM)
+        sums["doc"] = np.flatnonzero(n)
         for name, x in (("known", known), ("base", base), ("score", value)):
-            sums[name] = np.bincount(inv, x, len(docs_))
+            sums[name] = np.bincount(doc, x)[sums["doc"]]
         return sums.tobytes()
 
     def finish(batches):
-        """What the context's totals add to tokens whose pair was not seen."""
+        """What the context's totals add to tokens whose pair was not seen, a row for each document in a batch."""
         m, bucket, about = held.value, None, np.zeros(0, _ABOUT)
         for batch in batches:
-            out = []
-            for b, kind, key, blob in zip(*(c.to_pylist() for c in batch.columns)):
+            for b, rows in _by_bucket(batch):
                 if b != bucket:
                     bucket, about = b, np.zeros(0, _ABOUT)
-                if kind == 0:
-                    about = records(blob, _ABOUT)
+                if rows.column(2)[0].as_py() == 0:
+                    about, rows = records(rows.column(5)[0].as_py(), _ABOUT), rows.slice(1)
+                if not len(rows):
                     continue
-                places = unpack_places(blob)
-                at = find(about["u"], places["u"])
-                value = np.zeros(len(places))
+                key, doc, u = (rows.column(i).to_numpy() for i in (1, 3, 4))
+                at = find(about["u"], u.view(U64))
+                value = np.zeros(len(u))
                 got = about[at[at >= 0]]
                 value[at >= 0] = np.log10(m.fresh(got["t"]) / (m.strength + got["c"]))
-                out.append((key, 2, sums_of(places["doc"], value * 0, value * 0, value)))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.binary()))], ["batch", "kind", "sums"]
-                )
+                by = np.lexsort((doc, key))
+                key, doc, value = key[by], doc[by], value[by]
+                first = np.flatnonzero(_new(key) | _new(doc))
+                sums = np.zeros(len(first), _SUM)
+                sums["doc"], sums["score"] = doc[first], np.add.reduceat(value, first)
+                blobs = pa.array([x.tobytes() for x in sums], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(key[first]), pa.array(np.full(len(first), 2, np.int32)), blobs], ["batch", "kind", "sums"])
 
     def total(batches):
         rows, last = None, None
@@ -689,22 +782,25 @@ def score(
         )
 
     schema = f"`{id_col}` long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    totals = written(context_totals(table, count), "contexts", release=True)
-    known = _beside(table, totals).withColumn("batch", F.lit(0).cast("long")).select(*names)
-    contexts = totals.where("kind = 0").select("bucket", "kind", F.lit(0).cast("long").alias("batch"), F.col("about").alias("sums"))
+    totals = written(context_totals(table, model, count, whole=True), "contexts", release=True)
+    known = _beside(table, totals)
+    none = F.lit(0).cast("long")
+    contexts = totals.where("kind = 0").select(
+        "bucket", none.alias("batch"), "kind", F.lit(0).alias("doc"), none.alias("u"), F.col("about").alias("sums")
+    )
     found = None
     for share in range(rounds):
         some = docs.where(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(rounds)) == share)
         asked = some.select(F.col(id_col).cast("long"), held_out(F.col(id_col)), text_col).mapInArrow(lean(ask), wire)
         answers = written(
             known.unionByName(asked).repartitionById(count, "bucket").sortWithinPartitions("bucket", "kind")
-            .mapInArrow(lean(answer), "bucket int, batch long, kind int, sums binary"), "answers", release=True,
+            .mapInArrow(lean(answer), reply), "answers", release=True,
         )
         rest = (
             contexts.unionByName(answers.where("kind = 3")).repartitionById(count, "bucket").sortWithinPartitions("bucket", "kind")
             .mapInArrow(lean(finish), "batch long, kind int, sums binary")
         )
-        sums = answers.where("kind < 3").drop("bucket").unionByName(rest)
+        sums = answers.where("kind < 3").select("batch", "kind", "sums").unionByName(rest)
         scored = written(sums.repartition(count, "batch").sortWithinPartitions("batch", "kind").mapInArrow(lean(total), schema), "scores", release=True)
         discard(answers)
         found = scored if found is None else found.unionByName(scored)

@@ -318,6 +318,49 @@ def test_every_previous_word_has_its_own_restaurant(spark):
     assert all(abs(found[0][d] - found[1][d]) < 1e-6 for d in found[0])
 
 
+def test_messages_between_buckets_grow_with_pairs_and_lose_no_total(spark):
+    rng = np.random.default_rng(8)
+    vocab = [f"w{i}" for i in range(900)]
+    chance = 1 / np.arange(3, 903)
+    texts = [" ".join(rng.choice(vocab, 30, p=chance / chance.sum())) for _ in range(200)]
+    docs = frame(spark, [*enumerate(texts), (200, "new words w7 w899 w898 w897"), (201, "w1 w1 W1")], "score")
+    train = docs.where(~pitman_yor.held_out(F.col("doc_id")))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "12")
+        model, table = pitman_yor.fit(train.select("text"), contexts=3, frequent=600, near=16)
+        rows = table.collect()
+        word, pairs = [], []
+        for r in rows:
+            head, some = pitman_yor.unpack(r.words, r.pairs)
+            word.append(np.repeat(head["w"], head["k"]))
+            pairs.append(some)
+        word, pairs = np.concatenate(word), np.concatenate(pairs)
+        apart = (pitman_yor.find(model.words["w"], word) < 0) & (pitman_yor.find(model.contexts, pairs["u"]) < 0)
+        messages = pitman_yor.context_totals(table, model, 24, whole=True).count()
+        assert 0 < apart.sum() < 200 and messages <= apart.sum() + 2 * 24  # a message for each two buckets would be 576
+        at_word, at_ctx, own = {}, {}, {}
+        for w, u, c, t in zip(word.tolist(), pairs["u"].tolist(), pairs["c"].tolist(), pairs["t"].tolist()):
+            own[w, u] = c - model.discount * t
+            for found, key in ((at_word, w), (at_ctx, u)):
+                x = found.setdefault(key, [0, 0])
+                x[0], x[1] = x[0] + c, x[1] + t
+        assert all(np.isclose([c, t], at_ctx.get(u, (0, 0))).all() for u, c, t in zip(model.contexts.tolist(), model.customers, model.tables))
+        got = {r.doc_id: r for r in pitman_yor.score(docs, model, table).collect()}
+        assert len(got) == 202
+        for r in docs.collect():
+            data = np.frombuffer(r.text.encode(), np.uint8)
+            _, token, ctx = pitman_yor.tokens(data, np.array([0, len(data)]))
+            want = 0.0
+            for w, u in zip(token.tolist(), ctx.tolist()):
+                parent = float(model.parent(np.array(at_word.get(w, (0, 0))[1], float)))
+                c, t = at_ctx.get(u, (0, 0))
+                want += np.log10((max(own.get((w, u), 0), 0) + model.fresh(t) * parent) / (model.strength + c))
+            assert abs(got[r.doc_id].score - want) < 1e-4, r.doc_id
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_machine_formula_and_odd_labels(spark, odd):
     rng = np.random.default_rng(1)
     m = quality.Machine(4, 0.3, rng.normal(size=31), rng.normal(size=(31, 3)), np.zeros(15), np.ones(15))
