@@ -378,22 +378,22 @@ def scorecard_evaluation(spark: SparkSession, sf: str) -> DataFrame:
 SPACE = boost.Space(trees=(10, 30, 10), learning_rate=(0.05, 0.3), depth=(3, 5))
 
 
-def _tuned(spark: SparkSession, sf: str, name: str = "gbt", trials: int = 2):
+def _tuned(spark: SparkSession, sf: str, name: str = "gbt", trials: int = 40, space: boost.Space = boost.Space()):
     book, binning = fitted(spark, sf)
     woe = stage(binning.transform(book, ["id", "split", "y"]), "woe")
     features = [f"woe_{f}" for f in binning.features]
-    return woe, binning, boost.tune(woe, features, "y", name=name, trials=trials, space=SPACE)
+    return woe, binning, boost.tune(woe, features, "y", name=name, trials=trials, space=space)
 
 
 @query()
 def gbt_search(spark: SparkSession, sf: str) -> DataFrame:
-    _, _, tuned = _tuned(spark, sf)
+    _, _, tuned = _tuned(spark, sf, space=SPACE, trials=2)
     return tuned.trial_frame(spark)
 
 
 @query()
 def gbt_evaluation(spark: SparkSession, sf: str) -> DataFrame:
-    woe, _, tuned = _tuned(spark, sf, trials=1)
+    woe, _, tuned = _tuned(spark, sf, trials=1, space=SPACE)
     rows = stage(tuned.score(woe).select("id", "split", "y", "p"), "gbt")
     return tidy(evaluate(rows, "p", "y", "id", by="split"))
 
@@ -401,7 +401,7 @@ def gbt_evaluation(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def champion(spark: SparkSession, sf: str) -> DataFrame:
     """Comparison rows of the scorecard and the boosted model, and which is champion."""
-    woe, binning, tuned = _tuned(spark, sf, trials=1)
+    woe, binning, tuned = _tuned(spark, sf)
     card = scorecard.fit_scorecard(train_of(woe), binning, "y", min_iv=0.001)
     names = {"scorecard": card.apply(woe, ["id", "split", "y"]), "gbt": tuned.score(woe)}
     parts = []
@@ -415,14 +415,14 @@ def champion(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def importance(spark: SparkSession, sf: str) -> DataFrame:
-    _, binning, tuned = _tuned(spark, sf, trials=1)
+    _, binning, tuned = _tuned(spark, sf, trials=1, space=SPACE)
     return boost.importance(tuned.model, list(binning.features), spark)
 
 
 @query()
 def monotone_audit(spark: SparkSession, sf: str) -> DataFrame:
     """Where the boosted model breaks the expected direction, over all rows and bins."""
-    woe, binning, tuned = _tuned(spark, sf, trials=1)
+    woe, binning, tuned = _tuned(spark, sf, trials=1, space=SPACE)
     grids = {f"woe_{f}": [b["woe"] for b in binning.of(f)] for f in binning.features}
     return tidy(boost.monotone_audit(woe, tuned, grids))
 
