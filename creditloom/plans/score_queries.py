@@ -393,7 +393,7 @@ def gbt_search(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def gbt_evaluation(spark: SparkSession, sf: str) -> DataFrame:
-    woe, _, tuned = _tuned(spark, sf, trials=1, space=SPACE)
+    woe, _, tuned = _tuned(spark, sf)
     rows = stage(tuned.score(woe).select("id", "split", "y", "p"), "gbt")
     return tidy(evaluate(rows, "p", "y", "id", by="split"))
 
