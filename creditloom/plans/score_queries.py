@@ -374,20 +374,18 @@ def scorecard_evaluation(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------------- boosted trees
 
-# a short search over the default ranges, with fewer and faster-learning trees
-SPACE = boost.Space(trees=(10, 30, 10), learning_rate=(0.05, 0.3), depth=(3, 5))
 
-
-def _tuned(spark: SparkSession, sf: str, name: str = "gbt", trials: int = 40, space: boost.Space = boost.Space()):
+def _tuned(spark: SparkSession, sf: str, name: str = "gbt"):
+    """The whole search: all trials over the default ranges."""
     book, binning = fitted(spark, sf)
     woe = stage(binning.transform(book, ["id", "split", "y"]), "woe")
     features = [f"woe_{f}" for f in binning.features]
-    return woe, binning, boost.tune(woe, features, "y", name=name, trials=trials, space=space)
+    return woe, binning, boost.tune(woe, features, "y", name=name)
 
 
 @query()
 def gbt_search(spark: SparkSession, sf: str) -> DataFrame:
-    _, _, tuned = _tuned(spark, sf, space=SPACE, trials=2)
+    _, _, tuned = _tuned(spark, sf)
     return tuned.trial_frame(spark)
 
 
@@ -415,14 +413,14 @@ def champion(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def importance(spark: SparkSession, sf: str) -> DataFrame:
-    _, binning, tuned = _tuned(spark, sf, trials=1, space=SPACE)
+    _, binning, tuned = _tuned(spark, sf)
     return boost.importance(tuned.model, list(binning.features), spark)
 
 
 @query()
 def monotone_audit(spark: SparkSession, sf: str) -> DataFrame:
     """Where the boosted model breaks the expected direction, over all rows and bins."""
-    woe, binning, tuned = _tuned(spark, sf, trials=1, space=SPACE)
+    woe, binning, tuned = _tuned(spark, sf)
     grids = {f"woe_{f}": [b["woe"] for b in binning.of(f)] for f in binning.features}
     return tidy(boost.monotone_audit(woe, tuned, grids))
 

@@ -288,7 +288,7 @@ def test_profiles_leave_odd_rows_to_spark_ml(binned):
     assert goods.trials[0][0] is None and goods.valid_auc == -1
 
 
-@pytest.mark.parametrize("name", ["champion", "gbt_evaluation"])
+@pytest.mark.parametrize("name", ["champion", "gbt_evaluation", "gbt_search", "importance", "monotone_audit"])
 def test_registered_searches_are_whole(spark, monkeypatch, name):
     import inspect
     from types import SimpleNamespace
